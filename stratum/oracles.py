@@ -103,3 +103,41 @@ def with_views(body: str, *views: str) -> str:
         add(v)
     ctes = [f"{name} AS ({sql}\n)" for name, sql in _VIEWS.items() if name in need]
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + body
+
+
+def contract_sql(source: str, rules: list[tuple], suite: str, asset: str) -> str:
+    """Oracle for a contract result: ``rules`` are
+    ``(index, type, column, mostly, kind, arg)`` with kind in
+    ``not_null | unique | regex | in_set``."""
+    parts = []
+    for idx, etype, col, mostly, kind, arg in rules:
+        head = f"SELECT {idx} AS expectation_index, '{etype}' AS expectation_type, '{col}' AS column_name, " \
+               f"CAST({mostly} AS DOUBLE) AS mostly, "
+        if kind == "unique":
+            parts.append(
+                head + f"CAST(coalesce(sum(n), 0) AS BIGINT) AS element_count, "
+                f"CAST(coalesce(sum(n) FILTER (WHERE {col} IS NULL), 0) AS BIGINT) AS missing_count, "
+                f"CAST(coalesce(sum(n) FILTER (WHERE {col} IS NOT NULL AND n > 1), 0) AS BIGINT) "
+                f"AS unexpected_count FROM (SELECT {col}, count(*) AS n FROM {source} GROUP BY {col})"
+            )
+            continue
+        if kind == "not_null":
+            bad = f"{col} IS NULL"
+        elif kind == "regex":
+            bad = f"{col} IS NOT NULL AND NOT regexp_matches({col}, '{arg}')"
+        else:
+            values = ", ".join(f"'{v}'" for v in arg)
+            bad = f"{col} IS NOT NULL AND {col} NOT IN ({values})"
+        parts.append(
+            head + f"count(*) AS element_count, count_if({col} IS NULL) AS missing_count, "
+            f"count_if({bad}) AS unexpected_count FROM {source}"
+        )
+    union = "\nUNION ALL\n".join(parts)
+    return f"""
+SELECT '{asset}' AS asset, '{suite}' AS suite, expectation_index, expectation_type, column_name, mostly,
+       element_count, missing_count, unexpected_count,
+       CASE WHEN d > 0 THEN CAST(unexpected_count AS DOUBLE) / d * 100 END AS unexpected_percent,
+       CASE WHEN d = 0 THEN true ELSE CAST(d - unexpected_count AS DOUBLE) / d >= mostly END AS success
+FROM (SELECT *, CASE WHEN expectation_type = 'expect_column_values_to_not_be_null' THEN element_count
+                     ELSE element_count - missing_count END AS d
+      FROM ({union}))"""

@@ -139,3 +139,56 @@ def dedup_latest(spark: SparkSession, base: str) -> DataFrame:
 @register("clean_events", with_views("SELECT DISTINCT * FROM events_bronze", "events_bronze"))
 def clean_events(spark: SparkSession, base: str) -> DataFrame:
     return _without_audit(conform.clean(fx.events_bronze(spark, base)))
+
+
+# ---------------------------------------------------------------- contracts
+
+from stratum.functions.expressions import EMAIL_PATTERN, REGION_VALUES  # noqa: E402
+from stratum.oracles import contract_sql  # noqa: E402
+from stratum.operators import contracts as ct  # noqa: E402
+
+_RULE_SQL = {
+    "not_null": (ct.NOT_NULL, "customer_id", 1.0, "not_null", None),
+    "unique": (ct.UNIQUE, "customer_id", 1.0, "unique", None),
+    "regex": (ct.MATCH_REGEX, "email", 0.99, "regex", EMAIL_PATTERN),
+    "in_set": (ct.IN_SET, "region", 1.0, "in_set", REGION_VALUES),
+}
+_RULES = dict(zip(("not_null", "unique", "regex", "in_set"), ct.customer_contract()))
+SUITE = "silver_customer_suite"
+
+
+def _contract_query(rule: str) -> Query:
+    def run(spark: SparkSession, base: str) -> DataFrame:
+        return ct.contract_stats(fx.customers_dirty(spark, base), [_RULES[rule]], f"{rule}_check", "customers_dirty")
+
+    return run
+
+
+for _rule in ("not_null", "unique", "regex", "in_set"):
+    register(
+        f"contract_{_rule}",
+        with_views(contract_sql("customers_dirty", [(0, *_RULE_SQL[_rule])], f"{_rule}_check", "customers_dirty"),
+                   "customers_dirty"),
+    )(_contract_query(_rule))
+
+_SUITE_RULES = [(i, *_RULE_SQL[k]) for i, k in enumerate(("not_null", "unique", "regex", "in_set"))]
+
+
+@register("contract_customer_suite", with_views(
+    contract_sql("customers_conformed", _SUITE_RULES, SUITE, "silver_customers"), "customers_conformed"))
+def contract_customer_suite(spark: SparkSession, base: str) -> DataFrame:
+    registry = ct.ContractRegistry()
+    registry.define(SUITE, ct.customer_contract())
+    return registry.stats(fx.customers_conformed(spark, base), SUITE, "silver_customers")
+
+
+@register("contract_customer_suite_dirty", with_views(
+    contract_sql("customers_dirty", _SUITE_RULES, SUITE, "customers_dirty"), "customers_dirty"))
+def contract_customer_suite_dirty(spark: SparkSession, base: str) -> DataFrame:
+    return ct.contract_stats(fx.customers_dirty(spark, base), ct.customer_contract(), SUITE, "customers_dirty")
+
+
+@register("contract_gate", with_views("SELECT * FROM customers_conformed", "customers_conformed"))
+def contract_gate(spark: SparkSession, base: str) -> DataFrame:
+    """Rows promoted only after the suite passes (it does here)."""
+    return ct.gate(fx.customers_conformed(spark, base), ct.customer_contract(), SUITE, "silver_customers")
