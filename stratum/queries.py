@@ -192,3 +192,97 @@ def contract_customer_suite_dirty(spark: SparkSession, base: str) -> DataFrame:
 def contract_gate(spark: SparkSession, base: str) -> DataFrame:
     """Rows promoted only after the suite passes (it does here)."""
     return ct.gate(fx.customers_conformed(spark, base), ct.customer_contract(), SUITE, "silver_customers")
+
+
+# ---------------------------------------------------------------- upsert, storage and layer jobs
+
+from stratum.operators import upsert as up  # noqa: E402
+from stratum.plans import pipelines as pl  # noqa: E402
+from stratum.session import scratch_path  # noqa: E402
+from stratum.sources import landing  # noqa: E402
+from stratum.sources.lake import LakeConfig, read_path, write_table  # noqa: E402
+
+_ORDERS_MERGE_SQL = with_views("""
+SELECT i.* FROM orders_initial i WHERE NOT EXISTS (SELECT 1 FROM orders_changes c WHERE c.o_orderkey = i.o_orderkey)
+UNION ALL SELECT * FROM orders_changes""", "orders_initial", "orders_changes")
+
+_EVENTS_LATEST = """(SELECT * FROM (SELECT TRY_CAST(id AS BIGINT) AS id, name, TRY_CAST(value AS DOUBLE) AS value,
+                       TRY_CAST(updated_at AS TIMESTAMP) AS updated_at FROM {src})
+      QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS LAST, name DESC NULLS LAST,
+                                                        value DESC NULLS LAST) = 1)"""
+_EVENTS_MERGE_SQL = with_views(f"""
+SELECT t.* FROM {_EVENTS_LATEST.format(src='events_batch_1')} t
+WHERE NOT EXISTS (SELECT 1 FROM {_EVENTS_LATEST.format(src='events_batch_2')} s WHERE s.id = t.id)
+UNION ALL SELECT * FROM {_EVENTS_LATEST.format(src='events_batch_2')}""", "events_batch_1", "events_batch_2")
+
+
+def _events_latest(spark: SparkSession, base: str, which: int) -> DataFrame:
+    enforced = conform.enforce_schema(fx.events_batch(spark, base, which), EVENTS_SCHEMA)
+    return conform.dedup_latest(enforced, ["id"], ["updated_at"])
+
+
+@register("upsert_orders", _ORDERS_MERGE_SQL)
+def upsert_orders(spark: SparkSession, base: str) -> DataFrame:
+    """D1 as a DataFrame: change batch merged into the first orders load."""
+    return up.merge_frames(fx.orders_initial(spark, base), fx.orders_changes(spark, base), ["o_orderkey"])
+
+
+@register("upsert_events", _EVENTS_MERGE_SQL)
+def upsert_events(spark: SparkSession, base: str) -> DataFrame:
+    return up.merge_frames(_events_latest(spark, base, 1), _events_latest(spark, base, 2), ["id"])
+
+
+@register("upsert_roundtrip", _ORDERS_MERGE_SQL)
+def upsert_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """Initial load, staged bucket upsert, then the same change
+    batch replayed (must not change the table)."""
+    path = scratch_path(spark, "silver_orders")
+    up.upsert_table(fx.orders_initial(spark, base), path, ["o_orderkey"], buckets=16)
+    up.upsert_table(fx.orders_changes(spark, base), path, ["o_orderkey"], buckets=16)
+    up.upsert_table(fx.orders_changes(spark, base), path, ["o_orderkey"], buckets=16)
+    return spark.read.parquet(path).drop(up.BUCKET)
+
+
+@register("bronze_to_silver_events", _EVENTS_MERGE_SQL)
+def bronze_to_silver_events(spark: SparkSession, base: str) -> DataFrame:
+    """L1 twice: each arrival batch is landed in Bronze, cleaned, enforced
+    and upserted into Silver by id."""
+    root = scratch_path(spark, "events_layers")
+    silver = f"{root}/silver/events"
+    for which in (1, 2):
+        bronze = f"{root}/bronze/events/batch={which}"
+        fx.events_batch(spark, base, which).write.mode("overwrite").parquet(bronze)
+        pl.bronze_to_silver(spark, bronze, silver, schema=EVENTS_SCHEMA, buckets=16)
+    return spark.read.parquet(silver).drop(up.BUCKET, conform.AUDIT_COLUMN)
+
+
+@register("gold_partitioned_roundtrip", with_views("SELECT * FROM sales_fact", "sales_fact"))
+def gold_partitioned_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """Fact written partitioned by day, read back with its schema
+    (``date_key`` stays a string)."""
+    fact = sales_fact_frame(spark, base)
+    path = scratch_path(spark, "gold_fact_sales")
+    write_table(fact, path, partition_cols=["date_key"])
+    return _without_audit(read_path(spark, path, schema=fact.schema))
+
+
+@register("silver_to_gold_aggregate", ORACLES["monthly_sales_aggregate"])
+def silver_to_gold_aggregate(spark: SparkSession, base: str) -> DataFrame:
+    """Silver tables staged, Gold job run with the customer gate,
+    aggregate read back from Gold."""
+    root = scratch_path(spark, "lake")
+    cfg = LakeConfig.from_mapping({"silver_base_path": f"{root}/silver", "gold_base_path": f"{root}/gold"})
+    write_table(fx.transactions_cleansed(spark, base), cfg.silver("transactions_cleansed"))
+    write_table(fx.customers_conformed(spark, base), cfg.silver("customers_conformed"))
+    write_table(fx.products_conformed(spark, base), cfg.silver("products_conformed"))
+    paths = pl.silver_to_gold(spark, cfg, customer_contract=ct.customer_contract())
+    return spark.read.parquet(paths["agg_monthly_sales"]).drop("dw_inserted_at")
+
+
+@register("bronze_landing", "SELECT *, 'orders.parquet' AS source_file_name FROM orders")
+def bronze_landing(spark: SparkSession, base: str) -> DataFrame:
+    """Source columns kept as they are, plus the source file."""
+    path = scratch_path(spark, "bronze_orders")
+    landing.land_batch(spark, f"{base}/orders.parquet", path)
+    landed = spark.read.parquet(path)
+    return landed.withColumn("source_file_name", landing.file_name()).drop(landing.SOURCE_FILE, landing.INGESTED_AT)
