@@ -286,3 +286,37 @@ def bronze_landing(spark: SparkSession, base: str) -> DataFrame:
     landing.land_batch(spark, f"{base}/orders.parquet", path)
     landed = spark.read.parquet(path)
     return landed.withColumn("source_file_name", landing.file_name()).drop(landing.SOURCE_FILE, landing.INGESTED_AT)
+
+
+# ---------------------------------------------------------------- streaming
+
+from stratum.streaming import bronze_stream as bs  # noqa: E402
+
+BRONZE_EVENTS_SCHEMA = StructType([StructField(c, StringType(), True) for c in ("id", "name", "value", "updated_at", "extra")])
+# covers the whole event span of the input (30 days), so nothing is late
+STREAM_DELAY = "40 days"
+
+
+@register("stream_dedup_events", with_views("SELECT DISTINCT * FROM events_bronze", "events_bronze"))
+def stream_dedup_events(spark: SparkSession, base: str) -> DataFrame:
+    """R2: raw deliveries streamed file by file, re-deliveries dropped by a
+    watermark dedup on ``(id, updated_at)``."""
+    root = scratch_path(spark, "stream_dedup")
+    fx.events_bronze(spark, base).repartition(8).write.parquet(f"{root}/arrivals")
+    stream = bs.read_arrivals(spark, f"{root}/arrivals", BRONZE_EVENTS_SCHEMA, max_files_per_trigger=2)
+    deduped = bs.dedup_within_watermark(stream, "updated_at", STREAM_DELAY, ["id", "updated_at"])
+    bs.run_available(deduped, f"{root}/bronze", f"{root}/checkpoint")
+    return spark.read.schema(BRONZE_EVENTS_SCHEMA).parquet(f"{root}/bronze")
+
+
+@register("stream_upsert_events", _EVENTS_MERGE_SQL)
+def stream_upsert_events(spark: SparkSession, base: str) -> DataFrame:
+    """Both arrival batches streamed into Silver through ``foreachBatch``
+    upserts guarded by ``updated_at``."""
+    root = scratch_path(spark, "stream_upsert")
+    for which in (1, 2):
+        fx.events_batch(spark, base, which).repartition(4).write.mode("append").parquet(f"{root}/arrivals")
+    stream = bs.read_arrivals(spark, f"{root}/arrivals", BRONZE_EVENTS_SCHEMA, max_files_per_trigger=3)
+    bs.run_stream_upsert(stream, f"{root}/silver", f"{root}/checkpoint", ["id"], ["updated_at"],
+                         schema=EVENTS_SCHEMA, guard="updated_at", buckets=16)
+    return spark.read.parquet(f"{root}/silver").drop(up.BUCKET)
