@@ -46,6 +46,7 @@ def build_sales_fact(
     products: DataFrame,
     inserted_at: Column | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """L3: sales ⟕ customers ⟕ products → fact with two measures.
 
@@ -54,8 +55,9 @@ def build_sales_fact(
     (null when the product is unknown). The customer join contributes no
     column but repeats a sale once per duplicate customer row (kept for
     parity); pass ``customers=None`` when the customer key is known unique.
+    ``carry`` names extra sales columns passed through (e.g. the source file).
     """
-    fact = sales.select(*FACT_KEYS)
+    fact = sales.select(*FACT_KEYS, *carry)
     if customers is not None:
         fact = customer_fanout(fact, customers.select("customer_id"), max_broadcast_rows)
     costs = products.select("product_id", "standard_cost")
@@ -65,6 +67,7 @@ def build_sales_fact(
         round2(F.col("quantity") * F.col("unit_price")).alias("total_sales_amount"),
         round2((F.col("unit_price") - F.col("standard_cost")) * F.col("quantity")).alias("margin_amount"),
         _inserted_at(inserted_at),
+        *carry,
     )
 
 

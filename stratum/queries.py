@@ -320,3 +320,90 @@ def stream_upsert_events(spark: SparkSession, base: str) -> DataFrame:
     bs.run_stream_upsert(stream, f"{root}/silver", f"{root}/checkpoint", ["id"], ["updated_at"],
                          schema=EVENTS_SCHEMA, guard="updated_at", buckets=16)
     return spark.read.parquet(f"{root}/silver").drop(up.BUCKET)
+
+
+# ---------------------------------------------------------------- governance
+
+from stratum.operators import governance as gv  # noqa: E402
+
+_SCAN_COLUMNS = ("text", "lang", "source")
+
+
+def _scan_sql() -> str:
+    parts = [
+        f"SELECT '{c}' AS column_name, '{name}' AS pattern, count({c}) AS n_values, "
+        f"count_if(regexp_matches({c}, '{pat}')) AS n_flagged FROM documents"
+        for c in _SCAN_COLUMNS for name, pat in gv.SENSITIVE_PATTERNS.items()
+    ]
+    return ("SELECT *, CASE WHEN n_values > 0 THEN CAST(n_flagged AS DOUBLE) / n_values END AS flagged_share FROM ("
+            + "\nUNION ALL\n".join(parts) + ")")
+
+
+@register("sensitive_scan_documents", _scan_sql())
+def sensitive_scan_documents(spark: SparkSession, base: str) -> DataFrame:
+    return gv.sensitive_scan(read_table(spark, base, "documents"), list(_SCAN_COLUMNS))
+
+
+@register("sensitive_rows_documents", "\nUNION ALL\n".join(
+    f"SELECT doc_id, 'text' AS column_name, '{name}' AS pattern FROM documents "
+    f"WHERE regexp_matches(text, '{pat}')" for name, pat in gv.SENSITIVE_PATTERNS.items()))
+def sensitive_rows_documents(spark: SparkSession, base: str) -> DataFrame:
+    return gv.sensitive_rows(read_table(spark, base, "documents"), "doc_id", ["text"])
+
+
+@register("row_lineage", with_views("""
+SELECT substr(date_key, 1, 6) AS year_month, store_id, product_id, transaction_id,
+       'lineitem.parquet' AS source_file_name, 'silver_to_gold.monthly_sales' AS process_name,
+       'silver_to_gold.monthly_sales:v1' AS process_qualified_name,
+       'silver.transactions_cleansed' AS source_qualified_name, 'gold.agg_monthly_sales' AS target_qualified_name
+FROM sales_fact WHERE transaction_id IS NOT NULL""", "sales_fact"))
+def row_lineage(spark: SparkSession, base: str) -> DataFrame:
+    """Gold group → transaction → source file (file name compared)."""
+    fact = gold.build_sales_fact(
+        fx.transactions_cleansed(spark, base, with_source_file=True),
+        fx.customers_conformed(spark, base), fx.products_conformed(spark, base), carry=["_source_file"],
+    )
+    lineage = gv.row_lineage(fact)
+    return lineage.withColumn("source_file_name", landing.file_name("source_file")).drop("source_file")
+
+
+# ---------------------------------------------------------------- demand features and model
+
+from stratum.plans import forecast as fc  # noqa: E402
+
+_COARSE_MONTHLY = _MONTHLY_SQL.format(
+    store="s_nationkey", product="p_brand",
+    source="sales_fact f LEFT JOIN supplier ON f.store_id = s_suppkey LEFT JOIN part ON f.product_id = p_partkey",
+)
+
+
+def _frame(lo: int, hi: int) -> str:
+    return f"OVER (PARTITION BY store_id, product_id ORDER BY month_index RANGE BETWEEN {lo} PRECEDING AND {hi} PRECEDING)"
+
+
+@register("demand_features", with_views(f"""
+SELECT store_id, product_id, year_month, month_index, label,
+       CAST(sum(CAST(label AS DECIMAL(38,2))) {_frame(1, 1)} AS DOUBLE) AS lag_1,
+       CAST(sum(CAST(label AS DECIMAL(38,2))) {_frame(2, 2)} AS DOUBLE) AS lag_2,
+       CAST(sum(CAST(label AS DECIMAL(38,2))) {_frame(3, 3)} AS DOUBLE) AS lag_3,
+       CASE WHEN count(label) {_frame(3, 1)} > 0
+            THEN CAST(sum(CAST(label AS DECIMAL(38,2))) {_frame(3, 1)} AS DOUBLE) / count(label) {_frame(3, 1)}
+       END AS rolling_mean_3,
+       month_index % 12 + 1 AS month_of_year
+FROM (SELECT store_id, product_id, year_month,
+             CAST(substr(year_month, 1, 4) AS INTEGER) * 12 + CAST(substr(year_month, 5, 2) AS INTEGER) - 1
+               AS month_index,
+             monthly_revenue AS label
+      FROM ({_COARSE_MONTHLY}) m)""", "sales_fact"))
+def demand_features(spark: SparkSession, base: str) -> DataFrame:
+    return fc.demand_features(monthly_sales_by_store(spark, base))
+
+
+@register("demand_forecast")
+def demand_forecast(spark: SparkSession, base: str) -> DataFrame:
+    """Elastic net (alpha 0.5, l1_ratio 0.2) fitted on the features,
+    saved, re-loaded and used to score every row with known features."""
+    features = fc.demand_features(monthly_sales_by_store(spark, base))
+    path = scratch_path(spark, "demand_model")
+    fc.save_model(fc.train_demand_model(features), path)
+    return fc.predict(fc.load_model(path), features)

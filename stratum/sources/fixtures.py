@@ -37,10 +37,15 @@ def _region_code(r_name: Column) -> Column:
     )
 
 
-def transactions_cleansed(spark: SparkSession, base: str) -> DataFrame:
+def transactions_cleansed(spark: SparkSession, base: str, with_source_file: bool = False) -> DataFrame:
     """One row per order line: ``transaction_id, date_key, customer_id,
-    product_id, store_id, quantity, unit_price``."""
+    product_id, store_id, quantity, unit_price`` (plus ``_source_file``, the
+    line-item file the row was read from, when asked)."""
     li = read_table(spark, base, "lineitem")
+    extra = []
+    if with_source_file:
+        li = li.withColumn("_source_file", F.col("_metadata.file_path"))
+        extra = [F.col("_source_file")]
     orders = read_table(spark, base, "orders").select("o_orderkey", "o_custkey")
     txn_id = F.concat_ws(
         "-", *(F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
@@ -53,6 +58,7 @@ def transactions_cleansed(spark: SparkSession, base: str) -> DataFrame:
         F.col("l_suppkey").alias("store_id"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("unit_price"),
+        *extra,
     )
 
 
