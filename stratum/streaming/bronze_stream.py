@@ -37,9 +37,11 @@ def read_arrivals(spark: SparkSession, path: str, schema: StructType, fmt: str =
 def dedup_within_watermark(stream: DataFrame, ts_col: str, delay: str, keys: Sequence[str]) -> DataFrame:
     """R2: drop re-deliveries of a key seen within ``delay`` of event time.
 
-    Rows later than the watermark (max event time seen minus ``delay``) are
-    dropped, as a bounded-state streaming dedup must do; choose ``delay`` to
-    cover the expected lateness.
+    State for a key is kept until the watermark (max event time seen minus
+    ``delay``) passes it. Rows behind the watermark are dropped; Spark judges
+    lateness against the previous micro-batch's watermark, so a row is
+    dropped once the watermark had moved past it one batch earlier. Choose
+    ``delay`` to cover the expected lateness.
     """
     timed = stream.withColumn(EVENT_TIME, F.col(ts_col).try_cast("timestamp"))
     return (
