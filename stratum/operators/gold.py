@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stratum.functions.expressions import full_name, money_sum, round2, year_month_of
 from stratum.operators.conform import dedup_exact, dedup_latest
 from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, join_small
+from stratum.session import checkpoint_root
 
 FACT_KEYS = ("transaction_id", "date_key", "customer_id", "product_id", "store_id", "quantity", "unit_price")
 CUSTOMER_COLUMNS = ("customer_id", "first_name", "last_name", "email", "segment", "region", "is_active")
@@ -27,13 +28,17 @@ def customer_fanout(sales: DataFrame, customers: DataFrame,
     A sale matching ``m > 1`` customer rows appears ``m`` times; every other
     sale (one match, no match, null key) appears once. Only the repeated
     customer keys, counted with a map-side partial aggregate, are joined back,
-    so the fact is not shuffled against the whole customer table.
+    so the fact is not shuffled against the whole customer table. That small
+    table is computed once and checkpointed (to the shared checkpoint folder)
+    so the size check and the join read it instead of re-aggregating.
     """
+    checkpoint_root(customers.sparkSession)
     repeats = (
         customers.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
+        .checkpoint(eager=True)
     )
     joined = join_small(sales, repeats, "customer_id", "left", max_broadcast_rows)
     copies = F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))
