@@ -65,8 +65,10 @@ def build_sales_fact(
     fact = sales.select(*FACT_KEYS, *carry)
     if customers is not None:
         fact = customer_fanout(fact, customers.select("customer_id"), max_broadcast_rows)
-    costs = products.select("product_id", "standard_cost")
-    fact = join_small(fact, costs, "product_id", "left", max_broadcast_rows)
+    # a dimension scan: Catalyst's size estimate is an upper bound, so its
+    # threshold-checked broadcast (sort-merge beyond it, AQE re-plans at run
+    # time) needs no extra counting job here
+    fact = fact.join(products.select("product_id", "standard_cost"), "product_id", "left")
     return fact.select(
         *FACT_KEYS,
         round2(F.col("quantity") * F.col("unit_price")).alias("total_sales_amount"),
@@ -107,12 +109,11 @@ def build_monthly_sales_aggregate(fact: DataFrame, store_col: str = "store_id",
     )
 
 
-def coarsen_fact(fact: DataFrame, stores: DataFrame, brands: DataFrame,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def coarsen_fact(fact: DataFrame, stores: DataFrame, brands: DataFrame) -> DataFrame:
     """Re-key a fact to a coarser store / product grain through mapping
-    tables ``(store_id, store_nation)`` and ``(product_id, product_brand)``."""
-    out = join_small(fact, stores, "store_id", "left", max_broadcast_rows)
-    return join_small(out, brands, "product_id", "left", max_broadcast_rows)
+    tables ``(store_id, store_nation)`` and ``(product_id, product_brand)``
+    (dimension scans: join strategy left to Catalyst's size estimate)."""
+    return fact.join(stores, "store_id", "left").join(brands, "product_id", "left")
 
 
 def dimension_keys_unique(dim: DataFrame, keys: Sequence[str] = ("customer_id",)) -> bool:

@@ -1,4 +1,12 @@
-"""Join helpers with an explicit size check before any broadcast."""
+"""Join helpers with an explicit size check before any broadcast.
+
+Use ``join_small`` where the small side is *derived* (an aggregate, a
+filtered change batch): Catalyst's size estimate for such a side is the size
+of its input and would pick a sort-merge join that shuffles the big side.
+For a plain dimension scan the estimate is already an upper bound and
+Spark's own threshold check (``spark.sql.autoBroadcastJoinThreshold``) plus
+AQE's run-time re-planning decide; no extra counting job is needed.
+"""
 
 from __future__ import annotations
 

@@ -36,12 +36,12 @@ def local_session(
     builder = SparkSession.builder.master(master).appName(app_name)
     for key, value in {**_TEST_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
-    if checkpoint_dir:
-        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if checkpoint_dir and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_dir)
+    # a configured spark.checkpoint.dir wins; ours is only the fallback
+    sc = spark.sparkContext
+    if checkpoint_dir and not sc.getConf().get("spark.checkpoint.dir", None) and not sc.getCheckpointDir():
+        sc.setCheckpointDir(checkpoint_dir)
     return spark
 
 
