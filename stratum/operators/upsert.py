@@ -5,10 +5,12 @@ whole target row, an unmatched source row is inserted, target-only rows stay,
 nothing is deleted. A null key never matches, so it is inserted every time.
 
 Storage form: the table is parquet partitioned by a hash bucket of the key
-(``_bucket = pmod(xxhash64(keys), n)``). An upsert
+(``_bucket = pmod(xxhash64(keys), n)``), or by a caller-given layout value
+computed from columns that never change for a key (e.g. the order month).
+An upsert
 
-1. finds the buckets the source touches (at most ``n`` values – a proven
-   bound, so collecting them is safe),
+1. finds the partitions the source touches (at most ``n`` hash buckets, or
+   at most the table's partition count – a bound on the collected list),
 2. merges source and the touched buckets only (partition pruning),
 3. writes the result to a staging folder inside the table (``_staging/`` is
    hidden from readers), and
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.conform import dedup_latest
 from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, join_small
+from stratum.session import checkpoint_root
 from stratum.sources import fs
 from stratum.sources.lake import table_exists
 
@@ -138,10 +141,18 @@ def _publish(spark, staging: str, path: str) -> None:
 
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int = DEFAULT_BUCKETS,
                  on_duplicate: str = "error", order_by: Sequence[str] = (), guard: str | None = None,
-                 fmt: str = "parquet") -> dict:
+                 fmt: str = "parquet", layout: Column | None = None) -> dict:
     """D1 + D2: upsert ``source`` into the table at ``path`` (created on first
-    use, S5/S6). Returns a small summary dict."""
+    use, S5/S6). Returns a small summary dict.
+
+    ``layout`` replaces the key hash as the partition value, e.g.
+    ``date_format('o_orderdate', 'yyyyMM')``: a change batch of recent rows
+    then rewrites only recent partitions. It must be computed from columns
+    that never change for a key, so every version of a key lands in the same
+    partition (otherwise an old version would survive in its old partition).
+    """
     spark = source.sparkSession
+    part = layout if layout is not None else bucket_of(keys, buckets)
     if fmt == "delta":
         return _upsert_delta(source, path, keys)
     if fmt != "parquet":
@@ -149,15 +160,19 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
     recovered = recover(spark, path)
     if not table_exists(spark, path, fmt):
         src = prepare_source(source, source.columns, keys, on_duplicate, order_by)
-        src.withColumn(BUCKET, bucket_of(keys, buckets)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        src.withColumn(BUCKET, part).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         return {"mode": "initial", "buckets_touched": None, "recovered": recovered}
     current = spark.read.parquet(path)
     columns = [c for c in current.columns if c != BUCKET]
-    src = prepare_source(source, columns, keys, on_duplicate, order_by).withColumn(BUCKET, bucket_of(keys, buckets))
-    touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # <= buckets rows
+    # the prepared batch feeds two actions (touched partitions, merge): compute
+    # it once and cut its lineage in the shared checkpoint folder
+    checkpoint_root(spark)
+    src = prepare_source(source, columns, keys, on_duplicate, order_by).withColumn(BUCKET, part).checkpoint()
+    # one value per touched partition: bounded by the table's partition count
+    touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
     if not touched:
         return {"mode": "noop", "buckets_touched": 0, "recovered": recovered}
-    target = current.where(F.col(BUCKET).isin(touched))
+    target = current.where(F.col(BUCKET).isin(touched))  # partition pruning
     merged = merge_frames(target, src, keys, on_duplicate="keep", guard=guard)
     staging = f"{path}/{STAGING}/{uuid.uuid4().hex}"
     merged.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)

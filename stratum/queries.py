@@ -252,7 +252,8 @@ def bronze_to_silver_events(spark: SparkSession, base: str) -> DataFrame:
     for which in (1, 2):
         bronze = f"{root}/bronze/events/batch={which}"
         fx.events_batch(spark, base, which).write.mode("overwrite").parquet(bronze)
-        pl.bronze_to_silver(spark, bronze, silver, schema=EVENTS_SCHEMA, buckets=16)
+        pl.bronze_to_silver(spark, bronze, silver, schema=EVENTS_SCHEMA, buckets=16,
+                            contract=[ct.not_null("id"), ct.not_null("updated_at")])
     return spark.read.parquet(silver).drop(up.BUCKET, conform.AUDIT_COLUMN)
 
 
@@ -407,3 +408,35 @@ def demand_forecast(spark: SparkSession, base: str) -> DataFrame:
     path = scratch_path(spark, "demand_model")
     fc.save_model(fc.train_demand_model(features), path)
     return fc.predict(fc.load_model(path), features)
+
+
+@register("upsert_orders_by_month", _ORDERS_MERGE_SQL)
+def upsert_orders_by_month(spark: SparkSession, base: str) -> DataFrame:
+    """D2 with an order-month layout: the change batch rewrites only the
+    months it touches."""
+    path = scratch_path(spark, "silver_orders_monthly")
+    month = F.date_format("o_orderdate", "yyyyMM")
+    up.upsert_table(fx.orders_initial(spark, base), path, ["o_orderkey"], layout=month)
+    info = up.upsert_table(fx.orders_changes(spark, base), path, ["o_orderkey"], layout=month)
+    assert info["mode"] == "merge"
+    return spark.read.parquet(path).drop(up.BUCKET)
+
+
+def _scan_table_sql(table: str, columns: tuple[str, ...]) -> str:
+    parts = [
+        f"SELECT '{c}' AS column_name, '{name}' AS pattern, count({c}) AS n_values, "
+        f"count_if(regexp_matches({c}, '{pat}')) AS n_flagged FROM {table}"
+        for c in columns for name, pat in gv.SENSITIVE_PATTERNS.items()
+    ]
+    return ("SELECT *, CASE WHEN n_values > 0 THEN CAST(n_flagged AS DOUBLE) / n_values END AS flagged_share FROM ("
+            + "\nUNION ALL\n".join(parts) + ")")
+
+
+@register("sensitive_scan_pages", _scan_table_sql("pages", ("url", "html")))
+def sensitive_scan_pages(spark: SparkSession, base: str) -> DataFrame:
+    return gv.sensitive_scan(read_table(spark, base, "pages"), ["url", "html"])
+
+
+@register("sensitive_scan_conversations", _scan_table_sql("conversations", ("role", "text")))
+def sensitive_scan_conversations(spark: SparkSession, base: str) -> DataFrame:
+    return gv.sensitive_scan(read_table(spark, base, "conversations"), ["role", "text"])

@@ -76,3 +76,13 @@ def test_recover_republishes_complete_staging(spark, scratch):
 def up_bucket(spark, key, n):
     """Bucket of one long key (``range`` yields a long column named ``id``)."""
     return spark.range(key, key + 1).select(up.bucket_of(["id"], n)).first()[0]
+
+
+def test_layout_rewrites_only_touched_partitions(spark, scratch):
+    path = scratch("by_month")
+    month = F.col("ts")  # immutable per key in this data
+    up.upsert_table(frame(spark, [(i, "a", i % 4) for i in range(40)]), path, ["id"], layout=month)
+    info = up.upsert_table(frame(spark, [(1, "b", 1), (5, "c", 1), (100, "d", 1)]), path, ["id"], layout=month)
+    assert info["buckets_touched"] == 1
+    got = {r.id: r.v for r in spark.read.parquet(path).collect()}
+    assert len(got) == 41 and got[1] == "b" and got[5] == "c" and got[100] == "d" and got[2] == "a"
