@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.expressions import full_name, money_sum, round2, year_month_of
 from stratum.operators.conform import dedup_exact, dedup_latest
-from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, join_small
+from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, skew_join
 from stratum.session import checkpoint_root
 
 FACT_KEYS = ("transaction_id", "date_key", "customer_id", "product_id", "store_id", "quantity", "unit_price")
@@ -40,7 +40,7 @@ def customer_fanout(sales: DataFrame, customers: DataFrame,
         .where(F.col("_copies") > 1)
         .checkpoint(eager=True)
     )
-    joined = join_small(sales, repeats, "customer_id", "left", max_broadcast_rows)
+    joined = skew_join(sales, repeats, "customer_id", "left", max_broadcast_rows)
     copies = F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))
     return joined.withColumn("_copy", F.explode(copies)).drop("_copies", "_copy")
 
@@ -65,10 +65,10 @@ def build_sales_fact(
     fact = sales.select(*FACT_KEYS, *carry)
     if customers is not None:
         fact = customer_fanout(fact, customers.select("customer_id"), max_broadcast_rows)
-    # a dimension scan: Catalyst's size estimate is an upper bound, so its
-    # threshold-checked broadcast (sort-merge beyond it, AQE re-plans at run
-    # time) needs no extra counting job here
-    fact = fact.join(products.select("product_id", "standard_cost"), "product_id", "left")
+    # broadcast when counted small; otherwise a shuffle join with hot products
+    # salted, so a product holding a third of the sales is not one task
+    fact = skew_join(fact, products.select("product_id", "standard_cost"), "product_id", "left",
+                     max_broadcast_rows)
     return fact.select(
         *FACT_KEYS,
         round2(F.col("quantity") * F.col("unit_price")).alias("total_sales_amount"),
@@ -109,11 +109,12 @@ def build_monthly_sales_aggregate(fact: DataFrame, store_col: str = "store_id",
     )
 
 
-def coarsen_fact(fact: DataFrame, stores: DataFrame, brands: DataFrame) -> DataFrame:
+def coarsen_fact(fact: DataFrame, stores: DataFrame, brands: DataFrame,
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Re-key a fact to a coarser store / product grain through mapping
-    tables ``(store_id, store_nation)`` and ``(product_id, product_brand)``
-    (dimension scans: join strategy left to Catalyst's size estimate)."""
-    return fact.join(stores, "store_id", "left").join(brands, "product_id", "left")
+    tables ``(store_id, store_nation)`` and ``(product_id, product_brand)``."""
+    out = skew_join(fact, stores, "store_id", "left", max_broadcast_rows)
+    return skew_join(out, brands, "product_id", "left", max_broadcast_rows)
 
 
 def dimension_keys_unique(dim: DataFrame, keys: Sequence[str] = ("customer_id",)) -> bool:

@@ -1,11 +1,9 @@
 """Join helpers with an explicit size check before any broadcast.
 
-Use ``join_small`` where the small side is *derived* (an aggregate, a
-filtered change batch): Catalyst's size estimate for such a side is the size
-of its input and would pick a sort-merge join that shuffles the big side.
-For a plain dimension scan the estimate is already an upper bound and
-Spark's own threshold check (``spark.sql.autoBroadcastJoinThreshold``) plus
-AQE's run-time re-planning decide; no extra counting job is needed.
+``join_small`` broadcasts a side only after counting it (``limit(n+1)``,
+which stops early), because Catalyst's size estimate for a derived side (an
+aggregate, a filtered change batch) is the size of its input. ``skew_join``
+adds the other way beyond the bound: a shuffle join with heavy keys salted.
 """
 
 from __future__ import annotations
@@ -42,3 +40,55 @@ def join_small(
     if at_most(small, max_broadcast_rows):
         small = F.broadcast(small)
     return big.join(small, on, how)
+
+
+def heavy_keys(df: DataFrame, key: str, min_share: float = 0.01, sample_fraction: float = 0.01,
+               seed: int = 17) -> list:
+    """Keys holding at least ``min_share`` of the rows, estimated from a
+    sample of the key column. At most ``1 / min_share`` keys can qualify, so
+    the collected list has a proven bound. Only performance depends on the
+    estimate: a missed or spurious key never changes a join's result.
+    """
+    sample = df.select(key).where(F.col(key).isNotNull()).sample(fraction=sample_fraction, seed=seed)
+    n = sample.count()
+    if n == 0:
+        return []
+    hot = sample.groupBy(key).count().where(F.col("count") >= min_share * n)
+    return [r[0] for r in hot.select(key).collect()]
+
+
+def skew_join(
+    big: DataFrame,
+    dim: DataFrame,
+    key: str,
+    how: str = "left",
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    salts: int = 32,
+    min_share: float = 0.01,
+    sample_fraction: float = 0.01,
+) -> DataFrame:
+    """Join a large table with a dimension on one key, safe for hot keys.
+
+    * dimension within ``max_broadcast_rows`` (counted): broadcast hash join;
+    * otherwise a shuffle join in which every heavy key of ``big`` (see
+      ``heavy_keys``) is spread over ``salts`` partitions: its rows get a salt
+      from a hash of the row, and only that key's dimension rows are
+      replicated once per salt. Each big row still meets exactly the
+      dimension rows of its key, so the result equals the plain join. The
+      salt also keeps a following aggregate from inheriting the join's
+      partitioning, so the aggregate shuffles (after a map-side partial step)
+      instead of running a hot key's whole group in one task.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("skew_join supports left and inner joins")
+    if at_most(dim, max_broadcast_rows):
+        return big.join(F.broadcast(dim), key, how)
+    hot = heavy_keys(big, key, min_share, sample_fraction)
+    if not hot:
+        return big.join(dim, key, how)
+    is_hot = F.col(key).isin(hot)
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    salted_big = big.withColumn("_salt", F.when(is_hot, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
+    fan = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_dim = dim.withColumn("_salt", F.explode(fan))
+    return salted_big.join(salted_dim, [key, "_salt"], how).drop("_salt")

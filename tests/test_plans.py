@@ -79,3 +79,30 @@ def test_hot_key_results_are_whole(spark):
     assert agg[0] == expected and agg[1] == 2.0 * expected
     latest = dedup_latest(sales.withColumn("k", F.col("customer_id") % 2), ["k"], ["transaction_id"])
     assert latest.count() == 2
+
+
+def test_salted_join_equals_plain_join_and_breaks_coupling(spark, capsys):
+    from stratum.operators.joins import heavy_keys, skew_join
+
+    n = 6000
+    big = spark.range(n).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 50)
+                                .alias("k"), (F.col("id") * 1.5).alias("x"))
+    dim = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).union(
+        spark.range(5, 6).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v")))  # key 5 twice
+    assert 5 in heavy_keys(big, "k", sample_fraction=0.5)
+    salted = skew_join(big, dim, "k", "left", max_broadcast_rows=0, sample_fraction=0.5)
+    plain = big.join(dim, "k", "left")
+    assert salted.count() == plain.count()
+    assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
+    agg = salted.groupBy("k").agg(F.sum("x"))
+    # the plan a large dimension would get: no automatic broadcast
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(agg, capsys).split("\n\n")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" not in text
+    lines = text.splitlines()
+    join_at = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    assert any("Exchange" in line for line in lines[:join_at])  # the aggregate shuffles on its own keys
