@@ -403,11 +403,13 @@ def demand_features(spark: SparkSession, base: str) -> DataFrame:
 @register("demand_forecast")
 def demand_forecast(spark: SparkSession, base: str) -> DataFrame:
     """Elastic net (alpha 0.5, l1_ratio 0.2) fitted on the features,
-    saved, re-loaded and used to score every row with known features."""
+    saved, re-loaded, used to score every row with known features, and the
+    predictions written to a Gold table that is read back."""
+    root = scratch_path(spark, "demand")
     features = fc.demand_features(monthly_sales_by_store(spark, base))
-    path = scratch_path(spark, "demand_model")
-    fc.save_model(fc.train_demand_model(features), path)
-    return fc.predict(fc.load_model(path), features)
+    fc.save_model(fc.train_demand_model(features), f"{root}/model")
+    fc.write_predictions(fc.predict(fc.load_model(f"{root}/model"), features), f"{root}/gold/demand_predictions")
+    return spark.read.parquet(f"{root}/gold/demand_predictions")
 
 
 @register("upsert_orders_by_month", _ORDERS_MERGE_SQL)
