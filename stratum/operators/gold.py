@@ -28,18 +28,21 @@ def customer_fanout(sales: DataFrame, customers: DataFrame,
     A sale matching ``m > 1`` customer rows appears ``m`` times; every other
     sale (one match, no match, null key) appears once. Only the repeated
     customer keys, counted with a map-side partial aggregate, are joined back,
-    so the fact is not shuffled against the whole customer table. That small
-    table is computed once and checkpointed (to the shared checkpoint folder)
-    so the size check and the join read it instead of re-aggregating.
+    so the fact is not shuffled against the whole customer table; when no
+    key repeats (the usual case) there is no join at all. Otherwise the small
+    table is checkpointed (to the shared checkpoint folder) so the size check
+    and the join read it instead of re-aggregating.
     """
-    checkpoint_root(customers.sparkSession)
     repeats = (
         customers.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
-        .checkpoint(eager=True)
     )
+    if at_most(repeats, 0):
+        return sales  # no repeated key: the join cannot add or remove a row
+    checkpoint_root(customers.sparkSession)
+    repeats = repeats.checkpoint()  # computed once for the size check and the join
     joined = skew_join(sales, repeats, "customer_id", "left", max_broadcast_rows)
     copies = F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))
     return joined.withColumn("_copy", F.explode(copies)).drop("_copies", "_copy")

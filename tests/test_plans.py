@@ -41,6 +41,10 @@ def test_fact_is_not_joined_with_the_whole_customer_table(spark, capsys):
     fact = build_sales_fact(fx.transactions_cleansed(spark, SMALL), fx.customers_conformed(spark, SMALL),
                             fx.products_conformed(spark, SMALL))
     text = plan(fact, capsys)
+    assert "customer.parquet" not in text  # keys are unique: no customer join at all
+    dirty = build_sales_fact(fx.transactions_cleansed(spark, SMALL), fx.customers_dirty(spark, SMALL),
+                             fx.products_conformed(spark, SMALL))
+    text = plan(dirty, capsys)
     assert "customer.parquet" not in text  # only the checkpointed repeated keys are joined
     assert "Scan ExistingRDD" in text or "LogicalRDD" in text
 
