@@ -29,7 +29,7 @@ import logging
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratum.operators.conform import dedup_latest
@@ -175,10 +175,14 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
     target = current.where(F.col(BUCKET).isin(touched))  # partition pruning
     merged = merge_frames(target, src, keys, on_duplicate="keep", guard=guard)
     staging = f"{path}/{STAGING}/{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+    # rows in the rewritten partitions, counted while staging (no extra pass)
+    written = Observation("upsert_staging")
+    merged.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+        .partitionBy(BUCKET).parquet(staging)
     _publish(spark, staging, path)
     fs.delete(spark, staging)
-    return {"mode": "merge", "buckets_touched": len(touched), "recovered": recovered}
+    return {"mode": "merge", "buckets_touched": len(touched), "rows_in_touched": written.get["rows"],
+            "recovered": recovered}
 
 
 def _upsert_delta(source: DataFrame, path: str, keys: Sequence[str]) -> dict:
