@@ -12,10 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
-from stratum.oracles import with_views
+from stratum.functions.expressions import EMAIL_PATTERN, REGION_VALUES
 from stratum.operators import conform, gold
+from stratum.operators import contracts as ct
+from stratum.operators import governance as gv
+from stratum.operators import upsert as up
+from stratum.oracles import contract_sql
+from stratum.oracles import with_views
+from stratum.plans import forecast as fc
+from stratum.plans import pipelines as pl
+from stratum.session import scratch_path
 from stratum.sources import fixtures as fx
+from stratum.sources import landing
+from stratum.sources.lake import LakeConfig, read_path, write_table
 from stratum.sources.tables import read_table
+from stratum.streaming import bronze_stream as bs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,9 +154,6 @@ def clean_events(spark: SparkSession, base: str) -> DataFrame:
 
 # ---------------------------------------------------------------- contracts
 
-from stratum.functions.expressions import EMAIL_PATTERN, REGION_VALUES  # noqa: E402
-from stratum.oracles import contract_sql  # noqa: E402
-from stratum.operators import contracts as ct  # noqa: E402
 
 _RULE_SQL = {
     "not_null": (ct.NOT_NULL, "customer_id", 1.0, "not_null", None),
@@ -196,11 +204,6 @@ def contract_gate(spark: SparkSession, base: str) -> DataFrame:
 
 # ---------------------------------------------------------------- upsert, storage and layer jobs
 
-from stratum.operators import upsert as up  # noqa: E402
-from stratum.plans import pipelines as pl  # noqa: E402
-from stratum.session import scratch_path  # noqa: E402
-from stratum.sources import landing  # noqa: E402
-from stratum.sources.lake import LakeConfig, read_path, write_table  # noqa: E402
 
 _ORDERS_MERGE_SQL = with_views("""
 SELECT i.* FROM orders_initial i WHERE NOT EXISTS (SELECT 1 FROM orders_changes c WHERE c.o_orderkey = i.o_orderkey)
@@ -291,7 +294,6 @@ def bronze_landing(spark: SparkSession, base: str) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming
 
-from stratum.streaming import bronze_stream as bs  # noqa: E402
 
 BRONZE_EVENTS_SCHEMA = StructType([StructField(c, StringType(), True) for c in ("id", "name", "value", "updated_at", "extra")])
 # covers the whole event span of the input (30 days), so nothing is late
@@ -325,7 +327,6 @@ def stream_upsert_events(spark: SparkSession, base: str) -> DataFrame:
 
 # ---------------------------------------------------------------- governance
 
-from stratum.operators import governance as gv  # noqa: E402
 
 _SCAN_COLUMNS = ("text", "lang", "source")
 
@@ -370,7 +371,6 @@ def row_lineage(spark: SparkSession, base: str) -> DataFrame:
 
 # ---------------------------------------------------------------- demand features and model
 
-from stratum.plans import forecast as fc  # noqa: E402
 
 _COARSE_MONTHLY = _MONTHLY_SQL.format(
     store="s_nationkey", product="p_brand",
