@@ -88,7 +88,9 @@ def skew_join(
         return big.join(dim, key, how)
     is_hot = F.col(key).isin(hot)
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    salted_big = big.withColumn("_salt", F.when(is_hot, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
+    # int salts on both sides, so the join keys need no cast
+    salt = F.pmod(row_hash, F.lit(salts)).cast("int")
+    salted_big = big.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
     fan = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_dim = dim.withColumn("_salt", F.explode(fan))
     return salted_big.join(salted_dim, [key, "_salt"], how).drop("_salt")

@@ -16,6 +16,14 @@ _VIEWS: dict[str, str] = {
                o_custkey AS customer_id, l_partkey AS product_id, l_suppkey AS store_id,
                l_quantity AS quantity, l_extendedprice AS unit_price
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "transactions_hot": """
+        SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
+                         CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS transaction_id,
+               strftime(l_shipdate, '%Y%m%d') AS date_key,
+               CASE WHEN l_orderkey % 3 = 0 THEN CAST(1 AS BIGINT) ELSE o_custkey END AS customer_id,
+               CASE WHEN l_orderkey % 3 = 0 THEN CAST(1 AS BIGINT) ELSE l_partkey END AS product_id,
+               l_suppkey AS store_id, l_quantity AS quantity, l_extendedprice AS unit_price
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "products_conformed": """
         SELECT p_partkey AS product_id, p_retailprice AS standard_cost FROM part WHERE p_size <= 45""",
     "customers_conformed": """
@@ -51,6 +59,13 @@ _VIEWS: dict[str, str] = {
         FROM transactions_cleansed t
         LEFT JOIN (SELECT customer_id FROM customers_conformed) c ON t.customer_id = c.customer_id
         LEFT JOIN products_conformed p ON t.product_id = p.product_id""",
+    "sales_fact_hot": """
+        SELECT t.transaction_id, t.date_key, t.customer_id, t.product_id, t.store_id, t.quantity, t.unit_price,
+               round(t.quantity * t.unit_price, 2) AS total_sales_amount,
+               round((t.unit_price - p.standard_cost) * t.quantity, 2) AS margin_amount
+        FROM transactions_hot t
+        LEFT JOIN (SELECT customer_id FROM customers_dirty) c ON t.customer_id = c.customer_id
+        LEFT JOIN products_conformed p ON t.product_id = p.product_id""",
     "events_bronze": """
         SELECT CAST(event_id AS VARCHAR) AS id, event_type AS name,
                CASE WHEN event_id % 101 = 0 THEN '12x'
@@ -85,6 +100,7 @@ _DEPENDS = {
     "customers_spoiled": ["customers_conformed"],
     "customers_dirty": ["customers_spoiled"],
     "sales_fact": ["transactions_cleansed", "customers_conformed", "products_conformed"],
+    "sales_fact_hot": ["transactions_hot", "customers_dirty", "products_conformed"],
     "events_batch_1": ["events_bronze"],
     "events_batch_2": ["events_bronze"],
 }

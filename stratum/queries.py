@@ -103,6 +103,30 @@ def sales_fact_fanout(spark: SparkSession, base: str) -> DataFrame:
     return _without_audit(sales_fact_frame(spark, base, fx.customers_dirty(spark, base)))
 
 
+_HOT_FACT_COLUMNS = ("transaction_id, date_key, customer_id, product_id, store_id, quantity, unit_price, "
+                     "total_sales_amount, margin_amount")
+
+
+def hot_sales_fact(spark: SparkSession, base: str) -> DataFrame:
+    """Fact over ``transactions_hot``: one customer (repeated in the customer
+    table, so its sales fan out) and one product each hold a third of all
+    sales. Both joins are planned as at scale, with the dimension beyond the
+    broadcast bound: the hot keys are salted over a shuffle join."""
+    return gold.build_sales_fact(fx.transactions_hot(spark, base), fx.customers_dirty(spark, base),
+                                 fx.products_conformed(spark, base), max_broadcast_rows=0)
+
+
+@register("sales_fact_hot_keys", with_views(f"SELECT {_HOT_FACT_COLUMNS} FROM sales_fact_hot", "sales_fact_hot"))
+def sales_fact_hot_keys(spark: SparkSession, base: str) -> DataFrame:
+    return _without_audit(hot_sales_fact(spark, base))
+
+
+@register("monthly_sales_hot_keys", with_views(
+    _MONTHLY_SQL.format(store="store_id", product="product_id", source="sales_fact_hot"), "sales_fact_hot"))
+def monthly_sales_hot_keys(spark: SparkSession, base: str) -> DataFrame:
+    return gold.build_monthly_sales_aggregate(hot_sales_fact(spark, base))
+
+
 @register("customer_dimension", with_views("""
 SELECT customer_id, first_name, last_name, concat_ws(' ', first_name, last_name) AS full_name,
        email, segment, region, is_active
@@ -147,6 +171,17 @@ def dedup_latest(spark: SparkSession, base: str) -> DataFrame:
     return conform.dedup_latest(read_table(spark, base, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
+@register("dedup_latest_hot_keys", """
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_returnflag
+        ORDER BY l_shipdate DESC, l_orderkey DESC, l_partkey DESC, l_suppkey DESC, l_linenumber DESC,
+                 l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_linestatus DESC) = 1""")
+def dedup_latest_hot_keys(spark: SparkSession, base: str) -> DataFrame:
+    """Latest line per return flag: three keys, each holding about a third
+    of all lines (reduced map-side before the shuffle)."""
+    return conform.dedup_latest(read_table(spark, base, "lineitem"), ["l_returnflag"], ["l_shipdate"])
+
+
 @register("clean_events", with_views("SELECT DISTINCT * FROM events_bronze", "events_bronze"))
 def clean_events(spark: SparkSession, base: str) -> DataFrame:
     return _without_audit(conform.clean(fx.events_bronze(spark, base)))

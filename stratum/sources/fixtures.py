@@ -26,6 +26,9 @@ EVENT_BATCH_SPLIT = "2024-01-16 00:00:00.000000"
 ORDER_UPDATE_FROM = "2000-01-01"  # orders re-sent from this date carry a new status
 ORDER_INITIAL_BEFORE = "2000-07-01"  # the first Silver load holds orders before this date
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+HOT_ORDER_EVERY = 3             # l_orderkey % 3 = 0 -> the line is sold to the hot customer and product
+HOT_CUSTOMER = 1                # repeated in customers_dirty, so its sales also fan out
+HOT_PRODUCT = 1                 # a part kept in products_conformed at every scale
 # --- end of fixed derivation rules ---
 
 
@@ -41,6 +44,18 @@ def transactions_cleansed(spark: SparkSession, base: str, with_source_file: bool
     """One row per order line: ``transaction_id, date_key, customer_id,
     product_id, store_id, quantity, unit_price`` (plus ``_source_file``, the
     line-item file the row was read from, when asked)."""
+    return _transactions(spark, base, with_source_file, hot=False)
+
+
+def transactions_hot(spark: SparkSession, base: str) -> DataFrame:
+    """``transactions_cleansed`` with two hot keys: every line of an order
+    whose key is a multiple of ``HOT_ORDER_EVERY`` (about a third of all
+    lines) is sold to ``HOT_CUSTOMER`` and is of ``HOT_PRODUCT``. Every line
+    is kept; only the two key columns change."""
+    return _transactions(spark, base, with_source_file=False, hot=True)
+
+
+def _transactions(spark: SparkSession, base: str, with_source_file: bool, hot: bool) -> DataFrame:
     li = read_table(spark, base, "lineitem")
     extra = []
     if with_source_file:
@@ -50,11 +65,16 @@ def transactions_cleansed(spark: SparkSession, base: str, with_source_file: bool
     txn_id = F.concat_ws(
         "-", *(F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     )
+    customer, product = F.col("o_custkey"), F.col("l_partkey")
+    if hot:
+        is_hot = F.col("l_orderkey") % HOT_ORDER_EVERY == 0
+        customer = F.when(is_hot, F.lit(HOT_CUSTOMER).cast("bigint")).otherwise(customer)
+        product = F.when(is_hot, F.lit(HOT_PRODUCT).cast("bigint")).otherwise(product)
     return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
         txn_id.alias("transaction_id"),
         date_key_of(F.col("l_shipdate")).alias("date_key"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("l_partkey").alias("product_id"),
+        customer.alias("customer_id"),
+        product.alias("product_id"),
         F.col("l_suppkey").alias("store_id"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("unit_price"),

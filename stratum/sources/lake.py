@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stratum.sources import fs
+
 log = logging.getLogger(__name__)
 
 
@@ -85,10 +87,12 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
             DeltaTable = None
         if DeltaTable is not None:
             return bool(DeltaTable.isDeltaTable(spark, path))
+    if not fs.exists(spark, path):  # the common "first load" case, no exception
+        return False
     try:
         spark.read.format(fmt).load(path).schema
         return True
-    except AnalysisException:
+    except AnalysisException:  # a folder without readable data files
         return False
 
 

@@ -110,3 +110,21 @@ def test_salted_join_equals_plain_join_and_breaks_coupling(spark, capsys):
     lines = text.splitlines()
     join_at = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
     assert any("Exchange" in line for line in lines[:join_at])  # the aggregate shuffles on its own keys
+
+
+def test_hot_keys_take_salted_shuffle_joins(spark, capsys):
+    """A third of all sales on one customer and one product, dimensions
+    beyond the broadcast bound: both joins are salted shuffle joins and the
+    aggregate still shuffles on its own keys after a partial step."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["monthly_sales_hot_keys"](spark, SMALL), capsys).split("\n\n")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = text.splitlines()
+    joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line]
+    assert len(joins) >= 3  # lineitem-orders, customers (salted), products (salted)
+    assert "BroadcastHashJoin" not in text
+    assert any("Exchange" in line for line in lines[:joins[0]])
+    assert any("HashAggregate" in line for line in lines[:joins[0]])
