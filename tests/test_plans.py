@@ -93,8 +93,8 @@ def test_salted_join_equals_plain_join_and_breaks_coupling(spark, capsys):
                                 .alias("k"), (F.col("id") * 1.5).alias("x"))
     dim = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).union(
         spark.range(5, 6).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v")))  # key 5 twice
-    assert 5 in heavy_keys(big, "k", sample_fraction=0.5)
-    salted = skew_join(big, dim, "k", "left", max_broadcast_rows=0, sample_fraction=0.5)
+    assert 5 in heavy_keys(big, "k")
+    salted = skew_join(big, dim, "k", "left", max_broadcast_rows=0)
     plain = big.join(dim, "k", "left")
     assert salted.count() == plain.count()
     assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
@@ -128,3 +128,17 @@ def test_hot_keys_take_salted_shuffle_joins(spark, capsys):
     assert "BroadcastHashJoin" not in text
     assert any("Exchange" in line for line in lines[:joins[0]])
     assert any("HashAggregate" in line for line in lines[:joins[0]])
+
+
+def test_heavy_keys_sketch_finds_a_third_and_nothing_uniform(spark):
+    from stratum.operators.joins import heavy_keys
+
+    n = 20000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("s"),
+        (F.col("id") % 1000).alias("u"),
+        F.lit(None).cast("long").alias("z"),
+    )
+    assert heavy_keys(df, "s") == ["hot"]
+    assert heavy_keys(df, "u") == []  # every key holds 0.1 %
+    assert heavy_keys(df, "z") == []
