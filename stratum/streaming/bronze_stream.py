@@ -27,10 +27,14 @@ EVENT_TIME = "_event_time"
 
 
 def read_arrivals(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> DataFrame:
+    """Arriving files as a stream; the two limits bound each micro-batch
+    (and so the work any one key can put on one task in a batch)."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.load(path)
 
 
