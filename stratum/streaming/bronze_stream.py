@@ -8,7 +8,8 @@ watermark delay only; at cluster scale use the RocksDB state store provider
 
 Restarts: the checkpoint folder records offsets and state, so a restarted
 query resumes where it stopped; a replayed micro-batch upserts the same rows
-by key and leaves the Silver table unchanged.
+by key and leaves the Silver table unchanged (except rows with a null key,
+which never match and are inserted again, as in the original merge).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from stratum.operators.conform import dedup_latest, enforce_schema
+from stratum.operators.conform import enforce_schema
 from stratum.operators.upsert import DEFAULT_BUCKETS, upsert_table
 
 EVENT_TIME = "_event_time"
@@ -87,8 +88,9 @@ def upsert_batches(silver_path: str, keys: Sequence[str], order_by: Sequence[str
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         df = enforce_schema(batch, schema) if schema is not None else batch
-        latest = dedup_latest(df, keys, order_by)
-        upsert_table(latest, silver_path, keys, buckets=buckets, on_duplicate="keep", guard=guard)
+        # same duplicate policy as the batch job: latest row per non-null key
+        # (an aggregation, map-side first), every null-key row kept
+        upsert_table(df, silver_path, keys, buckets=buckets, on_duplicate="latest", order_by=order_by, guard=guard)
 
     return apply
 

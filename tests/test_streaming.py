@@ -36,3 +36,14 @@ def test_stream_upsert_replay_is_idempotent(spark, scratch):  # R3
                              schema=target_schema, guard="updated_at", buckets=4)
         got = sorted((r.id, r.v) for r in spark.read.parquet(f"{root}/silver").collect())
         assert got == [("1", "b"), ("2", "c")]
+
+
+def test_stream_upsert_keeps_every_null_key_row(spark, scratch):  # R3, Q6
+    root = scratch("nullkeys")
+    rows = [(None, "2024-01-01 00:00:00", "a"), (None, "2024-01-02 00:00:00", "b"),
+            ("1", "2024-01-01 00:00:00", "c"), ("1", "2024-01-03 00:00:00", "d")]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{root}/in")
+    stream = bs.read_arrivals(spark, f"{root}/in", SCHEMA)
+    bs.run_stream_upsert(stream, f"{root}/silver", f"{root}/ckpt", ["id"], ["updated_at"], buckets=4)
+    got = sorted((r.id or "", r.v) for r in spark.read.parquet(f"{root}/silver").collect())
+    assert got == [("", "a"), ("", "b"), ("1", "d")]
