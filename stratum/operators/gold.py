@@ -119,8 +119,3 @@ def coarsen_fact(fact: DataFrame, stores: DataFrame, brands: DataFrame,
     out = skew_join(fact, stores, "store_id", "left", max_broadcast_rows)
     return skew_join(out, brands, "product_id", "left", max_broadcast_rows)
 
-
-def dimension_keys_unique(dim: DataFrame, keys: Sequence[str] = ("customer_id",)) -> bool:
-    """True when no key value repeats (lets the fact skip the fan-out join)."""
-    repeated = dim.where(F.col(keys[0]).isNotNull()).groupBy(*keys).count().where("count > 1")
-    return at_most(repeated, 0)
