@@ -1,7 +1,7 @@
 """Join helpers with an explicit size check before any broadcast.
 
-``join_small`` broadcasts a side only after counting it (``limit(n+1)``,
-which stops early), because Catalyst's size estimate for a derived side (an
+``join_small`` broadcasts a side only after counting it (``at_most``),
+because Catalyst's size estimate for a derived side (an
 aggregate, a filtered change batch) is the size of its input. ``skew_join``
 adds the other way beyond the bound: a shuffle join with heavy keys salted.
 """
@@ -20,9 +20,17 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows. Stops reading as
-    soon as the bound is passed (``limit`` before ``count``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has no more than ``max_rows`` rows.
+
+    Either form moves at most one row per task to the final step: the
+    existence check (``max_rows == 0``) stops each task at its first row; any
+    other bound is a plain count with map-side partial counts. (A
+    ``limit(n + 1)`` before the count would pass up to ``n + 1`` rows per
+    task through a single-partition exchange – billions of rows into one
+    task for a large side on thousands of tasks.)"""
+    if max_rows == 0:
+        return df.limit(1).count() == 0
+    return df.count() <= max_rows
 
 
 def join_small(
