@@ -42,6 +42,7 @@ log = logging.getLogger(__name__)
 
 BUCKET = "_bucket"
 STAGING = "_staging"
+BUCKET_MARKER = "_bucket_count"  # hidden from readers (leading underscore, no '=')
 DEFAULT_BUCKETS = 64
 
 
@@ -87,19 +88,23 @@ def _latest_keep_null_keys(src: DataFrame, keys: Sequence[str], order_by: Sequen
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error",
                  order_by: Sequence[str] = (), guard: str | None = None,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 group_source_by: str | None = None) -> DataFrame:
     """D1 as a DataFrame: the table after upserting ``source`` into ``target``.
 
     Without ``guard``: ``target ▷ source`` (anti-join on the keys; the source
     keys are broadcast when counted small, so the target is not shuffled)
     ``∪ source``. With ``guard`` (a version column, Q16): a matched row is
-    replaced only when the source version is not older.
+    replaced only when the source version is not older. ``group_source_by``
+    rebalances the source rows on that column before the union (so a write
+    partitioned by it gets a few files per value from them), leaving the
+    target rows where they are.
     """
     src = prepare_source(source, target.columns, keys, on_duplicate, order_by)
     if guard is None:
         src_keys = src.where(_key_not_null(keys)).select(*keys)
         kept = join_small(target, src_keys, list(keys), "left_anti", max_broadcast_rows)
-        return kept.unionByName(src)
+        return kept.unionByName(src if group_source_by is None else src.hint("rebalance", group_source_by))
     if guard not in target.columns:
         raise ValueError(f"guard column {guard!r} not in target")
     tagged = target.withColumn("_from_source", F.lit(0)).unionByName(src.withColumn("_from_source", F.lit(1)))
@@ -139,12 +144,32 @@ def _publish(spark, staging: str, path: str) -> None:
     )
 
 
-def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int = DEFAULT_BUCKETS,
+def _bucket_count(spark, path: str, buckets: int | None) -> int:
+    """The table's bucket count, kept in ``_bucket_count`` (written right
+    after the initial load) and checked on every later call: another count
+    would send a key to another folder and keep its old version alive. A
+    table without the marker (a crash between the two writes) records the
+    count it is first used with."""
+    marker = f"{path}/{BUCKET_MARKER}"
+    recorded = fs.read_text(spark, marker)
+    if recorded is None:
+        n = buckets or DEFAULT_BUCKETS
+        fs.write_text(spark, marker, str(n))
+        return n
+    if buckets is not None and buckets != int(recorded):
+        raise ValueError(f"table at {path} has {recorded} buckets, not {buckets}")
+    return int(recorded)
+
+
+def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None,
                  on_duplicate: str = "error", order_by: Sequence[str] = (), guard: str | None = None,
                  fmt: str = "parquet", layout: Column | None = None) -> dict:
     """D1 + D2: upsert ``source`` into the table at ``path`` (created on first
     use, S5/S6). Returns a small summary dict.
 
+    ``buckets`` (hash layout) is fixed when the table is created and kept in
+    a hidden marker file; later calls may omit it. Choose it so a bucket
+    holds about 1 GB: an upsert rewrites every bucket it touches.
     ``layout`` replaces the key hash as the partition value, e.g.
     ``date_format('o_orderdate', 'yyyyMM')``: a change batch of recent rows
     then rewrites only recent partitions. It must be computed from columns
@@ -152,16 +177,24 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
     partition (otherwise an old version would survive in its old partition).
     """
     spark = source.sparkSession
-    part = layout if layout is not None else bucket_of(keys, buckets)
     if fmt == "delta":
         return _upsert_delta(source, path, keys)
     if fmt != "parquet":
         raise ValueError("staged upsert supports parquet (or delta when installed)")
     recovered = recover(spark, path)
     if not table_exists(spark, path, fmt):
+        n = buckets or DEFAULT_BUCKETS
+        part = layout if layout is not None else bucket_of(keys, n)
         src = prepare_source(source, source.columns, keys, on_duplicate, order_by)
-        src.withColumn(BUCKET, part).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        # rows grouped by partition value before the write: a few well-sized
+        # files per value instead of one file per task and value (AQE splits
+        # a value holding a large share over several tasks)
+        src.withColumn(BUCKET, part).hint("rebalance", BUCKET) \
+            .write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        if layout is None:
+            fs.write_text(spark, f"{path}/{BUCKET_MARKER}", str(n))
         return {"mode": "initial", "buckets_touched": None, "recovered": recovered}
+    part = layout if layout is not None else bucket_of(keys, _bucket_count(spark, path, buckets))
     current = spark.read.parquet(path)
     columns = [c for c in current.columns if c != BUCKET]
     # the prepared batch feeds two actions (touched partitions, merge): compute
@@ -173,7 +206,7 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
     if not touched:
         return {"mode": "noop", "buckets_touched": 0, "recovered": recovered}
     target = current.where(F.col(BUCKET).isin(touched))  # partition pruning
-    merged = merge_frames(target, src, keys, on_duplicate="keep", guard=guard)
+    merged = merge_frames(target, src, keys, on_duplicate="keep", guard=guard, group_source_by=BUCKET)
     staging = f"{path}/{STAGING}/{uuid.uuid4().hex}"
     # rows in the rewritten partitions, counted while staging (no extra pass)
     written = Observation("upsert_staging")

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from stratum.operators import contracts as ct
 from stratum.operators.conform import clean, enforce_schema, stamp
 from stratum.operators.gold import build_customer_dimension, build_monthly_sales_aggregate, build_sales_fact
-from stratum.operators.upsert import DEFAULT_BUCKETS, upsert_table
+from stratum.operators.upsert import upsert_table
 from stratum.session import checkpoint_root
 from stratum.sources.lake import LakeConfig, read_layer_table, read_path, write_table
 
@@ -38,7 +38,7 @@ def bronze_to_silver(
     cast_mode: str = "permissive",
     bronze_format: str = "parquet",
     keep_audit: bool = True,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     guard: str | None = None,
 ) -> dict:
     """L1: read Bronze, clean (stamp + exact dedup), enforce the schema,

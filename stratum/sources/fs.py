@@ -1,7 +1,8 @@
 """Small file-system helpers over the session's Hadoop file system.
 
-Used only by the staged upsert to find and drop its own staging folders; all
-data movement goes through DataFrame reads and writes.
+Used only by the staged upsert to find and drop its own staging folders and
+to keep its one-line layout marker; all data movement goes through DataFrame
+reads and writes.
 """
 
 from __future__ import annotations
@@ -33,3 +34,26 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs_and_path(spark, path)
     if fs.exists(hpath):
         fs.delete(hpath, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small marker file (replaced if present)."""
+    fs, hpath = _fs_and_path(spark, path)
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """First line of a small marker file, or None when there is none."""
+    fs, hpath = _fs_and_path(spark, path)
+    if not fs.exists(hpath):
+        return None
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(hpath), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()

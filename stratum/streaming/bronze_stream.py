@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from stratum.operators.conform import enforce_schema
-from stratum.operators.upsert import DEFAULT_BUCKETS, upsert_table
+from stratum.operators.upsert import upsert_table
 
 EVENT_TIME = "_event_time"
 
@@ -77,7 +77,7 @@ def _raise_if_failed(query: StreamingQuery) -> None:
 
 def upsert_batches(silver_path: str, keys: Sequence[str], order_by: Sequence[str],
                    schema: StructType | None = None, guard: str | None = None,
-                   buckets: int = DEFAULT_BUCKETS) -> Callable[[DataFrame, int], None]:
+                   buckets: int | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that enforces the schema, keeps the
     latest version per key inside the micro-batch and upserts it.
 
@@ -97,7 +97,7 @@ def upsert_batches(silver_path: str, keys: Sequence[str], order_by: Sequence[str
 
 def run_stream_upsert(stream: DataFrame, silver_path: str, checkpoint: str, keys: Sequence[str],
                       order_by: Sequence[str], schema: StructType | None = None, guard: str | None = None,
-                      buckets: int = DEFAULT_BUCKETS) -> None:
+                      buckets: int | None = None) -> None:
     query = (
         stream.writeStream.foreachBatch(upsert_batches(silver_path, keys, order_by, schema, guard, buckets))
         .option("checkpointLocation", checkpoint)

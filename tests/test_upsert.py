@@ -86,3 +86,18 @@ def test_layout_rewrites_only_touched_partitions(spark, scratch):
     assert info["buckets_touched"] == 1
     got = {r.id: r.v for r in spark.read.parquet(path).collect()}
     assert len(got) == 41 and got[1] == "b" and got[5] == "c" and got[100] == "d" and got[2] == "a"
+
+
+def test_bucket_count_is_recorded_and_checked(spark, scratch):
+    path = scratch("buckets")
+    first = spark.range(200).select("id", F.lit("a").alias("v"), F.lit(1).alias("ts")).repartition(8)
+    up.upsert_table(first, path, ["id"], buckets=4)
+    # rebalanced on the bucket before writing: one file per bucket, not one per task and bucket
+    files = spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    assert files == 4
+    with pytest.raises(ValueError):
+        up.upsert_table(frame(spark, [(1, "b", 2)]), path, ["id"], buckets=8)
+    info = up.upsert_table(frame(spark, [(1, "b", 2)]), path, ["id"])  # count taken from the table
+    assert info["buckets_touched"] == 1
+    got = spark.read.parquet(path)
+    assert got.count() == 200 and got.where("id = 1").select("v").first()[0] == "b"
