@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
 
 # rows of a narrow (key + a few columns) side that may be copied to every
 # executor; about 64 MB at ~32 bytes per row
@@ -61,8 +62,11 @@ def heavy_keys(df: DataFrame, key: str, min_share: float = 0.01, max_tracked: in
     fraction of the rows (about ``3.5 / max_tracked`` of them), so a key far
     above ``min_share`` – one holding a third of the rows – is always found.
     Only performance depends on the estimate: a missed or spurious key never
-    changes a join's result.
+    changes a join's result. Keys the sketch cannot take (binary, struct,
+    array, map) get no hot list: a plain shuffle join, split by AQE.
     """
+    if isinstance(df.schema[key].dataType, (BinaryType, StructType, ArrayType, MapType)):
+        return []
     k = max(1, math.floor(1 / min_share))
     stats = df.where(F.col(key).isNotNull()).agg(
         F.count(F.lit(1)).alias("n"),

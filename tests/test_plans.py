@@ -142,3 +142,4 @@ def test_heavy_keys_sketch_finds_a_third_and_nothing_uniform(spark):
     assert heavy_keys(df, "s") == ["hot"]
     assert heavy_keys(df, "u") == []  # every key holds 0.1 %
     assert heavy_keys(df, "z") == []
+    assert heavy_keys(df.select(F.struct("s").alias("t")), "t") == []  # type the sketch cannot take
