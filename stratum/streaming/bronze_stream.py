@@ -39,7 +39,19 @@ def read_arrivals(spark: SparkSession, path: str, schema: StructType, fmt: str =
     return reader.load(path)
 
 
-def dedup_within_watermark(stream: DataFrame, ts_col: str, delay: str, keys: Sequence[str]) -> DataFrame:
+def _drop_copies_per_batch(keys: list[str]):
+    """Vectorised per Arrow batch: keep the first row of each key. No memory
+    beyond the batch, so it is safe on any stream."""
+
+    def drop(batches):
+        for pdf in batches:
+            yield pdf.drop_duplicates(subset=keys)
+
+    return drop
+
+
+def dedup_within_watermark(stream: DataFrame, ts_col: str, delay: str, keys: Sequence[str],
+                           pre_dedup: bool = True) -> DataFrame:
     """R2: drop re-deliveries of a key seen within ``delay`` of event time.
 
     State for a key is kept until the watermark (max event time seen minus
@@ -47,8 +59,17 @@ def dedup_within_watermark(stream: DataFrame, ts_col: str, delay: str, keys: Seq
     lateness against the previous micro-batch's watermark, so a row is
     dropped once the watermark had moved past it one batch earlier. Choose
     ``delay`` to cover the expected lateness.
+
+    The stateful step shuffles every row to its key's state partition, with
+    no map-side step of its own. ``pre_dedup`` adds one before the shuffle:
+    copies inside each Arrow batch are dropped (``mapInPandas``, stateless),
+    so a group of copies holding a large share of a micro-batch reaches its
+    task as at most one row per Arrow batch. The stateful step still removes
+    copies across batches, so the result is the same set of keys.
     """
     timed = stream.withColumn(EVENT_TIME, F.col(ts_col).try_cast("timestamp"))
+    if pre_dedup:
+        timed = timed.mapInPandas(_drop_copies_per_batch(list(keys)), schema=timed.schema)
     return (
         timed.withWatermark(EVENT_TIME, delay)
         .dropDuplicatesWithinWatermark(list(keys))

@@ -47,3 +47,17 @@ def test_stream_upsert_keeps_every_null_key_row(spark, scratch):  # R3, Q6
     bs.run_stream_upsert(stream, f"{root}/silver", f"{root}/ckpt", ["id"], ["updated_at"], buckets=4)
     got = sorted((r.id or "", r.v) for r in spark.read.parquet(f"{root}/silver").collect())
     assert got == [("", "a"), ("", "b"), ("1", "d")]
+
+
+def test_hot_group_of_copies_is_reduced_before_the_shuffle(spark, scratch, capsys):  # R2
+    root = scratch("hotcopies")
+    rows = [("7", "2024-01-10 00:00:00", "hot")] * 3000 + [(str(i), "2024-01-10 00:00:00", "x") for i in range(100)]
+    spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(f"{root}/in")
+    stream = bs.read_arrivals(spark, f"{root}/in", SCHEMA, max_files_per_trigger=2)
+    deduped = bs.dedup_within_watermark(stream, "updated_at", "1 day", ["id", "updated_at"])
+    capsys.readouterr()
+    deduped.explain()
+    assert "MapInPandas" in capsys.readouterr().out
+    bs.run_available(deduped, f"{root}/out", f"{root}/ckpt")
+    got = spark.read.schema(SCHEMA).parquet(f"{root}/out")
+    assert got.count() == 100 and got.where("id = '7'").count() == 1
