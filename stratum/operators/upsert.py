@@ -95,7 +95,11 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], on_d
     Without ``guard``: ``target ▷ source`` (anti-join on the keys; the source
     keys are broadcast when counted small, so the target is not shuffled)
     ``∪ source``. With ``guard`` (a version column, Q16): a matched row is
-    replaced only when the source version is not older. ``group_source_by``
+    replaced only when the source version is not older; when the batch's
+    keys are counted small, only target rows with those keys are shuffled
+    against the batch, the others pass through a broadcast anti-join. The
+    target is expected to hold one row per non-null key, as every table
+    written here does unless created with ``on_duplicate='keep'``. ``group_source_by``
     rebalances the source rows on that column before the union (so a write
     partitioned by it gets a few files per value from them), leaving the
     target rows where they are.
@@ -107,14 +111,23 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], on_d
         return kept.unionByName(src if group_source_by is None else src.hint("rebalance", group_source_by))
     if guard not in target.columns:
         raise ValueError(f"guard column {guard!r} not in target")
-    tagged = target.withColumn("_from_source", F.lit(0)).unionByName(src.withColumn("_from_source", F.lit(1)))
+    src_keys = src.where(_key_not_null(keys)).select(*keys)
+    untouched, contenders = None, target
+    if at_most(src_keys, max_broadcast_rows):
+        # only target rows whose key is in the batch compete with it; the rest
+        # pass through a broadcast anti-join, so the target is not shuffled
+        batch_keys = F.broadcast(src_keys)
+        untouched = target.join(batch_keys, list(keys), "left_anti").select(*target.columns)
+        contenders = target.join(batch_keys, list(keys), "left_semi")
+    tagged = contenders.withColumn("_from_source", F.lit(0)).unionByName(src.withColumn("_from_source", F.lit(1)))
     present = tagged.where(_key_not_null(keys))
     # greatest (guard, from_source) wins: newer version, source on ties
     winners = dedup_latest(present.select(*keys, guard, "_from_source", *[c for c in target.columns
                                                                           if c not in keys and c != guard]),
                            keys, [guard, "_from_source"])
     nulls = tagged.where(~_key_not_null(keys))
-    return winners.unionByName(nulls).select(*target.columns)
+    merged = winners.unionByName(nulls).select(*target.columns)
+    return merged if untouched is None else untouched.unionByName(merged)
 
 
 def recover(spark, path: str) -> int:

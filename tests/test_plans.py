@@ -143,3 +143,11 @@ def test_heavy_keys_sketch_finds_a_third_and_nothing_uniform(spark):
     assert heavy_keys(df, "u") == []  # every key holds 0.1 %
     assert heavy_keys(df, "z") == []
     assert heavy_keys(df.select(F.struct("s").alias("t")), "t") == []  # type the sketch cannot take
+
+
+def test_guarded_small_upsert_batch_shuffles_only_matching_rows(spark, capsys):
+    target = read_table(spark, SMALL, "orders")
+    change = target.where("o_orderkey < 5").withColumn("o_orderstatus", F.lit("X"))
+    text = plan(merge_frames(target, change, ["o_orderkey"], guard="o_orderdate"), capsys)
+    assert "BroadcastHashJoin LeftAnti BuildRight" in text
+    assert "BroadcastHashJoin LeftSemi BuildRight" in text

@@ -105,3 +105,25 @@ def test_customer_fanout_matches_left_join_multiplicity(spark, sales, customers)
         m = sum(1 for ck in customers if k is not None and ck == k)
         expected += [(k, x)] * max(m, 1)
     assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+
+
+@SETTINGS
+@given(target=rows, source=rows, bound=st.sampled_from([0, 1000]))
+def test_guarded_merge_matches_brute_force(spark, target, source, bound):
+    # a keyed table: at most one row per non-null key (null keys may repeat, Q6)
+    seen, unique_target = set(), []
+    for r in target:
+        if r[0] is None or r[0] not in seen:
+            unique_target.append(r)
+            seen.add(r[0])
+    target = unique_target
+    got = merge_frames(spark.createDataFrame(target, COLS), spark.createDataFrame(source, COLS), ["k"],
+                       on_duplicate="keep", guard="ts", max_broadcast_rows=bound).collect()
+    best = {}
+    for side, data in ((0, target), (1, source)):
+        for k, ts, v in data:
+            if k is not None and (k not in best or (ts, side, v) > best[k]):
+                best[k] = (ts, side, v)
+    expected = [(k, ts, v) for k, (ts, _, v) in best.items()]
+    expected += [r for r in target + source if r[0] is None]
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
