@@ -320,11 +320,14 @@ def silver_to_gold_aggregate(spark: SparkSession, base: str) -> DataFrame:
 
 @register("bronze_landing", "SELECT *, 'orders.parquet' AS source_file_name FROM orders")
 def bronze_landing(spark: SparkSession, base: str) -> DataFrame:
-    """Source columns kept as they are, plus the source file."""
+    """Source columns kept as they are, plus the source file. The batch
+    is landed twice under one batch id (a retried job): it is there once."""
     path = scratch_path(spark, "bronze_orders")
-    landing.land_batch(spark, f"{base}/orders.parquet", path)
+    for _ in range(2):
+        landing.land_batch(spark, f"{base}/orders.parquet", path, batch_id="orders-0001")
     landed = spark.read.parquet(path)
-    return landed.withColumn("source_file_name", landing.file_name()).drop(landing.SOURCE_FILE, landing.INGESTED_AT)
+    return landed.withColumn("source_file_name", landing.file_name()).drop(
+        landing.SOURCE_FILE, landing.INGESTED_AT, landing.LANDING_BATCH)
 
 
 # ---------------------------------------------------------------- streaming

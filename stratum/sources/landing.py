@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingested_at"
+LANDING_BATCH = "_landing_batch"
 
 
 def with_landing_columns(df: DataFrame, at: Column | None = None) -> DataFrame:
@@ -21,13 +22,27 @@ def with_landing_columns(df: DataFrame, at: Column | None = None) -> DataFrame:
 
 def land_batch(spark: SparkSession, source_path: str, bronze_path: str, source_format: str = "parquet",
                bronze_format: str = "parquet", options: dict[str, str] | None = None,
-               at: Column | None = None) -> None:
+               at: Column | None = None, batch_id: str | None = None) -> None:
     """Append one batch of source files to the Bronze table; no casting, no
-    dedup (Bronze keeps what arrived)."""
+    dedup (Bronze keeps what arrived).
+
+    With ``batch_id`` the batch lands in its own partition
+    (``_landing_batch=<id>``) through a dynamic partition overwrite, so
+    running the same batch again – a retried job, a replayed schedule –
+    replaces it instead of appending it twice.
+    """
     reader = spark.read.format(source_format)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    with_landing_columns(reader.load(source_path), at).write.mode("append").format(bronze_format).save(bronze_path)
+    landed = with_landing_columns(reader.load(source_path), at)
+    if batch_id is None:
+        landed.write.mode("append").format(bronze_format).save(bronze_path)
+        return
+    (
+        landed.withColumn(LANDING_BATCH, F.lit(batch_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(LANDING_BATCH).format(bronze_format).save(bronze_path)
+    )
 
 
 def file_name(col: str = SOURCE_FILE) -> Column:

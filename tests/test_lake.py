@@ -41,6 +41,16 @@ def test_landing_appends_with_source_file(spark, scratch):  # R1
     assert set(landed.columns) >= {"r_regionkey", "r_name", landing.SOURCE_FILE, landing.INGESTED_AT}
 
 
+
+def test_landing_a_batch_again_replaces_it(spark, scratch):  # R1, retried job
+    path = scratch("bronze_batches")
+    src = f"{SMALL}/region.parquet"
+    landing.land_batch(spark, src, path, batch_id="b1")
+    landing.land_batch(spark, src, path, batch_id="b2")
+    landing.land_batch(spark, src, path, batch_id="b1")  # the retry
+    counts = {r[0]: r[1] for r in spark.read.parquet(path).groupBy(landing.LANDING_BATCH).count().collect()}
+    assert counts == {"b1": 5, "b2": 5}
+
 def test_upsert_reports_rows_in_touched_partitions(spark, scratch):
     path = scratch("u")
     up.upsert_table(spark.range(20).withColumn("v", F.lit(0)), path, ["id"], buckets=4)
