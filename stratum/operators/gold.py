@@ -66,12 +66,13 @@ def build_sales_fact(
     ``carry`` names extra sales columns passed through (e.g. the source file).
     """
     fact = sales.select(*FACT_KEYS, *carry)
+    probe = fact  # product keys before the fan-out, which only repeats rows
     if customers is not None:
         fact = customer_fanout(fact, customers.select("customer_id"), max_broadcast_rows)
     # broadcast when counted small; otherwise a shuffle join with hot products
     # salted, so a product holding a third of the sales is not one task
     fact = skew_join(fact, products.select("product_id", "standard_cost"), "product_id", "left",
-                     max_broadcast_rows)
+                     max_broadcast_rows, probe=probe)
     return fact.select(
         *FACT_KEYS,
         round2(F.col("quantity") * F.col("unit_price")).alias("total_sales_amount"),

@@ -84,6 +84,7 @@ def skew_join(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     salts: int = 32,
     min_share: float = 0.01,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large table with a dimension on one key, safe for hot keys.
 
@@ -96,12 +97,16 @@ def skew_join(
       salt also keeps a following aggregate from inheriting the join's
       partitioning, so the aggregate shuffles (after a map-side partial step)
       instead of running a hot key's whole group in one task.
+
+    ``probe`` (default ``big``) is the frame whose ``key`` column the heavy
+    keys are estimated from – e.g. the stored input before a join that only
+    repeats rows, so the estimate does not re-run that join.
     """
     if how not in ("left", "inner"):
         raise ValueError("skew_join supports left and inner joins")
     if at_most(dim, max_broadcast_rows):
         return big.join(F.broadcast(dim), key, how)
-    hot = heavy_keys(big, key, min_share)
+    hot = heavy_keys(probe if probe is not None else big, key, min_share)
     if not hot:
         return big.join(dim, key, how)
     is_hot = F.col(key).isin(hot)
