@@ -118,5 +118,6 @@ def coarsen_fact(fact: DataFrame, stores: DataFrame, brands: DataFrame,
     """Re-key a fact to a coarser store / product grain through mapping
     tables ``(store_id, store_nation)`` and ``(product_id, product_brand)``."""
     out = skew_join(fact, stores, "store_id", "left", max_broadcast_rows)
-    return skew_join(out, brands, "product_id", "left", max_broadcast_rows)
+    # the first join only adds a column: estimate hot products on the fact itself
+    return skew_join(out, brands, "product_id", "left", max_broadcast_rows, probe=fact)
 
