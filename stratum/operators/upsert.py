@@ -26,6 +26,7 @@ publishing the same content twice is harmless. One writer per table.
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -36,13 +37,13 @@ from stratum.operators.conform import dedup_latest
 from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, join_small
 from stratum.session import checkpoint_root
 from stratum.sources import fs
-from stratum.sources.lake import table_exists
 
 log = logging.getLogger(__name__)
 
 BUCKET = "_bucket"
 STAGING = "_staging"
-BUCKET_MARKER = "_bucket_count"  # hidden from readers (leading underscore, no '=')
+LAYOUT_MARKER = "_upsert_layout"  # 'buckets=<n>' or 'layout'; hidden from readers (leading '_', no '=')
+_PATH_SAFE = re.compile(r"[A-Za-z0-9_.+-]+")
 DEFAULT_BUCKETS = 64
 
 
@@ -157,21 +158,59 @@ def _publish(spark, staging: str, path: str) -> None:
     )
 
 
-def _bucket_count(spark, path: str, buckets: int | None) -> int:
-    """The table's bucket count, kept in ``_bucket_count`` (written right
+def _read_layout(spark, path: str) -> str | None:
+    return fs.read_text(spark, f"{path}/{LAYOUT_MARKER}")
+
+
+def _write_layout(spark, path: str, buckets: int | None) -> None:
+    fs.write_text(spark, f"{path}/{LAYOUT_MARKER}", "layout" if buckets is None else f"buckets={buckets}")
+
+
+def _bucket_count(spark, path: str, buckets: int | None, recorded: str | None) -> int:
+    """The table's bucket count, kept in the layout marker (written right
     after the initial load) and checked on every later call: another count
     would send a key to another folder and keep its old version alive. A
     table without the marker (a crash between the two writes) records the
     count it is first used with."""
-    marker = f"{path}/{BUCKET_MARKER}"
-    recorded = fs.read_text(spark, marker)
+    if recorded == "layout":
+        raise ValueError("the table is partitioned by a layout expression; pass layout=")
     if recorded is None:
         n = buckets or DEFAULT_BUCKETS
-        fs.write_text(spark, marker, str(n))
+        _write_layout(spark, path, n)
         return n
-    if buckets is not None and buckets != int(recorded):
-        raise ValueError(f"table at {path} has {recorded} buckets, not {buckets}")
-    return int(recorded)
+    have = int(recorded.split("=", 1)[1])
+    if buckets is not None and buckets != have:
+        raise ValueError(f"table at {path} has {have} buckets, not {buckets}")
+    return have
+
+
+def _partition_values(spark, path: str) -> set[str]:
+    """Partition folder values of the table: one top-level listing."""
+    present = set()
+    for folder in fs.list_dirs(spark, path):
+        name = folder.rsplit("/", 1)[-1]
+        if name.startswith(f"{BUCKET}="):
+            present.add(name.split("=", 1)[1])
+    return present
+
+
+def _touched_partitions(spark, path: str, touched: list, present: set[str]) -> DataFrame:
+    """The table restricted to the touched partitions.
+
+    Reads only the touched partition folders (``present`` comes from one
+    top-level listing), so an upsert never lists every file of a large
+    table. Partition values that are not plain names fall back to a
+    filtered read of the whole table.
+    """
+    values = [str(v) for v in touched]
+    if present and all(_PATH_SAFE.fullmatch(v) for v in values):
+        reader = spark.read.option("basePath", path)
+        folders = [f"{path}/{BUCKET}={v}" for v in values if v in present]
+        if folders:
+            return reader.parquet(*folders)
+        # nothing touched exists yet: the columns of one partition, no rows
+        return reader.parquet(f"{path}/{BUCKET}={min(present)}").where(F.lit(False))
+    return spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
 
 
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None,
@@ -188,6 +227,10 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
     then rewrites only recent partitions. It must be computed from columns
     that never change for a key, so every version of a key lands in the same
     partition (otherwise an old version would survive in its old partition).
+
+    A call reads the marker and the table's top-level folder list (a table
+    without partition folders counts as absent), then only the partitions
+    the batch touches: the cost follows the batch, not the table.
     """
     spark = source.sparkSession
     if fmt == "delta":
@@ -195,7 +238,9 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
     if fmt != "parquet":
         raise ValueError("staged upsert supports parquet (or delta when installed)")
     recovered = recover(spark, path)
-    if not table_exists(spark, path, fmt):
+    recorded = _read_layout(spark, path)
+    present = _partition_values(spark, path)
+    if not present:  # no table yet, or one created from an empty batch
         n = buckets or DEFAULT_BUCKETS
         part = layout if layout is not None else bucket_of(keys, n)
         src = prepare_source(source, source.columns, keys, on_duplicate, order_by)
@@ -204,21 +249,27 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
         # a value holding a large share over several tasks)
         src.withColumn(BUCKET, part).hint("rebalance", BUCKET) \
             .write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-        if layout is None:
-            fs.write_text(spark, f"{path}/{BUCKET_MARKER}", str(n))
+        _write_layout(spark, path, None if layout is not None else n)
         return {"mode": "initial", "buckets_touched": None, "recovered": recovered}
-    part = layout if layout is not None else bucket_of(keys, _bucket_count(spark, path, buckets))
-    current = spark.read.parquet(path)
-    columns = [c for c in current.columns if c != BUCKET]
-    # the prepared batch feeds two actions (touched partitions, merge): compute
-    # it once and cut its lineage in the shared checkpoint folder
+    if layout is not None:
+        if recorded is not None and recorded != "layout":
+            raise ValueError("the table is bucketed by key hash; do not pass layout=")
+        if recorded is None:
+            _write_layout(spark, path, None)
+        part = layout
+    else:
+        part = bucket_of(keys, _bucket_count(spark, path, buckets, recorded))
+    # the batch feeds several actions (touched partitions, duplicate check,
+    # merge): compute it once and cut its lineage in the shared checkpoint folder
     checkpoint_root(spark)
-    src = prepare_source(source, columns, keys, on_duplicate, order_by).withColumn(BUCKET, part).checkpoint()
+    tagged = source.withColumn(BUCKET, part).checkpoint()
     # one value per touched partition: bounded by the table's partition count
-    touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
+    touched = sorted(r[0] for r in tagged.select(BUCKET).distinct().collect())
     if not touched:
         return {"mode": "noop", "buckets_touched": 0, "recovered": recovered}
-    target = current.where(F.col(BUCKET).isin(touched))  # partition pruning
+    target = _touched_partitions(spark, path, touched, present)
+    columns = [c for c in target.columns if c != BUCKET]
+    src = prepare_source(tagged, [*columns, BUCKET], keys, on_duplicate, order_by)
     merged = merge_frames(target, src, keys, on_duplicate="keep", guard=guard, group_source_by=BUCKET)
     staging = f"{path}/{STAGING}/{uuid.uuid4().hex}"
     # rows in the rewritten partitions, counted while staging (no extra pass)

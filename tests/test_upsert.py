@@ -101,3 +101,16 @@ def test_bucket_count_is_recorded_and_checked(spark, scratch):
     assert info["buckets_touched"] == 1
     got = spark.read.parquet(path)
     assert got.count() == 200 and got.where("id = 1").select("v").first()[0] == "b"
+
+
+def test_upsert_reads_only_touched_partition_folders(spark, scratch):
+    path = scratch("touched")
+    up.upsert_table(spark.range(400).select("id", F.lit("a").alias("v"), F.lit(1).alias("ts")), path, ["id"],
+                    buckets=16)
+    present = up._partition_values(spark, path)
+    assert len(present) == 16
+    target = up._touched_partitions(spark, path, [3, 5], present)
+    folders = {f.rsplit("/", 2)[-2] for f in target.inputFiles()}
+    assert folders == {"_bucket=3", "_bucket=5"}
+    assert target.count() == spark.read.parquet(path).where("_bucket in (3, 5)").count()
+    assert up._touched_partitions(spark, path, [99], present).count() == 0  # not there yet: no rows, same columns
