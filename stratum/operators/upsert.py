@@ -247,8 +247,8 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
         # rows grouped by partition value before the write: a few well-sized
         # files per value instead of one file per task and value (AQE splits
         # a value holding a large share over several tasks)
-        src.withColumn(BUCKET, part).hint("rebalance", BUCKET) \
-            .write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        src.withColumn(BUCKET, part).hint("rebalance", BUCKET).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
         _write_layout(spark, path, None if layout is not None else n)
         return {"mode": "initial", "buckets_touched": None, "recovered": recovered}
     if layout is not None:

@@ -125,6 +125,10 @@ def write_table(
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
     writer = df.write.format(fmt).mode(mode)
+    if mode == "overwrite" and partition_cols:
+        # a full overwrite whatever the session says: a cluster-wide 'dynamic'
+        # mode would keep old partitions missing from the new data
+        writer = writer.option("partitionOverwriteMode", "static")
     if fmt == "delta" and merge_schema:
         writer = writer.option("mergeSchema", "true")
     if partition_cols:

@@ -58,3 +58,17 @@ def test_upsert_reports_rows_in_touched_partitions(spark, scratch):
     touched = spark.read.parquet(path).where(F.col(up.BUCKET).isin(
         [r[0] for r in spark.range(3).select(up.bucket_of(["id"], 4)).distinct().collect()])).count()
     assert info["rows_in_touched"] == touched
+
+
+def test_gold_overwrite_is_full_even_with_dynamic_session_mode(spark, scratch):  # S4
+    path = scratch("full_overwrite")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(spark.createDataFrame([("20240101", 1), ("20240102", 2)], "date_key string, v int"), path,
+                    partition_cols=["date_key"])
+        write_table(spark.createDataFrame([("20240103", 3)], "date_key string, v int"), path,
+                    partition_cols=["date_key"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert [r.v for r in spark.read.parquet(path).collect()] == [3]
