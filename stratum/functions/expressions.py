@@ -25,13 +25,18 @@ def cast_column(name: str, data_type: DataType, mode: str = "permissive") -> Col
 
     ``permissive`` gives null for a value that does not parse (``try_cast``),
     which is what a non-ANSI ``cast`` did; ``strict`` fails the query on the
-    first bad value (ANSI ``cast``). The session's ANSI flag is never touched.
+    first bad value, as an ANSI ``cast`` does, whatever the session's ANSI
+    flag (which is never touched).
     """
     col = F.col(name)
     if mode == "permissive":
         return col.try_cast(data_type).alias(name)
     if mode == "strict":
-        return col.cast(data_type).alias(name)
+        # independent of the session's ANSI flag (a non-ANSI cast gives null)
+        parsed = col.try_cast(data_type)
+        bad = F.concat(F.lit(f"cannot cast {name} value '"), col.cast("string"),
+                       F.lit(f"' to {data_type.simpleString()}"))
+        return F.when(col.isNotNull() & parsed.isNull(), F.raise_error(bad)).otherwise(parsed).alias(name)
     raise ValueError(f"unknown cast mode {mode!r}; use 'permissive' or 'strict'")
 
 

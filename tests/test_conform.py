@@ -20,6 +20,19 @@ def test_strict_cast_fails_on_bad_values(spark):  # Q1
         enforce_schema(df, schema(), mode="strict").collect()
 
 
+
+def test_strict_cast_fails_without_ansi_too(spark):  # Q1, a cluster with ANSI off
+    df = spark.createDataFrame([("1", "12x")], ["id", "value"])
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="cannot cast value"):
+            enforce_schema(df, schema(), mode="strict").collect()
+        good = spark.createDataFrame([("1", "7"), ("2", None)], ["id", "value"])
+        assert sorted(r["value"] or 0 for r in enforce_schema(good, schema(), mode="strict").collect()) == [0, 7]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
 def test_nullability_is_not_enforced(spark):  # Q2
     df = spark.createDataFrame([(None, "1")], "id string, value string")
     out = enforce_schema(df, schema())
