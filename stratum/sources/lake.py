@@ -96,6 +96,25 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         return False
 
 
+def existing_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> StructType | None:
+    """Schema of the table at ``path``, or None when there is none.
+
+    For a partitioned table the schema is read from one partition folder
+    (``basePath`` keeps the partition columns), so a large table is not
+    listed file by file just to learn its columns; Spark's default schema
+    read takes a single file's footer anyway.
+    """
+    if fmt == "delta" or not fs.exists(spark, path):
+        return spark.read.format(fmt).load(path).schema if table_exists(spark, path, fmt) else None
+    partitions = [d for d in fs.list_dirs(spark, path) if "=" in d.rsplit("/", 1)[-1]]
+    try:
+        if partitions:
+            return spark.read.format(fmt).option("basePath", path).load(partitions[0]).schema
+        return spark.read.format(fmt).load(path).schema
+    except AnalysisException:  # a folder without readable data files
+        return None
+
+
 def align_to_existing(df: DataFrame, existing: StructType) -> DataFrame:
     """Schema merge on overwrite (Q8): keep every column of the table being
     replaced, as null where the new data lacks it; new columns are added."""
@@ -120,8 +139,9 @@ def write_table(
     one file per task (or one task holding a third of the data).
     """
     spark = df.sparkSession
-    if merge_schema and mode == "overwrite" and fmt != "delta" and table_exists(spark, path, fmt):
-        df = align_to_existing(df, spark.read.format(fmt).load(path).schema)
+    existing = existing_schema(spark, path, fmt) if merge_schema and mode == "overwrite" and fmt != "delta" else None
+    if existing is not None:
+        df = align_to_existing(df, existing)
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
     writer = df.write.format(fmt).mode(mode)

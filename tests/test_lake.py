@@ -72,3 +72,17 @@ def test_gold_overwrite_is_full_even_with_dynamic_session_mode(spark, scratch):
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
     assert [r.v for r in spark.read.parquet(path).collect()] == [3]
+
+
+def test_partitioned_overwrite_keeps_old_columns_from_one_folder(spark, scratch):  # Q8, S7
+    from stratum.sources.lake import existing_schema
+
+    path = scratch("merge_partitioned")
+    write_table(spark.createDataFrame([("20240101", 1, "x"), ("20240102", 2, "y")], "date_key string, v int, old string"),
+                path, partition_cols=["date_key"])
+    assert set(existing_schema(spark, path).fieldNames()) == {"v", "old", "date_key"}
+    write_table(spark.createDataFrame([("20240103", 3)], "date_key string, v int"), path, partition_cols=["date_key"])
+    got = spark.read.parquet(path)
+    assert sorted(got.columns) == ["date_key", "old", "v"]
+    assert [(r.v, r.old) for r in got.collect()] == [(3, None)]
+    assert existing_schema(spark, scratch("absent")) is None
