@@ -32,6 +32,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from stratum.operators.conform import dedup_latest
 from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, join_small
@@ -149,8 +150,13 @@ def recover(spark, path: str) -> int:
 
 
 def _publish(spark, staging: str, path: str) -> None:
+    staged = spark.read.parquet(staging)
+    if isinstance(staged.schema[BUCKET].dataType, NullType):
+        # only the null partition was staged: its inferred type is void,
+        # which cannot be written; null stays the default partition
+        staged = staged.withColumn(BUCKET, F.col(BUCKET).cast("string"))
     (
-        spark.read.parquet(staging)
+        staged
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
@@ -199,18 +205,24 @@ def _touched_partitions(spark, path: str, touched: list, present: set[str]) -> D
 
     Reads only the touched partition folders (``present`` comes from one
     top-level listing), so an upsert never lists every file of a large
-    table. Partition values that are not plain names fall back to a
-    filtered read of the whole table.
+    table. Partition values that are not plain names, or null, fall back to
+    a filtered read of the whole table.
     """
-    values = [str(v) for v in touched]
-    if present and all(_PATH_SAFE.fullmatch(v) for v in values):
+    known = [v for v in touched if v is not None]
+    values = [str(v) for v in known]
+    if present and len(known) == len(touched) and all(_PATH_SAFE.fullmatch(v) for v in values):
         reader = spark.read.option("basePath", path)
         folders = [f"{path}/{BUCKET}={v}" for v in values if v in present]
         if folders:
             return reader.parquet(*folders)
         # nothing touched exists yet: the columns of one partition, no rows
         return reader.parquet(f"{path}/{BUCKET}={min(present)}").where(F.lit(False))
-    return spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
+    # a null layout value is stored as the default partition: match it with
+    # IS NULL (``isin`` never matches null, and its rows would be lost on publish)
+    wanted = F.col(BUCKET).isin(known)
+    if len(known) < len(touched):
+        wanted = wanted | F.col(BUCKET).isNull()
+    return spark.read.parquet(path).where(wanted)
 
 
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None,

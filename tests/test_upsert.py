@@ -114,3 +114,13 @@ def test_upsert_reads_only_touched_partition_folders(spark, scratch):
     assert folders == {"_bucket=3", "_bucket=5"}
     assert target.count() == spark.read.parquet(path).where("_bucket in (3, 5)").count()
     assert up._touched_partitions(spark, path, [99], present).count() == 0  # not there yet: no rows, same columns
+
+
+def test_null_layout_partition_keeps_its_rows(spark, scratch):
+    path = scratch("null_layout")
+    layout = F.col("ts").cast("string")  # null ts -> the default partition
+    first = frame(spark, [(1, "a", None), (2, "b", None), (3, "c", 5)])
+    up.upsert_table(first, path, ["id"], layout=layout)
+    up.upsert_table(frame(spark, [(1, "A", None), (4, "d", None)]), path, ["id"], layout=layout)
+    got = sorted(map(tuple, spark.read.parquet(path).select("id", "v").collect()))
+    assert got == [(1, "A"), (2, "b"), (3, "c"), (4, "d")]
