@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import mixing, quality, url_rules
+from stratum.llm import bpe, mixing, quality, secrets, url_rules
 from stratum.llm.text import LOWER, UPPER
 from stratum.sources.tables import read_table
 
@@ -50,6 +50,11 @@ def op3_url_filters(spark: SparkSession, base: str) -> DataFrame:
     return url_rules.apply_url_rules(read_table(spark, base, "pages"), rules)
 
 
+@register("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, base: str) -> DataFrame:
+    return secrets.scan(read_table(spark, base, "documents"))
+
+
 _MEASURES_SQL = f"""
 w AS (SELECT rn, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM
       (SELECT rn, list_filter(regexp_split_to_array(t, '{SPACE_RE}'), lambda x: x <> '') AS ws FROM d)),
@@ -83,6 +88,18 @@ def op7_quality_rules(spark: SparkSession, base: str) -> DataFrame:
                                       "n_repeat_words", "base_failed", "kept")
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary the query encodes with; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op8_bpe_round_trip")
+def op8_bpe_round_trip(spark: SparkSession, base: str) -> DataFrame:
+    return bpe.encode_digests(read_table(spark, base, "documents"), tokenizer_path())
+
+
 _OP10_SQL = f"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD_RE}')), 0) AS BIGINT) AS size,
     CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS draw FROM documents),

@@ -1,0 +1,92 @@
+import base64
+import hashlib
+import json
+
+from stratum.llm import secrets
+
+
+def der(tag, *body):
+    b = b"".join(body)
+    n = len(b)
+    size = bytes([n]) if n < 128 else bytes([0x80 | (n.bit_length() + 7) // 8]) + n.to_bytes((n.bit_length() + 7) // 8, "big")
+    return bytes([tag]) + size + b
+
+
+def integer(n):
+    return der(2, n.to_bytes(n.bit_length() // 8 + 1, "big"))
+
+
+RSA = der(0x30, integer(0), *[integer((1 << 120) + i) for i in range(8)])
+OID = der(6, b"\x2b\x65\x70")
+PKCS8 = der(0x30, integer(0), der(0x30, OID), der(4, der(4, bytes(range(32)))))
+PUBLIC = der(0x30, der(0x30, OID), der(3, b"\0" + bytes(64)))
+SEC1 = der(0x30, integer(1), der(4, bytes(range(32))), der(0xA0, OID))
+SEALED = der(0x30, der(0x30, OID, der(4, b"salt")), der(4, bytes(48)))
+
+
+def field(b):
+    return len(b).to_bytes(4, "big") + b
+
+
+OPENSSH = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + b"\0\0\0\1" + field(b"p" * 51) + field(b"s" * 136)
+
+
+def b64(b):
+    return base64.b64encode(b).decode()
+
+
+def b64url(b):
+    return base64.urlsafe_b64encode(b).decode().rstrip("=")
+
+
+JWT = ".".join([b64url(json.dumps({"alg": "HS256", "typ": "JWT"}).encode()), b64url(b'{"sub":"1"}'), b64url(bytes(range(32)))])
+
+
+def kinds(text):
+    return [s.split(":")[0] for s in secrets.joined(secrets.confirmed_spans(text)).split(",") if s]
+
+
+def test_confirmed_keys_and_their_spans():
+    for raw in (RSA, PKCS8, SEC1, SEALED, OPENSSH):
+        text = f"é key: {b64(raw)} end"
+        assert secrets.confirmed_spans(text) == [("key", 7, 7 + len(b64(raw)))]
+        assert kinds(f"x {raw.hex()} y") == ["hexkey"]
+        assert kinds(f"k={b64(raw)}") == ["key"]
+    pem = f"-----BEGIN PRIVATE KEY-----\n{b64(PKCS8)}\n-----END PRIVATE KEY-----"
+    assert ("pem", 2, 2 + len(pem)) in secrets.confirmed_spans("a " + pem + " b")
+    assert kinds("v: " + b64(pem.encode())) == ["key"]
+    assert secrets.confirmed_spans(f"t={JWT}.") == [("jwt", 2, 2 + len(JWT))]
+
+
+def test_lookalikes_are_not_reported():
+    broken = bytearray(RSA)
+    broken[-20] ^= 0x80  # may still parse; cutting a byte never does
+    for raw in (PUBLIC, RSA[:-1], RSA + b"\0", OPENSSH[:-9], bytes(64), b"\x30" + bytes(63)):
+        assert kinds(f"x {b64(raw)} y") == []
+        assert kinds(f"x {raw.hex()} y") == []
+    for text in ("eyJ4IjoxfQ.eyJ4IjoxfQ.AAAAAAAAAAAAAAAAAAAAAAAA", "a.b.c", "-----BEGIN PRIVATE KEY-----",
+                 "M" * 80, "eyJ" * 500, "." * 200, "=" * 100, "-----BEGIN PRIVATE KEY-----\nnope\n-----END PRIVATE KEY-----",
+                 JWT.replace(JWT.split(".")[0], b64url(b'{"alg":"none"}'))):
+        assert kinds(text) == []
+
+
+def test_base_patterns():
+    got = secrets.base_spans('Token : "abcdefgh" password=short api-key=x api_key=12345678 AKIA123456789012 AKIA1 ' + "0" * 32 + " " + "f" * 31)
+    assert [k for k, _, _ in got] == ["assign", "assign", "access", "hex"]
+    # a match that is too short is dropped whole, not searched again from inside
+    assert secrets.base_spans("token=secret: abcdefgh") == []
+    assert secrets.base_spans("ſecret=abcdefgh") == []
+    both = "token=" + "ab" * 20
+    assert secrets.joined(secrets.base_spans(both)) == f"assign:0:46,hex:6:46"
+
+
+def test_rows(spark):
+    rows = [(1, "token=abcdefgh x", 5), (None, None, 6), (2, "", 7), (2, "", 7), (3, "clean " * 5000, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans int")
+    out = {(r["doc_id"], r["n_assign"]): r for r in secrets.scan(df).collect()}
+    assert out[(1, 1)]["base_sha256"] == hashlib.sha256(b"assign:0:14").hexdigest()
+    assert out[(None, 0)]["base_sha256"] == hashlib.sha256(b"").hexdigest() and out[(3, 0)]["spans"] == ""
+    assert secrets.scan(df).count() == 5 and secrets.scan(df.limit(0)).count() == 0
+    masked = sorted(secrets.redact_rows(df).collect(), key=str)
+    assert {r["text"] for r in masked} == {"[SECRET] x", None, "", "clean " * 5000}
+    assert secrets.redact("abcdef", [("hex", 1, 3), ("jwt", 2, 4)], "#") == "a#ef"
