@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, mixing, quality, secrets, url_rules
+from stratum.llm import bpe, mixing, quality, secrets, substring_dedup, url_rules
 from stratum.llm.text import LOWER, UPPER
 from stratum.sources.tables import read_table
 
@@ -29,6 +29,25 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return deco
 
 
+_OP2_SQL = f"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE_RE}'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS i, ws FROM w WHERE len(ws) >= 20),
+h AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS h FROM s),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS rn FROM h),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM r WHERE rn > 1),
+k AS (SELECT doc_id, list(p) AS ps FROM g GROUP BY doc_id),
+e AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+t AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.p) AS kept FROM e LEFT JOIN g ON e.doc_id = g.doc_id AND e.p = g.p
+      WHERE g.p IS NULL GROUP BY e.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+@register("op2_substring_dedup", _OP2_SQL)
+def op2_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
+    return substring_dedup.dedup(read_table(spark, base, "documents")).drop("kept_text")
+
+
 #: Fixed values of the query: (verdict, host, path).
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
