@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, mixing, quality, secrets, substring_dedup, url_rules
+from stratum.llm import bpe, mixing, quality, secrets, substring_dedup, toxicity, url_rules
 from stratum.llm.text import LOWER, UPPER
+from stratum.session import checkpoint_root
 from stratum.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +75,15 @@ def op4_secret_scan(spark: SparkSession, base: str) -> DataFrame:
     return secrets.scan(read_table(spark, base, "documents"))
 
 
+@register("op5_toxicity")
+def op5_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    checkpoint_root(spark)
+    docs = read_table(spark, base, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, base, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 _MEASURES_SQL = f"""
 w AS (SELECT rn, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM
       (SELECT rn, list_filter(regexp_split_to_array(t, '{SPACE_RE}'), lambda x: x <> '') AS ws FROM d)),
