@@ -24,7 +24,7 @@ WINDOW = 20
 #: Cells of a sketch row. Two rows of one bit a cell reach every task: 2 * 2**28 / 8 = 64 MB, whatever the input.
 LOG2_CELLS = 28
 LOG2_BLOCK = 22
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Multipliers that pick a window's cell in each sketch row.
 ROW_KEYS = (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F)
 
@@ -133,6 +133,10 @@ def packed_runs(doc: np.ndarray, pos: np.ndarray, n_docs: int) -> Iterator[tuple
         yield int(bucket[by[lo]]), at.pack(d[own], s[own], n[own])
 
 
+def merge_packed(parts: list[bytes]) -> bytes:
+    return at.pack(*(np.concatenate(x) for x in zip(*[at.unpack(d, 3) for d in parts], strict=True)))
+
+
 def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, buckets: int | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept_text) of every row.
@@ -149,11 +153,13 @@ def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, bu
     raises the bound. Candidates are first reduced within a chunk of a task (a window that a third of all
     rows hold leaves one place a chunk, the others are known to go), then grouped in buckets of the
     key's hash, which no frequent window can make uneven. Removed places travel as runs and meet the texts
-    in buckets of doc_id; ``buckets`` defaults to eight for each shuffle partition.
+    in buckets of doc_id. ``buckets`` (default: the shuffle partitions) is the number of document buckets, one group of
+    texts each; there are twice as many key buckets, so packed rows between the two are no more than a shuffle has blocks.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = at.next_prime(buckets or 8 * partitions)
+    n = at.next_prime(buckets or partitions)
+    n_keys = 2 * n
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     placed = slim.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
 
@@ -185,7 +191,7 @@ def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, bu
             order, first = split_first(h1, h2, doc, pos)
             gone = order[~first]
             here = order[first]  # sorted by h1, so by bucket
-            bucket = (at.mix(h1[here]) % np.uint64(n)).astype(np.int64)
+            bucket = (at.mix(h1[here]) % np.uint64(n_keys)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             keys, data, kind = [], [], []
             for lo, hi in at.groups(bucket[by]):
@@ -194,7 +200,7 @@ def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, bu
                 data.append(at.pack(h1[own].view(np.int64), h2[own].view(np.int64), doc[own], pos[own]))
                 kind.append(0)
             for k, d in packed_runs(doc[gone], pos[gone], n):
-                keys.append(k)
+                keys.append(k)  # any key bucket will do; it passes them on
                 data.append(d)
                 kind.append(1)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(kind, pa.int32()),
@@ -203,7 +209,8 @@ def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, bu
     def group(table: pa.Table) -> pa.Table:
         kind = table.column("kind").to_numpy()
         data = table.column("data").to_pylist()
-        out = [(table.column("bucket")[0].as_py(), d) for k, d in zip(kind, data, strict=True) if k == 1]
+        passed = [d for k, d in zip(kind, data, strict=True) if k == 1]
+        out = [(table.column("bucket")[0].as_py(), merge_packed(passed))] if passed else []
         parts = [at.unpack(d, 4) for k, d in zip(kind, data, strict=True) if k == 0]
         if parts:
             h1, h2, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
