@@ -96,34 +96,53 @@ def plan_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
     return plan.join(stop, plan["source"].eqNullSafe(stop["s_source"]), "left").drop("s_source", "below")
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
-        seed: str = SEED, bins: int = BINS, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source") -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies, source) of every row.
-
-    ``size`` counts words (null text: 0). ``copies`` is the whole repetitions of
-    the source plus one for documents drawn for the last part of an epoch;
-    ``taken`` is size times copies. A source's taken words differ from its target
-    by at most half a document (rows that share a doc_id and size share one draw and
+def with_copies(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
+                seed: str = SEED, bins: int = BINS, id_col: str = "doc_id", text_col: str = "text",
+                source_col: str = "source", size: Column | None = None) -> DataFrame:
+    """``docs`` with mix_size, mix_source_size, mix_target and mix_copies for every row (other columns pass through).
+
+    ``mix_size`` counts words (null text: 0) unless ``size`` gives it. ``mix_copies`` is the whole repetitions of
+    the source plus one for documents drawn for the last part of an epoch. A source's words times copies
+    differ from its target by at most half a document (rows that share a doc_id and size share one draw and
     go together). A source without words has target 0 and takes nothing.
-    Empty tables give no rows; a null source is a source of its own, last in order.
+    Empty tables give no rows; a null source is a source of its own, last in order; null ids share one draw.
 
-    Sizes are computed once and checkpointed (narrow rows in the shared folder);
-    the plan has one row per source and is broadcast only when counted small.
+    The plan is made from narrow rows (id, source, size, draw), checkpointed in the shared folder; it has one row per
+    source and is broadcast only when counted small, so the rows of a hot source stay where they are.
     """
     spark = docs.sparkSession
     checkpoint_root(spark)
-    narrow = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
-        draw(F.col(id_col), seed).alias("draw")).checkpoint()
-    plan = plan_mix(narrow, weights, share, max_epochs, seed, bins).withColumnRenamed("source", "p_source").checkpoint()
+    own = docs.withColumns({"mix_size": n_words(F.col(text_col)) if size is None else size, "mix_draw": draw(F.col(id_col), seed)})
+    narrow = own.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col("mix_size").alias("size"),
+                        F.col("mix_draw").alias("draw")).checkpoint()
+    plan = plan_mix(narrow, weights, share, max_epochs, seed, bins).select(
+        F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
+        F.col("whole").alias("mix_whole"), F.col("stop_bin").alias("mix_stop_bin"), F.col("last").alias("mix_last")).checkpoint()
     small = F.broadcast(plan) if at_most(plan, DEFAULT_BROADCAST_ROWS) else plan
-    out = narrow.join(small, narrow["source"].eqNullSafe(F.col("p_source")), "left")
-    width = (1 << 52) // bins
-    b = F.floor(F.col("draw") / F.lit(width)).cast("long")
-    key = F.struct("draw", "doc_id", "size")
-    drawn = (F.coalesce(b < F.col("stop_bin"), F.lit(False))
-             | (F.coalesce(b == F.col("stop_bin"), F.lit(False)) & F.coalesce(key <= F.col("last"), F.lit(False))))
-    copies = (F.col("whole") + drawn.cast("long"))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"),
-                      copies.alias("copies"), "source")
+    out = own.join(small, own[source_col].eqNullSafe(F.col("mix_source")), "left")
+    b = F.floor(F.col("mix_draw") / F.lit((1 << 52) // bins)).cast("long")
+    key = F.struct(F.col("mix_draw").alias("draw"), F.col(id_col).alias("doc_id"), F.col("mix_size").alias("size"))
+    drawn = (F.coalesce(b < F.col("mix_stop_bin"), F.lit(False))
+             | (F.coalesce(b == F.col("mix_stop_bin"), F.lit(False)) & F.coalesce(key <= F.col("mix_last"), F.lit(False))))
+    return out.withColumn("mix_copies", F.col("mix_whole") + drawn.cast("long")).drop(
+        "mix_source", "mix_whole", "mix_stop_bin", "mix_last", "mix_draw")
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of every row; ``taken`` is size times copies. Options and cases: ``with_copies``."""
+    slim = docs.select(F.col(options.pop("id_col", "doc_id")).alias("doc_id"), F.col(options.pop("text_col", "text")).alias("text"),
+                       F.col(options.pop("source_col", "source")).alias("source"))
+    spark = docs.sparkSession
+    checkpoint_root(spark)
+    # the sizes are needed twice: count words once, in narrow rows
+    slim = slim.select("doc_id", "source", n_words(F.col("text")).alias("mix_words")).checkpoint()
+    out = with_copies(slim, size=F.col("mix_words"), **options)
+    return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
+                      F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: every row as often as it is taken, with the columns of ``docs``."""
+    columns = docs.columns
+    out = with_copies(docs, **options).where(F.col("mix_copies") > 0)
+    return out.withColumn("mix_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select(*columns)

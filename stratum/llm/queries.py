@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, mixing, quality, secrets, substring_dedup, toxicity, url_rules
+from stratum.llm import bpe, mixing, mtree, quality, secrets, substring_dedup, suffix_dedup, token_groups, toxicity, url_rules
 from stratum.llm.text import LOWER, UPPER
 from stratum.session import checkpoint_root
 from stratum.sources.tables import read_table
@@ -30,6 +30,21 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return deco
 
 
+_OP1_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+p AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+@register("op1_topk_mtree", _OP1_SQL)
+def op1_topk_mtree(spark: SparkSession, base: str) -> DataFrame:
+    return mtree.top_k(read_table(spark, base, "embeddings"))
+
+
 _OP2_SQL = f"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE_RE}'), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS i, ws FROM w WHERE len(ws) >= 20),
@@ -84,6 +99,25 @@ def op5_toxicity(spark: SparkSession, base: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+_OP6_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '{SPACE_RE}'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 4], ' ')) AS h FROM
+      (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS c FROM w UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.a)
+SELECT w.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN r ON r.a = w.doc_id GROUP BY w.doc_id"""
+
+
+@register("op6_ngram_jaccard", _OP6_SQL)
+def op6_ngram_jaccard(spark: SparkSession, base: str) -> DataFrame:
+    return token_groups.join_components(read_table(spark, base, "documents"))
+
+
 _MEASURES_SQL = f"""
 w AS (SELECT rn, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM
       (SELECT rn, list_filter(regexp_split_to_array(t, '{SPACE_RE}'), lambda x: x <> '') AS ws FROM d)),
@@ -129,6 +163,11 @@ def op8_bpe_round_trip(spark: SparkSession, base: str) -> DataFrame:
     return bpe.encode_digests(read_table(spark, base, "documents"), tokenizer_path())
 
 
+@register("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(read_table(spark, base, "documents")).drop("kept")
+
+
 _OP10_SQL = f"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD_RE}')), 0) AS BIGINT) AS size,
     CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS draw FROM documents),

@@ -62,15 +62,15 @@ def chunks(batches: Iterator[pa.RecordBatch], width: int, keys: int) -> Iterator
         yield held.take()
 
 
-def cells(hashes: np.ndarray, row: int, log2_cells: int) -> np.ndarray:
-    return (hashes * np.uint64(ROW_KEYS[row])) >> np.uint64(64 - log2_cells)
+def cells(hashes: np.ndarray, key: int, log2_cells: int) -> np.ndarray:
+    return (hashes * np.uint64(key)) >> np.uint64(64 - log2_cells)
 
 
-def partition_sketch(hashes: np.ndarray, log2_cells: int) -> Iterator[tuple[int, bytes]]:
-    """(block, cells) of both rows: sorted cells, twice where counted twice or more, as differences."""
+def partition_sketch(hashes: np.ndarray, log2_cells: int, keys: tuple[int, ...] = ROW_KEYS) -> Iterator[tuple[int, bytes]]:
+    """(block, cells) of all sketch rows: sorted cells, twice where counted twice or more, as differences."""
     log2_block = min(LOG2_BLOCK, log2_cells)
-    for row in range(len(ROW_KEYS)):
-        c = np.sort(cells(hashes, row, log2_cells).astype(np.uint32))
+    for row, key in enumerate(keys):
+        c = np.sort(cells(hashes, key, log2_cells).astype(np.uint32))
         if len(c) > 2:  # more than two of a cell say nothing more
             c = c[np.concatenate([[True, True], c[2:] != c[:-2]])]
         cuts = np.searchsorted(c, np.arange(0, (1 << log2_cells) + 1, 1 << log2_block, dtype=np.int64))
@@ -82,8 +82,9 @@ def partition_sketch(hashes: np.ndarray, log2_cells: int) -> Iterator[tuple[int,
                 yield (row << (log2_cells - log2_block)) + b, zstandard.ZstdCompressor(level=1).compress(planes)
 
 
-def merge_sketches(batches: Iterator[pa.RecordBatch], log2_cells: int) -> Iterator[tuple[int, bytes]]:
-    """(block, bitmap) with a bit for each cell counted twice or more over all tasks. Holds a byte a cell
+def merge_sketches(batches: Iterator[pa.RecordBatch], log2_cells: int, least: int = 0) -> Iterator[tuple[int, bytes, bytes]]:
+    """(block, bitmap, bitmap) with a bit for each cell counted twice or more over all tasks, and for those
+    counted ``least`` times (a chunk counts two at most). Holds a byte a cell
     of the blocks of this partition, however many partition sketches stream by."""
     size = 1 << min(LOG2_BLOCK, log2_cells)
     counts: dict[int, np.ndarray] = {}
@@ -95,17 +96,18 @@ def merge_sketches(batches: Iterator[pa.RecordBatch], log2_cells: int) -> Iterat
             total = counts.setdefault(block, np.zeros(size, np.uint8))
             again = c[1:][c[1:] == c[:-1]]
             once = c[np.concatenate([[True], c[1:] != c[:-1]])]
-            total[once] = np.minimum(total[once] + 1, 2)
-            total[again] = 2
+            total[once] = np.minimum(total[once], 253) + 1
+            total[again] += 1
     for block, total in counts.items():
-        yield block, np.packbits(total >= 2, bitorder="little").tobytes()
+        yield (block, np.packbits(total >= 2, bitorder="little").tobytes(),
+               np.packbits(total >= least, bitorder="little").tobytes() if least else b"")
 
 
 def estimated_repeated(hashes: np.ndarray, bitmap: np.ndarray, log2_cells: int) -> np.ndarray:
     """Whether the smallest of a window's counters is two or more."""
     out = np.ones(len(hashes), bool)
     for row in range(len(ROW_KEYS)):
-        c = cells(hashes, row, log2_cells).astype(np.int64) + (row << log2_cells)
+        c = cells(hashes, ROW_KEYS[row], log2_cells).astype(np.int64) + (row << log2_cells)
         out &= (bitmap[c >> 3] >> (c & 7).astype(np.uint8)) & 1 == 1
     return out
 
@@ -160,6 +162,7 @@ def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, bu
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = at.next_prime(buckets or partitions)
     n_keys = 2 * n
+    log2_cells = max(3, log2_cells)  # a block is a byte at least
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     placed = slim.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
 
@@ -170,14 +173,14 @@ def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, bu
                                               pa.array([c for _, c in out], pa.binary())], names=["block", "cells"])
 
     def merge(batches):
-        for block, bits in merge_sketches(batches, log2_cells):
+        for block, bits, _ in merge_sketches(batches, log2_cells):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits], pa.binary())],
                                              names=["block", "bits"])
 
     merged = placed.mapInArrow(sketch, "block int, cells binary").repartition(partitions, "block").mapInArrow(
         merge, "block int, bits binary")
     block_bytes = (1 << min(LOG2_BLOCK, log2_cells)) // 8
-    bitmap = bytearray(len(ROW_KEYS) << max(log2_cells - 3, 0))
+    bitmap = bytearray(len(ROW_KEYS) << (log2_cells - 3))
     for row in merged.toLocalIterator():
         bitmap[row.block * block_bytes:(row.block + 1) * block_bytes] = row.bits
     shared = spark.sparkContext.broadcast(bytes(bitmap))
