@@ -9,13 +9,18 @@ Storage form: the table is parquet partitioned by a hash bucket of the key
 computed from columns that never change for a key (e.g. the order month).
 An upsert
 
-1. finds the partitions the source touches (at most ``n`` hash buckets, or
-   at most the table's partition count – a bound on the collected list),
-2. merges source and the touched buckets only (partition pruning),
+1. writes the batch to a hidden folder of the table (``_batches/``) and finds
+   the partitions it touches (at most ``MAX_TOUCHED``, else an error),
+2. merges batch and the touched buckets only (partition pruning),
 3. writes the result to a staging folder inside the table (``_staging/`` is
    hidden from readers), and
 4. publishes it with a dynamic partition overwrite of exactly those buckets,
-   then drops the staging folder.
+   then drops both folders.
+
+A table of plain files that something else wrote is taken over on the first
+upsert: all its rows are merged into the bucket layout, published, and only then are the old
+files dropped. Partition values are texts that no reader takes for numbers
+(``v`` and the layout value, ``n`` for null), so ``01`` stays ``01``.
 
 The table being read is never the folder being overwritten. Publishing is
 not atomic across buckets; a run that dies after staging is finished by the
@@ -32,11 +37,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import NullType
 
 from stratum.operators.conform import dedup_latest
 from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, join_small
-from stratum.session import checkpoint_root
 from stratum.sources import fs
 
 log = logging.getLogger(__name__)
@@ -44,8 +47,10 @@ log = logging.getLogger(__name__)
 BUCKET = "_bucket"
 STAGING = "_staging"
 LAYOUT_MARKER = "_upsert_layout"  # 'buckets=<n>' or 'layout'; hidden from readers (leading '_', no '=')
+BATCHES = "_batches"  # the batch of a running upsert; leftovers are dropped by the next call
+TAKEN_OVER = "_taken_over"  # in a staging folder: the old plain files to drop after publishing
 _PATH_SAFE = re.compile(r"[A-Za-z0-9_.+-]+")
-DEFAULT_BUCKETS = 64
+MAX_TOUCHED = 100_000
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -90,8 +95,7 @@ def _latest_keep_null_keys(src: DataFrame, keys: Sequence[str], order_by: Sequen
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error",
                  order_by: Sequence[str] = (), guard: str | None = None,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 group_source_by: str | None = None) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """D1 as a DataFrame: the table after upserting ``source`` into ``target``.
 
     Without ``guard``: ``target ▷ source`` (anti-join on the keys; the source
@@ -101,16 +105,13 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], on_d
     keys are counted small, only target rows with those keys are shuffled
     against the batch, the others pass through a broadcast anti-join. The
     target is expected to hold one row per non-null key, as every table
-    written here does unless created with ``on_duplicate='keep'``. ``group_source_by``
-    rebalances the source rows on that column before the union (so a write
-    partitioned by it gets a few files per value from them), leaving the
-    target rows where they are.
+    written here does unless created with ``on_duplicate='keep'``.
     """
     src = prepare_source(source, target.columns, keys, on_duplicate, order_by)
     if guard is None:
         src_keys = src.where(_key_not_null(keys)).select(*keys)
         kept = join_small(target, src_keys, list(keys), "left_anti", max_broadcast_rows)
-        return kept.unionByName(src if group_source_by is None else src.hint("rebalance", group_source_by))
+        return kept.unionByName(src)
     if guard not in target.columns:
         raise ValueError(f"guard column {guard!r} not in target")
     src_keys = src.where(_key_not_null(keys)).select(*keys)
@@ -144,19 +145,25 @@ def recover(spark, path: str) -> int:
         if fs.exists(spark, f"{folder}/_SUCCESS"):
             log.warning("re-publishing staged upsert %s", folder)
             _publish(spark, folder, path)
+            _drop_taken_over(spark, folder, path)
             done += 1
         fs.delete(spark, folder)
+    for folder in fs.list_dirs(spark, f"{path}/{BATCHES}"):
+        fs.delete(spark, folder)
     return done
 
 
+def _drop_taken_over(spark, staging: str, path: str) -> None:
+    """After publishing a take-over: drop the plain files whose rows are now in the buckets."""
+    if fs.exists(spark, f"{staging}/{TAKEN_OVER}"):
+        for name in fs.list_files(spark, path):
+            if not name.startswith(("_", ".")):
+                fs.delete(spark, f"{path}/{name}")
+
+
 def _publish(spark, staging: str, path: str) -> None:
-    staged = spark.read.parquet(staging)
-    if isinstance(staged.schema[BUCKET].dataType, NullType):
-        # only the null partition was staged: its inferred type is void,
-        # which cannot be written; null stays the default partition
-        staged = staged.withColumn(BUCKET, F.col(BUCKET).cast("string"))
     (
-        staged
+        spark.read.parquet(staging)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
@@ -172,24 +179,32 @@ def _write_layout(spark, path: str, buckets: int | None) -> None:
     fs.write_text(spark, f"{path}/{LAYOUT_MARKER}", "layout" if buckets is None else f"buckets={buckets}")
 
 
-def _bucket_count(spark, path: str, buckets: int | None, recorded: str | None) -> int:
-    """The table's bucket count, kept in the layout marker (written right
-    after the initial load) and checked on every later call: another count
-    would send a key to another folder and keep its old version alive. A
-    table without the marker (a crash between the two writes) records the
-    count it is first used with."""
+def _bucket_count(spark, path: str, keys: Sequence[str], buckets: int | None, recorded: str | None) -> int:
+    """The table's bucket count, kept in the layout marker (written before
+    the first data) and checked on every later call: another count
+    would send a key to another folder and keep its old version alive. When the marker
+    is lost, the caller must name the count, and it is accepted only if every stored key lies in its bucket."""
     if recorded == "layout":
         raise ValueError("the table is partitioned by a layout expression; pass layout=")
     if recorded is None:
-        n = buckets or DEFAULT_BUCKETS
-        _write_layout(spark, path, n)
-        return n
+        if buckets is None:
+            raise ValueError(f"the layout marker of {path} is missing; name the table's bucket count")
+        stored = spark.read.parquet(path)
+        if not at_most(stored.where(bucket_of(keys, buckets) != F.col(BUCKET).cast("int")), 0):
+            raise ValueError(f"table at {path} was not written with {buckets} buckets")
+        _write_layout(spark, path, buckets)
+        return buckets
     have = int(recorded.split("=", 1)[1])
     if buckets is not None and buckets != have:
         raise ValueError(f"table at {path} has {have} buckets, not {buckets}")
     return have
 
 
+def layout_value(layout: Column) -> Column:
+    """Partition text of a layout value: never null, never taken for a number."""
+    return F.coalesce(F.concat(F.lit("v"), layout.cast("string")), F.lit("n"))
+
+
 def _partition_values(spark, path: str) -> set[str]:
     """Partition folder values of the table: one top-level listing."""
     present = set()
@@ -205,24 +220,29 @@ def _touched_partitions(spark, path: str, touched: list, present: set[str]) -> D
 
     Reads only the touched partition folders (``present`` comes from one
     top-level listing), so an upsert never lists every file of a large
-    table. Partition values that are not plain names, or null, fall back to
+    table. Partition values that are not plain names fall back to
     a filtered read of the whole table.
     """
-    known = [v for v in touched if v is not None]
-    values = [str(v) for v in known]
-    if present and len(known) == len(touched) and all(_PATH_SAFE.fullmatch(v) for v in values):
+    values = [str(v) for v in touched]
+    if all(_PATH_SAFE.fullmatch(v) for v in values):
         reader = spark.read.option("basePath", path)
         folders = [f"{path}/{BUCKET}={v}" for v in values if v in present]
         if folders:
             return reader.parquet(*folders)
         # nothing touched exists yet: the columns of one partition, no rows
         return reader.parquet(f"{path}/{BUCKET}={min(present)}").where(F.lit(False))
-    # a null layout value is stored as the default partition: match it with
-    # IS NULL (``isin`` never matches null, and its rows would be lost on publish)
-    wanted = F.col(BUCKET).isin(known)
-    if len(known) < len(touched):
-        wanted = wanted | F.col(BUCKET).isNull()
-    return spark.read.parquet(path).where(wanted)
+    return spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
+
+
+def _foreign_files(spark, path: str) -> bool:
+    """Whether the folder holds a table of plain files that this library did not write.
+
+    One partitioned by something else is refused: its layout cannot be kept."""
+    other = [d.rsplit("/", 1)[-1] for d in fs.list_dirs(spark, path)]
+    other = [d for d in other if not d.startswith(("_", "."))]
+    if other:
+        raise ValueError(f"{path} holds a table partitioned by {other[0].split('=')[0]!r}; it cannot be upserted in place")
+    return any(not f.startswith(("_", ".")) for f in fs.list_files(spark, path))
 
 
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None,
@@ -240,73 +260,101 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
     that never change for a key, so every version of a key lands in the same
     partition (otherwise an old version would survive in its old partition).
 
-    A call reads the marker and the table's top-level folder list (a table
-    without partition folders counts as absent), then only the partitions
-    the batch touches: the cost follows the batch, not the table.
+    A call reads the marker and the table's top-level listing, then only the partitions
+    the batch touches: the cost follows the batch, not the table. ``buckets`` or ``layout`` must be
+    given when the table is created or taken over (see the module text).
     """
     spark = source.sparkSession
     if fmt == "delta":
-        return _upsert_delta(source, path, keys)
+        if buckets is not None or layout is not None:
+            raise ValueError("buckets and layout belong to the parquet form; a Delta table keeps its own")
+        return _upsert_delta(source, path, keys, on_duplicate, order_by, guard)
     if fmt != "parquet":
         raise ValueError("staged upsert supports parquet (or delta when installed)")
     recovered = recover(spark, path)
     recorded = _read_layout(spark, path)
     present = _partition_values(spark, path)
-    if not present:  # no table yet, or one created from an empty batch
-        n = buckets or DEFAULT_BUCKETS
-        part = layout if layout is not None else bucket_of(keys, n)
-        src = prepare_source(source, source.columns, keys, on_duplicate, order_by)
-        # rows grouped by partition value before the write: a few well-sized
-        # files per value instead of one file per task and value (AQE splits
-        # a value holding a large share over several tasks)
-        src.withColumn(BUCKET, part).hint("rebalance", BUCKET).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
+    foreign = not present and _foreign_files(spark, path)
+    if not present:  # no table yet, one created from an empty batch, or plain files to take over
+        n = buckets if buckets is not None or recorded in (None, "layout") else int(recorded.split("=", 1)[1])
+        if (n is None) == (layout is None):
+            raise ValueError("name either buckets or layout to create a table; a bucket of about 1 GB is a good size")
+        part = layout_value(layout) if layout is not None else bucket_of(keys, n)
+        # the marker comes first: data without it would have an unknown layout
         _write_layout(spark, path, None if layout is not None else n)
-        return {"mode": "initial", "buckets_touched": None, "recovered": recovered}
-    if layout is not None:
+        if not foreign:
+            src = prepare_source(source, source.columns, keys, on_duplicate, order_by)
+            # rows grouped by partition value before the write: a few well-sized
+            # files per value instead of one file per task and value (AQE splits
+            # a value holding a large share over several tasks). Appended: nothing is ever overwritten here
+            src.withColumn(BUCKET, part).hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
+            return {"mode": "initial", "buckets_touched": None, "recovered": recovered}
+    elif layout is not None:
         if recorded is not None and recorded != "layout":
             raise ValueError("the table is bucketed by key hash; do not pass layout=")
+        if any(not v.startswith(("v", "n")) for v in present):
+            raise ValueError(f"{path} has partition folders of another form")
         if recorded is None:
             _write_layout(spark, path, None)
-        part = layout
+        part = layout_value(layout)
     else:
-        part = bucket_of(keys, _bucket_count(spark, path, buckets, recorded))
+        part = bucket_of(keys, _bucket_count(spark, path, keys, buckets, recorded))
     # the batch feeds several actions (touched partitions, duplicate check,
-    # merge): compute it once and cut its lineage in the shared checkpoint folder
-    checkpoint_root(spark)
-    tagged = source.withColumn(BUCKET, part).checkpoint()
-    # one value per touched partition: bounded by the table's partition count
-    touched = sorted(r[0] for r in tagged.select(BUCKET).distinct().collect())
-    if not touched:
-        return {"mode": "noop", "buckets_touched": 0, "recovered": recovered}
-    target = _touched_partitions(spark, path, touched, present)
-    columns = [c for c in target.columns if c != BUCKET]
-    src = prepare_source(tagged, [*columns, BUCKET], keys, on_duplicate, order_by)
-    merged = merge_frames(target, src, keys, on_duplicate="keep", guard=guard, group_source_by=BUCKET)
-    staging = f"{path}/{STAGING}/{uuid.uuid4().hex}"
-    # rows in the rewritten partitions, counted while staging (no extra pass)
-    written = Observation("upsert_staging")
-    merged.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-        .partitionBy(BUCKET).parquet(staging)
-    _publish(spark, staging, path)
-    fs.delete(spark, staging)
-    return {"mode": "merge", "buckets_touched": len(touched), "rows_in_touched": written.get["rows"],
-            "recovered": recovered}
-
-
-def _upsert_delta(source: DataFrame, path: str, keys: Sequence[str]) -> dict:
-    """Delta route, used only where the Delta package is installed."""
+    # merge): write it once, drop it afterwards
+    batch = f"{path}/{BATCHES}/{uuid.uuid4().hex}"
+    try:
+        source.withColumn(BUCKET, part).write.parquet(batch)
+        tagged = spark.read.parquet(batch)
+        touched = sorted(r[0] for r in tagged.select(BUCKET).distinct().limit(MAX_TOUCHED + 1).collect())
+        if len(touched) > MAX_TOUCHED:
+            raise ValueError(f"the batch touches more than {MAX_TOUCHED} partitions; choose a coarser layout")
+        if not touched and not foreign:
+            return {"mode": "noop", "buckets_touched": 0, "recovered": recovered}
+        if foreign:
+            stored = spark.read.parquet(path)
+            target = stored.withColumn(BUCKET, part)
+        else:
+            target = _touched_partitions(spark, path, touched, present)
+        columns = [c for c in target.columns if c != BUCKET]
+        src = prepare_source(tagged, [*columns, BUCKET], keys, on_duplicate, order_by)
+        # regrouped by partition as a whole: a merge that shuffles by key would write a file
+        # per task and partition
+        merged = merge_frames(target, src, keys, on_duplicate="keep", guard=guard).hint("rebalance", BUCKET)
+        staging = f"{path}/{STAGING}/{uuid.uuid4().hex}"
+        if foreign:
+            # before the data: with _SUCCESS there, the next call can finish a take-over
+            fs.write_text(spark, f"{staging}/{TAKEN_OVER}", "plain files")
+        # rows in the rewritten partitions, counted while staging (no extra pass)
+        written = Observation("upsert_staging")
+        merged.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append") \
+            .partitionBy(BUCKET).parquet(staging)
+        _publish(spark, staging, path)
+        _drop_taken_over(spark, staging, path)
+        fs.delete(spark, staging)
+    finally:
+        fs.delete(spark, batch)
+    return {"mode": "taken over" if foreign else "merge", "buckets_touched": len(touched),
+            "rows_in_touched": written.get["rows"], "recovered": recovered}
+
+
+def _upsert_delta(source: DataFrame, path: str, keys: Sequence[str], on_duplicate: str, order_by: Sequence[str],
+                  guard: str | None) -> dict:
+    """Delta route, used only where the Delta package is installed (untested here)."""
     from delta.tables import DeltaTable  # optional dependency
 
     spark = source.sparkSession
     if not DeltaTable.isDeltaTable(spark, path):
-        source.write.format("delta").mode("overwrite").save(path)
+        src = prepare_source(source, source.columns, keys, on_duplicate, order_by)
+        src.write.format("delta").mode("errorifexists").save(path)
         return {"mode": "initial"}
-    cond = " AND ".join(f"target.{k} = source.{k}" for k in keys)
+    table = DeltaTable.forPath(spark, path)
+    src = prepare_source(source, table.toDF().columns, keys, on_duplicate, order_by)
+    cond = " AND ".join(f"target.`{k}` = source.`{k}`" for k in keys)
+    newer = None if guard is None else f"target.`{guard}` IS NULL OR source.`{guard}` >= target.`{guard}`"
     (
-        DeltaTable.forPath(spark, path).alias("target")
-        .merge(source.alias("source"), cond)
-        .whenMatchedUpdateAll()
+        table.alias("target")
+        .merge(src.alias("source"), cond)
+        .whenMatchedUpdateAll(condition=newer)
         .whenNotMatchedInsertAll()
         .execute()
     )

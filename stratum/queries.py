@@ -465,6 +465,36 @@ def upsert_orders_by_month(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(path).drop(up.BUCKET)
 
 
+@register("upsert_foreign_table", _ORDERS_MERGE_SQL)
+def upsert_foreign_table(spark: SparkSession, base: str) -> DataFrame:
+    """Orders first written as plain parquet by something else; the upsert takes the table over."""
+    path = scratch_path(spark, "silver_orders_foreign")
+    fx.orders_initial(spark, base).write.parquet(path)
+    assert up.upsert_table(fx.orders_changes(spark, base), path, ["o_orderkey"], buckets=16)["mode"] == "taken over"
+    up.upsert_table(fx.orders_changes(spark, base), path, ["o_orderkey"])
+    return spark.read.parquet(path).drop(up.BUCKET)
+
+
+@register("upsert_padded_layout", _ORDERS_MERGE_SQL)
+def upsert_padded_layout(spark: SparkSession, base: str) -> DataFrame:
+    """D2 with a zero-padded month text as layout: ``01`` stays ``01``."""
+    return _upsert_by(spark, base, "silver_orders_padded", F.date_format("o_orderdate", "MM"))
+
+
+@register("upsert_null_layout", _ORDERS_MERGE_SQL)
+def upsert_null_layout(spark: SparkSession, base: str) -> DataFrame:
+    """D2 with null and non-null layout values in one batch."""
+    layout = F.when(F.col("o_orderkey") % 5 > 0, F.date_format("o_orderdate", "yyyy"))
+    return _upsert_by(spark, base, "silver_orders_null_layout", layout)
+
+
+def _upsert_by(spark: SparkSession, base: str, name: str, layout) -> DataFrame:
+    path = scratch_path(spark, name)
+    for batch in (fx.orders_initial(spark, base), fx.orders_changes(spark, base), fx.orders_changes(spark, base)):
+        up.upsert_table(batch, path, ["o_orderkey"], layout=layout)
+    return spark.read.parquet(path).drop(up.BUCKET)
+
+
 def _scan_table_sql(table: str, columns: tuple[str, ...]) -> str:
     parts = [
         f"SELECT '{c}' AS column_name, '{name}' AS pattern, count({c}) AS n_values, "

@@ -2,7 +2,8 @@
 
 Used only by the staged upsert to find and drop its own staging folders and
 to keep its one-line layout marker; all data movement goes through DataFrame
-reads and writes.
+reads and writes. It asks the driver's JVM, so an upsert needs a classic
+session (not Spark Connect).
 """
 
 from __future__ import annotations
@@ -29,8 +30,16 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().toString() for st in fs.listStatus(hpath) if st.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the plain files directly in a folder."""
+    fs, hpath = _fs_and_path(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath) if st.isFile())
+
+
 def delete(spark: SparkSession, path: str) -> None:
-    """Recursive delete of a folder this library created (staging only)."""
+    """Recursive delete of a folder or file that the upsert staged or has replaced."""
     fs, hpath = _fs_and_path(spark, path)
     if fs.exists(hpath):
         fs.delete(hpath, True)

@@ -124,3 +124,73 @@ def test_null_layout_partition_keeps_its_rows(spark, scratch):
     up.upsert_table(frame(spark, [(1, "A", None), (4, "d", None)]), path, ["id"], layout=layout)
     got = sorted(map(tuple, spark.read.parquet(path).select("id", "v").collect()))
     assert got == [(1, "A"), (2, "b"), (3, "c"), (4, "d")]
+
+
+def test_foreign_table_is_taken_over_not_overwritten(spark, scratch):
+    path = scratch("foreign")
+    frame(spark, [(i, "old", 1) for i in range(100)]).write.parquet(path)
+    with pytest.raises(ValueError):
+        up.upsert_table(frame(spark, [(1, "new", 2)]), path, ["id"])  # the layout must be named
+    assert up.upsert_table(frame(spark, [(1, "new", 2)]), path, ["id"], buckets=4)["mode"] == "taken over"
+    got = {r.id: r.v for r in spark.read.parquet(path).collect()}
+    assert len(got) == 100 and got[1] == "new" and got[2] == "old" and spark.read.parquet(path).count() == 100
+    other = scratch("foreign_parts")
+    frame(spark, [(1, "a", 1)]).write.partitionBy("ts").parquet(other)
+    with pytest.raises(ValueError):
+        up.upsert_table(frame(spark, [(1, "b", 2)]), other, ["id"], buckets=4)
+    assert spark.read.parquet(other).count() == 1
+
+
+def test_interrupted_take_over_is_finished(spark, scratch):
+    path = scratch("foreign_crash")
+    frame(spark, [(i, "old", 1) for i in range(10)]).write.parquet(path)
+    staged = f"{path}/{up.STAGING}/crashed"
+    frame(spark, [(i, "new", 2) for i in range(10)]).withColumn(up.BUCKET, up.bucket_of(["id"], 2)).write.partitionBy(up.BUCKET).parquet(staged)
+    up.fs.write_text(spark, f"{staged}/{up.TAKEN_OVER}", "plain files")
+    assert up.recover(spark, path) == 1
+    got = spark.read.parquet(path)
+    assert got.count() == 10 and {r.v for r in got.collect()} == {"new"}
+
+
+@pytest.mark.parametrize("values", [["01", "02", "1e3", "A"], ["2024-01-01", None, "x=y/z"]])
+def test_layout_texts_stay_texts(spark, scratch, values):
+    path = scratch("texts")
+    schema = "id long, part string, v string"
+    rows = [(i, values[i % len(values)]) for i in range(12)]
+    for v in ("a", "b", "c"):
+        up.upsert_table(spark.createDataFrame([(i, p, v) for i, p in rows], schema), path, ["id"], layout=F.col("part"))
+    up.upsert_table(spark.createDataFrame([(0, values[0], "d"), (99, values[-1], "d")], schema), path, ["id"], layout=F.col("part"))
+    got = {r.id: (r.part, r.v) for r in spark.read.parquet(path).collect()}
+    assert spark.read.parquet(path).count() == 13 == len(got)
+    assert got[0] == (values[0], "d") and got[5] == (rows[5][1], "c")
+
+
+def test_lost_marker_is_checked_against_the_rows(spark, scratch):
+    path = scratch("lost")
+    rows = [(i, "a", 1) for i in range(100)]
+    up.upsert_table(frame(spark, rows), path, ["id"], buckets=16)
+    up.fs.delete(spark, f"{path}/{up.LAYOUT_MARKER}")
+    for wrong in (None, 64):
+        with pytest.raises(ValueError):
+            up.upsert_table(frame(spark, rows), path, ["id"], buckets=wrong)
+    up.upsert_table(frame(spark, [(i, "b", 2) for i in range(100)]), path, ["id"], buckets=16)
+    assert spark.read.parquet(path).count() == 100
+
+
+def test_guarded_upsert_leaves_few_files_and_no_scratch(spark, scratch):
+    path = scratch("files")
+    up.upsert_table(spark.range(4000).select("id", F.lit("a").alias("v"), F.lit(1).alias("ts")), path, ["id"], buckets=8)
+    half = spark.range(0, 4000, 2).select("id", F.lit("b").alias("v"), F.lit(2).alias("ts")).repartition(7)
+    up.upsert_table(half, path, ["id"], guard="ts")
+    files = spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    assert files <= 16
+    assert spark.read.parquet(path).where("v = 'b'").count() == 2000
+    for hidden in (up.STAGING, up.BATCHES):
+        assert up.fs.list_dirs(spark, f"{path}/{hidden}") == []
+
+
+def test_creation_needs_a_layout(spark, scratch):
+    with pytest.raises(ValueError):
+        up.upsert_table(frame(spark, [(1, "a", 1)]), scratch("none"), ["id"])
+    with pytest.raises(ValueError):
+        up.upsert_table(frame(spark, [(1, "a", 1)]), scratch("delta"), ["id"], buckets=4, fmt="delta")
