@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, DecimalType
 
 # --- fixed values: these must equal the reference's contract definitions ---
 # e-mail pattern of the customer contract, anchored, as written there
@@ -60,17 +60,24 @@ def date_key_of(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd")
 
 
-def money_sum(col: Column) -> Column:
+def money_sum(col: Column, data_type: DataType | None = None) -> Column:
     """Order-independent sum of two-decimal amounts.
 
-    Each addend is turned into whole cents (a long), so partial sums computed
+    Decimal amounts (``data_type``) are summed as they are: exact, decimal out. Double amounts are
+    turned into whole cents (a long), so partial sums computed
     in any order (map-side combine, AQE re-plans) are exact and give the same
-    bits; the total is returned in currency units as a double, like the
-    amounts themselves. Long addition keeps the aggregate buffer fixed-width
+    bits; the total is returned in currency units as a double. Long addition keeps the aggregate buffer fixed-width
     (a decimal(28,2) buffer is object-backed and about 40 % slower here).
+    A group that holds NaN, an infinity or an amount beyond 9e13, or whose cents pass a long, gets the plain
+    double sum: NaN stays NaN and infinities stay infinite, and no row fails the run.
     """
-    cents = F.rint(col * 100).cast("long")
-    return (F.sum(cents) / 100).cast("double")
+    if isinstance(data_type, DecimalType):
+        return F.sum(col)
+    wild = F.isnan(col) | (F.abs(col) > F.lit(9e13))
+    cents = F.when(~wild, F.rint(col * 100).cast("long"))
+    exact = F.when(F.count_if(wild) == 0, (F.try_sum(cents) / 100).cast("double"))
+    # null when no amount is known, as a sum is
+    return F.coalesce(exact, F.sum(col.cast("double")))
 
 
 def unanchored(pattern: str) -> str:

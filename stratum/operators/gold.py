@@ -107,8 +107,8 @@ def build_monthly_sales_aggregate(fact: DataFrame, store_col: str = "store_id",
         F.col(store_col).alias("store_id"),
         F.col(product_col).alias("product_id"),
     ).agg(
-        money_sum(F.col("total_sales_amount")).alias("monthly_revenue"),
-        money_sum(F.col("margin_amount")).alias("monthly_margin"),
+        money_sum(F.col("total_sales_amount"), fact.schema["total_sales_amount"].dataType).alias("monthly_revenue"),
+        money_sum(F.col("margin_amount"), fact.schema["margin_amount"].dataType).alias("monthly_margin"),
         F.count("transaction_id").alias("transaction_count"),
     )
 

@@ -25,7 +25,7 @@ _VIEWS: dict[str, str] = {
                l_suppkey AS store_id, l_quantity AS quantity, l_extendedprice AS unit_price
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "products_conformed": """
-        SELECT p_partkey AS product_id, p_retailprice AS standard_cost FROM part WHERE p_size <= 45""",
+        SELECT CASE WHEN p_size <= 45 THEN p_partkey ELSE -p_partkey END AS product_id, p_retailprice AS standard_cost FROM part""",
     "customers_conformed": """
         SELECT c_custkey AS customer_id,
                split_part(c_name, '#', 1) AS first_name,

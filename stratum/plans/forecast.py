@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.sources.lake import write_table
@@ -33,18 +33,40 @@ def demand_features(monthly: DataFrame, keys: Sequence[str] = ("store_id", "prod
                     rolling: int = 3) -> DataFrame:
     """Per series and month, the value ``k`` months earlier (null when that
     month had no sales) and the mean over the previous ``rolling`` months that
-    had sales. Sums run on exact decimals, so the result does not depend on
-    the order rows are added."""
+    had sales. Lags over rows, matched by their distance in months; sums run on exact decimals of fixed width."""
     base = monthly.select(*keys, "year_month", month_index().alias(MONTH_INDEX),
                           F.col(value_col).alias("label"))
-    exact = F.col("label").cast("decimal(38,2)")
+    reach = max([*lags, rolling])
     w = Window.partitionBy(*keys).orderBy(MONTH_INDEX)
-    cols = [F.sum(exact).over(w.rangeBetween(-k, -k)).cast("double").alias(f"lag_{k}") for k in lags]
-    prev = w.rangeBetween(-rolling, -1)
-    n_prev = F.count(exact).over(prev)
-    mean = F.when(n_prev > 0, F.sum(exact).over(prev).cast("double") / n_prev).alias(f"rolling_mean_{rolling}")
+    # months of a series are distinct, so one that lies k months back is among the k rows before
+    back = [F.struct((F.col(MONTH_INDEX) - F.lag(MONTH_INDEX, i).over(w)).alias("ago"),
+                     F.lag(F.col("label").cast("decimal(20,2)"), i).over(w).alias("value")) for i in range(1, reach + 1)]
+    rows = base.withColumns({f"_b{i}": x for i, x in enumerate(back)})
+    none = F.lit(None).cast("decimal(20,2)")
+
+    def at(k: int) -> Column:
+        return F.coalesce(*[F.when(F.col(f"_b{i}.ago") == k, F.col(f"_b{i}.value")) for i in range(reach)])
+
+    near = [F.when(F.col(f"_b{i}.ago") <= rolling, F.col(f"_b{i}.value")).otherwise(none) for i in range(reach)]
+    total, n = F.lit(0).cast("decimal(20,2)"), F.lit(0)
+    for x in near:
+        total, n = total + F.coalesce(x, F.lit(0).cast("decimal(20,2)")), n + x.isNotNull().cast("int")
+    mean = F.when(n > 0, total.cast("double") / n).alias(f"rolling_mean_{rolling}")
     month_of_year = (F.col(MONTH_INDEX) % 12 + 1).alias("month_of_year")
-    return base.select(*keys, "year_month", MONTH_INDEX, "label", *cols, mean, month_of_year)
+    return rows.select(*keys, "year_month", MONTH_INDEX, "label", *[at(k).cast("double").alias(f"lag_{k}") for k in lags],
+                       mean, month_of_year)
+
+
+def with_next_month(monthly: DataFrame, keys: Sequence[str] = ("store_id", "product_id"),
+                    value_col: str = "monthly_revenue") -> DataFrame:
+    """``(keys, year_month, value)`` plus, for every series, the month after the last month of the whole table, without a value."""
+    rows = monthly.select(*keys, "year_month", value_col)
+    last = rows.agg(F.max("year_month")).first()[0]
+    if last is None:
+        return rows
+    n = int(last[:4]) * 12 + int(last[4:6])
+    ahead = rows.select(*keys).distinct().withColumn("year_month", F.lit(f"{n // 12:04d}{n % 12 + 1:02d}"))
+    return rows.unionByName(ahead.withColumn(value_col, F.lit(None).cast(rows.schema[value_col].dataType)))
 
 
 def elastic_net_params(alpha: float, l1_ratio: float, label_std: float) -> tuple[float, float]:
@@ -63,8 +85,8 @@ FEATURES = ("lag_1", "lag_2", "lag_3", "rolling_mean_3", "month_of_year")
 
 
 def training_rows(features: DataFrame, feature_cols: Sequence[str] = FEATURES) -> DataFrame:
-    """Rows where every feature is known."""
-    return features.na.drop(subset=list(feature_cols))
+    """Rows where the label and every feature are known."""
+    return features.na.drop(subset=["label", *feature_cols])
 
 
 def train_demand_model(features: DataFrame, alpha: float = 0.5, l1_ratio: float = 0.2,
@@ -79,23 +101,53 @@ def train_demand_model(features: DataFrame, alpha: float = 0.5, l1_ratio: float
     assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="features")
     lr = LinearRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=enet,
                           standardization=False, fitIntercept=True, maxIter=max_iter, tol=1e-9)
-    return Pipeline(stages=[assembler, lr]).fit(rows)
+    model = Pipeline(stages=[assembler, lr]).fit(rows)
+    if model.stages[-1].summary.totalIterations >= max_iter:
+        raise RuntimeError(f"the optimiser did not converge in {max_iter} iterations")
+    return model
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Persist the fitted pipeline under a name (a path)."""
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel, path: str, version: str) -> str:
+    """Persist the fitted pipeline under a name (a path) and a version; an existing version is never overwritten."""
+    place = f"{path}/version={version}"
+    model.write().save(place)
+    return place
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, version: str) -> PipelineModel:
+    return PipelineModel.load(f"{path}/version={version}")
 
 
 def predict(model: PipelineModel, features: DataFrame, keys: Sequence[str] = ("store_id", "product_id"),
             feature_cols: Sequence[str] = FEATURES) -> DataFrame:
-    """Predictions for every row whose features are known."""
-    scored = model.transform(training_rows(features, feature_cols))
-    return scored.select(*keys, "year_month", "label", F.col("prediction"))
+    """One row for every row of ``features``. Months whose label is not known yet are
+    predicted too; where a feature is unknown the prediction is null and ``reason`` names the first one missing."""
+    missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"{c} unknown")) for c in feature_cols])
+    filled = features.withColumn("reason", missing).na.fill(0.0, subset=list(feature_cols))
+    scored = model.transform(filled)
+    return scored.select(*keys, "year_month", "label", F.when(F.col("reason").isNull(), F.col("prediction")).alias("prediction"), "reason")
+
+
+def optimality(model: PipelineModel, features: DataFrame, alpha: float = 0.5, l1_ratio: float = 0.2,
+               feature_cols: Sequence[str] = FEATURES, tolerance: float = 1e-3) -> DataFrame:
+    """(coefficient, optimal): whether each coefficient meets the elastic net's first-order condition
+    – the correlation with the residual equals the penalty's slope, or stays below it where the coefficient is zero."""
+    rows = training_rows(features, feature_cols)
+    lr = model.stages[-1]
+    weights = [float(x) for x in lr.coefficients]
+    fitted = F.lit(float(lr.intercept))
+    for c, w in zip(feature_cols, weights, strict=True):
+        fitted = fitted + F.col(c) * w
+    rest = F.col("label") - fitted
+    means = rows.agg(*[F.avg(F.col(c) * rest).alias(c) for c in feature_cols], F.avg(rest).alias("intercept"),
+                     F.stddev("label").alias("scale"), *[F.stddev(c).alias(f"_{c}") for c in feature_cols])
+    out = [F.struct(F.lit("intercept").alias("coefficient"), (F.abs("intercept") <= tolerance * F.col("scale")).alias("optimal"))]
+    for c, w in zip(feature_cols, weights, strict=True):
+        slope = F.col(c) - alpha * (1 - l1_ratio) * w
+        bound = alpha * l1_ratio
+        miss = F.abs(slope - bound * (1 if w > 0 else -1)) if w else F.greatest(F.abs(slope) - bound, F.lit(0.0))
+        out.append(F.struct(F.lit(c).alias("coefficient"), (miss <= tolerance * F.col("scale") * F.col(f"_{c}")).alias("optimal")))
+    return means.select(F.inline(F.array(*out)))
 
 
 def write_predictions(predictions: DataFrame, path: str, fmt: str = "parquet") -> None:

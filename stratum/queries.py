@@ -72,6 +72,19 @@ def monthly_sales_aggregate(spark: SparkSession, base: str) -> DataFrame:
     return gold.build_monthly_sales_aggregate(sales_fact_frame(spark, base))
 
 
+@register("monthly_sales_decimal", with_views("""
+SELECT substr(date_key, 1, 6) AS year_month, store_id, product_id,
+       CAST(sum(CAST(total_sales_amount AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS monthly_revenue,
+       CAST(sum(CAST(margin_amount AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS monthly_margin,
+       count(transaction_id) AS transaction_count
+FROM sales_fact GROUP BY 1, 2, 3""", "sales_fact"))
+def monthly_sales_decimal(spark: SparkSession, base: str) -> DataFrame:
+    """A1 on decimal amounts: decimals in, exact decimals out."""
+    fact = sales_fact_frame(spark, base)
+    money = {c: F.col(c).cast("decimal(18,2)") for c in ("total_sales_amount", "margin_amount")}
+    return gold.build_monthly_sales_aggregate(fact.withColumns(money))
+
+
 @register("monthly_sales_by_store", with_views(
     _MONTHLY_SQL.format(
         store="s_nationkey", product="p_brand",
@@ -350,6 +363,26 @@ def stream_dedup_events(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(BRONZE_EVENTS_SCHEMA).parquet(f"{root}/bronze")
 
 
+@register("stream_dedup_by_id", with_views("""
+SELECT 'kept' AS part, id, 1 AS copies FROM (SELECT DISTINCT id FROM events_bronze)
+UNION ALL SELECT 'unparseable', id, count(*) FROM events_bronze WHERE value = '12x' GROUP BY id""", "events_bronze"))
+def stream_dedup_by_id(spark: SparkSession, base: str) -> DataFrame:
+    """R2 on keys without the event time: the newer, later copy of an id arrives first. Every id comes out once; rows
+    whose event time does not parse are delivered as well and land in a side table."""
+    root = scratch_path(spark, "stream_dedup_by_id")
+    bronze = fx.events_bronze(spark, base)
+    bronze.orderBy(F.desc("updated_at")).repartition(4).write.parquet(f"{root}/arrivals")
+    bronze.where(F.col("value") == "12x").withColumn("updated_at", F.lit("not a time")).write.mode("append").parquet(f"{root}/arrivals")
+    stream = bs.read_arrivals(spark, f"{root}/arrivals", BRONZE_EVENTS_SCHEMA, max_files_per_trigger=2)
+    good, bad = bs.split_unparseable(stream, "updated_at")
+    late = bs.run_available(bs.dedup_within_watermark(good, "updated_at", STREAM_DELAY, ["id"]), f"{root}/bronze", f"{root}/checkpoint")
+    bs.run_available(bad, f"{root}/unparseable", f"{root}/checkpoint_bad")
+    assert late["late"] == 0
+    parts = [spark.read.schema(BRONZE_EVENTS_SCHEMA).parquet(f"{root}/{d}").groupBy("id").agg(F.count(F.lit(1)).alias("copies")).select(
+        F.lit(name).alias("part"), "id", "copies") for name, d in (("kept", "bronze"), ("unparseable", "unparseable"))]
+    return parts[0].unionByName(parts[1])
+
+
 @register("stream_upsert_events", _EVENTS_MERGE_SQL)
 def stream_upsert_events(spark: SparkSession, base: str) -> DataFrame:
     """Both arrival batches streamed into Silver through ``foreachBatch``
@@ -385,10 +418,10 @@ def sensitive_scan_documents(spark: SparkSession, base: str) -> DataFrame:
 
 
 @register("sensitive_rows_documents", "\nUNION ALL\n".join(
-    f"SELECT doc_id, 'text' AS column_name, '{name}' AS pattern FROM documents "
-    f"WHERE regexp_matches(text, '{pat}')" for name, pat in gv.SENSITIVE_PATTERNS.items()))
+    f"SELECT doc_id, '{c}' AS column_name, '{name}' AS pattern FROM documents "
+    f"WHERE regexp_matches({c}, '{pat}')" for c in _SCAN_COLUMNS for name, pat in gv.SENSITIVE_PATTERNS.items()))
 def sensitive_rows_documents(spark: SparkSession, base: str) -> DataFrame:
-    return gv.sensitive_rows(read_table(spark, base, "documents"), "doc_id", ["text"])
+    return gv.sensitive_rows(read_table(spark, base, "documents"), "doc_id", list(_SCAN_COLUMNS))
 
 
 @register("row_lineage", with_views("""
@@ -438,21 +471,57 @@ def demand_features(spark: SparkSession, base: str) -> DataFrame:
     return fc.demand_features(monthly_sales_by_store(spark, base))
 
 
-@register("demand_forecast")
-def demand_forecast(spark: SparkSession, base: str) -> DataFrame:
-    """Elastic net (alpha 0.5, l1_ratio 0.2) fitted on the features
-    (written to Gold first), saved, re-loaded, used to score every row with known features, and the
-    predictions written to a Gold table that is read back."""
+_AHEAD_SQL = with_views(f"""
+, m AS ({_COARSE_MONTHLY}),
+a AS (SELECT year_month, store_id, product_id, monthly_revenue AS label FROM m UNION ALL
+      SELECT strftime(strptime((SELECT max(year_month) FROM m) || '01', '%Y%m%d') + INTERVAL 1 MONTH, '%Y%m'), store_id, product_id, NULL
+      FROM (SELECT DISTINCT store_id, product_id FROM m)),
+i AS (SELECT *, CAST(substr(year_month, 1, 4) AS INTEGER) * 12 + CAST(substr(year_month, 5, 2) AS INTEGER) - 1 AS month_index FROM a)
+SELECT store_id, product_id, year_month, label,
+       CAST(sum(CAST(label AS DECIMAL(38,2))) {_frame(1, 1)} AS DOUBLE) AS lag_1,
+       CAST(sum(CAST(label AS DECIMAL(38,2))) {_frame(2, 2)} AS DOUBLE) AS lag_2,
+       CAST(sum(CAST(label AS DECIMAL(38,2))) {_frame(3, 3)} AS DOUBLE) AS lag_3,
+       CASE WHEN count(label) {_frame(3, 1)} > 0
+            THEN CAST(sum(CAST(label AS DECIMAL(38,2))) {_frame(3, 1)} AS DOUBLE) / count(label) {_frame(3, 1)}
+       END AS rolling_mean_3
+FROM i""", "sales_fact").replace("\n\n, m AS", ",\nm AS")
+
+
+def _forecast(spark: SparkSession, base: str) -> tuple[DataFrame, str]:
+    """Features (known months and the next) in a Gold table, and the folder of the model fitted on them."""
     root = scratch_path(spark, "demand")
-    # the features feed three passes (label spread, fit, scoring): write them
+    # the features feed several passes (label spread, fit, scoring): write them
     # once as a Gold table so the joins, aggregate and windows run once
-    write_table(fc.demand_features(monthly_sales_by_store(spark, base)), f"{root}/gold/demand_features")
-    features = read_path(spark, f"{root}/gold/demand_features")
-    fc.save_model(fc.train_demand_model(features), f"{root}/model")
-    fc.write_predictions(fc.predict(fc.load_model(f"{root}/model"), features), f"{root}/gold/demand_predictions")
+    monthly = f"{root}/gold/monthly_by_store"
+    write_table(monthly_sales_by_store(spark, base), monthly)
+    write_table(fc.demand_features(fc.with_next_month(read_path(spark, monthly))), f"{root}/gold/demand_features")
+    return read_path(spark, f"{root}/gold/demand_features"), root
+
+
+@register("demand_forecast")
+def demand_forecast(spark: SparkSession, base: str) -> DataFrame:
+    """Elastic net (alpha 0.5, l1_ratio 0.2) fitted on the features, saved under a version, re-loaded, every
+    series-month and the month after the last one scored, and the predictions written to a Gold table that is read back."""
+    features, root = _forecast(spark, base)
+    fc.save_model(fc.train_demand_model(features), f"{root}/model", "1")
+    fc.write_predictions(fc.predict(fc.load_model(f"{root}/model", "1"), features), f"{root}/gold/demand_predictions")
     return spark.read.parquet(f"{root}/gold/demand_predictions")
 
 
+@register("demand_forecast_keys", _AHEAD_SQL)
+def demand_forecast_keys(spark: SparkSession, base: str) -> DataFrame:
+    """R9's rows: every series-month, the next month, label and features as the scored table has them."""
+    features, _ = _forecast(spark, base)
+    return features.select("store_id", "product_id", "year_month", "label", "lag_1", "lag_2", "lag_3", "rolling_mean_3")
+
+
+@register("demand_model_optimality", "SELECT unnest(['intercept', 'lag_1', 'lag_2', 'lag_3', 'rolling_mean_3', 'month_of_year']) AS coefficient, true AS optimal FROM (SELECT count(*) FROM lineitem)")
+def demand_model_optimality(spark: SparkSession, base: str) -> DataFrame:
+    """Every coefficient of the fitted model meets the elastic net's optimality condition on the whole training table."""
+    features, _ = _forecast(spark, base)
+    return fc.optimality(fc.train_demand_model(features), features)
+
+
 @register("upsert_orders_by_month", _ORDERS_MERGE_SQL)
 def upsert_orders_by_month(spark: SparkSession, base: str) -> DataFrame:
     """D2 with an order-month layout: the change batch rewrites only the

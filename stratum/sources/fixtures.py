@@ -15,7 +15,7 @@ from stratum.functions.expressions import date_key_of
 from stratum.sources.tables import read_table
 
 # --- fixed derivation rules ---
-ORPHAN_PART_SIZE = 45           # parts above this size are left out of products
+ORPHAN_PART_SIZE = 45           # parts above this size carry a negated product_id
 NULL_LAST_NAME_EVERY = 50       # customer_id % 50 = 0 -> last_name null
 BAD_EMAIL_EVERY = 200           # customer_id % 200 = 0 -> 'bad-<id>'
 NULL_EMAIL_REMAINDER = (333, 1)  # customer_id % 333 = 1 -> email null
@@ -28,7 +28,7 @@ ORDER_INITIAL_BEFORE = "2000-07-01"  # the first Silver load holds orders before
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 HOT_ORDER_EVERY = 3             # l_orderkey % 3 = 0 -> the line is sold to the hot customer and product
 HOT_CUSTOMER = 1                # repeated in customers_dirty, so its sales also fan out
-HOT_PRODUCT = 1                 # a part kept in products_conformed at every scale
+HOT_PRODUCT = 1                 # a part that keeps its id in products_conformed at every scale
 # --- end of fixed derivation rules ---
 
 
@@ -83,13 +83,10 @@ def _transactions(spark: SparkSession, base: str, with_source_file: bool, hot: b
 
 
 def products_conformed(spark: SparkSession, base: str) -> DataFrame:
-    """``product_id, standard_cost``; large parts are missing on purpose so
+    """``product_id, standard_cost`` of every part; large parts carry another (negated) id on purpose, so
     that some sales have no product (null margin)."""
-    return (
-        read_table(spark, base, "part")
-        .where(F.col("p_size") <= ORPHAN_PART_SIZE)
-        .select(F.col("p_partkey").alias("product_id"), F.col("p_retailprice").alias("standard_cost"))
-    )
+    key = F.when(F.col("p_size") <= ORPHAN_PART_SIZE, F.col("p_partkey")).otherwise(-F.col("p_partkey"))
+    return read_table(spark, base, "part").select(key.alias("product_id"), F.col("p_retailprice").alias("standard_cost"))
 
 
 def customers_conformed(spark: SparkSession, base: str) -> DataFrame:

@@ -39,37 +39,29 @@ def read_arrivals(spark: SparkSession, path: str, schema: StructType, fmt: str =
     return reader.load(path)
 
 
-def _drop_copies_per_batch(keys: list[str]):
-    """Vectorised per Arrow batch: keep the first row of each key. No memory
-    beyond the batch, so it is safe on any stream."""
+def split_unparseable(stream: DataFrame, ts_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose event time parses, rows whose event time doesn't).
 
-    def drop(batches):
-        for pdf in batches:
-            yield pdf.drop_duplicates(subset=keys)
+    The second stream belongs in a side table: without an event time a row has no place before or
+    behind a watermark, and its dedup state would expire at once."""
+    parsed = F.col(ts_col).try_cast("timestamp")
+    return stream.where(parsed.isNotNull()), stream.where(parsed.isNull())
 
-    return drop
 
-
-def dedup_within_watermark(stream: DataFrame, ts_col: str, delay: str, keys: Sequence[str],
-                           pre_dedup: bool = True) -> DataFrame:
+def dedup_within_watermark(stream: DataFrame, ts_col: str, delay: str, keys: Sequence[str]) -> DataFrame:
     """R2: drop re-deliveries of a key seen within ``delay`` of event time.
 
     State for a key is kept until the watermark (max event time seen minus
-    ``delay``) passes it. Rows behind the watermark are dropped; Spark judges
+    ``delay``) passes it. Rows behind the watermark are dropped (``run_available`` counts them); Spark judges
     lateness against the previous micro-batch's watermark, so a row is
     dropped once the watermark had moved past it one batch earlier. Choose
-    ``delay`` to cover the expected lateness.
-
-    The stateful step shuffles every row to its key's state partition, with
-    no map-side step of its own. ``pre_dedup`` adds one before the shuffle:
-    copies inside each Arrow batch are dropped (``mapInPandas``, stateless),
-    so a group of copies holding a large share of a micro-batch reaches its
-    task as at most one row per Arrow batch. The stateful step still removes
-    copies across batches, so the result is the same set of keys.
+    ``delay`` to cover the expected lateness. Rows without an event time are left out: see ``split_unparseable``.
+
+    Only Spark's stateful step decides which copy stays. Dropping copies earlier, before lateness
+    is judged, could keep a late copy and lose the one in time. A group of copies meets in its key's
+    state partition; the micro-batch bound (``read_arrivals``) limits how many of them at once.
     """
-    timed = stream.withColumn(EVENT_TIME, F.col(ts_col).try_cast("timestamp"))
-    if pre_dedup:
-        timed = timed.mapInPandas(_drop_copies_per_batch(list(keys)), schema=timed.schema)
+    timed = stream.withColumn(EVENT_TIME, F.col(ts_col).try_cast("timestamp")).where(F.col(EVENT_TIME).isNotNull())
     return (
         timed.withWatermark(EVENT_TIME, delay)
         .dropDuplicatesWithinWatermark(list(keys))
@@ -77,8 +69,10 @@ def dedup_within_watermark(stream: DataFrame, ts_col: str, delay: str, keys: Seq
     )
 
 
-def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet") -> None:
-    """Process everything available now into a file sink, then stop."""
+def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet") -> dict[str, int]:
+    """Process everything available now into a file sink, then stop.
+
+    Returns the rows read and the rows dropped as late, over the micro-batches whose progress Spark still holds (the last 100)."""
     query = (
         stream.writeStream.format(fmt)
         .option("checkpointLocation", checkpoint)
@@ -88,6 +82,9 @@ def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str =
     )
     query.awaitTermination()
     _raise_if_failed(query)
+    progress = query.recentProgress
+    return {"rows": sum(p["numInputRows"] for p in progress),
+            "late": sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"])}
 
 
 def _raise_if_failed(query: StreamingQuery) -> None:

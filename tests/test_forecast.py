@@ -1,5 +1,5 @@
 import numpy as np
-from pyspark.sql import functions as F
+import pytest
 
 from stratum.plans import forecast as fc
 
@@ -44,10 +44,27 @@ def test_elastic_net_matches_textbook_objective(spark):
 
 
 def test_model_save_load_predict(spark, scratch):
-    rows = [("s", "p", f"2024{m:02d}", float(m * 10)) for m in range(1, 13)]
+    rng = np.random.default_rng(3)
+    rows = [("s", "p", f"20{y}{m:02d}", float(rng.normal(50, 9))) for y in (21, 22, 23, 24) for m in range(1, 13)] + [("s", "q", "202405", 7.0)]
     df = spark.createDataFrame(rows, "store_id string, product_id string, year_month string, monthly_revenue double")
-    feats = fc.demand_features(df)
+    feats = fc.demand_features(fc.with_next_month(df))
     path = scratch("model")
-    fc.save_model(fc.train_demand_model(feats), path)
-    preds = fc.predict(fc.load_model(path), feats)
-    assert preds.count() == 9 and preds.where(F.col("prediction").isNull()).count() == 0
+    model = fc.train_demand_model(feats)
+    fc.save_model(model, path, "1")
+    with pytest.raises(Exception):
+        fc.save_model(model, path, "1")  # a version is never overwritten
+    preds = {(r.product_id, r.year_month): r for r in fc.predict(fc.load_model(path, "1"), feats).collect()}
+    assert len(preds) == 51  # every row, and the next month of both series
+    assert preds[("p", "202501")].prediction is not None and preds[("p", "202501")].label is None
+    assert preds[("p", "202102")].prediction is None and preds[("p", "202102")].reason == "lag_2 unknown"
+    assert preds[("q", "202501")].prediction is None
+    assert all(r.optimal for r in fc.optimality(model, feats).collect())
+    with pytest.raises(RuntimeError):
+        fc.train_demand_model(feats, max_iter=1)
+
+
+def test_next_month_of_an_empty_table_and_over_the_year(spark):
+    schema = "store_id string, product_id string, year_month string, monthly_revenue double"
+    assert fc.with_next_month(spark.createDataFrame([], schema)).count() == 0
+    got = fc.with_next_month(spark.createDataFrame([("s", "p", "202312", 1.0)], schema)).collect()
+    assert {r.year_month for r in got} == {"202312", "202401"}

@@ -64,3 +64,19 @@ def test_one_timestamp_per_run(spark):
     at = F.lit("2024-01-01 00:00:00").cast("timestamp")
     stamps = {r[0] for r in build_sales_fact(sales, cust, prod, inserted_at=at).select("dw_inserted_at").collect()}
     assert len(stamps) == 1
+
+
+def test_sums_survive_wild_amounts_and_keep_decimals(spark):
+    from pyspark.sql import functions as F
+
+    from stratum.functions.expressions import money_sum
+
+    rows = [("a", 0.1), ("a", 0.2), ("n", float("nan")), ("n", 1.0), ("i", float("inf")), ("h", 1e17), ("h", 1.0), ("z", None),
+            ("o", 9e13), ("o", None)] + [("m", 8.9e13)] * 2000
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.s for r in df.groupBy("k").agg(money_sum(F.col("v"), df.schema["v"].dataType).alias("s")).collect()}
+    assert got["a"] == 0.3 and got["n"] != got["n"] and got["i"] == float("inf") and got["h"] == 1e17 and got["z"] is None
+    assert got["o"] == 9e13 and abs(got["m"] / 1.78e17 - 1) < 1e-9
+    dec = df.where("k = 'a'").withColumn("v", F.col("v").cast("decimal(18,2)"))
+    out = dec.agg(money_sum(F.col("v"), dec.schema["v"].dataType).alias("s"))
+    assert out.schema["s"].dataType.simpleString() == "decimal(28,2)" and str(out.first().s) == "0.30"
