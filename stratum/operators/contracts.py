@@ -196,7 +196,7 @@ class ContractViolation(ValueError):
 
     def __init__(self, result: ValidationResult):
         self.result = result
-        super().__init__(f"Data Quality validation failed for '{result.asset}'. Pipeline halted.")
+        super().__init__(f"contract {result.suite!r} is broken by {result.asset!r}; nothing was promoted")
 
 
 def validate(df: DataFrame, expectations: Sequence[Expectation], suite: str = "", asset: str = "",

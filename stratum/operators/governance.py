@@ -24,15 +24,16 @@ SENSITIVE_PATTERNS: dict[str, str] = {
 }
 # --- end of fixed values ---
 
-# A literal every match of the pattern contains. Testing it first (a plain
+# A literal every match of the pattern contains, by the pattern itself (a caller's pattern of the same
+# name is another pattern). Testing it first (a plain
 # substring search) skips the regex engine on most values without changing
 # any result; on long texts the unanchored e-mail pattern is ~8x cheaper so.
-REQUIRED_LITERAL = {"email": "@", "ipv4": ".", "secret_assignment": "="}
+REQUIRED_LITERAL = {SENSITIVE_PATTERNS["email"]: "@", SENSITIVE_PATTERNS["ipv4"]: ".", SENSITIVE_PATTERNS["secret_assignment"]: "="}
 
 
-def matches(col: str, name: str, pattern: str) -> Column:
+def matches(col: str, pattern: str) -> Column:
     """``col`` contains a match of ``pattern`` (prefiltered when possible)."""
-    literal = REQUIRED_LITERAL.get(name)
+    literal = REQUIRED_LITERAL.get(pattern)
     test = F.col(col).rlike(pattern)
     return F.col(col).contains(literal) & test if literal else test
 
@@ -56,7 +57,7 @@ def sensitive_scan(df: DataFrame, columns: Sequence[str] | None = None,
     for i, c in enumerate(cols):
         aggs.append(F.count(F.col(c)).alias(f"_n{i}"))
         for j, (name, pat) in enumerate(patterns.items()):
-            aggs.append(F.count_if(matches(c, name, pat)).alias(f"_f{i}_{j}"))
+            aggs.append(F.count_if(matches(c, pat)).alias(f"_f{i}_{j}"))
             rows.append(F.struct(
                 F.lit(c).alias("column_name"), F.lit(name).alias("pattern"),
                 F.col(f"_n{i}").alias("n_values"), F.col(f"_f{i}_{j}").alias("n_flagged"),
@@ -74,7 +75,7 @@ def sensitive_rows(df: DataFrame, id_col: str, columns: Sequence[str] | None = N
     value that contains a match (a narrow map-only job, no shuffle)."""
     cols = list(columns) if columns is not None else [c for c in _string_columns(df) if c != id_col]
     tags = [
-        F.when(matches(c, name, pat), F.struct(F.lit(c).alias("column_name"), F.lit(name).alias("pattern")))
+        F.when(matches(c, pat), F.struct(F.lit(c).alias("column_name"), F.lit(name).alias("pattern")))
         for c in cols for name, pat in patterns.items()
     ]
     return (

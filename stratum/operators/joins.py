@@ -82,7 +82,7 @@ def skew_join(
     key: str,
     how: str = "left",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    salts: int = 32,
+    salts: int | None = None,
     min_share: float = 0.01,
     probe: DataFrame | None = None,
 ) -> DataFrame:
@@ -90,13 +90,17 @@ def skew_join(
 
     * dimension within ``max_broadcast_rows`` (counted): broadcast hash join;
     * otherwise a shuffle join in which every heavy key of ``big`` (see
-      ``heavy_keys``) is spread over ``salts`` partitions: its rows get a salt
-      from a hash of the row, and only that key's dimension rows are
+      ``heavy_keys``) is spread over ``salts`` partitions (default: as many as
+      ``spark.sql.shuffle.partitions``, so that no share of the rows is too much for its tasks; a heavy key's few
+      dimension rows are replicated as often): its rows get a salt
+      from a hash of the row and its partition, and only that key's dimension rows are
       replicated once per salt. Each big row still meets exactly the
-      dimension rows of its key, so the result equals the plain join. The
-      salt also keeps a following aggregate from inheriting the join's
+      dimension rows of its key, so the result equals the plain join whatever
+      the salt. It also keeps a following aggregate from inheriting the join's
       partitioning, so the aggregate shuffles (after a map-side partial step)
       instead of running a hot key's whole group in one task.
+    * rows with a null key meet nothing: they don't go through the shuffle at all, but are
+      added with null dimension columns (left) or dropped (inner).
 
     ``probe`` (default ``big``) is the frame whose ``key`` column the heavy
     keys are estimated from – e.g. the stored input before a join that only
@@ -106,14 +110,23 @@ def skew_join(
         raise ValueError("skew_join supports left and inner joins")
     if at_most(dim, max_broadcast_rows):
         return big.join(F.broadcast(dim), key, how)
+    present = big.where(F.col(key).isNotNull())
     hot = heavy_keys(probe if probe is not None else big, key, min_share)
     if not hot:
-        return big.join(dim, key, how)
-    is_hot = F.col(key).isin(hot)
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    # int salts on both sides, so the join keys need no cast
-    salt = F.pmod(row_hash, F.lit(salts)).cast("int")
-    salted_big = big.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
-    fan = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_dim = dim.withColumn("_salt", F.explode(fan))
-    return salted_big.join(salted_dim, [key, "_salt"], how).drop("_salt")
+        joined = present.join(dim, key, how)
+    else:
+        n = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        is_hot = F.col(key).isin(hot)
+        # int salts on both sides, so the join keys need no cast. A recomputed task gives its rows the same
+        # salts; equal rows spread too, by the partition they are in
+        row = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in big.columns])
+        salt = F.pmod(row, F.lit(n)).cast("int")
+        salted_big = present.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
+        fan = F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+        salted_dim = dim.withColumn("_salt", F.explode(fan))
+        joined = salted_big.join(salted_dim, [key, "_salt"], how).drop("_salt")
+    if how == "inner":
+        return joined
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields if f.name != key]
+    absent = big.where(F.col(key).isNull()).select("*", *nothing)
+    return joined.unionByName(absent)

@@ -140,6 +140,29 @@ def monthly_sales_hot_keys(spark: SparkSession, base: str) -> DataFrame:
     return gold.build_monthly_sales_aggregate(hot_sales_fact(spark, base))
 
 
+_NULL_KEY_SALES = """
+SELECT * REPLACE (CASE WHEN t.customer_id % 3 = 0 THEN NULL ELSE t.customer_id END AS customer_id,
+                  CASE WHEN t.product_id % 3 = 0 THEN NULL ELSE t.product_id END AS product_id) FROM transactions_cleansed t"""
+
+
+@register("sales_fact_null_keys", with_views(f"""
+SELECT t.transaction_id, t.date_key, t.customer_id, t.product_id, t.store_id, t.quantity, t.unit_price,
+       round(t.quantity * t.unit_price, 2) AS total_sales_amount,
+       round((t.unit_price - p.standard_cost) * t.quantity, 2) AS margin_amount
+FROM ({_NULL_KEY_SALES}) t
+LEFT JOIN (SELECT customer_id FROM customers_dirty) c ON t.customer_id = c.customer_id
+LEFT JOIN products_conformed p ON t.product_id = p.product_id""",
+    "transactions_cleansed", "customers_dirty", "products_conformed"))
+def sales_fact_null_keys(spark: SparkSession, base: str) -> DataFrame:
+    """L3 with a third of the customer and product keys null and dimensions beyond the broadcast bound: rows with a null key
+    stay out of the shuffle, none is lost."""
+    none = F.lit(None).cast("bigint")
+    sales = fx.transactions_cleansed(spark, base)
+    for key in ("customer_id", "product_id"):
+        sales = sales.withColumn(key, F.when(F.col(key) % 3 == 0, none).otherwise(F.col(key)))
+    return _without_audit(gold.build_sales_fact(sales, fx.customers_dirty(spark, base), fx.products_conformed(spark, base), max_broadcast_rows=0))
+
+
 @register("customer_dimension", with_views("""
 SELECT customer_id, first_name, last_name, concat_ws(' ', first_name, last_name) AS full_name,
        email, segment, region, is_active

@@ -48,8 +48,9 @@ def local_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    Reads ``spark.checkpoint.dir`` (or a folder already set on the context);
-    only when neither is set does it pick one under the warehouse directory.
+    Reads ``spark.checkpoint.dir`` (or a folder already set on the context). Only in local mode, where one machine
+    holds everything, does it pick one under the warehouse directory when neither is set;
+    on a cluster that would be another folder on each machine, so it raises.
     """
     sc = spark.sparkContext
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
@@ -59,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir() returns <root>/<application uuid>
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     root = f"{warehouse}/_checkpoints"
     sc.setCheckpointDir(root)

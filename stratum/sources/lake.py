@@ -35,13 +35,13 @@ class LakeConfig:
     def __post_init__(self) -> None:
         for key in self.REQUIRED:
             if not getattr(self, key):
-                raise ValueError(f"Configuration must include '{key}'")
+                raise ValueError(f"no {key} given; the lake needs a base path for Silver and for Gold")
 
     @classmethod
     def from_mapping(cls, conf: Mapping[str, str]) -> LakeConfig:
         for key in cls.REQUIRED:
             if key not in conf:
-                raise ValueError(f"Configuration must include '{key}'")
+                raise ValueError(f"no {key} given; the lake needs a base path for Silver and for Gold")
         fields = {k: conf[k] for k in ("silver_base_path", "gold_base_path", "bronze_base_path", "format") if k in conf}
         return cls(**fields)
 

@@ -57,7 +57,7 @@ def test_all_rules_evaluated_and_gate_halts(spark):
     res = err.value.result
     assert [r["success"] for r in res.results] == [False, False, False, False]
     assert res.statistics["unsuccessful_expectations"] == 4
-    assert "Pipeline halted" in str(err.value)
+    assert "nothing was promoted" in str(err.value)
 
 
 def test_two_unique_columns_in_one_pass(spark):
