@@ -9,13 +9,18 @@ original used (documented behaviour, not re-run here):
   unexpected (all copies count); nulls are ignored.
 * ``match_regex`` / ``in_set``: non-null rows that fail are unexpected;
   nulls are ignored (they count only for ``not_null``).
+* ``between`` / ``value_lengths``: non-null rows outside the closed range are
+  unexpected. ``of_type``: all non-null rows are, when the column has another type.
+* ``compound_unique``: like ``unique`` on several columns together; rows with all of
+  them null are ignored.
+* ``column_exists`` and ``row_count``: one check of the table (element count 1).
 * success: ``(denominator - unexpected) / denominator >= mostly``; with a
   zero denominator the rule passes. All rules are evaluated; none
   short-circuits.
 
-Plan: a single scan feeds ``GROUPING SETS ((), (u1), ..., (uk))`` – the
-empty set carries the row-level counts, each ``(ui)`` set the per-value
-counts of one unique rule – with map-side partial aggregation, followed by a
+Plan: a single scan. With one uniqueness rule, an aggregate by its key carries the row-level counts along; with
+several, ``GROUPING SETS ((u1), ..., (uk))`` does, and the row-level counts are summed over the first set.
+Map-side partial aggregation, then a
 one-row aggregate and an unpivot to one row per expectation. Only those rows
 (as many as the suite has rules) ever reach the driver.
 """
@@ -38,6 +43,12 @@ NOT_NULL = "expect_column_values_to_not_be_null"
 UNIQUE = "expect_column_values_to_be_unique"
 MATCH_REGEX = "expect_column_values_to_match_regex"
 IN_SET = "expect_column_values_to_be_in_set"
+BETWEEN = "expect_column_values_to_be_between"
+OF_TYPE = "expect_column_values_to_be_of_type"
+VALUE_LENGTHS = "expect_column_value_lengths_to_be_between"
+COLUMN_EXISTS = "expect_column_to_exist"
+COMPOUND_UNIQUE = "expect_compound_columns_to_be_unique"
+ROW_COUNT = "expect_table_row_count_to_be_between"
 # --- end of fixed values ---
 
 RESULT_COLUMNS = (
@@ -46,23 +57,52 @@ RESULT_COLUMNS = (
 )
 
 
+_RANGED = (BETWEEN, VALUE_LENGTHS, ROW_COUNT)
+_TABLE = (COLUMN_EXISTS, ROW_COUNT)
+_UNIQUE = (UNIQUE, COMPOUND_UNIQUE)
+
+
 @dataclass(frozen=True)
 class Expectation:
     expectation_type: str
-    column: str
+    column: str = ""
     regex: str | None = None
     value_set: tuple = ()
     mostly: float = 1.0
+    min_value: float | None = None
+    max_value: float | None = None
+    type_name: str | None = None
+    column_list: tuple = ()
 
     def __post_init__(self) -> None:
-        if self.expectation_type not in (NOT_NULL, UNIQUE, MATCH_REGEX, IN_SET):
-            raise ValueError(f"unsupported expectation {self.expectation_type!r}")
+        kind = self.expectation_type
+        if kind not in (NOT_NULL, UNIQUE, MATCH_REGEX, IN_SET, *_RANGED, OF_TYPE, COLUMN_EXISTS, COMPOUND_UNIQUE):
+            raise ValueError(f"unsupported expectation {kind!r}")
         if not 0.0 <= self.mostly <= 1.0:
             raise ValueError("mostly must be within [0, 1]")
-        if self.expectation_type == MATCH_REGEX and not self.regex:
-            raise ValueError("match_regex needs a regex")
-        if self.expectation_type == IN_SET and not self.value_set:
-            raise ValueError("in_set needs a value_set")
+        needs = {MATCH_REGEX: ("regex", self.regex), IN_SET: ("value_set", self.value_set), OF_TYPE: ("type_name", self.type_name),
+                 COMPOUND_UNIQUE: ("column_list", len(self.column_list) > 1)}
+        if kind in needs and not needs[kind][1]:
+            raise ValueError(f"{kind} needs a {needs[kind][0]}")
+        if kind in _RANGED and self.min_value is None and self.max_value is None:
+            raise ValueError(f"{kind} needs min_value or max_value")
+        if not self.column and kind not in (ROW_COUNT, COMPOUND_UNIQUE):
+            raise ValueError(f"{kind} needs a column")
+
+    @property
+    def name(self) -> str:
+        """The column, or columns, the rule is about."""
+        return self.column or ",".join(self.column_list)
+
+
+def expectation(expectation_type: str, **kwargs) -> Expectation:
+    """A rule from its type name and its named arguments, as contract documents write them."""
+    for key in ("value_set", "column_list"):
+        if key in kwargs:
+            kwargs[key] = tuple(kwargs[key])
+    if "type_" in kwargs:
+        kwargs["type_name"] = kwargs.pop("type_")
+    return Expectation(expectation_type, **kwargs)
 
 
 def not_null(column: str, mostly: float = 1.0) -> Expectation:
@@ -91,13 +131,39 @@ def customer_contract() -> list[Expectation]:
     ]
 
 
-def _unexpected(e: Expectation) -> Column:
-    c = F.col(e.column)
-    if e.expectation_type == NOT_NULL:
-        return F.count_if(c.isNull())
-    if e.expectation_type == MATCH_REGEX:
-        return F.count_if(c.isNotNull() & ~c.rlike(e.regex))
-    return F.count_if(c.isNotNull() & ~c.isin(list(e.value_set)))
+def _in_range(c: Column, e: Expectation) -> Column:
+    ok = F.lit(True)
+    if e.min_value is not None:
+        ok = ok & (c >= e.min_value)
+    if e.max_value is not None:
+        ok = ok & (c <= e.max_value)
+    return ok
+
+
+def _broken(df: DataFrame, e: Expectation) -> Column:
+    """Whether a row breaks a row-level rule."""
+    c, kind = F.col(e.column), e.expectation_type
+    if kind == NOT_NULL:
+        return c.isNull()
+    if kind == MATCH_REGEX:
+        ok = c.rlike(e.regex)
+    elif kind == IN_SET:
+        ok = c.isin(list(e.value_set))
+    elif kind == BETWEEN:
+        ok = _in_range(c, e)
+    elif kind == VALUE_LENGTHS:
+        ok = _in_range(F.length(c.cast("string")), e)
+    else:
+        ok = F.lit(df.schema[e.column].dataType.simpleString() == e.type_name.lower())
+    return c.isNotNull() & ~ok
+
+
+def _key(e: Expectation) -> Column:
+    """The value of a uniqueness rule; null rows are ignored."""
+    if e.expectation_type == UNIQUE:
+        return F.col(e.column)
+    some = F.coalesce(*[F.col(c).cast("string") for c in e.column_list]).isNotNull()
+    return F.when(some, F.struct(*[F.col(c) for c in e.column_list]))
 
 
 def contract_stats(df: DataFrame, expectations: Sequence[Expectation], suite: str = "",
@@ -105,33 +171,32 @@ def contract_stats(df: DataFrame, expectations: Sequence[Expectation], suite: st
     """One result row per expectation (lazy; nothing runs yet)."""
     if not expectations:
         raise ValueError("a contract needs at least one expectation")
-    uniq_cols = sorted({e.column for e in expectations if e.expectation_type == UNIQUE})
-    row_level = [(i, e) for i, e in enumerate(expectations) if e.expectation_type != UNIQUE]
+    keys = {i: f"_k{i}" for i, e in enumerate(expectations) if e.expectation_type in _UNIQUE}
+    row_level = [(i, e) for i, e in enumerate(expectations) if i not in keys and e.expectation_type not in _TABLE]
+    counted = {e.column for _, e in row_level}
+    base = df.select(*sorted(counted), *[_key(expectations[i]).alias(k) for i, k in keys.items()])
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, e in row_level:
         aggs.append(F.count_if(F.col(e.column).isNull()).alias(f"_m{i}"))
-        aggs.append(_unexpected(e).alias(f"_u{i}"))
-    if not uniq_cols:
-        stats = df.agg(*aggs)
+        aggs.append(F.count_if(_broken(df, e)).alias(f"_u{i}"))
+    if not keys:
+        stats = base.agg(*aggs)
     else:
-        needed = sorted({e.column for e in expectations})
-        grouped = df.select(*needed).groupingSets(
-            [[], *[[u] for u in uniq_cols]], *uniq_cols
-        ).agg(*aggs, *[F.grouping(u).alias(f"_g{j}") for j, u in enumerate(uniq_cols)])
-        # the empty grouping set is the one row where no unique column is grouped
-        flags = [F.col(f"_g{j}") for j in range(len(uniq_cols))]
-        overall = (F.least(*flags) if len(flags) > 1 else flags[0]) == 1
-        final = [F.max(F.when(overall, F.col("_n"))).alias("_n")]
+        names = list(keys.values())
+        if len(names) == 1:
+            grouped = base.groupBy(names[0]).agg(*aggs, F.lit(0).alias(f"_g{names[0]}"))
+        else:
+            grouped = base.groupingSets([[k] for k in names], *names).agg(*aggs, *[F.grouping(k).alias(f"_g{k}") for k in names])
+        # every row is in the first set's groups exactly once
+        first = F.col(f"_g{names[0]}") == 0
+        final = [F.sum(F.when(first, F.col("_n"))).alias("_n")]
         for i, _ in row_level:
-            final.append(F.max(F.when(overall, F.col(f"_m{i}"))).alias(f"_m{i}"))
-            final.append(F.max(F.when(overall, F.col(f"_u{i}"))).alias(f"_u{i}"))
-        for j, u in enumerate(uniq_cols):
-            in_set_j = F.col(f"_g{j}") == 0
-            key = F.col(u)
-            final.append(F.sum(F.when(in_set_j & key.isNull(), F.col("_n"))).alias(f"_null{j}"))
-            final.append(
-                F.sum(F.when(in_set_j & key.isNotNull() & (F.col("_n") > 1), F.col("_n"))).alias(f"_dup{j}")
-            )
+            final.append(F.sum(F.when(first, F.col(f"_m{i}"))).alias(f"_m{i}"))
+            final.append(F.sum(F.when(first, F.col(f"_u{i}"))).alias(f"_u{i}"))
+        for k in names:
+            own, key = F.col(f"_g{k}") == 0, F.col(k)
+            final.append(F.sum(F.when(own & key.isNull(), F.col("_n"))).alias(f"_null{k}"))
+            final.append(F.sum(F.when(own & key.isNotNull() & (F.col("_n") > 1), F.col("_n"))).alias(f"_dup{k}"))
         stats = grouped.agg(*final)
 
     def cnt(name: str) -> Column:
@@ -139,17 +204,20 @@ def contract_stats(df: DataFrame, expectations: Sequence[Expectation], suite: st
 
     rows = []
     for i, e in enumerate(expectations):
-        if e.expectation_type == UNIQUE:
-            j = uniq_cols.index(e.column)
-            missing, unexpected = cnt(f"_null{j}"), cnt(f"_dup{j}")
+        elements = cnt("_n")
+        if i in keys:
+            missing, unexpected = cnt(f"_null{keys[i]}"), cnt(f"_dup{keys[i]}")
+        elif e.expectation_type in _TABLE:
+            ok = F.lit(e.column in df.columns) if e.expectation_type == COLUMN_EXISTS else _in_range(cnt("_n"), e)
+            elements, missing, unexpected = F.lit(1).cast("bigint"), F.lit(0).cast("bigint"), F.when(ok, 0).otherwise(1).cast("bigint")
         else:
             missing, unexpected = cnt(f"_m{i}"), cnt(f"_u{i}")
         rows.append(F.struct(
             F.lit(i).alias("expectation_index"),
             F.lit(e.expectation_type).alias("expectation_type"),
-            F.lit(e.column).alias("column_name"),
+            F.lit(e.name).alias("column_name"),
             F.lit(float(e.mostly)).cast("double").alias("mostly"),
-            cnt("_n").alias("element_count"),
+            elements.alias("element_count"),
             missing.alias("missing_count"),
             unexpected.alias("unexpected_count"),
         ))
@@ -169,6 +237,34 @@ def contract_stats(df: DataFrame, expectations: Sequence[Expectation], suite: st
     )
 
 
+def contract_violations(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
+    """Every row of ``df`` that breaks a rule, once for each rule it breaks, with expectation_index, expectation_type and column_name:
+    the rows to quarantine.
+
+    Row-level rules are map-only; a uniqueness rule joins the rows with the repeated keys. Table rules have no rows.
+    """
+    rules = list(enumerate(expectations))
+    tags = [F.when(_broken(df, e), F.struct(F.lit(i).alias("expectation_index"), F.lit(e.expectation_type).alias("expectation_type"),
+                                            F.lit(e.name).alias("column_name")))
+            for i, e in rules if e.expectation_type not in (*_UNIQUE, *_TABLE)]
+    parts = []
+    if tags:
+        broken = F.filter(F.array(*tags), lambda t: t.isNotNull())
+        parts.append(df.select("*", F.explode(broken).alias("_rule")).select(*df.columns, "_rule.*"))
+    for i, e in rules:
+        if e.expectation_type in _UNIQUE:
+            keyed = df.withColumn("_key", _key(e)).where(F.col("_key").isNotNull())
+            repeated = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_key")
+            parts.append(keyed.join(repeated, "_key", "left_semi").select(
+                *df.columns, F.lit(i).alias("expectation_index"), F.lit(e.expectation_type).alias("expectation_type"), F.lit(e.name).alias("column_name")))
+    if not parts:
+        raise ValueError("the contract has no rule about rows")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @dataclass
 class ValidationResult:
     success: bool

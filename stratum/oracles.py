@@ -137,7 +137,20 @@ def contract_sql(source: str, rules: list[tuple], suite: str, asset: str) -> str
                 f"AS unexpected_count FROM (SELECT {col}, count(*) AS n FROM {source} GROUP BY {col})"
             )
             continue
-        if kind == "not_null":
+        if kind == "table":
+            parts.append(head + f"CAST(1 AS BIGINT) AS element_count, CAST(0 AS BIGINT) AS missing_count, "
+                         f"CAST(CASE WHEN {arg} THEN 0 ELSE 1 END AS BIGINT) AS unexpected_count FROM {source}")
+            continue
+        if kind == "compound":
+            cols = ", ".join(arg)
+            none = " AND ".join(f"{c} IS NULL" for c in arg)
+            parts.append(head + f"CAST(sum(n) AS BIGINT) AS element_count, CAST(coalesce(sum(n) FILTER (WHERE {none}), 0) AS BIGINT) AS missing_count, "
+                         f"CAST(coalesce(sum(n) FILTER (WHERE NOT ({none}) AND n > 1), 0) AS BIGINT) AS unexpected_count "
+                         f"FROM (SELECT {cols}, count(*) AS n FROM {source} GROUP BY {cols})")
+            continue
+        if kind == "bad":
+            bad = f"{col} IS NOT NULL AND {arg}"
+        elif kind == "not_null":
             bad = f"{col} IS NULL"
         elif kind == "regex":
             bad = f"{col} IS NOT NULL AND NOT regexp_matches({col}, '{arg}')"

@@ -267,6 +267,43 @@ def contract_customer_suite_dirty(spark: SparkSession, base: str) -> DataFrame:
     return ct.contract_stats(fx.customers_dirty(spark, base), ct.customer_contract(), SUITE, "customers_dirty")
 
 
+_MORE_RULES = [
+    (ct.expectation(ct.BETWEEN, column="customer_id", min_value=5, max_value=1000, mostly=0.5), ("bad", "customer_id NOT BETWEEN 5 AND 1000")),
+    (ct.expectation(ct.BETWEEN, column="customer_id", min_value=1), ("bad", "customer_id < 1")),
+    (ct.expectation(ct.VALUE_LENGTHS, column="email", min_value=10, max_value=17), ("bad", "length(email) NOT BETWEEN 10 AND 17")),
+    (ct.expectation(ct.VALUE_LENGTHS, column="region", max_value=5), ("bad", "length(region) > 5")),
+    (ct.expectation(ct.OF_TYPE, column="customer_id", type_="bigint"), ("bad", "false")),
+    (ct.expectation(ct.OF_TYPE, column="email", type_="int"), ("bad", "true")),
+    (ct.expectation(ct.COLUMN_EXISTS, column="segment"), ("table", "count(*) >= 0")),
+    (ct.expectation(ct.COLUMN_EXISTS, column="nowhere"), ("table", "count(*) < 0")),
+    (ct.expectation(ct.ROW_COUNT, min_value=1), ("table", "count(*) >= 1")),
+    (ct.expectation(ct.ROW_COUNT, max_value=3), ("table", "count(*) <= 3")),
+    (ct.expectation(ct.COMPOUND_UNIQUE, column_list=["customer_id", "email"]), ("compound", ("customer_id", "email"))),
+    (ct.expectation(ct.COMPOUND_UNIQUE, column_list=["customer_id", "email", "segment"], mostly=0.5), ("compound", ("customer_id", "email", "segment"))),
+    (ct.expectation(ct.UNIQUE, column="email"), ("unique", None)),
+]
+
+
+@register("contract_more_rules", with_views(contract_sql(
+    "customers_dirty", [(i, e.expectation_type, e.name, e.mostly, *sql) for i, (e, sql) in enumerate(_MORE_RULES)],
+    "more_rules", "customers_dirty"), "customers_dirty"))
+def contract_more_rules(spark: SparkSession, base: str) -> DataFrame:
+    """Each further rule type once passing and once failing, in one pass."""
+    return ct.contract_stats(fx.customers_dirty(spark, base), [e for e, _ in _MORE_RULES], "more_rules", "customers_dirty")
+
+
+@register("contract_violations", with_views(f"""
+SELECT c.*, 0 AS expectation_index, '{ct.NOT_NULL}' AS expectation_type, 'customer_id' AS column_name FROM customers_dirty c WHERE customer_id IS NULL
+UNION ALL SELECT c.*, 1, '{ct.UNIQUE}', 'customer_id' FROM customers_dirty c
+  WHERE customer_id IN (SELECT customer_id FROM customers_dirty GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT c.*, 2, '{ct.MATCH_REGEX}', 'email' FROM customers_dirty c WHERE email IS NOT NULL AND NOT regexp_matches(email, '{EMAIL_PATTERN}')
+UNION ALL SELECT c.*, 3, '{ct.IN_SET}', 'region' FROM customers_dirty c WHERE region IS NOT NULL AND region NOT IN ({", ".join(f"'{r}'" for r in REGION_VALUES)})""",
+    "customers_dirty"))
+def contract_violations(spark: SparkSession, base: str) -> DataFrame:
+    """The rows that break the customer contract, with the rule they break."""
+    return ct.contract_violations(fx.customers_dirty(spark, base), ct.customer_contract())
+
+
 @register("contract_gate", with_views("SELECT * FROM customers_conformed", "customers_conformed"))
 def contract_gate(spark: SparkSession, base: str) -> DataFrame:
     """Rows promoted only after the suite passes (it does here)."""
