@@ -25,7 +25,7 @@ TOP = 20
 SCALE = 64
 QUERY_EVERY = 20
 #: Rows of a leaf page, pages of an inner page, rows of a subtree, queries of a block.
-LEAF, FANOUT, SUBTREE, BLOCK = 64, 16, 4096, 256
+LEAF, FANOUT, SUBTREE, BLOCK = 512, 16, 8192, 256
 #: Bounds of what is collected: pivots that deal rows, sampled rows that give every query a first bound.
 PIVOTS, SAMPLE = 256, 2048
 #: Products of components up to this are exact in doubles; larger ones are multiplied as integers.
@@ -55,6 +55,7 @@ class Page:
     radius: float
     to_parent: float
     rows: np.ndarray | None = None
+    values: np.ndarray | None = None
     distance: np.ndarray | None = None
     children: list[Page] | None = None
     centres: np.ndarray | None = None
@@ -90,6 +91,7 @@ class MTree:
         if len(members) <= self.leaf:
             order = np.argsort(distance, kind="stable")
             page.rows, page.distance = members[order], distance[order]
+            page.values = (self.real if self.exact else self.rows)[page.rows]
             return page
         k = min(self.fanout, -(-len(members) // self.leaf))
         seeds = [int(members[distance.argmax()])]
@@ -109,18 +111,13 @@ class MTree:
         page.distance = np.array([c.to_parent for c in page.children])
         return page
 
-    def scores(self, rows: np.ndarray, q: np.ndarray, q_real: np.ndarray) -> np.ndarray:
-        self.computed += len(rows)
-        if self.exact:
-            return np.rint(self.real[rows] @ q_real).astype(np.int64)
-        return self.rows[rows] @ q
-
     def search(self, q: np.ndarray, k: int, least: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, scores) that hold the best ``k`` places, each row filling ``weight`` of them, with all ties of the last;
         only scores of at least ``least``.
 
         Pages and entries are skipped only when the triangle inequality puts them below the current k-th score."""
         q_real = q.astype(np.float64)
+        exact = self.exact and np.abs(q).max(initial=0) < EXACT
         square = float(q_real @ q_real)
         slack = 1e-6 + 1e-9 * (square + self.top_square) ** 0.5
 
@@ -143,14 +140,15 @@ class MTree:
             if page.rows is not None:
                 # |d(q, centre) - d(row, centre)| bounds d(q, row); distances are sorted
                 a, b = np.searchsorted(page.distance, [d - far, d + far])
-                rows = page.rows[a:b + 1]
-                if not len(rows):
+                if a > b or a == len(page.rows):
                     continue
-                s = self.scores(rows, q, q_real)
-                good = s >= bound
-                if not good.any():
+                values = page.values[a:b + 1]
+                s = values @ q_real if exact else values.astype(np.int64) @ q  # whole numbers, exact either way
+                self.computed += len(s)
+                good = np.flatnonzero(s >= bound)
+                if not len(good):
                     continue
-                best_rows, best_scores = np.append(best_rows, rows[good]), np.append(best_scores, s[good])
+                best_rows, best_scores = np.append(best_rows, page.rows[a + good]), np.append(best_scores, s[good].astype(np.int64))
                 order = np.argsort(-best_scores, kind="stable")
                 best_rows, best_scores = best_rows[order], best_scores[order]
                 filled = np.searchsorted(np.cumsum(weight[best_rows]), k)
@@ -177,16 +175,20 @@ def matrix(column, dim: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
 
 
-def first_bound(q: np.ndarray, own: int, sample: np.ndarray, ids: list[list[int]], k: int) -> int:
-    """A score that at least ``k`` rows of the sample other than the query's own reach; very low without that many."""
-    s = dot(sample, q) if len(sample) else np.zeros(0, np.int64)
-    order = np.argsort(-s, kind="stable")
-    places = 0
-    for i in order[:k + 1].tolist():
-        places += sum(x != own for x in ids[i])
-        if places >= k:
-            return int(s[i])
-    return -(1 << 62)
+def first_bounds(q: np.ndarray, own: list[int], sample: np.ndarray, ids: list[list[int]], k: int) -> list[int]:
+    """For each query a score that at least ``k`` rows of the sample other than its own reach; very low without that many."""
+    out = []
+    scores = dot(sample, q.T).T if len(sample) else np.zeros((len(q), 0), np.int64)
+    for s, i in zip(scores, own, strict=True):
+        best = np.argpartition(-s, k)[:k + 1] if len(s) > k + 1 else np.arange(len(s))
+        places, bound = 0, -(1 << 62)
+        for row in best[np.argsort(-s[best], kind="stable")].tolist():
+            places += sum(x != i for x in ids[row])
+            if places >= k:
+                bound = int(s[row])
+                break
+        out.append(bound)
+    return out
 
 
 def top_k(vectors: DataFrame, k: int = TOP, query_every: int = QUERY_EVERY, scale: int = SCALE, subtree: int = SUBTREE,
@@ -255,7 +257,7 @@ def _search_dim(items: DataFrame, asked: DataFrame, dim: int, n: int, top_square
             for lo in range(0, batch.num_rows, BLOCK):
                 own = batch.column(0).slice(lo, BLOCK).to_numpy(zero_copy_only=False)
                 q = matrix(batch.column(1).slice(lo, BLOCK), dim)
-                least = [first_bound(x, i, rows, ids, k) for i, x in zip(own.tolist(), q, strict=True)]
+                least = first_bounds(q, own.tolist(), rows, ids, k)
                 data = np.column_stack([own, least, q]).astype(np.int64).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["block"])
 
