@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import arrow_text as at
 from stratum.llm.substring_dedup import LOG2_BLOCK, merge_sketches, partition_sketch
-from stratum.operators.joins import join_small
+from stratum.operators.joins import at_most, join_small
 from stratum.session import checkpoint_root
 
 SHINGLE = 5
@@ -32,7 +32,7 @@ SHINGLE = 5
 NUM, DEN = 3, 4
 LOG2_CELLS = 28
 CHUNK = 2_000_000
-PAGE = 256
+PAGE = 512
 HEAVY = 16
 
 
@@ -95,7 +95,7 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     keep = wide[code]
     row, column = row[keep], place[code[keep]]
     total = np.zeros((len(sets), len(sets)), np.float32)
-    width = 20_000
+    width = 10_000
     for lo in range(0, int(wide.sum()), width):
         own = (column >= lo) & (column < lo + width)
         block = np.zeros((len(sets), width), np.float32)
@@ -208,17 +208,20 @@ def described(slim: DataFrame, shared, log2_cells: int) -> DataFrame:
     return slim.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, tokens binary, prefix array<long>")
 
 
-def page_components(sets: DataFrame, turn: int, partitions: int) -> DataFrame:
-    """(rep, root, key, n, tokens): components within each page of a group.
-
-    ``sets`` has rep, key (the group: a set's first token, which sets of similarity t share with
-    about that probability), n and tokens. A group of more than ``PAGE`` sets is dealt over pages; tokens
-    are kept only for roots of such groups, which meet again in the next turn."""
+def paged(sets: DataFrame, turn: int) -> DataFrame:
+    """``sets`` with the page of their group; a group of more than ``PAGE`` sets is dealt over several."""
     big = sets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > PAGE)
-    dealt = join_small(sets, big, "key", "left").withColumn("pages", F.ceil(F.coalesce("members", F.lit(1)) / F.lit(PAGE)).cast("long"))
-    dealt = dealt.select("key", F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("pages")).alias("page"),
-                         "rep", "n", "tokens", (F.col("pages") > 1).alias("more"))
+    pages = F.ceil(F.coalesce("members", F.lit(1)) / F.lit(PAGE)).cast("long")
+    return join_small(sets, big, "key", "left").withColumn("pages", pages).select(
+        "key", F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("pages")).alias("page"), "rep", "n", "tokens",
+        (F.col("pages") > 1).alias("more"))
+
+
+def page_components(sets: DataFrame, turn: int, partitions: int) -> DataFrame:
+    """(rep, root, key, page, n, tokens): components within each page of a group, all pairs of a page compared.
 
+    ``sets`` has rep, key (the group), n and tokens; tokens
+    are kept only for roots of groups of several pages, which meet again in the next turn."""
     def run(batches):
         for group in sorted_groups(batches, 2):
             reps = group.column("rep").to_numpy()
@@ -232,58 +235,56 @@ def page_components(sets: DataFrame, turn: int, partitions: int) -> DataFrame:
                 label = np.zeros(1, np.int64)
             more = group.column("more")[0].as_py()
             keep = [sets_[order[i]].tobytes() if more and label[i] == i else None for i in range(len(order))]
+            place = [group.column(c).combine_chunks().take(pa.array(order)) for c in ("key", "page")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(reps[order]), pa.array(reps[order][label]), group.column("key").combine_chunks().take(pa.array(order)),
-                 pa.array(size[order], pa.int64()), pa.array(keep, pa.binary())], names=["rep", "root", "key", "n", "tokens"])
+                [pa.array(reps[order]), pa.array(reps[order][label]), *place, pa.array(size[order], pa.int64()), pa.array(keep, pa.binary())],
+                names=["rep", "root", "key", "page", "n", "tokens"])
 
-    return dealt.repartition(partitions, "key", "page").sortWithinPartitions("key", "page").mapInArrow(
-        run, "rep long, root long, key long, n long, tokens binary")
+    return paged(sets, turn).repartition(partitions, "key", "page").sortWithinPartitions("key", "page").mapInArrow(
+        run, "rep long, root long, key long, page long, n long, tokens binary")
 
 
 def opened_links(members: DataFrame, queries: DataFrame, partitions: int) -> DataFrame:
-    """(a, b): classes with a similar pair. ``members`` (cls, page, n, tokens) are the groups, ``queries`` (cls, page, own, n, tokens)
+    """(a, b): classes with a similar pair. ``members`` (home, cls, tokens) are the groups, ``queries`` (home, cls, tokens, rep)
     the sets asked against them.
 
     A group's union and least size are made once; a query whose overlap with the union rules out every member size is
-    turned away unopened."""
-    rows = members.select("cls", "page", F.lit(0).alias("kind"), F.col("cls").alias("own"), "tokens").unionByName(
-        queries.select("cls", "page", F.lit(1).alias("kind"), "own", "tokens"))
+    turned away unopened. Queries pass by in parts, so a group that many ask holds its members and one part."""
+    rows = members.select("home", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("part"), "cls", "tokens").unionByName(
+        queries.select("home", F.lit(1).alias("kind"), F.pmod(F.xxhash64("rep"), F.lit(64)).alias("part"), "cls", "tokens"))
 
     def run(batches):
-        found: list[tuple[int, int]] = []
-        for group in sorted_groups(batches, 2):
-            kind = group.column("kind").to_numpy()
-            own, sets_ = group.column("own").to_numpy(), binary_sets(group.column("tokens"))
-            cls = group.column("cls")[0].as_py()
-            inside = [s for s, k in zip(sets_, kind, strict=True) if k == 0]
-            if not inside:
+        found: set[tuple[int, int]] = set()
+        home = None
+        for group in sorted_groups(batches, 3):
+            own, sets_ = group.column("cls").to_numpy(), binary_sets(group.column("tokens"))
+            if group.column("kind")[0].as_py() == 0:
+                home, cls = group.column("home")[0].as_py(), own
+                size = np.array([len(s) for s in sets_])
+                flat, member = np.concatenate(sets_), np.repeat(np.arange(len(sets_)), size)
+                union = np.unique(flat)
                 continue
-            size = np.array([len(s) for s in inside])
-            flat, member = np.concatenate(inside), np.repeat(np.arange(len(inside)), size)
-            union = np.unique(flat)
-            done = set()
-            for s, o, k in zip(sets_, own.tolist(), kind, strict=True):
-                if k == 0 or o in done:
+            if group.column("home")[0].as_py() != home:
+                continue
+            for s, o in zip(sets_, own.tolist(), strict=True):
+                other = cls != o
+                if not other.any():
                     continue
                 at_ = np.searchsorted(union, s)
                 overlap = int((union[np.minimum(at_, len(union) - 1)] == s).sum())
-                least = max(int(size.min()), overlap)
-                if overlap == 0 or not is_link(overlap, len(s), least):
+                if overlap == 0 or not is_link(overlap, len(s), max(int(size.min()), overlap)):
                     continue  # no member size fits under this overlap
                 place = np.searchsorted(s, flat)
                 hit = s[np.minimum(place, len(s) - 1)] == flat
-                common = np.bincount(member[hit], minlength=len(inside))
-                if is_link(common, len(s), size).any():
-                    found.append((o, cls))
-                    done.add(o)
+                common = np.bincount(member[hit], minlength=len(size))
+                found |= {(o, int(c)) for c in np.unique(cls[other & is_link(common, len(s), size)])}
             if len(found) > 10_000:
-                yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema=PAIRS)
-                found = []
+                yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in sorted(found)], schema=PAIRS)
+                found = set()
         if found:
-            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema=PAIRS)
+            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in sorted(found)], schema=PAIRS)
 
-    return rows.repartition(partitions, "cls", "page").sortWithinPartitions("cls", "page", "kind").mapInArrow(
-        run, "a long, b long")
+    return rows.repartition(partitions, "home").sortWithinPartitions("home", "kind", "part").mapInArrow(run, "a long, b long")
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -316,10 +317,11 @@ def join_components(docs: DataFrame, log2_cells: int = LOG2_CELLS, id_col: str =
     doc_id take no part and get a null component. Repeated rows are returned as often as they come. Other columns are
     left out; an empty table gives no rows.
 
-    Scale: copies (equal sets) are collapsed map-side first, so a group of copies costs one row a task.
-    Of each group, pages of at most about 256 sets are compared as one product; roots of big
-    groups meet again turn by turn, so thousands of near copies become one class without all their pairs. Matrix rows are then (token,
-    class), and only classes that share a token without being linked yet are opened, the smaller one asking page by page of the larger.
+    Scale: copies (equal sets) are collapsed map-side first, so a group of copies costs one row a task. Only sets with a
+    token that finds another set go on. A set's group is the most shared of its tokens; of each group, pages of at most about ``PAGE``
+    sets are compared as one product, and roots of bigger groups meet again turn by turn, so thousands of near
+    copies become one class without all their pairs. Matrix rows are then (token, page) with the range of the page's classes; only pages
+    that share a token and are not of one class already meet, the smaller one's sets asking the larger one.
     Only bitmaps of a fixed size are broadcast.
     """
     spark = docs.sparkSession
@@ -329,11 +331,22 @@ def join_components(docs: DataFrame, log2_cells: int = LOG2_CELLS, id_col: str =
     shared = spark.sparkContext.broadcast(sketch_bits(slim, log2_cells))
     texts = described(slim, shared, log2_cells).checkpoint()
     open_texts = texts.where(F.col("tokens").isNotNull() & F.col("doc_id").isNotNull())
-    sets = open_texts.groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"),
-        F.first("prefix").alias("prefix")).withColumn("key", F.col("prefix")[0]).checkpoint()
-
-    roots = page_components(sets.select("rep", "key", "n", "tokens"), 0, partitions).checkpoint()
+    copies = open_texts.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    if at_most(open_texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1), 0):
+        # one row an id: a set's row is its smallest id's, found without moving tokens when the ids are few
+        copies = copies.checkpoint()
+        sets = join_small(open_texts.select(F.col("doc_id").alias("rep"), "n", "tokens", "prefix"), copies, "rep", "inner")
+    else:
+        sets = open_texts.groupBy("k1", "k2").agg(
+            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"),
+            F.first("prefix").alias("prefix")).checkpoint()
+
+    lookups = sets.select("rep", F.explode("prefix").alias("token"))
+    shared_tokens = lookups.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where(F.col("holders") > 1)
+    lookups = lookups.join(shared_tokens, "token").checkpoint()
+    keys = lookups.groupBy("rep").agg(F.max_by("token", F.struct("holders", "token")).alias("key"))
+    met = join_small(sets.select("rep", "n", "tokens"), keys.checkpoint(), "rep", "inner")
+    roots = page_components(met, 0, partitions).checkpoint()
     classes = roots.select("rep", F.col("root").alias("cls"))
     waiting, turn, before = roots.where(F.col("tokens").isNotNull()), 1, None
     while (n := waiting.count()) and n != before:
@@ -342,30 +355,27 @@ def join_components(docs: DataFrame, log2_cells: int = LOG2_CELLS, id_col: str =
             "rep", F.coalesce("up", "cls").alias("cls")).checkpoint()
         waiting, turn, before = merged.where(F.col("tokens").isNotNull()), turn + 1, n
 
-    matrix = sets.select("rep", F.explode("prefix").alias("token")).join(classes, "rep").select("token", "cls").distinct()
-    mine, other = matrix.alias("x"), matrix.alias("y")
-    pairs = mine.join(other, (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") < F.col("y.cls"))).select(
-        F.col("x.cls").alias("c1"), F.col("y.cls").alias("c2")).distinct()
-    size = sets.select("rep", "n", "tokens").join(classes, "rep")
-    about = size.groupBy("cls").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
-    one = about.select(F.col("cls").alias("c1"), F.col("members").alias("m1"), F.col("low").alias("l1"), F.col("high").alias("h1"))
-    two = about.select(F.col("cls").alias("c2"), F.col("members").alias("m2"), F.col("low").alias("l2"), F.col("high").alias("h2"))
-    pairs = pairs.join(one, "c1").join(two, "c2").where((DEN * F.col("h1") >= NUM * F.col("l2")) & (DEN * F.col("h2") >= NUM * F.col("l1")))
-    asks = F.col("m1") <= F.col("m2")
-    pairs = pairs.select(
-        F.when(asks, F.col("c1")).otherwise(F.col("c2")).alias("own"), F.when(asks, F.col("c2")).otherwise(F.col("c1")).alias("cls"),
-        F.when(asks, F.col("l2")).otherwise(F.col("l1")).alias("low"), F.when(asks, F.col("h2")).otherwise(F.col("h1")).alias("high"),
-        F.ceil(F.greatest("m1", "m2") / F.lit(PAGE)).cast("long").alias("pages")).checkpoint()
-    asked = pairs.select("cls", "pages").distinct()
-    members = size.join(asked, "cls").select(
-        "cls", F.pmod(F.xxhash64("rep"), F.col("pages")).alias("page"), "n", "tokens")
-    queries = pairs.join(size.withColumnRenamed("cls", "own"), "own").where(
-        (DEN * F.col("n") >= NUM * F.col("low")) & (DEN * F.col("high") >= NUM * F.col("n"))).select(
-        "cls", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)).alias("page"), "own", "n", "tokens")
-    links = opened_links(members, queries, partitions).distinct()
-    final = least_reachable(links)
-    known = sets.select("k1", "k2", "rep").join(classes, "rep").join(final, "cls", "left").select(
-        "k1", "k2", F.coalesce("component", "cls").alias("component_id"))
+    placed = roots.select("rep", "n", F.xxhash64("key", "page").alias("home")).join(classes, "rep").checkpoint()
+    matrix = join_small(lookups.select("rep", "token"), placed, "rep", "inner").groupBy("token", "home").agg(
+        F.min("cls").alias("low"), F.max("cls").alias("high"))
+    one, two = (matrix.select("token", *[F.col(c).alias(f"{c}{k}") for c in ("home", "low", "high")]) for k in (1, 2))
+    settled = (F.col("low1") == F.col("high1")) & (F.col("low1") == F.col("low2")) & (F.col("low2") == F.col("high2"))
+    pairs = one.join(two, "token").where((F.col("home1") < F.col("home2")) & ~settled).select("home1", "home2").distinct()
+    about = placed.groupBy("home").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max("n").alias("most"))
+    for k in (1, 2):
+        pairs = pairs.join(about.select(*[F.col(c).alias(f"{c}{k}") for c in about.columns]), f"home{k}")
+    fits = (DEN * F.col("most1") >= NUM * F.col("least2")) & (DEN * F.col("most2") >= NUM * F.col("least1"))
+    asks = F.col("members1") <= F.col("members2")
+    pairs = pairs.where(fits).select(F.when(asks, F.col("home1")).otherwise(F.col("home2")).alias("from"),
+                                     F.when(asks, F.col("home2")).otherwise(F.col("home1")).alias("home")).checkpoint()
+    # narrow rows say who goes where; tokens then move once, to the page that is asked
+    asked = placed.join(pairs.select("home").distinct(), "home").select("rep", "home", "cls")
+    asking = placed.withColumnRenamed("home", "from").join(pairs, "from").select("rep", "home", "cls")
+    members = join_small(sets.select("rep", "tokens"), asked.checkpoint(), "rep", "inner")
+    queries = join_small(sets.select("rep", "tokens"), asking.checkpoint(), "rep", "inner")
+    final = least_reachable(opened_links(members, queries, partitions).distinct())
+    known = sets.select("k1", "k2", "rep").join(classes, "rep", "left").withColumn("cls", F.coalesce("cls", "rep")).join(
+        final, "cls", "left").select("k1", "k2", F.coalesce("component", "cls").alias("component_id"))
     inside = texts.where(F.col("tokens").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "n", "k1", "k2")
     outside = texts.where(F.col("tokens").isNull() | F.col("doc_id").isNull())
     return inside.join(known, ["k1", "k2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(
