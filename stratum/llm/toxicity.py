@@ -25,6 +25,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from stratum.llm import arrow_text as at
 from stratum.operators.joins import join_small
+from stratum.session import checkpoint_root
 
 ALPHABET = 64
 FEATURES = ALPHABET ** 3
@@ -261,7 +262,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_word
     the model finds on the toxic side are witnesses and turn positive, the words of clean texts that
     come closest join the negatives. None when a class is missing: then every text scores 0.
     """
-    spark = docs.sparkSession
+    checkpoint_root(docs.sparkSession)
     sample, prior = training_sample(docs, labels, max_docs, id_col, text_col)
     sample = sample.select("text", "toxic").checkpoint()
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
