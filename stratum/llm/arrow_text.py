@@ -131,13 +131,6 @@ def groups(values: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
 
 
-def groups2(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(start, end) of the runs of equal pairs."""
-    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-    edges = np.append(np.flatnonzero(new), len(a))
-    yield from zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
-
-
 def next_prime(n: int) -> int:
     n = max(2, n)
     while any(n % d == 0 for d in range(2, int(n ** 0.5) + 1)):

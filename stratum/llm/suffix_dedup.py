@@ -4,7 +4,7 @@ A byte goes when a string of 400 bytes covers it that starts anywhere else too.
 strings are suffixes cut at 400 bytes. Equal ones hold the same anchor – the smallest
 hashed piece among those that start in their first bytes – so suffixes are dealt over
 tasks by anchor, in segments of consecutive starts that share one. A merged count sketch drops segments whose anchor
-occurs once. Where an anchor comes with different surroundings, its suffixes are sorted: multikey quicksort to a
+occurs once; of the others, digests tell whole copies. Where an anchor comes with different contents, its suffixes are sorted: multikey quicksort to a
 shallow depth, then blind tries for groups that are still equal; neighbours equal to the full length are repeats.
 """
 
@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 
 from stratum.llm import arrow_text as at
 from stratum.llm.substring_dedup import LOG2_BLOCK, merge_packed, merge_sketches, packed_runs, partition_sketch
+from stratum.session import checkpoint_root
 
 LENGTH = 400
 #: Starts among which the anchor is chosen, and the narrower step by which frequent anchors are dealt.
 SPREAD, STEP = 128, 32
 SHALLOW = 32
-LOG2_CELLS = 27
+LOG2_CELLS = 28
 HEAVY = 16
 CHUNK = 24 << 20
 PIECE = 1 << 20
@@ -218,11 +219,12 @@ def repeated_starts(texts: list[bytes], weight: np.ndarray, count: np.ndarray, l
     return np.split(hit, np.cumsum(count)[:-1])
 
 
-FIELDS = 8  # key, digest, digest, doc, first start, starts, weight, bytes of text
+FIELDS = 7  # key, digest, doc, first start, starts, weight, bytes of text
 
 
 def candidate_rows(batches, twice: np.ndarray, heavy: np.ndarray, log2_cells: int, n_keys: int, n_docs: int,
-                   length: int, spread: int, step: int) -> Iterator[pa.RecordBatch]:
+                   length: int, spread: int, step: int, contested: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Packed rows of candidate segments: digests only, or with texts where the anchor is ``contested``."""
     held: list[tuple] = []
     n = 0
     for data, ends, docs, offsets in packs(batches, length):
@@ -234,19 +236,25 @@ def candidate_rows(batches, twice: np.ndarray, heavy: np.ndarray, log2_cells: in
             continue
         hot = lookup(gram, heavy, log2_cells)
         # frequent anchors: cut at every ``step`` bytes before the anchor and dealt by the longer piece all its strings hold
-        piece, first, count, anchor, gram, lead = split_hot(rolling, piece, first, count, anchor, gram, hot, length, step)
+        piece, first, count, anchor, gram = split_hot(rolling, piece, first, count, anchor, gram, hot, length, step)
+        if contested is not None:
+            keep = lookup(gram, contested, log2_cells)
+            piece, first, count, anchor, gram = piece[keep], first[keep], count[keep], anchor[keep], gram[keep]
+            if not len(first):
+                continue
         end = first + count + length - 1
         salt = (anchor - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + count.astype(np.uint64)
-        d1, d2 = at.mix(rolling.of(first, end) ^ at.mix(salt)), at.mix(rolling.of(first, end, 1) ^ at.mix(salt + np.uint64(1)))
+        # equal contents have equal keys and digests: 128 bits, of two independent hashes
+        digest = at.mix(rolling.of(first, end, 1) ^ at.mix(salt))
         begins = np.append(0, ends[:-1])
-        held.append((gram, d1, d2, docs[piece], offsets[piece] + first - begins[piece], count,
-                     [data[a:b].tobytes() for a, b in zip(first.tolist(), end.tolist(), strict=True)]))
-        n += int(count.sum()) + len(count) * length
+        held.append((gram, digest, docs[piece], offsets[piece] + first - begins[piece], count,
+                     [data[a:b].tobytes() for a, b in zip(first.tolist(), end.tolist(), strict=True)] if contested is not None else []))
+        n += 64 * len(count) + sum(map(len, held[-1][5]))
         if n >= CHUNK:
-            yield chunk_rows(held, n_keys, n_docs)
+            yield chunk_rows(held, n_keys, n_docs, contested is not None)
             held, n = [], 0
     if held:
-        yield chunk_rows(held, n_keys, n_docs)
+        yield chunk_rows(held, n_keys, n_docs, contested is not None)
 
 
 def lookup(value: np.ndarray, bitmap: np.ndarray, log2_cells: int) -> np.ndarray:
@@ -265,19 +273,19 @@ def split_hot(rolling, piece, first, count, anchor, gram, hot, length, step):
     bottom = np.where(hot[which], np.maximum(low[which], b * step), low[which])
     new_first, new_count = anchor[which] - top, top - bottom + 1
     at_ = anchor[which] - b * step
-    # a piece may begin after at_ only if no start of this block needs it; then the block is empty
     wide = np.zeros(len(which), np.uint64)
     h = hot[which]
     # all strings of the block hold [anchor - b * step, + length - step + 1)
     wide[h] = at.mix(rolling.of(at_[h], at_[h] + length - step + 1) ^ at.mix(b[h].astype(np.uint64) + np.uint64(7)))
-    return piece[which], new_first, new_count, anchor[which], np.where(h, wide, gram[which]), b
+    return piece[which], new_first, new_count, anchor[which], np.where(h, wide, gram[which])
 
 
-def chunk_rows(held, n_keys: int, n_docs: int) -> pa.RecordBatch:
-    """Rows (bucket, kind, data): one occurrence of each segment content with its text, and the starts known to repeat within the chunk."""
-    gram, d1, d2, doc, lo, count = (np.concatenate([h[k] for h in held]) for k in range(6))
-    texts = [t for h in held for t in h[6]]
-    order, new = by_content(gram, d1, d2, doc, lo)
+def chunk_rows(held, n_keys: int, n_docs: int, with_text: bool) -> pa.RecordBatch:
+    """Rows (bucket, kind, data): one occurrence of each segment content with its weight (and text), and,
+    without texts, the starts known to repeat within the chunk."""
+    gram, digest, doc, lo, count = (np.concatenate([h[k] for h in held]) for k in range(5))
+    texts = [t for h in held for t in h[5]]
+    order, new = by_content(gram, digest, doc, lo)
     group = np.cumsum(new) - 1
     times = np.bincount(group)
     again = order[times[group] > 1]
@@ -289,13 +297,13 @@ def chunk_rows(held, n_keys: int, n_docs: int) -> pa.RecordBatch:
     squeeze = zstandard.ZstdCompressor(level=3)
     for a, b in at.groups(bucket[by]):
         own = one[by[a:b]]
-        blob = b"".join([texts[i] for i in own.tolist()])
-        size = np.array([len(texts[i]) for i in own.tolist()])
-        head = at.pack(gram[own].view(np.int64), d1[own].view(np.int64), d2[own].view(np.int64), doc[own], lo[own], count[own], weight[by[a:b]], size)
+        blob = b"".join([texts[i] for i in own.tolist()]) if with_text else b""
+        size = np.array([len(texts[i]) for i in own.tolist()], np.int64) if with_text else np.zeros(len(own), np.int64)
+        head = at.pack(gram[own].view(np.int64), digest[own].view(np.int64), doc[own], lo[own], count[own], weight[by[a:b]], size)
         keys.append(int(bucket[by[a]]))
         kinds.append(0)
         out.append(len(head).to_bytes(8, "little") + head + squeeze.compress(blob))
-    if len(again):
+    if len(again) and not with_text:
         for k, d in packed_runs(*spread_runs(doc[again], lo[again], count[again]), n_docs):
             keys.append(k)
             kinds.append(1)
@@ -304,11 +312,11 @@ def chunk_rows(held, n_keys: int, n_docs: int) -> pa.RecordBatch:
                                       names=["bucket", "kind", "data"])
 
 
-def by_content(gram, d1, d2, doc, lo) -> tuple[np.ndarray, np.ndarray]:
+def by_content(gram, digest, doc, lo) -> tuple[np.ndarray, np.ndarray]:
     """(order, new): rows sorted by content, one for each place; new marks a content's first."""
-    order = np.lexsort((lo, doc, d2, d1, gram))
+    order = np.lexsort((lo, doc, digest, gram))
     same = lambda x: np.append(False, x[order][1:] == x[order][:-1])
-    content = same(gram) & same(d1) & same(d2)
+    content = same(gram) & same(digest)
     keep = ~(content & same(doc) & same(lo))  # a repeated row of the table is no second place
     return order[keep], ~content[keep]
 
@@ -319,25 +327,50 @@ def spread_runs(doc, lo, count):
     return doc[which], lo[which] + nth
 
 
-def resolve(table: pa.Table, n_docs: int, length: int) -> pa.Table:
-    """Removed starts of one bucket, as (document bucket, runs)."""
-    kind, data = table.column("kind").to_numpy(), table.column("data").to_pylist()
-    passed = [d for k, d in zip(kind, data, strict=True) if k == 1]
-    out = [(table.column("bucket")[0].as_py(), merge_packed(passed))] if passed else []
+def unpacked(table: pa.Table, with_text: bool):
+    """Columns of a bucket's candidate rows in content order, one row a place, and the texts."""
     heads, blobs = [], []
-    for k, d in zip(kind, data, strict=True):
-        if k == 0:
-            n = int.from_bytes(d[:8], "little")
-            heads.append(at.unpack(d[8:8 + n], FIELDS))
+    for d in [d for k, d in zip(table.column("kind").to_pylist(), table.column("data").to_pylist(), strict=True) if k == 0]:
+        n = int.from_bytes(d[:8], "little")
+        heads.append(at.unpack(d[8:8 + n], FIELDS))
+        if with_text:
             blobs.append(zstandard.ZstdDecompressor().decompress(d[8 + n:]))
-    if heads:
-        gram, d1, d2, doc, lo, count, weight, size = (np.concatenate(x) for x in zip(*heads, strict=True))
-        ends = np.cumsum(size)
-        blob = b"".join(blobs)
-        del blobs
-        rows = np.lexsort((-weight, lo, doc, d2, d1, gram))  # of one place, the heavier row stays
-        gram, d1, d2, doc, lo, count, weight, size, ends = (x[rows] for x in (gram, d1, d2, doc, lo, count, weight, size, ends))
-        order, _ = by_content(gram, d1, d2, doc, lo)
+    if not heads:
+        return None
+    gram, digest, doc, lo, count, weight, size = (np.concatenate(x) for x in zip(*heads, strict=True))
+    end = np.cumsum(size)
+    rows = np.lexsort((-weight, lo, doc, digest, gram))  # of one place, the heavier row stays
+    order, _ = by_content(*(x[rows] for x in (gram, digest, doc, lo)))
+    rows = rows[order]
+    return (*(x[rows] for x in (gram, digest, doc, lo, count, weight, size, end)), b"".join(blobs))
+
+
+def copies(table: pa.Table, n_docs: int, log2_cells: int) -> pa.Table:
+    """Of one bucket of digests: (0, document bucket, runs) of the contents that occur twice, and (1, block, cells) of the
+    anchors that come with different contents."""
+    passed = [d for k, d in zip(table.column("kind").to_pylist(), table.column("data").to_pylist(), strict=True) if k == 1]
+    out = [(0, table.column("bucket")[0].as_py(), merge_packed(passed))] if passed else []
+    if (columns := unpacked(table, False)) is not None:
+        gram, digest, doc, lo, count, weight, _, _, _ = columns
+        new = np.ones(len(gram), bool)
+        new[1:] = (gram[1:] != gram[:-1]) | (digest[1:] != digest[:-1])
+        content = np.cumsum(new) - 1
+        twice = np.bincount(content, weight)[content] >= 2
+        if twice.any():
+            out += [(0, k, d) for k, d in packed_runs(*spread_runs(doc[twice], lo[twice], count[twice]), n_docs)]
+        anchors_, contents = np.unique(gram[new], return_counts=True)
+        several = anchors_[contents > 1].view(np.uint64)
+        if len(several):  # twice, as the merged bits are of what is counted twice
+            out += [(1, b, c) for b, c in partition_sketch(np.repeat(several, 2), log2_cells, (1,))]
+    kinds, keys, data = zip(*out, strict=True) if out else ((), (), ())
+    return pa.table({"kind": pa.array(kinds, pa.int32()), "bucket": pa.array(keys, pa.int64()), "runs": pa.array(data, pa.binary())})
+
+
+def resolve(table: pa.Table, n_docs: int, length: int) -> pa.Table:
+    """Removed starts of one bucket of contested segments, by sorting their suffixes, as (document bucket, runs)."""
+    out: list[tuple[int, bytes]] = []
+    if (columns := unpacked(table, True)) is not None:
+        gram, digest, doc, lo, count, weight, size, end, blob = columns
         found_doc, found_pos = [], []
         part: list[tuple] = []
         starts = 0
@@ -346,25 +379,19 @@ def resolve(table: pa.Table, n_docs: int, length: int) -> pa.Table:
             hits = repeated_starts([t for t, _, _, _ in part], np.array([w for _, w, _, _ in part]), np.array([c for _, _, c, _ in part]), length)
             for (_, _, _, rows), hit in zip(part, hits, strict=True):
                 at_ = np.flatnonzero(hit)
-                for r in rows.tolist():
+                for r in rows:
                     found_doc.append(np.full(len(at_), doc[r]))
                     found_pos.append(lo[r] + at_)
 
-        for a, b in at.groups(gram[order]):
-            rows = order[a:b]
-            if b - a == 1:
-                continue  # one occurrence in one chunk: what repeats within the chunk is known
-            both = list(at.groups2(d1[rows], d2[rows]))
-            if len(both) == 1:  # copies of one content: every start repeats
-                w, p = spread_runs(doc[rows], lo[rows], count[rows])
-                found_doc.append(w)
-                found_pos.append(p)
-                continue
-            for x, y in both:
-                r = rows[x]
-                part.append((blob[ends[r] - size[r]:ends[r]], int(weight[rows[x:y]].sum()), int(count[r]), rows[x:y]))
+        for a, b in at.groups(gram):
+            contents = list(at.groups(digest[a:b]))
+            if len(contents) == 1:
+                continue  # not contested: its digest told all
+            for x, y in contents:
+                r = a + x
+                part.append((blob[end[r] - size[r]:end[r]], int(weight[a + x:a + y].sum()), int(count[r]), range(a + x, a + y)))
                 starts += int(count[r])
-            if starts > 400_000:
+            if starts > 300_000:
                 sort_part()
                 part.clear()
                 starts = 0
@@ -375,6 +402,25 @@ def resolve(table: pa.Table, n_docs: int, length: int) -> pa.Table:
     return pa.table({"bucket": pa.array([b for b, _ in out], pa.int64()), "runs": pa.array([d for _, d in out], pa.binary())})
 
 
+def collected_bits(parts: DataFrame, log2_cells: int, least: int = 0) -> tuple[bytes, bytes]:
+    """Merged bitmaps of partition sketches (block, cells); their size is fixed by ``log2_cells``."""
+    partitions = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def merge(batches):
+        for block, twice, heavy in merge_sketches(batches, log2_cells, least):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([twice], pa.binary()), pa.array([heavy], pa.binary())],
+                                             names=["block", "twice", "heavy"])
+
+    merged = parts.repartition(partitions, "block").mapInArrow(merge, "block int, twice binary, heavy binary")
+    size = (1 << min(LOG2_BLOCK, log2_cells)) // 8
+    bits = [bytearray(max(1, (1 << log2_cells) // 8)) for _ in range(2)]
+    for row in merged.toLocalIterator():
+        bits[0][row.block * size:(row.block + 1) * size] = row.twice
+        if least:
+            bits[1][row.block * size:(row.block + 1) * size] = row.heavy
+    return bytes(bits[0]), bytes(bits[1])
+
+
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, step: int = STEP, log2_cells: int = LOG2_CELLS,
                 buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row.
@@ -383,10 +429,11 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, ste
     string goes, the first too; overlapping occurrences count. Rows with a null doc_id take no part and stay whole. Repeated rows of one doc_id are one
     document: what repeats only between them stays. Other columns are left out; an empty table gives no rows.
 
-    Scale: three exchanges – sketch blocks, candidate segments, texts with their removed runs. A segment content is sent
+    Scale: segments travel as digests first; only those of anchors that come with different contents travel again
+    with their bytes, to be sorted. A content is sent
     once a chunk of a task with its weight, so copies cost one row a chunk. Anchors counted ``HEAVY`` times or more are dealt by a
     longer piece of the string instead, so a common passage does not bring all its different surroundings
-    into one task. Only bitmaps of a fixed size (2 * 16 MB) are broadcast; beyond their capacity more unique segments travel, the result is the same.
+    into one task. Only bitmaps of a fixed size (3 * 32 MB) are broadcast; beyond their capacity more unique segments travel, the result is the same.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -413,26 +460,26 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, ste
         if held:
             yield flush()
 
-    def merge(batches):
-        for block, twice, heavy in merge_sketches(batches, log2_cells, HEAVY):
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([twice], pa.binary()), pa.array([heavy], pa.binary())],
-                                             names=["block", "twice", "heavy"])
-
-    merged = placed.mapInArrow(sketch, "block int, cells binary").repartition(partitions, "block").mapInArrow(
-        merge, "block int, twice binary, heavy binary")
-    size = (1 << min(LOG2_BLOCK, log2_cells)) // 8
-    twice, heavy = bytearray(max(1, (1 << log2_cells) // 8)), bytearray(max(1, (1 << log2_cells) // 8))
-    for row in merged.toLocalIterator():
-        twice[row.block * size:(row.block + 1) * size] = row.twice
-        heavy[row.block * size:(row.block + 1) * size] = row.heavy
-    shared = spark.sparkContext.broadcast((bytes(twice), bytes(heavy)))
+    checkpoint_root(spark)
+    shared = spark.sparkContext.broadcast(collected_bits(placed.mapInArrow(sketch, "block int, cells binary"), log2_cells, HEAVY))
 
-    def candidates(batches):
+    def digests(batches):
         bits = [np.frombuffer(b, np.uint8) for b in shared.value]
         yield from candidate_rows(batches, *bits, log2_cells, n_keys, n, length, spread, step)
 
-    gone = placed.mapInArrow(candidates, "bucket long, kind int, data binary").groupBy("bucket").applyInArrow(
+    packed = "bucket long, kind int, data binary"
+    known = placed.mapInArrow(digests, packed).groupBy("bucket").applyInArrow(
+        lambda table: copies(table, n, log2_cells), "kind int, bucket long, runs binary").checkpoint()
+    anchors_ = known.where(F.col("kind") == 1).select(F.col("bucket").cast("int").alias("block"), F.col("runs").alias("cells"))
+    contested = spark.sparkContext.broadcast(collected_bits(anchors_, log2_cells)[0])
+
+    def texts(batches):
+        bits = [np.frombuffer(b, np.uint8) for b in shared.value]
+        yield from candidate_rows(batches, *bits, log2_cells, n_keys, n, length, spread, step, np.frombuffer(contested.value, np.uint8))
+
+    sorted_ = placed.mapInArrow(texts, packed).groupBy("bucket").applyInArrow(
         lambda table: resolve(table, n, length), "bucket long, runs binary")
+    gone = known.where(F.col("kind") == 0).select("bucket", "runs").unionByName(sorted_)
 
     def cut(key, left: pa.Table, right: pa.Table) -> pa.Table:
         parts = [at.unpack(d, 3) for d in right.column("runs").to_pylist()]
