@@ -28,6 +28,8 @@ LENGTH = 400
 SPREAD, STEP = 128, 32
 SHALLOW = 32
 LOG2_CELLS = 28
+#: Cells of the sketches of frequent anchors' longer pieces.
+LOG2_WIDE = 26
 HEAVY = 16
 CHUNK = 24 << 20
 PIECE = 1 << 20
@@ -36,23 +38,37 @@ _RNG = np.random.default_rng(20240817)
 TABLES = _RNG.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def powers(n: int, base: int) -> np.ndarray:
+    low = at.powers(1024, base)
+    return (at.powers(-(-n // 1024), pow(base, 1024, 1 << 64))[:, None] * low).reshape(-1)[:n]
+
+
 class Rolling:
     """Polynomial hashes of any stretch of a piece of bytes."""
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
-        self.inverse = at.powers(n + 1, at.BASE_INVERSE)
-        power = at.powers(n, at.BASE)
-        self.sums = []
-        for table in TABLES:
-            s = np.zeros(n + 1, np.uint64)
-            np.cumsum(table[data] * power, out=s[1:])
-            self.sums.append(s)
+        self.data = data
+        self.inverse = powers(len(data) + 1, at.BASE_INVERSE)
+        self.sums: dict[int, np.ndarray] = {}
+
+    def summed(self, which: int) -> np.ndarray:
+        if which not in self.sums:
+            s = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum(TABLES[which][self.data] * powers(len(self.data), at.BASE), out=s[1:])
+            self.sums[which] = s
+        return self.sums[which]
 
     def of(self, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-        s = self.sums[which]
+        s = self.summed(which)
         return (s[end] - s[start]) * self.inverse[start]
 
+    def every(self, width: int) -> np.ndarray:
+        """Of every stretch of ``width`` bytes."""
+        s = self.summed(0)
+        out = s[width:] - s[:-width]
+        out *= self.inverse[:len(out)]
+        return out
+
 
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the leftmost smallest of every ``width`` values (compared by their leading 40 bits)."""
@@ -72,8 +88,7 @@ def anchors(data: np.ndarray, length: int = LENGTH, spread: int = SPREAD) -> tup
     """(hashes, anchor of every start) of a piece of at least ``length`` bytes. The anchor depends only on the string's own bytes."""
     rolling = Rolling(data)
     width = length - spread + 1
-    start = np.arange(len(data) - width + 1)
-    return rolling, sliding_argmin(at.mix(rolling.of(start, start + width)), spread)
+    return rolling, sliding_argmin(at.mix(rolling.every(width)), spread)
 
 
 def pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -222,8 +237,8 @@ def repeated_starts(texts: list[bytes], weight: np.ndarray, count: np.ndarray, l
 FIELDS = 7  # key, digest, doc, first start, starts, weight, bytes of text
 
 
-def candidate_rows(batches, twice: np.ndarray, heavy: np.ndarray, log2_cells: int, n_keys: int, n_docs: int,
-                   length: int, spread: int, step: int, contested: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+def candidate_rows(batches, twice: np.ndarray, heavy: np.ndarray, wide: list[tuple[np.ndarray, np.ndarray]], log2_cells: int, n_keys: int,
+                   n_docs: int, length: int, spread: int, step: int, contested: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Packed rows of candidate segments: digests only, or with texts where the anchor is ``contested``."""
     held: list[tuple] = []
     n = 0
@@ -235,8 +250,14 @@ def candidate_rows(batches, twice: np.ndarray, heavy: np.ndarray, log2_cells: in
         if not len(first):
             continue
         hot = lookup(gram, heavy, log2_cells)
-        # frequent anchors: cut at every ``step`` bytes before the anchor and dealt by the longer piece all its strings hold
-        piece, first, count, anchor, gram = split_hot(rolling, piece, first, count, anchor, gram, hot, length, step)
+        # frequent anchors: cut at every ``step`` bytes before the anchor and dealt by the longer piece all its strings
+        # hold; pieces still frequent again by smaller steps, down to whole strings
+        for narrow, bits in zip(steps_of(step), [*wide, None], strict=True):
+            piece, first, count, anchor, gram, hot = split_hot(rolling, piece, first, count, anchor, gram, hot, length, narrow)
+            if bits is not None:
+                keep = ~hot | lookup(gram, bits[0], wide_cells(log2_cells))
+                piece, first, count, anchor, gram, hot = (x[keep] for x in (piece, first, count, anchor, gram, hot))
+                hot &= lookup(gram, bits[1], wide_cells(log2_cells))
         if contested is not None:
             keep = lookup(gram, contested, log2_cells)
             piece, first, count, anchor, gram = piece[keep], first[keep], count[keep], anchor[keep], gram[keep]
@@ -262,6 +283,65 @@ def lookup(value: np.ndarray, bitmap: np.ndarray, log2_cells: int) -> np.ndarray
     return (bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
 
 
+def steps_of(step: int) -> list[int]:
+    """Steps by which frequent anchors are dealt, one after the other: at the last one a key holds whole strings."""
+    return sorted({step, max(1, step // 4), 1}, reverse=True)
+
+
+def wide_cells(log2_cells: int) -> int:
+    return min(LOG2_WIDE, log2_cells)
+
+
+def counted(values: np.ndarray, log2_cells: int, level: int = 0) -> Iterator[tuple[int, int, bytes]]:
+    """(level, block, cells) of partition sketches that count each value up to ``HEAVY`` times. A sketch counts two at
+    most, so what occurs more often within a task comes in further sketches."""
+    values = np.sort(values)
+    for _ in range(0, max(2, HEAVY), 2):
+        for block, cells in partition_sketch(values, log2_cells, (1,)):
+            yield level, block, cells
+        values = values[2:][values[2:] == values[:-2]]
+        if not len(values):
+            return
+
+
+def counted_rows(found: Iterator[tuple[int, np.ndarray]], log2_cells: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Sketch rows of (level, values), ``most`` values at a time."""
+    held: dict[int, list[np.ndarray]] = {}
+    size = 0
+
+    def flush():
+        rows = [r for level, parts in held.items() for r in counted(np.concatenate(parts), log2_cells, level)]
+        levels, blocks, cells = zip(*rows, strict=True) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(cells, pa.binary()), pa.array(levels, pa.int32())],
+                                          names=["block", "cells", "level"])
+
+    for level, values in found:
+        held.setdefault(level, []).append(values)
+        size += len(values)
+        if size >= most:
+            yield flush()
+            held, size = {}, 0
+    if held:
+        yield flush()
+
+
+def narrow_grams(batches, length: int, spread: int) -> Iterator[tuple[int, np.ndarray]]:
+    for data, ends, _, _ in packs(batches, length):
+        rolling, _, _, _, anchor = segments(data, ends, length, spread)
+        yield 0, at.mix(rolling.of(anchor, anchor + length - spread + 1))
+
+
+def wide_grams(batches, heavy: np.ndarray, log2_cells: int, length: int, spread: int, step: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(level, keys) of the longer pieces of frequent anchors, by every step but the last."""
+    for data, ends, _, _ in packs(batches, length):
+        rolling, piece, first, count, anchor = segments(data, ends, length, spread)
+        gram = at.mix(rolling.of(anchor, anchor + length - spread + 1))
+        hot = lookup(gram, heavy, log2_cells)
+        own = [x[hot] for x in (piece, first, count, anchor, gram)]
+        for level, narrow in enumerate(steps_of(step)[:-1]):
+            yield level, split_hot(rolling, *own, hot[hot], length, narrow)[4]
+
+
 def split_hot(rolling, piece, first, count, anchor, gram, hot, length, step):
     back = anchor - first  # of the first start; falls by one a start
     low = back - count + 1
@@ -276,8 +356,8 @@ def split_hot(rolling, piece, first, count, anchor, gram, hot, length, step):
     wide = np.zeros(len(which), np.uint64)
     h = hot[which]
     # all strings of the block hold [anchor - b * step, + length - step + 1)
-    wide[h] = at.mix(rolling.of(at_[h], at_[h] + length - step + 1) ^ at.mix(b[h].astype(np.uint64) + np.uint64(7)))
-    return piece[which], new_first, new_count, anchor[which], np.where(h, wide, gram[which])
+    wide[h] = at.mix(rolling.of(at_[h], at_[h] + length - step + 1) ^ at.mix(b[h].astype(np.uint64) + np.uint64(7 + (step << 32))))
+    return piece[which], new_first, new_count, anchor[which], np.where(h, wide, gram[which]), h
 
 
 def chunk_rows(held, n_keys: int, n_docs: int, with_text: bool) -> pa.RecordBatch:
@@ -403,7 +483,7 @@ def resolve(table: pa.Table, n_docs: int, length: int) -> pa.Table:
 
 
 def collected_bits(parts: DataFrame, log2_cells: int, least: int = 0) -> tuple[bytes, bytes]:
-    """Merged bitmaps of partition sketches (block, cells); their size is fixed by ``log2_cells``."""
+    """Merged bitmaps of partition sketches (block, cells), compressed; their size is fixed by ``log2_cells``."""
     partitions = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def merge(batches):
@@ -418,7 +498,11 @@ def collected_bits(parts: DataFrame, log2_cells: int, least: int = 0) -> tuple[b
         bits[0][row.block * size:(row.block + 1) * size] = row.twice
         if least:
             bits[1][row.block * size:(row.block + 1) * size] = row.heavy
-    return bytes(bits[0]), bytes(bits[1])
+    return zstandard.ZstdCompressor(level=1).compress(bits[0]), zstandard.ZstdCompressor(level=1).compress(bits[1])
+
+
+def bitmap(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
 
 
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, step: int = STEP, log2_cells: int = LOG2_CELLS,
@@ -432,8 +516,9 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, ste
     Scale: segments travel as digests first; only those of anchors that come with different contents travel again
     with their bytes, to be sorted. A content is sent
     once a chunk of a task with its weight, so copies cost one row a chunk. Anchors counted ``HEAVY`` times or more are dealt by a
-    longer piece of the string instead, so a common passage does not bring all its different surroundings
-    into one task. Only bitmaps of a fixed size (3 * 32 MB) are broadcast; beyond their capacity more unique segments travel, the result is the same.
+    longer piece of the string instead, and pieces counted as often again by still longer ones, up to the whole string, so a
+    common passage of any length does not bring all its different surroundings into one task: a key with different contents
+    has fewer than ``HEAVY`` segments. Only bitmaps of a fixed size (3 * 32 MB, 4 * 8 MB) are broadcast; beyond their capacity more unique segments travel, the result is the same.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -442,30 +527,23 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, ste
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("data"))
     placed = slim.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= length))
 
-    def sketch(batches):
-        held, size = [], 0
-
-        def flush():
-            out = list(partition_sketch(np.concatenate(held), log2_cells, (1,)))
-            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([c for _, c in out], pa.binary())],
-                                              names=["block", "cells"])
-
-        for data, ends, _, _ in packs(batches, length):
-            rolling, _, _, _, anchor = segments(data, ends, length, spread)
-            held.append(at.mix(rolling.of(anchor, anchor + length - spread + 1)))
-            size += len(held[-1])
-            if size >= 2_000_000:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
-
     checkpoint_root(spark)
-    shared = spark.sparkContext.broadcast(collected_bits(placed.mapInArrow(sketch, "block int, cells binary"), log2_cells, HEAVY))
+    sketches = "block int, cells binary, level int"
+    narrow = placed.mapInArrow(lambda batches: counted_rows(narrow_grams(batches, length, spread), log2_cells), sketches)
+    shared = spark.sparkContext.broadcast(collected_bits(narrow.drop("level"), log2_cells, HEAVY))
+
+    def longer(batches):
+        yield from counted_rows(wide_grams(batches, bitmap(shared.value[1]), log2_cells, length, spread, step), wide_cells(log2_cells))
+
+    levels = placed.mapInArrow(longer, sketches).checkpoint()
+    wide = spark.sparkContext.broadcast([collected_bits(levels.where(F.col("level") == k).drop("level"), wide_cells(log2_cells), HEAVY)
+                                         for k in range(len(steps_of(step)) - 1)])
+
+    def sketch_bits():
+        return *map(bitmap, shared.value), [tuple(map(bitmap, pair)) for pair in wide.value]
 
     def digests(batches):
-        bits = [np.frombuffer(b, np.uint8) for b in shared.value]
-        yield from candidate_rows(batches, *bits, log2_cells, n_keys, n, length, spread, step)
+        yield from candidate_rows(batches, *sketch_bits(), log2_cells, n_keys, n, length, spread, step)
 
     packed = "bucket long, kind int, data binary"
     known = placed.mapInArrow(digests, packed).groupBy("bucket").applyInArrow(
@@ -474,8 +552,7 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, ste
     contested = spark.sparkContext.broadcast(collected_bits(anchors_, log2_cells)[0])
 
     def texts(batches):
-        bits = [np.frombuffer(b, np.uint8) for b in shared.value]
-        yield from candidate_rows(batches, *bits, log2_cells, n_keys, n, length, spread, step, np.frombuffer(contested.value, np.uint8))
+        yield from candidate_rows(batches, *sketch_bits(), log2_cells, n_keys, n, length, spread, step, bitmap(contested.value))
 
     sorted_ = placed.mapInArrow(texts, packed).groupBy("bucket").applyInArrow(
         lambda table: resolve(table, n, length), "bucket long, runs binary")

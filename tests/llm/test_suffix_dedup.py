@@ -103,3 +103,29 @@ def test_whole_table_at_400_bytes(spark):
     rows = [(r.doc_id, (r.text or "").encode()) for r in docs.select("doc_id", "text").collect()]
     out = {r[0]: tuple(r[1:5]) for r in sd.dedup_bytes(docs).collect()}
     assert out == brute(rows, 400)
+
+
+@pytest.mark.parametrize("passage", [380, 1000])
+def test_hot_passage_with_different_surroundings_is_dealt_out(spark, monkeypatch, tmp_path, passage):
+    """No key that has different contents brings ``HEAVY`` of them into one task, as digests or as texts."""
+    rng = random.Random(passage)
+    draw = lambda n: bytes(rng.choice(b"abcdefghijklmnop") for _ in range(n))
+    shared, ends = draw(passage), [draw(30) for _ in range(3)]
+    rows = [(d, draw(rng.randrange(40, 120)) + (rng.choice(ends) if d % 3 == 0 else b"") + shared
+             + (rng.choice(ends) if d % 2 == 0 else b"") + draw(rng.randrange(40, 120))) for d in range(2000)]
+    folder = str(tmp_path)
+
+    def noted(plain, with_text):
+        def run(table, *args):
+            columns = sd.unpacked(table, with_text)
+            if columns is not None:
+                _, contents = np.unique(np.unique(np.stack(columns[:2], 1), axis=0)[:, 0], return_counts=True)
+                open(f"{folder}/{with_text}-{contents.max()}", "w").close()
+            return plain(table, *args)
+        return run
+
+    monkeypatch.setattr(sd, "copies", noted(sd.copies, False))
+    monkeypatch.setattr(sd, "resolve", noted(sd.resolve, True))
+    assert got(spark, rows, 400, sd.SPREAD, sd.STEP) == sorted(((d, *v) for d, v in brute(rows, 400).items()), key=str)
+    most = {k: max(int(p.name.split("-")[1]) for p in tmp_path.glob(f"{k}-*")) for k in (False, True)}
+    assert most[False] < sd.HEAVY and most[True] < sd.HEAVY
