@@ -314,8 +314,8 @@ def join_components(docs: DataFrame, log2_cells: int = LOG2_CELLS, id_col: str =
     Two texts link when 100 * intersection >= 75 * union of their five-word shingle sets; ``component_id`` is the
     smallest doc_id reachable by links. Null, empty and blank texts have no set and link with nothing (their own id);
     texts of one to four words link only with texts of the same words. Rows with a null
-    doc_id take no part and get a null component. Repeated rows are returned as often as they come. Other columns are
-    left out; an empty table gives no rows.
+    doc_id take no part and get a null component. Repeated rows are returned as often as they come; different texts of one
+    doc_id keep their own ``n_shingles`` and are linked. Other columns are left out; an empty table gives no rows.
 
     Scale: copies (equal sets) are collapsed map-side first, so a group of copies costs one row a task. Only sets with a
     token that finds another set go on. A set's group is the most shared of its tokens; of each group, pages of at most about ``PAGE``
@@ -332,7 +332,8 @@ def join_components(docs: DataFrame, log2_cells: int = LOG2_CELLS, id_col: str =
     texts = described(slim, shared, log2_cells).checkpoint()
     open_texts = texts.where(F.col("tokens").isNotNull() & F.col("doc_id").isNotNull())
     copies = open_texts.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    if at_most(open_texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1), 0):
+    unique = at_most(texts.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1), 0)
+    if unique:
         # one row an id: a set's row is its smallest id's, found without moving tokens when the ids are few
         copies = copies.checkpoint()
         sets = join_small(open_texts.select(F.col("doc_id").alias("rep"), "n", "tokens", "prefix"), copies, "rep", "inner")
@@ -355,6 +356,16 @@ def join_components(docs: DataFrame, log2_cells: int = LOG2_CELLS, id_col: str =
             "rep", F.coalesce("up", "cls").alias("cls")).checkpoint()
         waiting, turn, before = merged.where(F.col("tokens").isNotNull()), turn + 1, n
 
+    if not unique:
+        # one class a row, the least; the classes of all texts of one id are linked
+        least = classes.groupBy("rep").agg(F.min("cls").alias("least"))
+        same_row = classes.join(least, "rep").select(F.col("cls").alias("a"), F.col("least").alias("b"))
+        classes = least.withColumnRenamed("least", "cls").checkpoint()
+        held = open_texts.select("doc_id", "k1", "k2").distinct().join(sets.select("k1", "k2", "rep"), ["k1", "k2"]).join(
+            classes, "rep", "left").select("doc_id", F.coalesce("cls", "rep").alias("a"))
+        same_id = held.join(held.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b")
+        same = same_row.union(same_id).where(F.col("a") != F.col("b")).distinct().checkpoint()
+
     placed = roots.select("rep", "n", F.xxhash64("key", "page").alias("home")).join(classes, "rep").checkpoint()
     matrix = join_small(lookups.select("rep", "token"), placed, "rep", "inner").groupBy("token", "home").agg(
         F.min("cls").alias("low"), F.max("cls").alias("high"))
@@ -373,10 +384,15 @@ def join_components(docs: DataFrame, log2_cells: int = LOG2_CELLS, id_col: str =
     asking = placed.withColumnRenamed("home", "from").join(pairs, "from").select("rep", "home", "cls")
     members = join_small(sets.select("rep", "tokens"), asked.checkpoint(), "rep", "inner")
     queries = join_small(sets.select("rep", "tokens"), asking.checkpoint(), "rep", "inner")
-    final = least_reachable(opened_links(members, queries, partitions).distinct())
+    links = opened_links(members, queries, partitions)
+    final = least_reachable((links if unique else links.union(same)).distinct())
     known = sets.select("k1", "k2", "rep").join(classes, "rep", "left").withColumn("cls", F.coalesce("cls", "rep")).join(
         final, "cls", "left").select("k1", "k2", F.coalesce("component", "cls").alias("component_id"))
     inside = texts.where(F.col("tokens").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "n", "k1", "k2")
     outside = texts.where(F.col("tokens").isNull() | F.col("doc_id").isNull())
-    return inside.join(known, ["k1", "k2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(
-        outside.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))).withColumnRenamed("doc_id", id_col)
+    inside = inside.join(known, ["k1", "k2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    outside = outside.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    if not unique:
+        of_id = inside.groupBy("doc_id").agg(F.min("component_id").alias("own"))
+        outside = outside.join(of_id, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("own", "component_id").alias("component_id"))
+    return inside.union(outside).withColumnRenamed("doc_id", id_col)

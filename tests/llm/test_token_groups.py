@@ -82,3 +82,13 @@ def test_reach_is_sufficient():
     for n in range(1, 200):
         least = -(-3 * n // 4)
         assert tg.reach(n) == n - least + 1
+
+
+def test_different_texts_of_one_id(spark):
+    """Each row comes once, and the id's texts are of one component, also one that is like no other."""
+    words = lambda k, n=30: " ".join(f"w{k}x{i}" for i in range(n))
+    rows = [(5, words(1)), (5, words(2)), (6, words(1)), (7, words(2)), (8, words(1) + " end"), (8, words(3)),
+            (3, words(3)), (9, words(4)), (9, words(1)), (10, words(5))]
+    out = got(spark, rows, log2_cells=18)
+    assert len(out) == len(rows)
+    assert sorted(str(r[2]) for r in out) == ["10"] + ["3"] * 9
