@@ -35,7 +35,7 @@ EXACT = 1 << 20
 def quantised(embedding: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of every component as longs; null for a null vector, one with a null or non-finite component, or an empty one."""
     wide = F.transform(embedding, lambda x: x.cast("double"))
-    good = F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(1e15)))
+    good = F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return F.when(good & (F.size(wide) > 0), F.transform(wide, lambda x: F.floor(F.lit(float(scale)) * x).cast("long")))
 
 
@@ -212,8 +212,10 @@ def top_k(vectors: DataFrame, k: int = TOP, query_every: int = QUERY_EVERY, scal
     near = Window.partitionBy("v").orderBy("id")
     kept = rows.distinct().withColumn("place", F.row_number().over(near)).where(F.col("place") <= k + 1)
     items = kept.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("dim", F.size("v")).checkpoint()
-    square = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     stats = {r["dim"]: (r["n"], r["top"]) for r in items.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("top")).collect()}
+    if any(top >= 2.0 ** 62 for _, top in stats.values()):
+        raise ValueError(f"squared norm of a vector, times {scale} squared, is 2^62 or more: scores may not fit a long")
     asked = rows.where(F.col("id") % query_every == 0).distinct().withColumn("dim", F.size("v"))
     found = None
     for dim in sorted(stats):  # usually one

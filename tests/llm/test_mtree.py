@@ -85,3 +85,10 @@ def test_few_rows_and_empty(spark):
 def test_large_components_stay_exact(spark):
     rows = [(i * 20, [1e7 + i, -1e7 + 3 * i]) for i in range(30)]
     assert got(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("large", [1e15, 1e200])
+def test_finite_vectors_are_not_left_out(spark, large):
+    """A score that may not fit a long is an error, not a missing row."""
+    with pytest.raises(ValueError, match="fit a long"):
+        got(spark, [(0, [1.0, 2.0]), (1, [large, 0.0])])
