@@ -265,7 +265,7 @@ def candidate_rows(batches, twice: np.ndarray, heavy: np.ndarray, wide: list[tup
                 continue
         end = first + count + length - 1
         salt = (anchor - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + count.astype(np.uint64)
-        # equal contents have equal keys and digests: 128 bits, of two independent hashes
+        # equal contents have equal keys and digests; within a key only these 64 bits tell contents apart
         digest = at.mix(rolling.of(first, end, 1) ^ at.mix(salt))
         begins = np.append(0, ends[:-1])
         held.append((gram, digest, docs[piece], offsets[piece] + first - begins[piece], count,
