@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, mixing, mtree, quality, secrets, substring_dedup, suffix_dedup, token_groups, toxicity, url_rules
+from stratum.llm import bpe, mixing, mtree, quality, ring, secrets, substring_dedup, suffix_dedup, token_groups, toxicity, url_rules
 from stratum.llm.text import LOWER, UPPER
 from stratum.session import checkpoint_root
 from stratum.sources.tables import read_table
@@ -189,3 +189,8 @@ SELECT doc_id, size, source_size, target,
 @register("op10_source_mix", _OP10_SQL)
 def op10_source_mix(spark: SparkSession, base: str) -> DataFrame:
     return mixing.mix(read_table(spark, base, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op12_ring_shards")
+def op12_ring_shards(spark: SparkSession, base: str) -> DataFrame:
+    return ring.assign(read_table(spark, base, "documents"))
