@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, mixing, mtree, quality, ring, secrets, substring_dedup, suffix_dedup, token_groups, toxicity, url_rules
+from stratum.llm import (
+    bpe, filter_audit, mixing, mtree, quality, ring, secrets, substring_dedup, suffix_dedup, token_groups, toxicity, url_rules, whitening)
 from stratum.llm.text import LOWER, UPPER
 from stratum.session import checkpoint_root
 from stratum.sources.tables import read_table
@@ -191,6 +192,43 @@ def op10_source_mix(spark: SparkSession, base: str) -> DataFrame:
     return mixing.mix(read_table(spark, base, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+#: The SQL replays every order step by step; nothing of it uses coalition values.
+_OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rn, list_filter(regexp_split_to_array(t, '{SPACE_RE}'), lambda x: x <> '') AS ws FROM d),
+first AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+lab AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+    100 * (length(t) - length(translate(t, '{UPPER}', ''))) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(d.doc_id > least, false)] AS fails, coalesce(good, false) AS good, coalesce(lab.toxic, false) AS toxic
+  FROM d JOIN w USING (rn) JOIN first USING (t) LEFT JOIN lab ON lab.doc_id = d.doc_id),
+g AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY ALL),
+i(i) AS (SELECT unnest(range(1, 6))),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM i a, i b, i c, i d, i e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT part, o, step, o[step] AS k, n, good, toxic, fails, len(list_filter(o[1:step - 1], lambda x: fails[x])) > 0 AS gone
+  FROM g, o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, o, step, k,
+    coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails[k]), 0) AS kept, coalesce(sum(n) FILTER (WHERE NOT gone AND fails[k]), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE gone AND fails[k]), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE fails[k] AND len(list_filter(fails, lambda x: x)) = 1), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE NOT gone AND fails[k]), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails[k]), 0) AS toxic_lost
+  FROM s GROUP BY ALL)
+SELECT part, array_to_string(list_transform(o, lambda x: 'ABCDE'[x]), '') AS filter_order, CAST(step AS INTEGER) AS step,
+    CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+    CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM r"""
+
+
+@register("op11_filter_audit", _OP11_SQL)
+def op11_filter_audit(spark: SparkSession, base: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, base, "documents"), read_table(spark, base, "labels"))
+
+
 @register("op12_ring_shards")
 def op12_ring_shards(spark: SparkSession, base: str) -> DataFrame:
     return ring.assign(read_table(spark, base, "documents"))
+
+
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, base: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, base, "embeddings"))
