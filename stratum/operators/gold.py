@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.expressions import full_name, money_sum, round2, year_month_of
 from stratum.operators.conform import dedup_exact, dedup_latest
-from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, skew_join
+from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, HotKeys, at_most, skew_join
 from stratum.session import checkpoint_root
 
 FACT_KEYS = ("transaction_id", "date_key", "customer_id", "product_id", "store_id", "quantity", "unit_price")
@@ -20,8 +20,8 @@ def _inserted_at(at: Column | None) -> Column:
     return (at if at is not None else F.current_timestamp()).alias("dw_inserted_at")
 
 
-def customer_fanout(sales: DataFrame, customers: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def customer_fanout(sales: DataFrame, customers: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    hot: HotKeys | None = None) -> DataFrame:
     """Row multiplicity of ``sales LEFT JOIN customers USING (customer_id)``
     when no customer column is kept.
 
@@ -43,7 +43,7 @@ def customer_fanout(sales: DataFrame, customers: DataFrame,
         return sales  # no repeated key: the join cannot add or remove a row
     checkpoint_root(customers.sparkSession)
     repeats = repeats.checkpoint()  # computed once for the size check and the join
-    joined = skew_join(sales, repeats, "customer_id", "left", max_broadcast_rows)
+    joined = skew_join(sales, repeats, "customer_id", "left", max_broadcast_rows, hot=hot)
     copies = F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))
     return joined.withColumn("_copy", F.explode(copies)).drop("_copies", "_copy")
 
@@ -66,13 +66,14 @@ def build_sales_fact(
     ``carry`` names extra sales columns passed through (e.g. the source file).
     """
     fact = sales.select(*FACT_KEYS, *carry)
-    probe = fact  # product keys before the fan-out, which only repeats rows
+    # both joins' heavy keys in one job, before the fan-out, which only repeats rows
+    hot = HotKeys(fact, ["customer_id", "product_id"] if customers is not None else ["product_id"])
     if customers is not None:
-        fact = customer_fanout(fact, customers.select("customer_id"), max_broadcast_rows)
+        fact = customer_fanout(fact, customers.select("customer_id"), max_broadcast_rows, hot)
     # broadcast when counted small; otherwise a shuffle join with hot products
     # salted, so a product holding a third of the sales is not one task
     fact = skew_join(fact, products.select("product_id", "standard_cost"), "product_id", "left",
-                     max_broadcast_rows, probe=probe)
+                     max_broadcast_rows, hot=hot)
     return fact.select(
         *FACT_KEYS,
         round2(F.col("quantity") * F.col("unit_price")).alias("total_sales_amount"),
@@ -117,7 +118,8 @@ def coarsen_fact(fact: DataFrame, stores: DataFrame, brands: DataFrame,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Re-key a fact to a coarser store / product grain through mapping
     tables ``(store_id, store_nation)`` and ``(product_id, product_brand)``."""
-    out = skew_join(fact, stores, "store_id", "left", max_broadcast_rows)
-    # the first join only adds a column: estimate hot products on the fact itself
-    return skew_join(out, brands, "product_id", "left", max_broadcast_rows, probe=fact)
+    # the first join only adds a column: one job on the fact itself finds the hot keys of both
+    hot = HotKeys(fact, ["store_id", "product_id"])
+    out = skew_join(fact, stores, "store_id", "left", max_broadcast_rows, hot=hot)
+    return skew_join(out, brands, "product_id", "left", max_broadcast_rows, hot=hot)
 

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratum.operators.conform import dedup_latest
-from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, join_small
+from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, at_most, fits, join_small
 from stratum.sources import fs
 
 log = logging.getLogger(__name__)
@@ -116,7 +116,7 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], on_d
         raise ValueError(f"guard column {guard!r} not in target")
     src_keys = src.where(_key_not_null(keys)).select(*keys)
     untouched, contenders = None, target
-    if at_most(src_keys, max_broadcast_rows):
+    if fits(src_keys, max_broadcast_rows):
         # only target rows whose key is in the batch compete with it; the rest
         # pass through a broadcast anti-join, so the target is not shuffled
         batch_keys = F.broadcast(src_keys)

@@ -33,27 +33,31 @@ def demand_features(monthly: DataFrame, keys: Sequence[str] = ("store_id", "prod
                     rolling: int = 3) -> DataFrame:
     """Per series and month, the value ``k`` months earlier (null when that
     month had no sales) and the mean over the previous ``rolling`` months that
-    had sales. Lags over rows, matched by their distance in months; sums run on exact decimals of fixed width."""
+    had sales. Lags over rows, matched by their distance in months; sums run on whole cents, so the order of
+    the additions does not show. Amounts that cents in a long cannot hold (NaN, infinities, beyond 9e13) are summed
+    as doubles and fail no run, as in the monthly aggregate."""
     base = monthly.select(*keys, "year_month", month_index().alias(MONTH_INDEX),
                           F.col(value_col).alias("label"))
     reach = max([*lags, rolling])
     w = Window.partitionBy(*keys).orderBy(MONTH_INDEX)
     # months of a series are distinct, so one that lies k months back is among the k rows before
     back = [F.struct((F.col(MONTH_INDEX) - F.lag(MONTH_INDEX, i).over(w)).alias("ago"),
-                     F.lag(F.col("label").cast("decimal(20,2)"), i).over(w).alias("value")) for i in range(1, reach + 1)]
+                     F.lag(F.col("label").cast("double"), i).over(w).alias("value")) for i in range(1, reach + 1)]
     rows = base.withColumns({f"_b{i}": x for i, x in enumerate(back)})
-    none = F.lit(None).cast("decimal(20,2)")
 
     def at(k: int) -> Column:
         return F.coalesce(*[F.when(F.col(f"_b{i}.ago") == k, F.col(f"_b{i}.value")) for i in range(reach)])
 
-    near = [F.when(F.col(f"_b{i}.ago") <= rolling, F.col(f"_b{i}.value")).otherwise(none) for i in range(reach)]
-    total, n = F.lit(0).cast("decimal(20,2)"), F.lit(0)
+    near = [F.when(F.col(f"_b{i}.ago") <= rolling, F.col(f"_b{i}.value")) for i in range(reach)]
+    cents, plain, n, wild = F.lit(0).cast("long"), F.lit(0.0), F.lit(0), F.lit(False)
     for x in near:
-        total, n = total + F.coalesce(x, F.lit(0).cast("decimal(20,2)")), n + x.isNotNull().cast("int")
-    mean = F.when(n > 0, total.cast("double") / n).alias(f"rolling_mean_{rolling}")
+        odd = F.coalesce(F.isnan(x) | (F.abs(x) > F.lit(9e13)), F.lit(False))
+        cents = cents + F.when(odd | x.isNull(), F.lit(0).cast("long")).otherwise(F.rint(x * 100).cast("long"))
+        plain, n, wild = plain + F.coalesce(x, F.lit(0.0)), n + x.isNotNull().cast("int"), wild | odd
+    total = F.when(wild, plain).otherwise((cents / 100).cast("double"))
+    mean = F.when(n > 0, total / n).alias(f"rolling_mean_{rolling}")
     month_of_year = (F.col(MONTH_INDEX) % 12 + 1).alias("month_of_year")
-    return rows.select(*keys, "year_month", MONTH_INDEX, "label", *[at(k).cast("double").alias(f"lag_{k}") for k in lags],
+    return rows.select(*keys, "year_month", MONTH_INDEX, "label", *[at(k).alias(f"lag_{k}") for k in lags],
                        mean, month_of_year)
 
 

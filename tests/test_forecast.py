@@ -68,3 +68,16 @@ def test_next_month_of_an_empty_table_and_over_the_year(spark):
     assert fc.with_next_month(spark.createDataFrame([], schema)).count() == 0
     got = fc.with_next_month(spark.createDataFrame([("s", "p", "202312", 1.0)], schema)).collect()
     assert {r.year_month for r in got} == {"202312", "202401"}
+
+
+def test_huge_and_odd_amounts_do_not_stop_the_run(spark):
+    from stratum.plans.forecast import demand_features
+
+    rows = [(1, 1, "202401", 1e19), (1, 1, "202402", 2.5), (1, 1, "202403", float("nan")), (1, 1, "202404", 1.25),
+            (2, 1, "202401", 0.1), (2, 1, "202402", 0.2), (2, 1, "202403", 0.3), (2, 1, "202404", None)]
+    out = {(r.store_id, r.year_month): r for r in demand_features(
+        spark.createDataFrame(rows, "store_id long, product_id long, year_month string, monthly_revenue double")).collect()}
+    assert out[1, "202402"].rolling_mean_3 == 1e19 and out[1, "202402"].lag_1 == 1e19
+    assert out[1, "202403"].rolling_mean_3 == (1e19 + 2.5) / 2
+    assert str(out[1, "202404"].rolling_mean_3) == "nan" and str(out[1, "202404"].lag_1) == "nan"
+    assert out[2, "202404"].rolling_mean_3 == 0.6 / 3 and out[2, "202403"].rolling_mean_3 == 0.3 / 2

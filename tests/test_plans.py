@@ -130,6 +130,44 @@ def test_hot_keys_take_salted_shuffle_joins(spark, capsys):
     assert any("HashAggregate" in line for line in lines[:joins[0]])
 
 
+def _scans(df, capsys, table):
+    text = plan(df, capsys)
+    return [block for block in text.split("\n\n") if "Scan parquet" in block and "Location" in block and f"{table}.parquet" in block]
+
+
+def test_skew_joins_evaluate_their_input_once(spark, capsys):
+    for name in ("monthly_sales_hot_keys", "sales_fact_null_keys", "sales_fact_hot_keys"):
+        assert len(_scans(QUERIES[name](spark, SMALL), capsys, "lineitem")) == 1, name
+
+
+def test_null_keys_are_spread_and_kept(spark):
+    from stratum.operators.joins import skew_join
+
+    big = spark.range(4000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 20).alias("k"))
+    dim = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as dealt, before any coalescing
+    try:
+        out = skew_join(big, dim, "k", "left", max_broadcast_rows=0, salts=16).hint("merge")
+        parts = out.where("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(parts) >= 4 and sum(r["count"] for r in parts) == 1334
+        assert out.count() == 4000 and out.where("k is not null and v is null").count() == 0
+        assert skew_join(big, dim, "k", "inner", max_broadcast_rows=0).count() == 2666
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    from stratum.operators.joins import fits
+
+    rows = spark.range(1000)
+    wide = rows.select("id", F.repeat(F.lit("x"), 100_000).alias("k"))
+    assert fits(rows) and not fits(wide) and fits(wide, max_bytes=1 << 28)
+    assert not fits(rows, max_rows=999) and not fits(rows, max_bytes=7000)
+    assert not fits(rows.select(F.array_repeat(F.lit(1.5), 50).alias("v")), max_bytes=100_000)
+    assert fits(rows.limit(0).select("id", F.lit("a").alias("s")))
+
+
 def test_heavy_keys_sketch_finds_a_third_and_nothing_uniform(spark):
     from stratum.operators.joins import heavy_keys
 
