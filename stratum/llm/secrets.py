@@ -13,6 +13,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -34,6 +35,9 @@ _ATOM = re.compile(r"[A-Za-z0-9+/_-]+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 _HEX_ANY = re.compile(r"[0-9A-Fa-f]{64,}")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 _PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s:,.-]*")
+#: Base64 over several lines: a real line break, or the two characters that stand for it in JSON and env files.
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:(?:\r?\n|\\r\\n|\\n)[A-Za-z0-9+/_-]{16,})*(?:\r?\n|\\r\\n|\\n)[A-Za-z0-9+/_-]+={0,2}")
+_BREAK = re.compile(r"\r?\n|\\r\\n|\\n")
 _HEADER_LINE = re.compile(r"^[A-Za-z-]+:.*$", re.M)
 
 
@@ -145,22 +149,28 @@ def is_key(data: bytes | None, depth: int = 0) -> bool:
     if data.startswith(b"openssh-key-v1\0"):
         return is_openssh_key(data)
     if depth == 0 and data.startswith(b"-----BEGIN "):
-        return bool(pem_spans(data.decode("latin-1"), 1))
+        return bool(pem_spans(data.decode("latin-1")))
     return False
 
 
-def pem_spans(text: str, depth: int = 0) -> list[Span]:
+def pem_spans(text: str) -> list[Span]:
+    """PEM private keys whose body parses. A header's foot must come before the next header, so each stretch of the
+    text between two headers is searched once, whatever is missing."""
     out, at = [], 0
     while m := _PEM.search(text, at):
         at = m.end()
+        following = text.find("-----BEGIN ", at)
         foot = f"-----END {m[1]}-----"
-        end = text.find(foot, at)
-        if end < 0 or text.find("-----BEGIN ", at, end) >= 0 or not _PEM_BODY.fullmatch(text, at, end):
+        end = text.find(foot, at, len(text) if following < 0 else following)
+        if end < 0:
             continue
-        body = "".join(_HEADER_LINE.sub("", text[at:end]).split())
+        inner = _BREAK.sub("\n", text[at:end])
+        if not _PEM_BODY.fullmatch(inner):
+            continue
+        body = "".join(_HEADER_LINE.sub("", inner).split())
         data = decode_base64(body)
         # an encrypted traditional key says so in its header; its bytes cannot be parsed
-        sealed = "Proc-Type:" in text[at:end] and data is not None and len(data) % 8 == 0 and len(data) >= 32
+        sealed = "Proc-Type:" in inner and data is not None and len(data) % 8 == 0 and len(data) >= 32
         if sealed or is_key(data, 1):
             out.append(("pem", m.start(), end + len(foot)))
         at = end + len(foot)
@@ -169,7 +179,7 @@ def pem_spans(text: str, depth: int = 0) -> list[Span]:
 
 def is_signed_token(parts: list[str]) -> bool:
     """header.payload.signature with a JSON header that names an algorithm and a JSON payload."""
-    if not (parts[0].startswith("eyJ") or parts[0].startswith("ew")) or len(parts[2]) < 16:
+    if len(parts[2]) < 16:
         return False
     try:
         header = json.loads(decode_base64(parts[0]) or b"")
@@ -203,9 +213,14 @@ def confirmed_spans(text: str) -> list[Span]:
         for h in _HEX_ANY.finditer(run):
             if len(h[0]) % 2 == 0 and h[0][:2] in ("30", "6f", "6F", "2d", "2D") and is_key(bytes.fromhex(h[0])):
                 out.append(("hexkey", start + h.start(), start + h.end()))
-    if "PRIVATE KEY-----" in text:
-        out += pem_spans(text)
-    return out
+    pems = pem_spans(text) if "PRIVATE KEY-----" in text else []
+    starts = [a for _, a, _ in pems]
+    for m in _WRAPPED.finditer(text):
+        nth = bisect_right(starts, m.start()) - 1
+        inside = nth >= 0 and m.end() <= pems[nth][2]
+        if not inside and is_key(decode_base64(_BREAK.sub("", m[0]))):
+            out.append(("key", m.start(), m.end()))
+    return out + pems
 
 
 def joined(spans: Iterable[Span]) -> str:
