@@ -170,8 +170,9 @@ def op9_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 
 _OP10_SQL = f"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD_RE}')), 0) AS BIGINT) AS size,
-    CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS draw FROM documents),
+WITH z AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD_RE}')), 0) AS BIGINT) AS size FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, size) - 1 AS copy FROM z),
+d AS (SELECT *, CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || size || ':' || copy), 1, 13) AS BIGINT) AS draw FROM n),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, 2 * source_size AS cap,
     [5, 2, 1][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight FROM s),
@@ -181,7 +182,7 @@ l AS (SELECT *, (1.5::DOUBLE * CAST(sum(source_size) OVER () AS DOUBLE)
 t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), weight * (max(level) OVER ())) AS target FROM l),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
 c AS (SELECT d.doc_id, size, source_size, target, whole, target - whole * source_size AS extra,
-    sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id, size ROWS UNBOUNDED PRECEDING) AS cum
+    sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id NULLS FIRST, size, copy ROWS UNBOUNDED PRECEDING) AS cum
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
     CAST(size * (whole + CASE WHEN 2 * cum - size <= 2 * extra THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c"""

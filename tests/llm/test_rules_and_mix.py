@@ -112,6 +112,44 @@ def test_mix_targets_and_words(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_drawn_one_by_one(spark):
+    """A source whose rows have null ids, or one id, still comes near its target; nothing goes beyond two times its size."""
+    for ids in (None, 7):
+        rows = [(ids if d % 11 else d, "w " * (1 + d % 9), "one") for d in range(330)] + [(d, "w " * 5, "two") for d in range(1000, 1200)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+        out = mixing.mix(df).collect()
+        assert len(out) == len(rows) and all(r.taken <= 2 * r.size for r in out)
+        for source_size in {r.source_size for r in out}:
+            mine = [r for r in out if r.source_size == source_size]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= 5
+        assert sorted(map(tuple, out), key=str) == sorted(map(tuple, mixing.mix(df.repartition(3)).collect()), key=str)
+        want = [tuple(v for _, v in r) for r in duck(spark, queries.ORACLES["op10_source_mix"], documents=df)]
+        if ids is not None:
+            assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
+
+
+def test_copies_are_numbered_without_gaps(spark):
+    df = spark.createDataFrame([(k % 3 if k % 5 else None, "s" if k % 2 else None, 1) for k in range(200)] + [(99, "x", 1)], "a long, b string, c int").repartition(6)
+    out = mixing.numbered(df, ["a", "b"], F_lit(0)).collect()
+    by = {}
+    for r in out:
+        by.setdefault((r.a, r.b), []).append(r.mix_copy)
+    assert len(out) == 201 and all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
+def test_mixed_rows_keep_clashing_columns(spark):
+    rows = [(d, "w " * 5, "one", d * 10, "a", 1.5) for d in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_size long, mix_nth string, c0 double")
+    out = mixing.mixed_rows(df)
+    assert out.columns == df.columns and all(r.mix_size == r.doc_id * 10 and r.mix_nth == "a" and r.c0 == 1.5 for r in out.collect())
+
+
+def F_lit(x):
+    from pyspark.sql import functions as F
+
+    return F.lit(x)
+
+
 def df_lit():
     from pyspark.sql import functions as F
 
