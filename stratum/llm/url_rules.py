@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.text import ascii_lower
-from stratum.operators.joins import join_small
+from stratum.operators.joins import join_small, skew_join
 
 
 def url_host(url: Column) -> Column:
@@ -86,5 +86,8 @@ def apply_url_rules(
     best = hits.groupBy("host", "path").agg(F.max_by(
         F.struct("rule", "r_verdict"), F.struct(F.length("rule"), F.length("r_host"))).alias("b"))
     found = best.select("host", "path", F.col("b.rule").alias("rule"), F.col("b.r_verdict").alias("verdict"))
-    return base.join(found, ["host", "path"], "left").select(
-        id_col, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    # back by the URL's digest: broadcast when measured small, else a hot URL's pages are salted; pages without a host
+    # have a null key and are spread as well
+    url = F.when(F.col("host") != "", F.sha2(F.concat_ws("\x00", "host", "path").cast("binary"), 256))
+    joined = skew_join(base.withColumn("r_url", url), found.select(url.alias("r_url"), "rule", "verdict"), "r_url")
+    return joined.select(id_col, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
