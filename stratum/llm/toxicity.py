@@ -1,10 +1,11 @@
 """Toxicity by a subsequence string-kernel SVM with Nystroem landmarks (operator 5).
 
 Words are compared by the gap-weighted subsequences of three characters they share, so
-``id-iot``, ``i d i o t`` and ``idxiot`` stay close to the insult they hide. The kernel against
+``id-iot``, ``i d i o t``, ``id iot`` and ``idxiot`` stay close to the insult they hide. The kernel against
 a few hundred landmark words gives each word Nystroem features, a linear SVM on
 them is trained on labelled sentences as bags of words, and a text is as toxic as
-its worst sentence – that is, its worst word.
+its worst sentence – that is, its worst word, where neighbouring words that no clean text knows are also read as
+one word. The kernel's unit is the word: a phrase of harmless words has no kernel value of its own.
 
 Nystroem features and the SVM are linear in the subsequence counts, so the fitted
 model folds into one table of weights by subsequence: scoring costs a fixed number
@@ -14,7 +15,7 @@ of lookups a character, whatever the number of landmarks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,9 @@ MAX_DOCS, MAX_WORDS, LANDMARKS = 3000, 4000, 96
 THRESHOLD = 0.3
 ROUNDS = 3
 NOT_ALNUM = r"[^\p{L}\p{N}]+"
+#: Cells of the table of words seen in clean training texts, and the longest joined neighbours.
+KNOWN_CELLS = 1 << 20
+MAX_JOINED = 16
 _START, _END = "\x02", "\x03"
 
 
@@ -71,12 +75,17 @@ def subsequences(code: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarra
 
 @dataclass(frozen=True)
 class Model:
-    """Weights by subsequence, bias, and the logistic calibration of the worst word's margin."""
+    """Weights by subsequence, bias, the logistic calibration of the worst word's margin, and the words of clean texts."""
 
     weights: np.ndarray
     bias: float
     slope: float = 1.0
     shift: float = 0.0
+    known: np.ndarray | None = None
+
+    def knows(self, words: pa.Array) -> np.ndarray:
+        """Whether each word was seen in a clean training text (or shares its cell with one that was)."""
+        return np.ones(len(words), bool) if self.known is None else self.known[known_cells(words)]
 
     def margins(self, words: list[str]) -> np.ndarray:
         if not words:
@@ -92,6 +101,11 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
+def known_cells(words: pa.Array) -> np.ndarray:
+    low = pc.replace_substring_regex(pc.utf8_lower(words), NOT_ALNUM, "")
+    return (at.mix(at.word_hashes(low, at.KEYS[:1])[0]) % np.uint64(KNOWN_CELLS)).astype(np.int64)
+
+
 def kernel_rows(words: list[str], columns: dict[int, int]) -> np.ndarray:
     """Normalised subsequence counts of the words over the listed features (dense)."""
     code, word = encode(words)
@@ -174,7 +188,7 @@ def calibrate(model: Model, margin: np.ndarray, label: np.ndarray, prior: float)
         b = b - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
-    return Model(model.weights, model.bias, float(max(b[0], 1e-3)), float(b[1]))
+    return replace(model, slope=float(max(b[0], 1e-3)), shift=float(b[1]))
 
 
 def spelled_out(offsets: np.ndarray, words: pa.Array) -> list[tuple[int, str]]:
@@ -187,6 +201,25 @@ def spelled_out(offsets: np.ndarray, words: pa.Array) -> list[tuple[int, str]]:
     return [(int(row[a]), "".join(words[a:b].to_pylist())) for a, b in at.groups(key) if key[a] >= 0 and b - a >= 3]
 
 
+def joined_neighbours(model: Model, offsets: np.ndarray, values: pa.Array, codes: np.ndarray) -> list[tuple[np.ndarray, str]]:
+    """(rows, joined word) of two neighbouring words of which one at least is unknown: an insult broken by a blank
+    leaves such pieces, while known words next to each other are prose."""
+    known = model.knows(values)
+    size = pc.utf8_length(values).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    a, b = codes[:-1], codes[1:]
+    pick = np.flatnonzero((row[:-1] == row[1:]) & ~(known[a] & known[b]) & (size[a] + size[b] <= MAX_JOINED))
+    if len(pick) == 0:
+        return []
+    pair = a[pick].astype(np.int64) * len(values) + b[pick]
+    order = np.argsort(pair, kind="stable")
+    out = []
+    for lo, hi in at.groups(pair[order]):
+        x, y = divmod(int(pair[order[lo]]), len(values))
+        out.append((row[pick[order[lo:hi]]], values[x].as_py() + values[y].as_py()))
+    return out
+
+
 def worst_words(model: Model | None, text: pa.Array) -> tuple[np.ndarray, list[str | None]]:
     """(margin, word) of each text's worst word; -1 and none without words (and without a model)."""
     n = len(text)
@@ -205,10 +238,12 @@ def worst_words(model: Model | None, text: pa.Array) -> tuple[np.ndarray, list[s
         if hi > lo:
             k = lo + int(np.argmax(margin[lo:hi]))
             best[i], which[i] = margin[k], values[codes[k]]
-    joined = spelled_out(offsets, words)
-    for (i, word), m in zip(joined, model.margins([w for _, w in joined]), strict=True):
-        if m > best[i]:
-            best[i], which[i] = m, word
+    joined = [(np.array([i]), w) for i, w in spelled_out(offsets, words)]
+    joined += joined_neighbours(model, offsets, coded.dictionary, codes)
+    for (rows, word), m in zip(joined, model.margins([w for _, w in joined]), strict=True):
+        for i in rows.tolist():
+            if m > best[i]:
+                best[i], which[i] = m, word
     return best, which
 
 
@@ -260,7 +295,9 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_word
     The first round sets the words whose evidence for toxic texts is strongest (log-likelihood
     ratio) against words of clean texts. Later rounds are those of a multiple-instance SVM: words of toxic texts that
     the model finds on the toxic side are witnesses and turn positive, the words of clean texts that
-    come closest join the negatives. None when a class is missing: then every text scores 0.
+    come closest join the negatives. The evidence counts whatever there is of it: a handful of labelled rows is fitted like
+    many. None when no toxic or no clean text with a word is labelled, or no word is more frequent in toxic texts: nothing
+    tells the classes apart then, and every text scores 0.
     """
     checkpoint_root(docs.sparkSession)
     sample, prior = training_sample(docs, labels, max_docs, id_col, text_col)
@@ -276,7 +313,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_word
     words = word_evidence(sample).withColumn("llr", llr).withColumn("skewed", skewed).checkpoint()
     frequent = [r.word for r in words.where(b > 0).orderBy(F.desc("neg"), "word").limit(LANDMARKS // 2).collect()]
     spread = [r.word for r in words.where((b > 0) & ~F.col("skewed")).orderBy(F.xxhash64("word"), "word").limit(max_words).collect()]
-    first = words.where(F.col("skewed") & (F.col("llr") >= 6)).orderBy(F.desc("llr"), "word").limit(max_words).collect()
+    first = words.where(F.col("skewed")).orderBy(F.desc("llr"), "word").limit(max_words).collect()
     if not first or not spread:
         return None
     positive = witnesses(sample.where(F.col("toxic") == 1), {r.word: r.llr for r in first})
@@ -290,10 +327,26 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_word
         # words only toxic texts hold that come as close as the witnesses do
         more = margins.where(F.col("skewed") & (F.col("margin") > 0.5)).orderBy(F.desc("margin"), "word").limit(max_words).collect()
         positive = {x.word: 1 for x in more} | positive
+    model = replace(model, known=known_words(sample))
     rows = worst_of(sample, model).collect()
     return calibrate(model, np.array([x["margin"] for x in rows]), np.array([x["toxic"] for x in rows]), prior)
 
 
+def known_words(sample: DataFrame) -> np.ndarray:
+    """Table of the cells of all words of the sampled clean texts: ``KNOWN_CELLS`` cells, whatever the texts hold."""
+    def run(batches):
+        seen = np.zeros(KNOWN_CELLS, bool)
+        for batch in batches:
+            for part in at.slices(batch, 0):
+                seen[known_cells(at.split_words(part.column(0))[1])] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen))], names=["cell"])
+
+    table = np.zeros(KNOWN_CELLS, bool)
+    cells = sample.where(F.col("toxic") == 0).select("text").mapInArrow(run, "cell long").distinct()
+    table[[r.cell for r in cells.collect()]] = True
+    return table
+
+
 def witnesses(toxic: DataFrame, evidence: dict[str, float], share: float = 0.5) -> dict[str, int]:
     """How many of the sampled toxic texts each word stands for: a text's strongest word, and those with
     ``share`` of its evidence. Words that only copies of one text share are weaker than the real ones, so they rarely stand."""

@@ -36,6 +36,37 @@ def test_folded_model_equals_nystroem_kernel():
     assert np.allclose(one, m[:4])
 
 
+def brute_kernel(x, y):
+    """Gap-weighted kernel of two words by enumeration of all character triples within the span."""
+    def counts(w):
+        chars = "\x02" + "".join(c for c in w.lower() if c.isalnum()) + "\x03"
+        out = {}
+        for i in range(len(chars)):
+            for j in range(i + 1, len(chars)):
+                for k in range(j + 1, min(len(chars), i + tx.SPAN)):
+                    out.setdefault(chars[i] + chars[j] + chars[k], []).append(tx.DECAY ** (k - i + 1))
+        return out
+    a, b = counts(x), counts(y)
+    norm = lambda c: sum(v * v for vs in c.values() for v in vs) ** 0.5
+    return sum(sum(a[t]) * sum(b[t]) for t in a if t in b) / (norm(a) * norm(b))
+
+
+def test_margins_are_those_of_the_explicit_kernel():
+    rng = random.Random(5)
+    pos = ["idiot", "moron", "scum"]
+    neg = ["".join(rng.choice("abcdeimnort") for _ in range(rng.randrange(3, 9))) for _ in range(60)]
+    model = tx.fit_words(pos, neg, np.array([2.0, 1.0, 1.0]))
+    marks = list(dict.fromkeys(pos + neg))
+    values, vectors = np.linalg.eigh(np.array([[brute_kernel(a, b) for b in marks] for a in marks]))
+    good = values > 1e-6 * values.max()
+    root = vectors[:, good] / np.sqrt(values[good])
+    nystroem = lambda words: np.array([[brute_kernel(w, m) for m in marks] for w in words]) @ root
+    weight = np.r_[np.array([0.5, 0.25, 0.25]), np.full(len(neg), 1 / len(neg))]
+    w = tx.fit_svm(nystroem(pos + neg), np.r_[np.ones(3), -np.ones(len(neg))], weight)
+    words = [*pos, *neg[:10], "idxiot", "mo-ron", "unrelated"]
+    assert np.allclose(model.margins(words), nystroem(words) @ w[:-1] + w[-1], atol=2e-3)
+
+
 def test_svm_separates():
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(2, 1, (50, 3)), rng.normal(-2, 1, (80, 3))])
@@ -61,6 +92,19 @@ def test_held_out_accuracy_and_rows(spark):
     assert {got[k].predicted for k in (2, 3, 4, 5)} == {0} and all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_few_labels_and_broken_words(spark):
+    """Nine labelled rows, one of them toxic, make a model; an insult broken by a blank is read as one word."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2][:9]
+    texts = ["you are an idiot my friend", *[f"the quiet river flows past house number {w} again" for w in ("one", "two", "three", "four", "five", "six", "seven", "eight")]]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k == 0)) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    model = tx.train(docs, labels)
+    assert model is not None
+    tests = ["such an idiot", "such an id iot", "the river flows", "past the house again"]
+    got = [r.score for r in tx.score(spark.createDataFrame(list(enumerate(tests)), "doc_id long, text string"), model).orderBy("doc_id").collect()]
+    assert min(got[:2]) > max(got[2:])
+
+
 def test_labels_of_held_out_rows_are_never_seen(spark):
     ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
     docs = spark.createDataFrame([(i, "idiot words here") for i in ids], "doc_id long, text string")
