@@ -78,3 +78,30 @@ def test_repeated_and_empty_rows(spark, tmp_path):
             got = stage(spark, d, str(tmp_path))
             assert got.count() == size and got.columns == COLUMNS
         assert cp.encode(spark, cp.mix_sources(spark, d, str(tmp_path)), str(tmp_path)).count() >= 0
+
+
+def test_clashing_columns_come_back_as_they_were(spark, tmp_path):
+    rows = [(d, f"some words number {d} and {d * d} more of them {d + 7}", "x", d * 10, d * 2, "a", d + 0.5, 3, [d]) for d in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, score long, predicted long, _nth string, mix_size double, c0 int, own_1 array<int>")
+    spark.createDataFrame([(d, 1, int(d == 3)) for d in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    before = docs
+    for _, stage in cp.STAGES[:4]:
+        before = stage(spark, before, str(tmp_path))
+        assert before.columns == docs.columns
+        for r in before.collect():
+            assert tuple(r)[2:] == rows[r.doc_id][2:]
+    assert before.count() > 0
+
+
+def test_which_row_of_a_repeated_id_stays(spark, tmp_path):
+    rows = [(1, "b b b b b b", "x", 1), (1, "a a a a a a", "y", 2), (1, "a a a a a a", "x", 3), (2, None, "x", 4), (2, "z z z z z z", "x", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    got = {r.doc_id: tuple(r) for r in cp.drop_near_duplicates(spark, docs, str(tmp_path)).collect()}
+    assert got == {1: (1, "a a a a a a", "x", 3), 2: (2, None, "x", 4)}
+
+
+def test_run_drops_the_tables_between(spark, tmp_path, monkeypatch):
+    fixture(spark, tmp_path)
+    monkeypatch.setattr(cp, "scratch_path", lambda *_: f"{tmp_path}/stages")
+    assert cp.run(spark, str(tmp_path)).count() > 0
+    assert [d.name for d in sorted((tmp_path / "stages").iterdir())] == ["bpe"]
