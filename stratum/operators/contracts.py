@@ -28,13 +28,16 @@ one-row aggregate and an unpivot to one row per expectation. Only those rows
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions.expressions import EMAIL_MOSTLY, EMAIL_PATTERN, REGION_VALUES
+from stratum.operators.joins import skew_join
+from stratum.session import checkpoint_root
 
 log = logging.getLogger(__name__)
 
@@ -237,32 +240,52 @@ def contract_stats(df: DataFrame, expectations: Sequence[Expectation], suite: st
     )
 
 
-def contract_violations(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
-    """Every row of ``df`` that breaks a rule, once for each rule it breaks, with expectation_index, expectation_type and column_name:
-    the rows to quarantine.
+_RULE = "struct<expectation_index:int,expectation_type:string,column_name:string>"
+
 
-    Row-level rules are map-only; a uniqueness rule joins the rows with the repeated keys. Table rules have no rows.
+def flag_rows(df: DataFrame, expectations: Sequence[Expectation], into: str = "broken_rules") -> DataFrame:
+    """``df`` with ``into``: the rules that the row breaks, as an array of (expectation_index, expectation_type, column_name).
+
+    Row-level rules are map-only. All uniqueness rules find their repeated keys in one pass (grouping sets, partial
+    aggregation); those keys are stored once and joined back – broadcast when measured small, else with repeated
+    hot keys salted. Table rules have no rows.
     """
+    if into in df.columns:
+        raise ValueError(f"the rows already have a column {into!r}")
     rules = list(enumerate(expectations))
-    tags = [F.when(_broken(df, e), F.struct(F.lit(i).alias("expectation_index"), F.lit(e.expectation_type).alias("expectation_type"),
-                                            F.lit(e.name).alias("column_name")))
-            for i, e in rules if e.expectation_type not in (*_UNIQUE, *_TABLE)]
-    parts = []
-    if tags:
-        broken = F.filter(F.array(*tags), lambda t: t.isNotNull())
-        parts.append(df.select("*", F.explode(broken).alias("_rule")).select(*df.columns, "_rule.*"))
-    for i, e in rules:
-        if e.expectation_type in _UNIQUE:
-            keyed = df.withColumn("_key", _key(e)).where(F.col("_key").isNotNull())
-            repeated = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_key")
-            parts.append(keyed.join(repeated, "_key", "left_semi").select(
-                *df.columns, F.lit(i).alias("expectation_index"), F.lit(e.expectation_type).alias("expectation_type"), F.lit(e.name).alias("column_name")))
-    if not parts:
+
+    def tag(i: int, e: Expectation, broken: Column) -> Column:
+        return F.when(broken, F.struct(F.lit(i).alias("expectation_index"), F.lit(e.expectation_type).alias("expectation_type"),
+                                       F.lit(e.name).alias("column_name")))
+
+    tags = [tag(i, e, _broken(df, e)) for i, e in rules if e.expectation_type not in (*_UNIQUE, *_TABLE)]
+    unique = [(i, e) for i, e in rules if e.expectation_type in _UNIQUE]
+    own = {c: f"own_{n}" for n, c in enumerate(df.columns)}
+    # under names of our own while keys travel along, whatever the user's columns are called
+    flagged = df.select(*[F.col(c).alias(o) for c, o in own.items()], F.array_compact(F.array(*tags)).cast(f"array<{_RULE}>").alias("row_rules"),
+                        *[_key(e).alias(f"key_{i}") for i, e in unique])
+    found = []
+    if unique:
+        checkpoint_root(df.sparkSession)
+        keys = [f"key_{i}" for i, _ in unique]
+        base = flagged.select(*keys)
+        counted = (base.groupBy(*keys) if len(keys) == 1 else base.groupingSets([[k] for k in keys], *keys)).agg(F.count(F.lit(1)).alias("n"))
+        repeated = counted.where(F.col("n") > 1).drop("n").checkpoint()
+        for (i, e), k in zip(unique, keys, strict=True):
+            again = repeated.where(F.col(k).isNotNull()).select(k).withColumn(f"again_{i}", F.lit(True))
+            flagged = skew_join(flagged, again, k)
+            found.append(tag(i, e, F.coalesce(F.col(f"again_{i}"), F.lit(False))))
+    all_rules = F.concat("row_rules", F.array_compact(F.array(*found)).cast(f"array<{_RULE}>")) if found else F.col("row_rules")
+    return flagged.select(*[F.col(o).alias(c) for c, o in own.items()], F.array_sort(all_rules).alias(into))
+
+
+def contract_violations(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
+    """Every row of ``df`` that breaks a rule, once for each rule it breaks, with expectation_index, expectation_type and column_name:
+    the rows to quarantine."""
+    if all(e.expectation_type in _TABLE for e in expectations):
         raise ValueError("the contract has no rule about rows")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    flagged = flag_rows(df, expectations, "broken_rules_of_row")
+    return flagged.select(*df.columns, F.inline("broken_rules_of_row"))
 
 
 @dataclass
@@ -296,11 +319,15 @@ class ContractViolation(ValueError):
 
 
 def validate(df: DataFrame, expectations: Sequence[Expectation], suite: str = "", asset: str = "",
-             fail_on_error: bool = True) -> ValidationResult:
-    """Evaluate every rule (one Spark job), then halt on failure."""
+             fail_on_error: bool = True, history_path: str | None = None, run_id: str | None = None) -> ValidationResult:
+    """Evaluate every rule (one Spark job), then halt on failure.
+
+    With ``history_path`` the result rows are kept there, one partition a run, before anything halts."""
     rows = [r.asDict() for r in contract_stats(df, expectations, suite, asset).collect()]
     rows.sort(key=lambda r: r["expectation_index"])
     result = ValidationResult(all(r["success"] for r in rows), asset, suite, rows)
+    if history_path is not None:
+        record(df.sparkSession, result, history_path, run_id or uuid.uuid4().hex)
     if not result.success:
         log.error("contract %r violated for %r: %s", suite, asset, result.statistics)
         if fail_on_error:
@@ -310,12 +337,65 @@ def validate(df: DataFrame, expectations: Sequence[Expectation], suite: str = ""
     return result
 
 
-def gate(df: DataFrame, expectations: Sequence[Expectation], suite: str = "", asset: str = "") -> DataFrame:
+RESULT_SCHEMA = ("asset string, suite string, expectation_index int, expectation_type string, column_name string, mostly double, "
+                 "element_count long, missing_count long, unexpected_count long, unexpected_percent double, success boolean")
+
+
+def record(spark: SparkSession, result: ValidationResult, path: str, run_id: str) -> None:
+    """Add a run's result rows to the table at ``path``; the same run and asset again replace theirs."""
+    names = [c.split()[0] for c in RESULT_SCHEMA.split(", ")]
+    rows = spark.createDataFrame([tuple(r[c] for c in names) for r in result.results], RESULT_SCHEMA)
+    tagged = rows.withColumn("recorded_at", F.current_timestamp()).withColumn("run_id", F.lit(f"r-{run_id}")).withColumn(
+        "asset_key", F.concat(F.lit("a-"), F.sha2("asset", 256)))
+    tagged.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "asset_key").parquet(path)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All recorded results: a row for each run, asset and rule."""
+    return spark.read.parquet(path).withColumn("run_id", F.expr("substring(run_id, 3)")).drop("asset_key")
+
+
+def gate(df: DataFrame, expectations: Sequence[Expectation], suite: str = "", asset: str = "",
+         history_path: str | None = None, run_id: str | None = None) -> DataFrame:
     """Return ``df`` unchanged if it meets the contract, else raise."""
-    validate(df, expectations, suite, asset, fail_on_error=True)
+    validate(df, expectations, suite, asset, True, history_path, run_id)
     return df
 
 
+def split_rows(flagged: DataFrame, failed: Sequence[int], into: str = "broken_rules") -> tuple[DataFrame, DataFrame]:
+    """(rows to promote, rows to quarantine) of flagged rows: a row stays back when it breaks a rule of ``failed``.
+
+    A rule that holds within its tolerance keeps nothing back. Rows to promote lose ``into``; the others keep those of the failed rules."""
+    wanted = F.array(*[F.lit(i) for i in failed]).cast("array<int>")
+    held = F.filter(into, lambda r: F.array_contains(wanted, r["expectation_index"]))
+    return flagged.where(F.size(held) == 0).drop(into), flagged.withColumn(into, held).where(F.size(into) > 0)
+
+
+def promote(df: DataFrame, expectations: Sequence[Expectation], quarantine_path: str, suite: str = "", asset: str = "",
+            run_id: str | None = None, history_path: str | None = None) -> tuple[DataFrame, dict]:
+    """R10 without a halt: (rows to promote, summary); the rest is written to the quarantine with the rules it breaks.
+
+    The rows are flagged in one scan and stored once (checkpoint); the verdict, the quarantine and the promoted rows are read from there.
+    Quarantine rows lie in one partition a run, so a run that is repeated replaces its own. A failed
+    rule about the table itself (row count, missing column) has no rows to hold back and halts.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    run_id = run_id or uuid.uuid4().hex
+    flagged = flag_rows(df, expectations).checkpoint()
+    result = validate(flagged.drop("broken_rules"), expectations, suite, asset, False, history_path, run_id)
+    failed = [r["expectation_index"] for r in result.results if not r["success"]]
+    if any(expectations[i].expectation_type in _TABLE for i in failed):
+        raise ContractViolation(result)
+    good, bad = split_rows(flagged, failed)
+    counted = Observation("quarantine")
+    bad.withColumns({"quarantined_at": F.current_timestamp(), "run_id": F.lit(f"r-{run_id}")}).observe(
+        counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(quarantine_path)
+    rows = counted.get["rows"]
+    log.info("%d rows of %r quarantined in %s", rows, asset, quarantine_path)
+    return good, {"quarantined": rows, "failed_rules": failed, "run_id": run_id}
+
+
 class ContractRegistry:
     """Named suites; defining an existing name replaces it."""
 

@@ -1,6 +1,7 @@
 """Governance tables: sensitive-value scan (R4) and row lineage.
 
-Both are ordinary DataFrame jobs whose results are tables, not calls to a
+The Gold jobs write lineage as three tables: the source files with a code each, the
+processes (one row an edge of the job's graph) and a narrow table of rows that holds codes only. All are ordinary DataFrame jobs whose results are tables, not calls to a
 catalogue service.
 """
 
@@ -8,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from stratum.functions.expressions import EMAIL_PATTERN, unanchored, year_month_of
+from stratum.operators.joins import join_small
 
 # --- fixed values: detection patterns (kept to constructs that Java regex
 # and RE2 read the same way: no \b, no \s, no look-around) ---
@@ -107,3 +109,49 @@ def row_lineage(fact: DataFrame, source_file_col: str = "_source_file",
         F.lit(source_name).alias("source_qualified_name"),
         F.lit(target_name).alias("target_qualified_name"),
     )
+
+
+# ---------------------------------------------------------------- lineage tables of a Gold run
+
+FILE_ID, PROCESS_ID = "source_file_id", "process_id"
+PROCESS_SCHEMA = ("process_id long, process_name string, process_qualified_name string, source_qualified_name string, "
+                  "target_qualified_name string, run_id string")
+
+
+def file_id(path: Column) -> Column:
+    """Dictionary code of a source file: 64 bits of its path, so every scan finds the same code without a join."""
+    return F.xxhash64(path)
+
+
+def lineage_files(source: DataFrame) -> DataFrame:
+    """(source_file_id, source_file): the files that ``source`` is read from, one row a file.
+
+    Only the scan's file metadata is read, no column. Two files with one code would merge their rows' lineage, so that stops the run."""
+    files = source.select(F.col("_metadata.file_path").alias("source_file")).distinct()
+    coded = files.groupBy(file_id(F.col("source_file")).alias(FILE_ID)).agg(
+        F.min("source_file").alias("source_file"), F.count(F.lit(1)).alias("n"))
+    clash = F.raise_error(F.concat(F.lit("two source files share the code of "), F.col("source_file")))
+    return coded.select(FILE_ID, F.when(F.col("n") > 1, clash).otherwise(F.col("source_file")).alias("source_file"))
+
+
+def lineage_processes(spark: SparkSession, edges: Sequence[tuple[str, str, str]], version: str, run_id: str) -> DataFrame:
+    """One row for each (process name, source, target) of a run, with qualified names; as small as the job's graph."""
+    rows = [(name, f"{name}:{version}", source, target, run_id) for name, source, target in edges]
+    table = spark.createDataFrame(rows, "process_name string, process_qualified_name string, source_qualified_name string, "
+                                        "target_qualified_name string, run_id string")
+    return table.select(F.xxhash64("process_qualified_name", "source_qualified_name", "target_qualified_name").alias(PROCESS_ID), "*")
+
+
+def lineage_rows(fact: DataFrame, process: tuple[str, str, str], version: str) -> DataFrame:
+    """(year_month, store_id, product_id, transaction_id, source_file_id, process_id): which transaction, from which file,
+    went into which Gold group. Grouped by its first three columns it counts ``transaction_count``."""
+    name, source, target = process
+    code = F.xxhash64(F.lit(f"{name}:{version}"), F.lit(source), F.lit(target))
+    return fact.where(F.col("transaction_id").isNotNull()).select(
+        year_month_of("date_key").alias("year_month"), "store_id", "product_id", "transaction_id", FILE_ID, code.alias(PROCESS_ID))
+
+
+def expand_lineage(rows: DataFrame, files: DataFrame, processes: DataFrame) -> DataFrame:
+    """The coded rows with file, process and qualified names written out (the two small tables joined when measured small)."""
+    own = processes.drop("run_id").distinct()
+    return join_small(join_small(rows, files, FILE_ID), own, PROCESS_ID)

@@ -175,6 +175,11 @@ def _read_layout(spark, path: str) -> str | None:
     return fs.read_text(spark, f"{path}/{LAYOUT_MARKER}")
 
 
+def has_layout(spark, path: str) -> bool:
+    """Whether a table was created at ``path`` by an upsert (its layout is known)."""
+    return _read_layout(spark, path) is not None
+
+
 def _write_layout(spark, path: str, buckets: int | None) -> None:
     fs.write_text(spark, f"{path}/{LAYOUT_MARKER}", "layout" if buckets is None else f"buckets={buckets}")
 

@@ -59,6 +59,13 @@ _VIEWS: dict[str, str] = {
         FROM transactions_cleansed t
         LEFT JOIN (SELECT customer_id FROM customers_conformed) c ON t.customer_id = c.customer_id
         LEFT JOIN products_conformed p ON t.product_id = p.product_id""",
+    "sales_fact_fanned": """
+        SELECT t.transaction_id, t.date_key, t.customer_id, t.product_id, t.store_id, t.quantity, t.unit_price,
+               round(t.quantity * t.unit_price, 2) AS total_sales_amount,
+               round((t.unit_price - p.standard_cost) * t.quantity, 2) AS margin_amount
+        FROM transactions_cleansed t
+        LEFT JOIN (SELECT customer_id FROM customers_dirty) c ON t.customer_id = c.customer_id
+        LEFT JOIN products_conformed p ON t.product_id = p.product_id""",
     "sales_fact_hot": """
         SELECT t.transaction_id, t.date_key, t.customer_id, t.product_id, t.store_id, t.quantity, t.unit_price,
                round(t.quantity * t.unit_price, 2) AS total_sales_amount,
@@ -100,6 +107,7 @@ _DEPENDS = {
     "customers_spoiled": ["customers_conformed"],
     "customers_dirty": ["customers_spoiled"],
     "sales_fact": ["transactions_cleansed", "customers_conformed", "products_conformed"],
+    "sales_fact_fanned": ["transactions_cleansed", "customers_dirty", "products_conformed"],
     "sales_fact_hot": ["transactions_hot", "customers_dirty", "products_conformed"],
     "events_batch_1": ["events_bronze"],
     "events_batch_2": ["events_bronze"],

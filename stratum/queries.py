@@ -20,6 +20,7 @@ from stratum.operators import upsert as up
 from stratum.oracles import contract_sql
 from stratum.oracles import with_views
 from stratum.plans import forecast as fc
+from stratum.plans import incremental as inc
 from stratum.plans import pipelines as pl
 from stratum.session import scratch_path
 from stratum.sources import fixtures as fx
@@ -391,6 +392,80 @@ def silver_to_gold_aggregate(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(paths["agg_monthly_sales"]).drop("dw_inserted_at")
 
 
+def _lake(spark: SparkSession, purpose: str) -> LakeConfig:
+    root = scratch_path(spark, purpose)
+    return LakeConfig.from_mapping({"silver_base_path": f"{root}/silver", "gold_base_path": f"{root}/gold"})
+
+
+@register("gold_lineage", with_views(f"""
+SELECT *, transaction_count AS with_known_file, 'silver_to_gold.sales_fact:v1' AS process_qualified_name,
+       'silver.transactions_cleansed' AS source_qualified_name, 'gold.fact_sales' AS target_qualified_name
+FROM (SELECT year_month, store_id, product_id, transaction_count FROM ({_MONTHLY_SQL.format(store="store_id", product="product_id", source="sales_fact")}) m)""", "sales_fact"))
+def gold_lineage(spark: SparkSession, base: str) -> DataFrame:
+    """The Gold job writes files, processes and coded rows; decoded and regrouped they give the aggregate's
+    transaction_count, each transaction with a file of the Silver table."""
+    cfg = _lake(spark, "lake_lineage")
+    write_table(fx.transactions_cleansed(spark, base), cfg.silver("transactions_cleansed"))
+    write_table(fx.customers_conformed(spark, base), cfg.silver("customers_conformed"))
+    write_table(fx.products_conformed(spark, base), cfg.silver("products_conformed"))
+    pl.silver_to_gold(spark, cfg, lineage=True)
+    rows = gv.expand_lineage(*pl.read_lineage(spark, cfg))
+    known = F.col("source_file").contains("/silver/transactions_cleansed/")
+    return rows.groupBy("year_month", "store_id", "product_id", "process_qualified_name", "source_qualified_name", "target_qualified_name").agg(
+        F.count("transaction_id").alias("transaction_count"), F.count_if(known).alias("with_known_file"))
+
+
+@register("gold_incremental", with_views(
+    _MONTHLY_SQL.format(store="store_id", product="product_id", source="sales_fact_fanned"), "sales_fact_fanned"))
+def gold_incremental(spark: SparkSession, base: str) -> DataFrame:
+    """L5 by changed days: a first run without the late sales and with other costs for some products and without the
+    repeated customers, then a second run on the Silver tables as they are. Equal to a full rebuild."""
+    cfg = _lake(spark, "lake_incremental")
+    sales, products = fx.transactions_cleansed(spark, base), fx.products_conformed(spark, base)
+    late = (F.col("date_key") % 5 == 0) & (F.col("store_id") % 3 == 0) | F.col("date_key").between("19950101", "19950630")
+    write_table(sales.where(~late), cfg.silver("transactions_cleansed"))
+    write_table(fx.customers_conformed(spark, base), cfg.silver("customers_conformed"))
+    write_table(products.withColumn("standard_cost", F.when(F.col("product_id") % 97 == 0, 1.0).otherwise(F.col("standard_cost"))),
+                cfg.silver("products_conformed"))
+    inc.silver_to_gold_incremental(spark, cfg)
+    write_table(sales.where(late), cfg.silver("transactions_cleansed"), mode="append")
+    write_table(fx.customers_dirty(spark, base), cfg.silver("customers_conformed"))
+    write_table(products, cfg.silver("products_conformed"))
+    inc.silver_to_gold_incremental(spark, cfg)
+    return inc.read_monthly(spark, cfg).drop("dw_inserted_at")
+
+
+@register("bronze_to_silver_quarantine", with_views(f"""
+, broken AS (SELECT *, [{", ".join(f"CASE WHEN {cond} THEN '{kind}' END" for kind, cond in (
+    (ct.NOT_NULL, "customer_id IS NULL"), (ct.UNIQUE, "customer_id IS NOT NULL AND count(*) OVER (PARTITION BY customer_id) > 1"),
+    (ct.MATCH_REGEX, f"email IS NOT NULL AND NOT regexp_matches(email, '{EMAIL_PATTERN}')"),
+    (ct.IN_SET, "region IS NOT NULL AND region NOT IN (" + ", ".join(f"'{r}'" for r in REGION_VALUES) + ")")))}] AS rules FROM customers_dirty)
+SELECT * EXCLUDE (rules, r), CASE WHEN r = '' THEN 'promoted' ELSE 'quarantined' END AS part, r AS broken_rules
+FROM (SELECT *, array_to_string(list_filter(rules, lambda x: x IS NOT NULL), ',') AS r FROM broken)""", "customers_dirty").replace("\n\n, broken AS", ",\nbroken AS"))
+def bronze_to_silver_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    """R10/L1 without a halt: rows that keep the customer contract are promoted, the others are quarantined with
+    the rules they break; no row is lost."""
+    root = scratch_path(spark, "quarantine")
+    fx.customers_dirty(spark, base).write.parquet(f"{root}/bronze")
+    pl.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", keys=["customer_id"], order_by=["email"], contract=ct.customer_contract(),
+                        quarantine_path=f"{root}/quarantine", run_id="1")
+    good = spark.read.parquet(f"{root}/silver").drop(up.BUCKET, conform.AUDIT_COLUMN)
+    held = spark.read.parquet(f"{root}/quarantine")
+    rules = F.array_join(F.transform("broken_rules", lambda r: r["expectation_type"]), ",")
+    return good.select("*", F.lit("promoted").alias("part"), F.lit("").alias("broken_rules")).unionByName(
+        held.select(*good.columns, F.lit("quarantined").alias("part"), rules.alias("broken_rules")))
+
+
+@register("contract_history", with_views("SELECT '1' AS run_id, * FROM (" + contract_sql("customers_dirty", _SUITE_RULES, SUITE, "silver_customers") + """)
+UNION ALL SELECT '2', * FROM (""" + contract_sql("customers_conformed", _SUITE_RULES, SUITE, "silver_customers") + ")", "customers_dirty", "customers_conformed"))
+def contract_history(spark: SparkSession, base: str) -> DataFrame:
+    """The results of two runs kept as a table; the second run is repeated and still there once."""
+    path = scratch_path(spark, "contract_history")
+    for run, table in (("1", fx.customers_dirty), ("2", fx.customers_conformed), ("2", fx.customers_conformed)):
+        ct.validate(table(spark, base), ct.customer_contract(), SUITE, "silver_customers", False, path, run)
+    return ct.read_history(spark, path).drop("recorded_at")
+
+
 @register("bronze_landing", "SELECT *, 'orders.parquet' AS source_file_name FROM orders")
 def bronze_landing(spark: SparkSession, base: str) -> DataFrame:
     """Source columns kept as they are, plus the source file. The batch

@@ -66,3 +66,24 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return reader.readLine()
     finally:
         reader.close()
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path."""
+    fs, hpath = _fs_and_path(spark, path)
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+
+
+def scheme(spark: SparkSession, path: str) -> str:
+    """Scheme of the file system that holds a path."""
+    return str(_fs_and_path(spark, path)[0].getUri().getScheme())
+
+
+def replace_dir(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``, whose content it replaces."""
+    fs, src = _fs_and_path(spark, source)
+    dst = _fs_and_path(spark, target)[1]
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {source} to {target}")

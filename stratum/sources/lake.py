@@ -130,6 +130,7 @@ def write_table(
     partition_cols: Sequence[str] | None = None,
     merge_schema: bool = True,
     mode: str = "overwrite",
+    only_partitions: bool = False,
 ) -> None:
     """Gold sink (S4, S5, S7): overwrite with schema merge, optional partitions.
 
@@ -137,8 +138,11 @@ def write_table(
     first; AQE splits a hot partition value over several tasks and packs
     small ones together, so each value gets a few well-sized files instead of
     one file per task (or one task holding a third of the data).
+    ``only_partitions`` overwrites the partitions that ``df`` has rows for and leaves the others.
     """
     spark = df.sparkSession
+    if only_partitions and (not partition_cols or fmt == "delta"):
+        raise ValueError("only_partitions needs a partitioned table of plain files")
     existing = existing_schema(spark, path, fmt) if merge_schema and mode == "overwrite" and fmt != "delta" else None
     if existing is not None:
         df = align_to_existing(df, existing)
@@ -148,7 +152,7 @@ def write_table(
     if mode == "overwrite" and partition_cols:
         # a full overwrite whatever the session says: a cluster-wide 'dynamic'
         # mode would keep old partitions missing from the new data
-        writer = writer.option("partitionOverwriteMode", "static")
+        writer = writer.option("partitionOverwriteMode", "dynamic" if only_partitions else "static")
     if fmt == "delta" and merge_schema:
         writer = writer.option("mergeSchema", "true")
     if partition_cols:
