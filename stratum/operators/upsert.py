@@ -9,13 +9,15 @@ Storage form: the table is parquet partitioned by a hash bucket of the key
 computed from columns that never change for a key (e.g. the order month).
 An upsert
 
-1. writes the batch to a hidden folder of the table (``_batches/``) and finds
+1. writes the batch to a hidden folder of the table (``_batches/``) and counts its rows in
    the partitions it touches (at most ``MAX_TOUCHED``, else an error),
-2. merges batch and the touched buckets only (partition pruning),
+2. merges batch and the touched buckets only (partition pruning), bucket-locally: buckets are
+   taken in groups whose batch keys may be broadcast, so the stored rows are never
+   shuffled, however many keys the batch has (``bucket_groups``),
 3. writes the result to a staging folder inside the table (``_staging/`` is
    hidden from readers), and
-4. publishes it with a dynamic partition overwrite of exactly those buckets,
-   then drops both folders.
+4. publishes exactly those buckets – by moving their folders where the file system renames
+   cheaply, else with a dynamic partition overwrite – then drops both folders.
 
 A table of plain files that something else wrote is taken over on the first
 upsert: all its rows are merged into the bucket layout, published, and only then are the old
@@ -48,6 +50,7 @@ BUCKET = "_bucket"
 STAGING = "_staging"
 LAYOUT_MARKER = "_upsert_layout"  # 'buckets=<n>' or 'layout'; hidden from readers (leading '_', no '=')
 BATCHES = "_batches"  # the batch of a running upsert; leftovers are dropped by the next call
+COMPLETE = "_SUCCESS"  # written last into a staging folder: everything to publish is there
 TAKEN_OVER = "_taken_over"  # in a staging folder: the old plain files to drop after publishing
 _PATH_SAFE = re.compile(r"[A-Za-z0-9_.+-]+")
 MAX_TOUCHED = 100_000
@@ -142,7 +145,7 @@ def recover(spark, path: str) -> int:
     """
     done = 0
     for folder in fs.list_dirs(spark, f"{path}/{STAGING}"):
-        if fs.exists(spark, f"{folder}/_SUCCESS"):
+        if fs.exists(spark, f"{folder}/{COMPLETE}"):
             log.warning("re-publishing staged upsert %s", folder)
             _publish(spark, folder, path)
             _drop_taken_over(spark, folder, path)
@@ -161,7 +164,20 @@ def _drop_taken_over(spark, staging: str, path: str) -> None:
                 fs.delete(spark, f"{path}/{name}")
 
 
-def _publish(spark, staging: str, path: str) -> None:
+RENAMES = ("file", "hdfs", "viewfs", "abfs", "abfss")  # file systems whose folders move without copying
+
+
+def _publish(spark, staging: str, path: str, rename: bool | None = None) -> None:
+    """Replace the staged buckets' folders in the table. A second call after a crash finishes what is left in ``staging``.
+
+    Where folders can be moved, the staged files become the table's files: nothing is read or written again. Elsewhere (object stores
+    that copy on rename) Spark writes them with a dynamic partition overwrite."""
+    if rename if rename is not None else fs.scheme(spark, path) in RENAMES:
+        for folder in fs.list_dirs(spark, staging):
+            name = folder.rsplit("/", 1)[-1]
+            if name.startswith(f"{BUCKET}="):
+                fs.replace_dir(spark, folder, f"{path}/{name}")
+        return
     (
         spark.read.parquet(staging)
         .write.mode("overwrite")
@@ -205,6 +221,21 @@ def _bucket_count(spark, path: str, keys: Sequence[str], buckets: int | None, re
     return have
 
 
+def bucket_groups(rows: dict, max_rows: int) -> list[list]:
+    """Touched partitions in groups whose batch rows (``rows`` by partition) are at most ``max_rows`` together.
+
+    The batch keys of a group are broadcast and meet the group's stored rows where those are read. A
+    partition that alone has more is a group of its own (its rows alone are shuffled)."""
+    groups, room = [], 0
+    for value in sorted(rows, key=str):
+        if not groups or rows[value] > room:
+            groups.append([])
+            room = max_rows
+        groups[-1].append(value)
+        room -= rows[value]
+    return groups
+
+
 def layout_value(layout: Column) -> Column:
     """Partition text of a layout value: never null, never taken for a number."""
     return F.coalesce(F.concat(F.lit("v"), layout.cast("string")), F.lit("n"))
@@ -252,7 +283,8 @@ def _foreign_files(spark, path: str) -> bool:
 
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None,
                  on_duplicate: str = "error", order_by: Sequence[str] = (), guard: str | None = None,
-                 fmt: str = "parquet", layout: Column | None = None) -> dict:
+                 fmt: str = "parquet", layout: Column | None = None,
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> dict:
     """D1 + D2: upsert ``source`` into the table at ``path`` (created on first
     use, S5/S6). Returns a small summary dict.
 
@@ -310,42 +342,54 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], buckets: int
     try:
         source.withColumn(BUCKET, part).write.parquet(batch)
         tagged = spark.read.parquet(batch)
-        touched = sorted(r[0] for r in tagged.select(BUCKET).distinct().limit(MAX_TOUCHED + 1).collect())
-        if len(touched) > MAX_TOUCHED:
+        counts = tagged.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).limit(MAX_TOUCHED + 1).collect()
+        if len(counts) > MAX_TOUCHED:
             raise ValueError(f"the batch touches more than {MAX_TOUCHED} partitions; choose a coarser layout")
+        touched = sorted(r[BUCKET] for r in counts)
         if not touched and not foreign:
             return {"mode": "noop", "buckets_touched": 0, "recovered": recovered}
-        if foreign:
-            stored = spark.read.parquet(path)
-            target = stored.withColumn(BUCKET, part)
-        else:
-            target = _touched_partitions(spark, path, touched, present)
-        columns = [c for c in target.columns if c != BUCKET]
-        src = prepare_source(tagged, [*columns, BUCKET], keys, on_duplicate, order_by)
-        # regrouped by partition as a whole: a merge that shuffles by key would write a file
-        # per task and partition
-        merged = merge_frames(target, src, keys, on_duplicate="keep", guard=guard).hint("rebalance", BUCKET)
+        groups = [touched] if foreign else bucket_groups({r[BUCKET]: r["n"] for r in counts}, max_broadcast_rows)
+        if len(groups) > 1:
+            # by partition on disk, so that each group reads its own part of the batch only
+            tagged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{batch}_grouped")
         staging = f"{path}/{STAGING}/{uuid.uuid4().hex}"
+        rows = 0
+        for group in groups:
+            target = spark.read.parquet(path).withColumn(BUCKET, part) if foreign else _touched_partitions(spark, path, group, present)
+            columns = [c for c in target.columns if c != BUCKET]
+            own = tagged if len(groups) == 1 else _touched_partitions(spark, f"{batch}_grouped", group, {str(v) for v in touched})
+            src = prepare_source(own, [*columns, BUCKET], keys, on_duplicate, order_by)
+            # regrouped by partition as a whole: a merge that shuffles by key would write a file
+            # per task and partition
+            merged = merge_frames(target, src, keys, on_duplicate="keep", guard=guard, max_broadcast_rows=max_broadcast_rows).hint("rebalance", BUCKET)
+            # rows in the rewritten partitions, counted while staging (no extra pass)
+            written = Observation("upsert_staging")
+            # a group's files are no complete staging: the marker below is
+            merged.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append") \
+                .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy(BUCKET).parquet(staging)
+            rows += written.get["rows"]
         if foreign:
-            # before the data: with _SUCCESS there, the next call can finish a take-over
+            # before the mark: with it there, the next call can finish a take-over
             fs.write_text(spark, f"{staging}/{TAKEN_OVER}", "plain files")
-        # rows in the rewritten partitions, counted while staging (no extra pass)
-        written = Observation("upsert_staging")
-        merged.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append") \
-            .partitionBy(BUCKET).parquet(staging)
+        fs.write_text(spark, f"{staging}/{COMPLETE}", "complete")
         _publish(spark, staging, path)
         _drop_taken_over(spark, staging, path)
         fs.delete(spark, staging)
     finally:
         fs.delete(spark, batch)
-    return {"mode": "taken over" if foreign else "merge", "buckets_touched": len(touched),
-            "rows_in_touched": written.get["rows"], "recovered": recovered}
+        fs.delete(spark, f"{batch}_grouped")
+    return {"mode": "taken over" if foreign else "merge", "buckets_touched": len(touched), "groups": len(groups),
+            "rows_in_touched": rows, "recovered": recovered}
 
 
 def _upsert_delta(source: DataFrame, path: str, keys: Sequence[str], on_duplicate: str, order_by: Sequence[str],
                   guard: str | None) -> dict:
-    """Delta route, used only where the Delta package is installed (untested here)."""
-    from delta.tables import DeltaTable  # optional dependency
+    """Delta route: the table's own merge. Needs the Delta package, which is not part of this library."""
+    try:
+        from delta.tables import DeltaTable  # optional dependency
+    except ImportError as e:
+        raise ValueError("a Delta table needs the delta package on the driver and its jars on the cluster; "
+                         "use fmt='parquet' without them") from e
 
     spark = source.sparkSession
     if not DeltaTable.isDeltaTable(spark, path):

@@ -669,6 +669,17 @@ def upsert_orders_by_month(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(path).drop(up.BUCKET)
 
 
+@register("upsert_bucket_local", _ORDERS_MERGE_SQL)
+def upsert_bucket_local(spark: SparkSession, base: str) -> DataFrame:
+    """D1/J3 with a batch beyond the broadcast bound: merged by groups of buckets, the stored rows never shuffled; then replayed."""
+    path = scratch_path(spark, "silver_orders_groups")
+    up.upsert_table(fx.orders_initial(spark, base), path, ["o_orderkey"], buckets=8)
+    bound = max(1, fx.orders_changes(spark, base).count() // 4)
+    for _ in range(2):
+        assert up.upsert_table(fx.orders_changes(spark, base), path, ["o_orderkey"], max_broadcast_rows=bound)["groups"] > 1
+    return spark.read.parquet(path).drop(up.BUCKET)
+
+
 @register("upsert_foreign_table", _ORDERS_MERGE_SQL)
 def upsert_foreign_table(spark: SparkSession, base: str) -> DataFrame:
     """Orders first written as plain parquet by something else; the upsert takes the table over."""

@@ -95,29 +95,29 @@ def _raise_if_failed(query: StreamingQuery) -> None:
 
 def upsert_batches(silver_path: str, keys: Sequence[str], order_by: Sequence[str],
                    schema: StructType | None = None, guard: str | None = None,
-                   buckets: int | None = None) -> Callable[[DataFrame, int], None]:
+                   buckets: int | None = None, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that enforces the schema, keeps the
     latest version per key inside the micro-batch and upserts it.
 
     With ``guard`` a late, older version never replaces a newer one, so the
     result does not depend on arrival order; without it, the last batch wins
-    (the original merge's rule).
+    (the original merge's rule). ``fmt='delta'`` merges into a Delta table where the Delta package is installed.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         df = enforce_schema(batch, schema) if schema is not None else batch
         # same duplicate policy as the batch job: latest row per non-null key
         # (an aggregation, map-side first), every null-key row kept
-        upsert_table(df, silver_path, keys, buckets=buckets, on_duplicate="latest", order_by=order_by, guard=guard)
+        upsert_table(df, silver_path, keys, buckets=buckets, on_duplicate="latest", order_by=order_by, guard=guard, fmt=fmt)
 
     return apply
 
 
 def run_stream_upsert(stream: DataFrame, silver_path: str, checkpoint: str, keys: Sequence[str],
                       order_by: Sequence[str], schema: StructType | None = None, guard: str | None = None,
-                      buckets: int | None = None) -> None:
+                      buckets: int | None = None, fmt: str = "parquet") -> None:
     query = (
-        stream.writeStream.foreachBatch(upsert_batches(silver_path, keys, order_by, schema, guard, buckets))
+        stream.writeStream.foreachBatch(upsert_batches(silver_path, keys, order_by, schema, guard, buckets, fmt))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

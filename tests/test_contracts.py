@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from stratum.functions.expressions import EMAIL_PATTERN
 from stratum.operators import contracts as ct
@@ -85,3 +86,52 @@ def test_contract_counts_equal_direct_counts(spark):
     assert res[0]["unexpected_count"] == df.where("customer_id is null").count()
     assert res[3]["unexpected_count"] == df.where("region is not null and region not in "
                                                   "('NA','EMEA','APAC','LATAM')").count()
+
+
+def test_flagged_rows_and_split(spark):
+    rows = [(1, "a@x.de", "NA"), (1, "b@x.de", "EMEA"), (2, "bad", "NA"), (3, None, "MARS"), (None, "c@x.de", "APAC"), (4, "d@x.de", None)]
+    # columns named like the helper's own
+    df = spark.createDataFrame(rows, "customer_id long, email string, region string").withColumns(
+        {"n": F.lit(1), "key_1": F.lit("k"), "row_rules": F.lit("r"), "_key": F.lit(2)})
+    flagged = ct.flag_rows(df, ct.customer_contract())
+    assert flagged.columns == [*df.columns, "broken_rules"]
+    got = {(r.customer_id, r.email): [b.expectation_index for b in r.broken_rules] for r in flagged.collect()}
+    assert got == {(1, "a@x.de"): [1], (1, "b@x.de"): [1], (2, "bad"): [2], (3, None): [3], (None, "c@x.de"): [0], (4, "d@x.de"): []}
+    good, bad = ct.split_rows(flagged, [0, 3])  # the other rules hold within their tolerance
+    assert {r.customer_id for r in good.collect()} == {1, 2, 4} and good.columns == df.columns
+    assert {(r.customer_id, len(r.broken_rules)) for r in bad.collect()} == {(3, 1), (None, 1)}
+    with pytest.raises(ValueError):
+        ct.flag_rows(df.withColumn("broken_rules", F.lit(1)), ct.customer_contract())
+
+
+def test_several_unique_rules_find_their_keys_in_one_pass(spark):
+    rows = [(1, 1, 1), (1, 2, 1), (2, 2, 2), (3, 3, 2), (None, 4, None), (None, 4, None)]
+    df = spark.createDataFrame(rows, "a long, b long, c long")
+    rules = [ct.unique("a"), ct.unique("b"), ct.expectation(ct.COMPOUND_UNIQUE, column_list=["a", "c"])]
+    got = sorted((r.a or 0, r.b, r.expectation_index) for r in ct.contract_violations(df, rules).collect())
+    assert got == [(0, 4, 1), (0, 4, 1), (1, 1, 0), (1, 1, 2), (1, 2, 0), (1, 2, 1), (1, 2, 2), (2, 2, 1)]
+    hot = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 10).alias("a"))
+    assert ct.contract_violations(hot, [ct.unique("a")]).count() == 1334
+
+
+def test_promote_quarantines_once_and_keeps_history(spark, scratch):
+    root = scratch("promote")
+    df = spark.createDataFrame([(1, "a@x.de", "NA"), (2, "bad", "NA"), (None, "c@x.de", "APAC")], "customer_id long, email string, region string")
+    for _ in range(2):  # the same run again replaces its own rows
+        good, info = ct.promote(df, ct.customer_contract(), f"{root}/held", "suite", "asset", "7", f"{root}/history")
+        assert [r.customer_id for r in good.collect()] == [1] and info["quarantined"] == 2 and info["failed_rules"] == [0, 2]
+    assert spark.read.parquet(f"{root}/held").count() == 2
+    history = ct.read_history(spark, f"{root}/history")
+    assert history.count() == 4 and {r.run_id for r in history.collect()} == {"7"}
+    with pytest.raises(ct.ContractViolation):  # no row to blame
+        ct.promote(df, [ct.expectation(ct.ROW_COUNT, min_value=10)], f"{root}/held", run_id="8")
+    clean, info = ct.promote(df.where("customer_id = 1"), ct.customer_contract(), f"{root}/held", run_id="9")
+    assert clean.count() == 1 and info["quarantined"] == 0
+
+
+def test_a_halt_is_recorded_too(spark, scratch):
+    path = scratch("history")
+    df = spark.createDataFrame([(None,)], "customer_id long")
+    with pytest.raises(ct.ContractViolation):
+        ct.gate(df, [ct.not_null("customer_id")], "s", "a", path, "1")
+    assert [r.success for r in ct.read_history(spark, path).collect()] == [False]

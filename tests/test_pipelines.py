@@ -59,3 +59,34 @@ def test_silver_to_gold_writes_three_tables(spark, scratch):
 def test_config_requires_both_bases():
     with pytest.raises(ValueError):
         LakeConfig.from_mapping({"silver_base_path": "x"})
+
+
+def test_two_arguments_are_enough(spark, scratch):
+    """Bucket count by default: one for a small first load, and kept by later calls."""
+    root = scratch("l1")
+    cols = "id string, updated_at string, v string"
+    spark.createDataFrame([("1", "2024-01-01", "a"), ("2", "2024-01-01", "b")], cols).write.parquet(f"{root}/b1")
+    spark.createDataFrame([("1", "2024-01-02", "c")], cols).write.parquet(f"{root}/b2")
+    assert pl.bronze_to_silver(spark, f"{root}/b1", f"{root}/silver")["mode"] == "initial"
+    assert pl.bronze_to_silver(spark, f"{root}/b2", f"{root}/silver")["mode"] == "merge"
+    assert {(r.id, r.v) for r in spark.read.parquet(f"{root}/silver").collect()} == {("1", "c"), ("2", "b")}
+    assert pl.default_buckets(spark, f"{root}/b1") == 1 and pl.default_buckets(spark, f"{root}/nothing") == 1
+
+
+def test_silver_format_reaches_the_upsert(spark, scratch):
+    root = scratch("l1")
+    spark.createDataFrame([("1", "2024-01-01", "a")], "id string, updated_at string, v string").write.parquet(f"{root}/b")
+    with pytest.raises(ValueError, match="delta package"):
+        pl.bronze_to_silver(spark, f"{root}/b", f"{root}/silver", silver_format="delta")
+
+
+def test_lineage_codes_that_clash_stop_the_run(spark, scratch, monkeypatch):
+    from stratum.operators import governance as gv
+
+    path = scratch("files")
+    spark.range(10).repartition(3).write.parquet(path)
+    files = gv.lineage_files(spark.read.parquet(path)).collect()
+    assert len(files) == 3 and len({r.source_file_id for r in files}) == 3
+    monkeypatch.setattr(gv, "file_id", lambda c: F.lit(1).cast("long"))
+    with pytest.raises(Exception, match="share the code"):
+        gv.lineage_files(spark.read.parquet(path)).collect()

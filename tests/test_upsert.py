@@ -194,3 +194,121 @@ def test_creation_needs_a_layout(spark, scratch):
         up.upsert_table(frame(spark, [(1, "a", 1)]), scratch("none"), ["id"])
     with pytest.raises(ValueError):
         up.upsert_table(frame(spark, [(1, "a", 1)]), scratch("delta"), ["id"], buckets=4, fmt="delta")
+
+
+def _merged(spark, path):
+    return as_set(spark.read.parquet(path))
+
+
+@pytest.mark.parametrize("guard", [None, "ts"])
+def test_batch_beyond_the_broadcast_bound_is_merged_by_groups(spark, scratch, capsys, guard):
+    old = [(i, f"v{i}", i % 7) for i in range(900)]
+    new = [(i, f"n{i}", 3) for i in range(600, 1200)] + [(None, "null", 1)]
+    path, plain = scratch("grouped"), scratch("plain")
+    for p in (path, plain):
+        up.upsert_table(frame(spark, old), p, ["id"], buckets=16)
+    info = up.upsert_table(frame(spark, new), path, ["id"], guard=guard, max_broadcast_rows=100)
+    assert info["groups"] > 4 and info["buckets_touched"] == 16
+    assert up.upsert_table(frame(spark, new), plain, ["id"], guard=guard)["groups"] == 1
+    assert _merged(spark, path) == _merged(spark, plain)
+    # a group's stored rows meet its batch keys where they are read
+    group = up.bucket_groups({b: 40 for b in range(16)}, 100)[0]
+    assert group == [0, 1]
+    target = up._touched_partitions(spark, path, group, up._partition_values(spark, path))
+    batch = frame(spark, new).withColumn(up.BUCKET, up.bucket_of(["id"], 16)).where(F.col(up.BUCKET).isin(group))
+    capsys.readouterr()
+    up.merge_frames(target, batch, ["id"], on_duplicate="keep", max_broadcast_rows=100).explain()
+    text = capsys.readouterr().out
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+
+
+def test_one_bucket_beyond_the_bound_shuffles_alone(spark, scratch):
+    assert up.bucket_groups({0: 5, 1: 500, 2: 5, 3: 90}, 100) == [[0], [1], [2, 3]]
+    path = scratch("one")
+    up.upsert_table(frame(spark, [(i, "a", 1) for i in range(50)]), path, ["id"], buckets=2)
+    info = up.upsert_table(frame(spark, [(i, "b", 2) for i in range(80)]), path, ["id"], max_broadcast_rows=10)
+    assert info["groups"] == 2 and _merged(spark, path) == [(i, "b", 2) for i in range(80)]
+
+
+def test_publishing_by_moving_and_by_copying_agree(spark, scratch, monkeypatch):
+    rows, new = [(i, "a", 1) for i in range(60)], [(i, "b", 2) for i in range(40, 80)]
+    tables = []
+    for renames in (("file",), ()):
+        monkeypatch.setattr(up, "RENAMES", renames)
+        path = scratch("publish")
+        up.upsert_table(frame(spark, rows), path, ["id"], buckets=4)
+        up.upsert_table(frame(spark, new), path, ["id"])
+        tables.append(_merged(spark, path))
+        assert not up.fs.list_dirs(spark, f"{path}/{up.STAGING}")
+    assert tables[0] == tables[1] == [(i, "a" if i < 40 else "b", 1 if i < 40 else 2) for i in range(80)]
+
+
+def test_crash_between_two_moved_buckets_is_finished(spark, scratch, monkeypatch):
+    path = scratch("moved")
+    up.upsert_table(frame(spark, [(i, "a", 1) for i in range(60)]), path, ["id"], buckets=4)
+    real, calls = up.fs.replace_dir, []
+
+    def die(s, source, target):
+        if calls:
+            raise RuntimeError("driver lost")
+        calls.append(target)
+        real(s, source, target)
+
+    monkeypatch.setattr(up.fs, "replace_dir", die)
+    with pytest.raises(RuntimeError):
+        up.upsert_table(frame(spark, [(i, "b", 2) for i in range(60)]), path, ["id"])
+    monkeypatch.setattr(up.fs, "replace_dir", real)
+    assert up.recover(spark, path) == 1
+    assert _merged(spark, path) == [(i, "b", 2) for i in range(60)]
+
+
+def test_delta_without_the_package_says_so(spark, scratch):
+    with pytest.raises(ValueError, match="delta package"):
+        up.upsert_table(frame(spark, [(1, "a", 1)]), scratch("delta"), ["id"], fmt="delta")
+
+
+def test_delta_route_builds_the_merge(spark, scratch, monkeypatch):
+    """The calls of the Delta branch, on a stand-in for the package that records them."""
+    import sys
+    import types
+
+    log = []
+
+    class Table:
+        @staticmethod
+        def isDeltaTable(_, path):
+            return path.endswith("there")
+
+        @staticmethod
+        def forPath(_, path):
+            return Table()
+
+        def toDF(self):
+            return frame(spark, [])
+
+        def alias(self, name):
+            return self
+
+        def merge(self, source, cond):
+            log.append((sorted(map(tuple, source.collect())), cond))
+            return self
+
+        def whenMatchedUpdateAll(self, condition=None):
+            log.append(condition)
+            return self
+
+        def whenNotMatchedInsertAll(self):
+            return self
+
+        def execute(self):
+            log.append("done")
+
+    monkeypatch.setitem(sys.modules, "delta", types.ModuleType("delta"))
+    tables = types.ModuleType("delta.tables")
+    tables.DeltaTable = Table
+    monkeypatch.setitem(sys.modules, "delta.tables", tables)
+    info = up.upsert_table(frame(spark, [(1, "a", 1), (1, "b", 2)]), "/tables/there", ["id"], on_duplicate="latest", order_by=["ts"], guard="ts", fmt="delta")
+    assert info == {"mode": "merge"}
+    assert log == [([(1, "b", 2)], "target.`id` = source.`id`"), "target.`ts` IS NULL OR source.`ts` >= target.`ts`", "done"]
+    with pytest.raises(ValueError, match="parquet form"):
+        up.upsert_table(frame(spark, []), "/tables/there", ["id"], buckets=4, fmt="delta")
