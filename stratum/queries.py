@@ -21,6 +21,8 @@ from stratum.oracles import contract_sql
 from stratum.oracles import with_views
 from stratum.plans import forecast as fc
 from stratum.plans import incremental as inc
+from stratum.plans import model_choice as mc
+from stratum.plans import model_registry as reg
 from stratum.plans import pipelines as pl
 from stratum.session import scratch_path
 from stratum.sources import fixtures as fx
@@ -657,6 +659,70 @@ def demand_model_optimality(spark: SparkSession, base: str) -> DataFrame:
     return fc.optimality(fc.train_demand_model(features), features)
 
 
+_KNOWN = " AND ".join(f"{c} IS NOT NULL" for c in ("label", *fc.FEATURES))
+_TRAINING_SQL = f"(SELECT * FROM ({ORACLES['demand_features']}) WHERE {_KNOWN})"
+
+
+@register("demand_folds", f"""
+WITH m AS (SELECT year_month, month_index, count(*) AS rows, row_number() OVER (ORDER BY month_index) - 1 AS at, count(*) OVER () AS t
+           FROM {_TRAINING_SQL} GROUP BY year_month, month_index),
+f AS (SELECT *, t // (least({mc.FOLDS}, t - 1) + 1) AS w, least({mc.FOLDS}, t - 1) AS n FROM m),
+k AS (SELECT *, unnest(range(1, n + 1)) AS fold FROM f)
+SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN at < t - (n - fold + 1) * w THEN 'train' ELSE 'validate' END AS role, year_month, rows
+FROM k WHERE at < t - (n - fold) * w""")
+def demand_folds(spark: SparkSession, base: str) -> DataFrame:
+    """The months each time-ordered fold trains on and validates; none trains on a month after its validation months."""
+    return mc.fold_months(demand_features(spark, base))
+
+
+def _registered(spark: SparkSession, base: str) -> tuple[DataFrame, str]:
+    """Features, and a registry with two versions: the reference parameters, then those chosen on the folds (promoted)."""
+    features, root = _forecast(spark, base)
+    reg.register_model(fc.train_demand_model(features), root, "demand", features, {"alpha": 0.5, "l1_ratio": 0.2})
+    chosen, _ = mc.choose(spark, features, alphas=(5.0,), l1_ratios=(0.2,))
+    model = fc.train_demand_model(features, chosen["alpha"], chosen["l1_ratio"])
+    reg.promote_model(spark, root, "demand", 1)
+    reg.promote_model(spark, root, "demand", reg.register_model(model, root, "demand", features, chosen, chosen["rmse"]))
+    return features, root
+
+
+_CENTS = " || '|' || ".join(f"CAST(sum(CAST(round({c} * 100) AS DECIMAL(38,0))) AS VARCHAR)" for c in ("label", *fc.FEATURES))
+
+
+@register("demand_model_table", f"""
+SELECT 'demand' AS name, version, alpha, 0.2::DOUBLE AS l1_ratio, n AS training_rows, a AS first_month, b AS last_month, md5(n || '|' || a || '|' || b || '|' || s) AS fingerprint,
+       version = 2 AS has_error, version = 2 AS promoted
+FROM (SELECT count(*) AS n, min(year_month) AS a, max(year_month) AS b, {_CENTS} AS s FROM {_TRAINING_SQL}),
+     (SELECT * FROM (VALUES (1, 0.5::DOUBLE), (2, 5.0::DOUBLE)) v(version, alpha))""")
+def demand_model_table(spark: SparkSession, base: str) -> DataFrame:
+    """Versions with parameters, training rows and their fingerprint; the newest promotion holds."""
+    _, root = _registered(spark, base)
+    return reg.model_table(spark, root, "demand").select("name", "version", "alpha", "l1_ratio", "training_rows", "first_month", "last_month", "fingerprint",
+                                                         F.col("rmse").isNotNull().alias("has_error"), "promoted")
+
+
+@register("demand_predictions", f"""
+SELECT store_id, product_id, year_month, 2 AS model_version,
+       CASE WHEN lag_1 IS NULL THEN 'lag_1 unknown' WHEN lag_2 IS NULL THEN 'lag_2 unknown' WHEN lag_3 IS NULL THEN 'lag_3 unknown'
+            WHEN rolling_mean_3 IS NULL THEN 'rolling_mean_3 unknown' END AS reason,
+       CASE WHEN lag_1 IS NOT NULL AND lag_2 IS NOT NULL AND lag_3 IS NOT NULL AND rolling_mean_3 IS NOT NULL THEN true END AS equals_the_formula
+FROM ({_AHEAD_SQL})""")
+def demand_predictions(spark: SparkSession, base: str) -> DataFrame:
+    """Every stored prediction names its version and equals intercept plus coefficients times features of that
+    version's row in the model table."""
+    features, root = _registered(spark, base)
+    fc.write_predictions(reg.predict_promoted(features, root, "demand"), f"{root}/gold/demand_predictions")
+    stored = read_path(spark, f"{root}/gold/demand_predictions")
+    weights = F.broadcast(reg.model_table(spark, root, "demand").select(F.col("version").alias("model_version"), "intercept", "coefficients"))  # a row a version
+    keys = ["store_id", "product_id", "year_month"]
+    value = F.col("intercept")
+    for c in fc.FEATURES:
+        value = value + F.element_at("coefficients", c) * F.col(c)
+    same = F.abs(F.col("prediction") - value) <= 1e-9 * F.greatest(F.lit(1.0), F.abs(value))
+    return stored.join(features.select(*keys, *fc.FEATURES), keys).join(weights, "model_version").select(
+        *keys, "model_version", "reason", same.alias("equals_the_formula"))
+
+
 @register("upsert_orders_by_month", _ORDERS_MERGE_SQL)
 def upsert_orders_by_month(spark: SparkSession, base: str) -> DataFrame:
     """D2 with an order-month layout: the change batch rewrites only the
