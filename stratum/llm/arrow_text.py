@@ -18,8 +18,10 @@ BASE_INVERSE = pow(BASE, -1, 1 << 64)
 KEYS = ("stratum-window-1", "stratum-window-2")
 
 
-def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of ``batch`` whose texts hold at most ``most_bytes`` together (one row at least)."""
+def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 3 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of ``batch`` whose texts hold at most ``most_bytes`` together (one row at least).
+
+    A worker lives on between tasks, so the memory that a batch needed is given back after it."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths)
     start = 0
@@ -28,6 +30,7 @@ def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 20) -> Ite
         stop = max(start + 1, int(np.searchsorted(ends, base + most_bytes, "right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def split_words(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
