@@ -533,6 +533,48 @@ def stream_upsert_events(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{root}/silver").drop(up.BUCKET)
 
 
+_LATE_RULE = "CAST(id AS BIGINT) % 13 = 0"  # these deliveries come last, whatever their event time
+_ROUNDS = ("2024-01-11", "2024-01-21")
+
+
+@register("stream_late_rows", with_views(f"""
+, b AS (SELECT *, CASE WHEN {_LATE_RULE} THEN 4 WHEN updated_at < '{_ROUNDS[0]}' THEN 1 WHEN updated_at < '{_ROUNDS[1]}' THEN 2 ELSE 3 END AS round,
+        CAST(updated_at AS TIMESTAMP) AS ts FROM events_bronze),
+w AS (SELECT max(ts) - INTERVAL 5 DAY AS mark FROM b WHERE round < 4)
+SELECT part, id, name, value, updated_at, extra, count(*) AS copies FROM (
+    SELECT DISTINCT 'kept' AS part, id, name, value, updated_at, extra FROM b, w WHERE round < 4 OR ts >= mark
+    UNION ALL SELECT 'late', id, name, value, updated_at, extra FROM b, w WHERE round = 4 AND ts < mark
+    UNION ALL SELECT 'unparseable', id, name, value, 'no time', extra FROM events_bronze WHERE value = '12x') GROUP BY ALL""", "events_bronze").replace("\n\n, b AS", ",\nb AS"))
+def stream_late_rows(spark: SparkSession, base: str) -> DataFrame:
+    """R2 without loss: deliveries held back to the last micro-batch are late where the watermark has passed them. Kept, late and
+    unparseable rows are all delivered rows, re-deliveries in time apart."""
+    root = scratch_path(spark, "stream_late")
+    bronze = fx.events_bronze(spark, base)
+    last = F.expr(_LATE_RULE)
+    early, middle = F.col("updated_at") < _ROUNDS[0], F.col("updated_at") < _ROUNDS[1]
+    rounds = [bronze.where(~last & early), bronze.where(~last & ~early & middle), bronze.where(~last & ~middle), bronze.where(last)]
+    rounds[0] = rounds[0].unionByName(bronze.where(F.col("value") == "12x").withColumn("updated_at", F.lit("no time")))
+    for rows in rounds:  # one micro-batch each: a trigger takes what has arrived
+        rows.write.mode("append").parquet(f"{root}/arrivals")
+        stream = bs.read_arrivals(spark, f"{root}/arrivals", BRONZE_EVENTS_SCHEMA)
+        bs.land_stream(stream, f"{root}/landed", f"{root}/checkpoint", "updated_at", "5 days", ["id", "updated_at"])
+    parts = [bs.read_landed(spark, f"{root}/landed", BRONZE_EVENTS_SCHEMA, p).withColumn("part", F.lit(p)) for p in (bs.KEPT, bs.LATE, bs.UNPARSEABLE)]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.groupBy("part", *BRONZE_EVENTS_SCHEMA.names).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@register("stream_newest_versions", with_views(f"SELECT * FROM {_EVENTS_LATEST.format(src='events_bronze')}", "events_bronze"))
+def stream_newest_versions(spark: SparkSession, base: str) -> DataFrame:
+    """R3 with the newest version of each key in state: deliveries in shuffled order, so that older versions come after newer
+    ones, give the batch result."""
+    root = scratch_path(spark, "stream_newest")
+    shuffled = fx.events_bronze(spark, base).repartition(4, F.xxhash64("id", "updated_at", "value"))
+    shuffled.write.parquet(f"{root}/arrivals")
+    stream = bs.read_arrivals(spark, f"{root}/arrivals", BRONZE_EVENTS_SCHEMA, max_files_per_trigger=2)
+    bs.run_stream_upsert_newest(stream, f"{root}/silver", f"{root}/checkpoint", ["id"], "updated_at", EVENTS_SCHEMA, buckets=8)
+    return spark.read.parquet(f"{root}/silver").drop(up.BUCKET)
+
+
 # ---------------------------------------------------------------- governance
 
 
@@ -664,12 +706,12 @@ _TRAINING_SQL = f"(SELECT * FROM ({ORACLES['demand_features']}) WHERE {_KNOWN})"
 
 
 @register("demand_folds", f"""
-WITH m AS (SELECT year_month, month_index, count(*) AS rows, row_number() OVER (ORDER BY month_index) - 1 AS at, count(*) OVER () AS t
+WITH m AS (SELECT year_month, month_index, count(*) AS "rows", row_number() OVER (ORDER BY month_index) - 1 AS pos, count(*) OVER () AS t
            FROM {_TRAINING_SQL} GROUP BY year_month, month_index),
 f AS (SELECT *, t // (least({mc.FOLDS}, t - 1) + 1) AS w, least({mc.FOLDS}, t - 1) AS n FROM m),
 k AS (SELECT *, unnest(range(1, n + 1)) AS fold FROM f)
-SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN at < t - (n - fold + 1) * w THEN 'train' ELSE 'validate' END AS role, year_month, rows
-FROM k WHERE at < t - (n - fold) * w""")
+SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN pos < t - (n - fold + 1) * w THEN 'train' ELSE 'validate' END AS role, year_month, "rows"
+FROM k WHERE pos < t - (n - fold) * w""")
 def demand_folds(spark: SparkSession, base: str) -> DataFrame:
     """The months each time-ordered fold trains on and validates; none trains on a month after its validation months."""
     return mc.fold_months(demand_features(spark, base))

@@ -1,5 +1,9 @@
 """Streaming Bronze landing (R2) and streaming Silver upsert.
 
+``dedup_within_watermark`` is Spark's own stateful dedup, which drops late rows. ``land_stream`` keeps them: it splits each
+micro-batch by the watermark of the batches before it into kept, late and unparseable rows. ``newest_versions``
+holds the newest version of each key in state, so that a stream upsert writes one row a key.
+
 Both read a folder of arriving files with Structured Streaming. The event
 time is cast to a session timestamp before the watermark (file timestamps
 may be ``timestamp_ntz``). Dedup state lives in the state store for the
@@ -14,17 +18,23 @@ which never match and are inserted again, as in the original merge).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructField, StructType, TimestampType
 
-from stratum.operators.conform import enforce_schema
+from stratum.operators.conform import dedup_latest, enforce_schema
+from stratum.operators.joins import fits
 from stratum.operators.upsert import upsert_table
+from stratum.sources import fs
 
 EVENT_TIME = "_event_time"
+PART, BATCH = "_part", "_batch"
+KEPT, LATE, UNPARSEABLE = "kept", "late", "unparseable"
 
 
 def read_arrivals(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -124,3 +134,151 @@ def run_stream_upsert(stream: DataFrame, silver_path: str, checkpoint: str, keys
     )
     query.awaitTermination()
     _raise_if_failed(query)
+
+
+# ---------------------------------------------------------------- landing that keeps late rows
+
+
+def _delay_seconds(spark: SparkSession, delay: str) -> int:
+    days = spark.sql(f"SELECT unix_seconds(timestamp '2000-01-01 00:00:00' + INTERVAL {delay}) - unix_seconds(timestamp '2000-01-01 00:00:00') AS s")
+    return int(days.first()["s"])
+
+
+def _watermark_before(spark: SparkSession, checkpoint: str, batch_id: int, seconds: int) -> int | None:
+    """Watermark in microseconds: the greatest event time of the earlier batches less the delay; None before there is one."""
+    text = fs.read_text(spark, f"{checkpoint}/event_times/{batch_id - 1}") if batch_id else None
+    return int(text) - seconds * 1_000_000 if text not in (None, "", "none") else None
+
+
+def land_batches(path: str, checkpoint: str, ts_col: str, delay: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that lands every row of a micro-batch somewhere.
+
+    The table at ``path`` has a partition a micro-batch and part: ``kept`` (in time, one row a key: the greatest event time,
+    then the other columns decide, not arrival), ``late`` (behind the watermark of the earlier batches) and ``unparseable`` (no
+    event time). A key already kept within ``delay`` of a row's event time is a re-delivery and dropped; that test reads only the kept rows'
+    keys and times of that stretch of event time.
+
+    A replayed batch overwrites its own partitions and sees only earlier ones, so it lands the same rows. The
+    greatest event time so far is noted for each batch under ``checkpoint``.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seconds = _delay_seconds(spark, delay)
+        limit = _watermark_before(spark, checkpoint, batch_id, seconds)
+        timed = batch.withColumn(EVENT_TIME, F.col(ts_col).try_cast("timestamp"))
+        micros = F.unix_micros(EVENT_TIME)
+        late = F.lit(False) if limit is None else micros < F.lit(limit)
+        part = F.when(F.col(EVENT_TIME).isNull(), UNPARSEABLE).when(late, LATE).otherwise(KEPT)
+        tagged = timed.withColumn(PART, part).persist()  # feeds the bounds and three sinks; lost blocks are read again from the files
+        try:
+            seen = tagged.where(F.col(PART) != UNPARSEABLE).agg(F.max(micros).alias("top"), F.min(F.when(F.col(PART) == KEPT, micros)).alias("low")).first()
+            fresh = dedup_latest(tagged.where(F.col(PART) == KEPT), keys, [EVENT_TIME])
+            known = _kept_before(spark, path, batch_id)
+            if known is not None and seen["low"] is not None:
+                fresh = _not_yet_kept(fresh, known, keys, seconds, seen["low"])
+            rows = fresh.unionByName(tagged.where(F.col(PART) != KEPT)).withColumn(BATCH, F.lit(f"b{batch_id:09d}"))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH, PART).parquet(path)
+            earlier = None if limit is None else limit + seconds * 1_000_000
+            top = max((x for x in (seen["top"], earlier) if x is not None), default=None)
+            fs.write_text(spark, f"{checkpoint}/event_times/{batch_id}", "none" if top is None else str(top))
+        finally:
+            tagged.unpersist()
+
+    return apply
+
+
+def _kept_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    earlier = [d for d in fs.list_dirs(spark, path) if d.rsplit("/", 1)[-1].startswith(f"{BATCH}=b") and int(d.rsplit("=b", 1)[1]) < batch_id]
+    folders = [f"{d}/{PART}={KEPT}" for d in earlier if fs.exists(spark, f"{d}/{PART}={KEPT}")]
+    return spark.read.option("basePath", path).parquet(*folders) if folders else None
+
+
+def _not_yet_kept(fresh: DataFrame, known: DataFrame, keys: Sequence[str], seconds: int, low: int) -> DataFrame:
+    """Rows of ``fresh`` whose key no kept row has within ``seconds`` of event time (null keys equal each other)."""
+    reach = seconds * 1_000_000
+    old = known.where(F.unix_micros(EVENT_TIME) >= F.lit(low - reach)).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.unix_micros(EVENT_TIME).alias("_seen"))
+    same: Column = F.abs(F.unix_micros(EVENT_TIME) - F.col("_seen")) <= F.lit(reach)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return fresh.join(F.broadcast(old) if fits(old) else old, same, "left_anti")
+
+
+def land_stream(stream: DataFrame, path: str, checkpoint: str, ts_col: str, delay: str, keys: Sequence[str]) -> None:
+    """R2 without losing rows: everything available now goes to the parts of the table at ``path`` (``land_batches``)."""
+    query = (
+        stream.writeStream.foreachBatch(land_batches(path, checkpoint, ts_col, delay, keys))
+        .option("checkpointLocation", f"{checkpoint}/query")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    _raise_if_failed(query)
+
+
+def read_landed(spark: SparkSession, path: str, schema: StructType, part: str) -> DataFrame:
+    """The rows of one part (``kept``, ``late`` or ``unparseable``) with the stream's columns."""
+    full = StructType([*schema.fields, StructField(EVENT_TIME, TimestampType())]).add(BATCH, "string").add(PART, "string")
+    return spark.read.schema(full).parquet(path).where(F.col(PART) == part).select(*schema.names)
+
+
+# ---------------------------------------------------------------- newest version of each key in state
+
+
+def newest_versions(stream: DataFrame, keys: Sequence[str], version: str, keep: str = "7 days") -> DataFrame:
+    """Stream of the rows that are newer, by ``version`` and then by their other columns, than every row of their key so far: at most one
+    row a key and micro-batch.
+
+    The state of a key is its newest row; a processing-time timer drops it when no newer row has come for ``keep``, which
+    bounds the state (after that the guard of the upsert still turns older rows away). Rows without a key or a version have
+    no order: split them off first. Groups are small by then: the keys' rows of one micro-batch, which
+    ``read_arrivals`` bounds.
+    """
+    columns = stream.columns
+    order = [version, *[c for c in columns if c not in keys and c != version]]
+    span = pd.Timedelta(keep)
+
+    def rank(row: tuple) -> tuple:
+        return tuple((row[columns.index(c)] is not None, row[columns.index(c)]) for c in order)
+
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        old = tuple(state.get) if state.exists else None
+        best = old
+        for pdf in batches:
+            for row in pdf.astype(object).where(pdf.notna(), None).itertuples(index=False, name=None):
+                if best is None or rank(row) > rank(best):
+                    best = row
+        if best is not old:
+            state.update(best)
+            yield pd.DataFrame([best], columns=columns)
+        state.setTimeoutDuration(int(span.total_seconds() * 1000))
+
+    return stream.groupBy(*keys).applyInPandasWithState(
+        update, stream.schema, stream.schema, "update", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def run_stream_upsert_newest(stream: DataFrame, silver_path: str, checkpoint: str, keys: Sequence[str], version: str,
+                             schema: StructType | None = None, buckets: int | None = None, keep: str = "7 days",
+                             fmt: str = "parquet") -> None:
+    """R3 with the newest version of each key in state: no older version reaches storage, whatever the order of arrival.
+
+    The schema is enforced before the state, so versions compare as their type. Rows without a key or version go round the state
+    into the same upsert, which inserts null keys as they come (the original merge's rule)."""
+    typed = enforce_schema(stream, schema) if schema is not None else stream
+    known = F.col(version).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    upsert = upsert_batches(silver_path, keys, [version], None, version, buckets, fmt)
+    for name, part in (("newest", newest_versions(typed.where(known), keys, version, keep)), ("other", typed.where(~known))):
+        query = (
+            part.writeStream.foreachBatch(upsert)
+            .outputMode("update")
+            .option("checkpointLocation", f"{checkpoint}/{name}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        _raise_if_failed(query)
