@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DataType, IntegralType, MapType, StringType, StructType
 
 from stratum.functions.expressions import EMAIL_PATTERN, unanchored, year_month_of
 from stratum.operators.joins import join_small
@@ -87,6 +87,106 @@ def sensitive_rows(df: DataFrame, id_col: str, columns: Sequence[str] | None = N
     )
 
 
+# ---------------------------------------------------------------- checked findings, nested values
+
+
+def _luhn(match: Column) -> Column:
+    return F.call_function("luhn_check", F.translate(match, " -", ""))
+
+
+def _octets(match: Column) -> Column:
+    return F.forall(F.split(match, r"\."), lambda x: x.cast("int") <= 255)
+
+
+#: What a match must pass beyond its pattern, by the pattern itself; other patterns have no further test.
+CHECKS = {SENSITIVE_PATTERNS["card_number"]: _luhn, SENSITIVE_PATTERNS["ipv4"]: _octets}
+
+
+def matched(value: Column, pattern: str) -> Column:
+    """All leftmost non-overlapping matches of ``pattern`` in ``value``; empty for null, and without a regex search where
+    the pattern's required literal is missing."""
+    found = F.regexp_extract_all(value, F.lit(pattern), F.lit(0))
+    literal = REQUIRED_LITERAL.get(pattern)
+    return F.when(value.contains(literal) if literal else value.isNotNull(), found).otherwise(F.array().cast("array<string>"))
+
+
+def valid_matches(found: Column, pattern: str) -> Column:
+    """How many of the matches pass the pattern's check: the Luhn digit of card numbers, octets up to 255 of addresses."""
+    check = CHECKS.get(pattern)
+    return F.size(F.filter(found, check)) if check else F.size(found)
+
+
+def sensitive_findings(df: DataFrame, id_col: str, columns: Sequence[str] | None = None,
+                       patterns: Mapping[str, str] = SENSITIVE_PATTERNS) -> DataFrame:
+    """R4, checked: (id, column_name, pattern, n_matches, n_valid) for every value with a match. Map-only."""
+    cols = list(columns) if columns is not None else [c for c in _string_columns(df) if c != id_col]
+    pairs = [(c, name, pat) for c in cols for name, pat in patterns.items()]
+    found = df.select(F.col(id_col), *[matched(F.col(c), pat).alias(f"m{i}") for i, (c, _, pat) in enumerate(pairs)])
+    tags = [F.when(F.size(f"m{i}") > 0, F.struct(
+        F.lit(c).alias("column_name"), F.lit(name).alias("pattern"), F.size(f"m{i}").cast("long").alias("n_matches"),
+        valid_matches(F.col(f"m{i}"), pat).cast("long").alias("n_valid"))) for i, (c, name, pat) in enumerate(pairs)]
+    return found.select(F.col(id_col), F.inline(F.array_compact(F.array(*tags))))
+
+
+_LEAF = "array<struct<path:string,value:string>>"
+
+
+def _leaf(path: Column, value: Column) -> Column:
+    return F.array(F.struct(path.alias("path"), value.alias("value"))).cast(_LEAF)
+
+
+def _json_leaves(path: Column, value: Column, depth: int) -> Column:
+    """Leaves of a JSON text: objects by key, arrays by ``[]``, ``depth`` levels deep; anything else is a leaf itself."""
+    if depth == 0:
+        return _leaf(path, value)
+    entries = F.map_entries(F.from_json(value, "map<string,string>"))
+    items = F.from_json(value, "array<string>")
+    inner = F.flatten(F.transform(entries, lambda e: _json_leaves(F.concat(path, F.lit("."), e["key"]), e["value"], depth - 1)))
+    listed = F.flatten(F.transform(items, lambda x: _json_leaves(F.concat(path, F.lit("[]")), x, depth - 1)))
+    start = F.substring(F.ltrim(value), 1, 1)
+    return F.coalesce(F.when(start == "{", inner), F.when(start == "[", listed), _leaf(path, value))
+
+
+def _leaves(path: Column, value: Column, kind: DataType, json: bool, depth: int) -> Column:
+    none = F.array().cast(_LEAF)
+    if isinstance(kind, StringType):
+        return _json_leaves(path, value, depth) if json else _leaf(path, value)
+    if isinstance(kind, IntegralType):
+        return _leaf(path, value.cast("string"))
+    if isinstance(kind, StructType):
+        parts = [_leaves(F.concat(path, F.lit(f".{f.name}")), value[f.name], f.dataType, json, depth) for f in kind.fields]
+        return F.concat(*parts) if parts else none
+    if isinstance(kind, ArrayType):
+        return F.coalesce(F.flatten(F.transform(value, lambda x: _leaves(F.concat(path, F.lit("[]")), x, kind.elementType, json, depth))), none)
+    if isinstance(kind, MapType) and isinstance(kind.keyType, StringType):
+        return F.coalesce(F.flatten(F.transform(F.map_entries(value), lambda e: _leaves(
+            F.concat(path, F.lit("."), e["key"]), e["value"], kind.valueType, json, depth))), none)
+    return none
+
+
+def nested_values(df: DataFrame, columns: Sequence[str] | None = None, json_columns: Sequence[str] = (), json_depth: int = 3) -> DataFrame:
+    """(path, value) of every text and whole number inside the columns: struct fields and map keys by ``.``, array items by
+    ``[]``, JSON texts (``json_columns``) opened ``json_depth`` levels deep. Null values are left out; a JSON text that does not
+    parse is one value."""
+    cols = list(columns) if columns is not None else df.columns
+    parts = [_leaves(F.lit(c), F.col(c), df.schema[c].dataType, c in json_columns, json_depth) for c in cols]
+    return df.select(F.inline(F.concat(*parts))).where(F.col("value").isNotNull())
+
+
+def sensitive_scan_nested(df: DataFrame, columns: Sequence[str] | None = None, json_columns: Sequence[str] = (),
+                          patterns: Mapping[str, str] = SENSITIVE_PATTERNS) -> DataFrame:
+    """R4 inside nested columns: (path, pattern, n_values, n_flagged, n_valid), one partially aggregated pass.
+
+    ``n_flagged`` counts values with a match, ``n_valid`` those with a match that passes its check."""
+    found = nested_values(df, columns, json_columns).select("path", *[matched(F.col("value"), p).alias(f"m{i}") for i, p in enumerate(patterns.values())])
+    aggs = [F.count(F.lit(1)).alias("n_values")]
+    rows = []
+    for i, (name, pat) in enumerate(patterns.items()):
+        aggs += [F.count_if(F.size(f"m{i}") > 0).alias(f"f{i}"), F.count_if(valid_matches(F.col(f"m{i}"), pat) > 0).alias(f"v{i}")]
+        rows.append(F.struct(F.lit(name).alias("pattern"), F.col(f"f{i}").alias("n_flagged"), F.col(f"v{i}").alias("n_valid")))
+    return found.groupBy("path").agg(*aggs).select("path", "n_values", F.inline(F.array(*rows)))
+
+
 def row_lineage(fact: DataFrame, source_file_col: str = "_source_file",
                 process_name: str = "silver_to_gold.monthly_sales",
                 source_name: str = "silver.transactions_cleansed",

@@ -480,6 +480,47 @@ def bronze_landing(spark: SparkSession, base: str) -> DataFrame:
         landing.SOURCE_FILE, landing.INGESTED_AT, landing.LANDING_BATCH)
 
 
+_DRIFT_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+_DRIFT_SQL = """
+SELECT 'csv' AS source, CASE WHEN k % 11 = 0 THEN NULL ELSE CAST(k AS VARCHAR) END AS o_orderkey,
+       CASE WHEN k % 11 > 0 AND k % 3 < 2 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey, CASE WHEN k % 11 > 0 THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN k % 11 > 0 THEN o_orderpriority END AS o_orderpriority,
+       CASE WHEN k % 11 = 0 THEN '{"record":"' || k || ',too,many,fields,in,this,record"}' WHEN k % 3 = 2 THEN '{"clerk":"c' || k || '"}' END AS _rescued
+FROM (SELECT *, o_orderkey AS k FROM orders)
+UNION ALL
+SELECT 'json', CASE WHEN k % 11 = 0 THEN NULL ELSE CAST(k AS VARCHAR) END, CASE WHEN k % 11 > 0 THEN CAST(o_custkey AS VARCHAR) END,
+       CASE WHEN k % 11 > 0 AND k % 5 > 0 THEN o_orderstatus END, CASE WHEN k % 11 > 0 THEN o_orderpriority END,
+       CASE WHEN k % 11 = 0 THEN '{"o_orderkey": ' || k || ', "o_custkey' WHEN k % 5 = 0 THEN '{"clerk":"c' || k || '","note":"n"}' END
+FROM (SELECT *, o_orderkey AS k FROM orders)"""
+
+
+@register("bronze_landing_rescued", _DRIFT_SQL)
+def bronze_landing_rescued(spark: SparkSession, base: str) -> DataFrame:
+    """R1 on CSV and JSON files: columns in another order, missing and new ones, records with too many fields and broken JSON
+    lines. All land by name, none is lost; each batch lands twice and is there once."""
+    root = scratch_path(spark, "bronze_rescued")
+    k = F.col("o_orderkey")
+    orders = read_table(spark, base, "orders").select(k, "o_custkey", "o_orderstatus", "o_orderpriority")
+    clerk = F.concat(F.lit("c"), k).alias("clerk")
+    good = orders.where(k % 11 > 0)
+    good.where(k % 3 == 0).write.csv(f"{root}/csv/a", header=True)
+    good.where(k % 3 == 1).select("o_orderstatus", "o_orderpriority", "o_custkey", k).write.csv(f"{root}/csv/b", header=True)
+    good.where(k % 3 == 2).select("o_orderstatus", clerk, k, "o_orderpriority").write.csv(f"{root}/csv/c", header=True)
+    broken = orders.where(k % 11 == 0)
+    # a header and a record that has more fields than it
+    lines = broken.select(F.explode(F.array(F.lit("o_orderkey,o_custkey"), F.concat(k, F.lit(",too,many,fields,in,this,record")))).alias("value"))
+    lines.distinct().repartition(1).sortWithinPartitions(F.desc("value")).write.text(f"{root}/csv/d")  # the header first
+    drift = good.where(k % 5 == 0).select(k, "o_custkey", F.lit("n").alias("note"), clerk, "o_orderpriority")
+    good.where(k % 5 > 0).write.json(f"{root}/json/a")
+    drift.write.json(f"{root}/json/b")
+    broken.select(F.concat(F.lit('{"o_orderkey": '), k, F.lit(', "o_custkey'))).write.text(f"{root}/json/c")
+    for _ in range(2):
+        for fmt in ("csv", "json"):
+            landing.land_rescued(spark, f"{root}/{fmt}/*", f"{root}/bronze", fmt, _DRIFT_COLUMNS, f"orders-{fmt}")
+    out = spark.read.parquet(f"{root}/bronze")
+    return out.select(F.substring_index(landing.LANDING_BATCH, "-", -1).alias("source"), *_DRIFT_COLUMNS, landing.RESCUED)
+
+
 # ---------------------------------------------------------------- streaming
 
 
@@ -603,6 +644,52 @@ def sensitive_rows_documents(spark: SparkSession, base: str) -> DataFrame:
     return gv.sensitive_rows(read_table(spark, base, "documents"), "doc_id", list(_SCAN_COLUMNS))
 
 
+def _luhn_sql(x: str) -> str:
+    digits = f"regexp_replace({x}, '[ -]', '', 'g')"
+    d = f"CAST(substr({digits}, 17 - i, 1) AS INTEGER)"
+    return f"list_sum(list_transform(range(1, 17), lambda i: CASE WHEN i % 2 = 1 THEN {d} WHEN 2 * {d} > 9 THEN 2 * {d} - 9 ELSE 2 * {d} END)) % 10 = 0"
+
+
+def _valid_sql(found: str, name: str) -> str:
+    if name == "card_number":
+        return f"list_filter({found}, lambda x: {_luhn_sql('x')})"
+    if name == "ipv4":
+        return f"list_filter({found}, lambda x: len(list_filter(string_split(x, '.'), lambda o: CAST(o AS INTEGER) > 255)) = 0)"
+    return found
+
+
+@register("sensitive_findings_documents", "\nUNION ALL\n".join(
+    f"SELECT doc_id, '{c}' AS column_name, '{name}' AS pattern, CAST(len(m) AS BIGINT) AS n_matches, CAST(len({_valid_sql('m', name)}) AS BIGINT) AS n_valid "
+    f"FROM (SELECT doc_id, regexp_extract_all({c}, '{pat}') AS m FROM documents) WHERE len(m) > 0"
+    for c in _SCAN_COLUMNS for name, pat in gv.SENSITIVE_PATTERNS.items()))
+def sensitive_findings_documents(spark: SparkSession, base: str) -> DataFrame:
+    """R4, checked: card numbers by their Luhn digit, addresses by their octets."""
+    return gv.sensitive_findings(read_table(spark, base, "documents"), "doc_id", list(_SCAN_COLUMNS))
+
+
+_CARD = "concat('4000 ', substr(lpad(CAST(event_id * 7919 AS {0}), 12, '0'), 1, 4), ' ', substr(lpad(CAST(event_id * 7919 AS {0}), 12, '0'), 5, 4), '-', substr(lpad(CAST(event_id * 7919 AS {0}), 12, '0'), 9, 4))"
+_NESTED_VALUES = {
+    "info.kind": "event_type", "info.cards[]": _CARD.format("VARCHAR"), "attrs.ip": "concat('10.', event_id % 400, '.0.1')",
+    "body.owner.mail": "concat('u', event_id, CASE WHEN event_id % 3 = 0 THEN '@@x' ELSE '@example.com' END)", "body.list[]": "concat('token = \"', event_id, '\"')",
+    "body.k": "CAST(event_id AS VARCHAR)", "props.k": "json_extract_string(props, '$.k')"}
+
+
+@register("sensitive_scan_nested", "WITH v AS (" + "\nUNION ALL\n".join(f"SELECT '{p}' AS path, {x} AS value FROM events" for p, x in _NESTED_VALUES.items())
+          + "\nUNION ALL SELECT 'info.cards[]', 'none' FROM events)\n" + "\nUNION ALL\n".join(f"""
+SELECT path, '{name}' AS pattern, count(*) AS n_values, count_if(len(m) > 0) AS n_flagged, count_if(len({_valid_sql('m', name)}) > 0) AS n_valid
+FROM (SELECT path, regexp_extract_all(value, '{pat}') AS m FROM v WHERE value IS NOT NULL) GROUP BY path""" for name, pat in gv.SENSITIVE_PATTERNS.items()))
+def sensitive_scan_nested(spark: SparkSession, base: str) -> DataFrame:
+    """R4 inside structs, arrays, maps and JSON texts of the events; a tenth of the card numbers pass their check digit."""
+    card = F.expr(_CARD.format("STRING"))
+    mail = F.concat(F.lit("u"), "event_id", F.when(F.col("event_id") % 3 == 0, "@@x").otherwise("@example.com"))
+    token = F.concat(F.lit('token = "'), "event_id", F.lit('"'))
+    events = read_table(spark, base, "events").select(
+        F.struct(F.col("event_type").alias("kind"), F.array(card, F.lit("none")).alias("cards")).alias("info"),
+        F.create_map(F.lit("ip"), F.concat(F.lit("10."), F.col("event_id") % 400, F.lit(".0.1"))).alias("attrs"),
+        F.to_json(F.struct(F.col("event_id").alias("k"), F.struct(mail.alias("mail")).alias("owner"), F.array(token).alias("list"))).alias("body"), "props")
+    return gv.sensitive_scan_nested(events, json_columns=["body", "props"])
+
+
 @register("row_lineage", with_views("""
 SELECT substr(date_key, 1, 6) AS year_month, store_id, product_id, transaction_id,
        'lineitem.parquet' AS source_file_name, 'silver_to_gold.monthly_sales' AS process_name,

@@ -19,6 +19,7 @@ which never match and are inserted again, as in the original merge).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -273,12 +274,27 @@ def run_stream_upsert_newest(stream: DataFrame, silver_path: str, checkpoint: st
         known = known & F.col(k).isNotNull()
     upsert = upsert_batches(silver_path, keys, [version], None, version, buckets, fmt)
     for name, part in (("newest", newest_versions(typed.where(known), keys, version, keep)), ("other", typed.where(~known))):
-        query = (
+        writer = (
             part.writeStream.foreachBatch(upsert)
             .outputMode("update")
             .option("checkpointLocation", f"{checkpoint}/{name}")
             .trigger(availableNow=True)
-            .start()
         )
+        with _no_empty_batches(stream.sparkSession):
+            query = writer.start()
         query.awaitTermination()
         _raise_if_failed(query)
+
+
+@contextmanager
+def _no_empty_batches(spark: SparkSession) -> Iterator[None]:
+    """For queries started inside: no micro-batches without data. Processing-time timers would ask for them for ever, and a
+    query over what is available now would not end; due timers fire in the next batch with data. A query keeps the settings it
+    was started with, so the session's own is put back at once."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
