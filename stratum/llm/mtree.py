@@ -1,8 +1,10 @@
 """Exact top-k inner-product search by best-first search in M-trees (operator 1).
 
 Largest inner product is nearest neighbour in a metric: with M the largest norm, a row x gets the extra
-coordinate sqrt(M^2 - |x|^2) and a query the coordinate 0; then d^2 = |q|^2 + M^2 - 2 q.x. Rows are
-dealt into subtrees of bounded size by their nearest pivot. Each subtree is an M-tree: pages with a routing object, a
+coordinate sqrt(M^2 - |x|^2) and a query the coordinate 0; then d^2 = |q|^2 + M^2 - 2 q.x. The
+upper level of the tree is fixed: pivots are its routing objects, and each pivot's rows are cut into shells by
+their distance to it, so a subtree has an inner and an outer covering radius. A query goes to a subtree only if its distance to the pivot
+and its first bound reach the shell; other pairs are never exchanged. Each subtree is an M-tree: pages with a routing object, a
 covering radius, and for every entry its distance to the page's routing object. A query takes the
 pages in order of the least distance they allow, and skips entries whose stored parent distance already puts them beyond its k-th best.
 """
@@ -28,6 +30,8 @@ QUERY_EVERY = 20
 LEAF, FANOUT, SUBTREE, BLOCK = 512, 16, 8192, 256
 #: Bounds of what is collected: pivots that deal rows, sampled rows that give every query a first bound.
 PIVOTS, SAMPLE = 256, 2048
+#: Shells of a pivot; a shell with more rows than a subtree holds is dealt further by a hash.
+SHELLS = 64
 #: Products of components up to this are exact in doubles; larger ones are multiplied as integers.
 EXACT = 1 << 20
 
@@ -200,9 +204,11 @@ def top_k(vectors: DataFrame, k: int = TOP, query_every: int = QUERY_EVERY, scal
     inner product and do not meet. A row repeated with the same id counts once. Fewer rows than k: all of them. Empty tables give no rows.
 
     Scale: equal vectors are one entry with its k + 1 smallest ids (no more can be in a result), found
-    with a map-side limit, so a vector that a third of all rows hold is one entry. Subtrees hold about ``subtree`` entries: one for each pivot
-    and, where a pivot gets more, part of a hash. Blocks of ``BLOCK`` queries go to every subtree; a sample of
-    ``SAMPLE`` entries gives every query a first bound, so most subtrees answer with little or nothing. Collected: pivots and sample, of fixed size.
+    with a map-side limit, so a vector that a third of all rows hold is one entry. An id with several vectors is a candidate
+    with each of them. Subtrees hold about ``subtree`` entries: shells of a pivot, cut further by a hash where a shell has more. A sample of
+    ``SAMPLE`` entries gives every query a first bound, and with it only the subtrees whose radii it reaches get the query. A
+    task holds one subtree and one block of at most ``BLOCK`` queries. Collected: pivots, sample and at most
+    ``PIVOTS`` x ``SHELLS`` radii, of fixed size. A squared norm (scaled) of 2^62 or more is an error: scores may not fit a long.
     """
     spark = vectors.sparkSession
     checkpoint_root(spark)
@@ -239,48 +245,90 @@ def _search_dim(items: DataFrame, asked: DataFrame, dim: int, n: int, top_square
     lift = np.sqrt(np.maximum(top_square - (pivots * pivots).sum(axis=1), 0.0))
     shared = spark.sparkContext.broadcast((pivots, lift, sample, sample_ids))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, up, _, _ = shared.value
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            x = matrix(batch.column(0), dim).astype(np.float64)
-            own = np.sqrt(np.maximum(top_square - (x * x).sum(axis=1), 0.0))
-            nearest = ((p * p).sum(axis=1) + up * up - 2 * (x @ p.T + own[:, None] * up)).argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(nearest, pa.int32()), *batch.columns], names=["pivot", "v", "ids"])
+    slack = 1e-6 + 1e-6 * top_square ** 0.5  # of distances that come from differences of squares
 
-    dealt = items.mapInArrow(deal, "pivot int, v array<long>, ids array<long>")
-    shares = {r["pivot"]: -(-r["n"] // subtree) for r in dealt.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect()}
-    salts = F.create_map(*[F.lit(x) for p, s in sorted(shares.items()) for x in (int(p), int(s))])
+    def dealer(cuts: dict[int, np.ndarray] | None = None, salts: np.ndarray | None = None):
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            p, up, _, _ = shared.value
+            for batch in batches:
+                if batch.num_rows == 0:
+                    continue
+                rows = matrix(batch.column(0), dim)
+                x = rows.astype(np.float64)
+                own = np.sqrt(np.maximum(top_square - (x * x).sum(axis=1), 0.0))
+                square = (p * p).sum(axis=1) + up * up - 2 * (x @ p.T + own[:, None] * up) + top_square
+                pivot = square.argmin(axis=1)
+                away = np.sqrt(np.maximum(square[np.arange(len(x)), pivot], 0.0))
+                leaf = pivot * SHELLS
+                if cuts is not None:
+                    for one in np.unique(pivot).tolist():
+                        mine = pivot == one
+                        leaf[mine] += np.searchsorted(cuts[one], away[mine], "left")
+                mixed = (rows * np.arange(0x9E3779B1, 0x9E3779B1 + 2 * dim, 2, dtype=np.int64)).sum(axis=1)
+                salt = np.zeros(len(x), np.int64) if salts is None else (mixed ^ mixed >> 29) % salts[leaf]
+                yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), pa.array(salt, pa.int32()), pa.array(away), *batch.columns],
+                                                 names=["leaf", "salt", "away", "v", "ids"])
+        return deal
+
+    schema = "leaf int, salt int, away double, v array<long>, ids array<long>"
+    cuts = shell_cuts(items.mapInArrow(dealer(), schema), subtree)
+    shells = items.mapInArrow(dealer(cuts), schema).groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("n"), F.min("away").alias("low"), F.max("away").alias("high")).collect()
+    salts = np.ones(PIVOTS * SHELLS, np.int64)
+    for r in shells:
+        salts[r["leaf"]] = -(-r["n"] // subtree)
+    leaves = np.array([r["leaf"] for r in shells], np.int64)
+    low, high = np.array([r["low"] for r in shells]) - slack, np.array([r["high"] for r in shells]) + slack
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, _, rows, ids = shared.value
+        p, _, rows, ids = shared.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, BLOCK):
-                own = batch.column(0).slice(lo, BLOCK).to_numpy(zero_copy_only=False)
-                q = matrix(batch.column(1).slice(lo, BLOCK), dim)
-                least = first_bounds(q, own.tolist(), rows, ids, k)
-                data = np.column_stack([own, least, q]).astype(np.int64).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["block"])
-
-    packed = asked.mapInArrow(blocks, "block binary")
-    everywhere = packed.select(F.explode(F.lit(sorted(int(p) for p in shares))).alias("pivot"), "block").select(
-        "pivot", F.explode(F.sequence(F.lit(0), salts[F.col("pivot")] - 1)).alias("salt"), F.lit(1).alias("kind"),
-        F.lit(None).cast("array<long>").alias("v"), F.lit(None).cast("array<long>").alias("ids"), "block")
-    entries = dealt.select(
-        "pivot", F.pmod(F.xxhash64("v"), salts[F.col("pivot")]).cast("int").alias("salt"), F.lit(0).alias("kind"), "v", "ids",
-        F.lit(None).cast("binary").alias("block"))
+            every = matrix(batch.column(1), dim)
+            real = every.astype(np.float64)
+            square = (real * real).sum(axis=1)
+            apart = np.sqrt(np.maximum(square[:, None] + top_square - 2.0 * (real @ p.T), 0.0))
+            order = np.argsort(apart.argmin(axis=1), kind="stable")  # near queries want the same subtrees
+            for lo in range(0, len(order), BLOCK):
+                pick = order[lo:lo + BLOCK]
+                own, q, d = batch.column(0).to_numpy(zero_copy_only=False)[pick], every[pick], apart[pick]
+                least = np.array(first_bounds(q, own.tolist(), rows, ids, k), np.int64)
+                far = np.sqrt(np.maximum(square[pick] + top_square - 2.0 * least.astype(np.float64), 0.0)) + slack
+                at = d[:, leaves // SHELLS]
+                wanted = (at - far[:, None] <= high) & (at + far[:, None] >= low)
+                lines = np.column_stack([own, least, q]).astype(np.int64)
+                held: list[tuple[int, int, bytes]] = []
+                for j in np.flatnonzero(wanted.any(axis=0)).tolist():
+                    data = lines[wanted[:, j]].tobytes()
+                    held += [(int(leaves[j]), s, data) for s in range(int(salts[leaves[j]]))]
+                    if len(held) >= 64:
+                        yield packed(held, int(own[0]))
+                        held = []
+                if held:
+                    yield packed(held, int(own[0]))
+
+    def packed(held: list[tuple[int, int, bytes]], block: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[0] for x in held], pa.int32()), pa.array([x[1] for x in held], pa.int32()), pa.array([block] * len(held), pa.int64()),
+             pa.array([x[2] for x in held], pa.binary())], names=["leaf", "salt", "part", "block"])
+
+    none = F.lit(None)
+    asking = asked.mapInArrow(blocks, "leaf int, salt int, part long, block binary").select(
+        "leaf", "salt", F.lit(1).alias("kind"), "part", none.cast("array<long>").alias("v"), none.cast("array<long>").alias("ids"), "block")
+    entries = items.mapInArrow(dealer(cuts, salts), schema).select(
+        "leaf", "salt", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("part"), "v", "ids", none.cast("binary").alias("block"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_groups(batches, 2):
-            kind = group.column("kind").to_numpy()
-            own = group.filter(pa.array(kind == 0))
-            if own.num_rows == 0:
+        tree, place, ids, weight = None, None, [], np.zeros(0)
+        for group in sorted_groups(batches, 4):  # a subtree's entries, then its blocks one by one
+            here = (group.column("leaf")[0].as_py(), group.column("salt")[0].as_py())
+            if group.column("kind")[0].as_py() == 0:
+                place, ids = here, group.column("ids").to_pylist()
+                tree = MTree(matrix(group.column("v"), dim), top_square)
+                weight = np.array([len(x) for x in ids])
                 continue
-            ids = own.column("ids").to_pylist()
-            tree = MTree(matrix(own.column("v"), dim), top_square)
-            weight = np.array([len(x) for x in ids])
-            for block in group.filter(pa.array(kind == 1)).column("block").to_pylist():
+            if here != place:
+                continue  # a hash part that got no entry
+            for block in group.column("block").to_pylist():
                 out = ([], [], [])
                 for line in np.frombuffer(block, np.int64).reshape(-1, dim + 2):
                     query, least, q = int(line[0]), int(line[1]), line[2:]
@@ -293,5 +341,18 @@ def _search_dim(items: DataFrame, asked: DataFrame, dim: int, n: int, top_square
                                 out[2].append(score)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
 
-    return entries.unionByName(everywhere).repartition(partitions, "pivot", "salt").sortWithinPartitions("pivot", "salt", "kind").mapInArrow(
+    return entries.unionByName(asking).repartition(partitions, "leaf", "salt").sortWithinPartitions("leaf", "salt", "kind", "part").mapInArrow(
         run, "query_id long, vec_id long, score long")
+
+
+def shell_cuts(dealt: DataFrame, subtree: int, shells: int = SHELLS) -> dict[int, np.ndarray]:
+    """For each pivot the distances at which its rows are cut into shells of about ``subtree`` rows, at most ``shells`` of them.
+
+    One aggregate with a quantile sketch a pivot; the cuts steer only where rows go, whatever their error."""
+    fractions = [i / shells for i in range(1, shells)]
+    found = dealt.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("away", fractions, 10_000).alias("cuts")).collect()
+    out = {}
+    for r in found:
+        parts = min(shells, -(-r["n"] // subtree))
+        out[r["leaf"] // SHELLS] = np.unique([r["cuts"][round(i * shells / parts) - 1] for i in range(1, parts)])
+    return out

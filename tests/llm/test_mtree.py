@@ -92,3 +92,28 @@ def test_finite_vectors_are_not_left_out(spark, large):
     """A score that may not fit a long is an error, not a missing row."""
     with pytest.raises(ValueError, match="fit a long"):
         got(spark, [(0, [1.0, 2.0]), (1, [large, 0.0])])
+
+
+def test_far_subtrees_get_no_queries_and_tasks_hold_one_block(spark, monkeypatch):
+    """Clustered rows: most (query, subtree) pairs are dropped before the exchange; a group is one subtree's rows or one block."""
+    rng = random.Random(6)
+    centres = [[rng.gauss(0, 4) for _ in range(8)] for _ in range(30)]
+    rows = [(i, [c + rng.gauss(0, 0.05) for c in centres[i % 30]]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = []
+    real = type(df).sortWithinPartitions
+
+    def watch(self, *cols):
+        if "part" in cols:
+            seen.append(self.groupBy("leaf", "salt", "kind").count().collect())
+        return real(self, *cols)
+
+    monkeypatch.setattr(type(df), "sortWithinPartitions", watch)
+    monkeypatch.setattr(mtree, "BLOCK", 16)
+    out = sorted(tuple(r) for r in mtree.top_k(df, k=5, subtree=100).collect())
+    assert out == brute(rows, 5)
+    subtrees = [r for r in seen[0] if r["kind"] == 0]
+    asked = sum(r["count"] for r in seen[0] if r["kind"] == 1)
+    assert max(r["count"] for r in subtrees) <= 260 and len(subtrees) > 40
+    blocks = 300 / 16
+    assert asked < 0.5 * blocks * len(subtrees)
