@@ -225,7 +225,39 @@ def op11_filter_audit(spark: SparkSession, base: str) -> DataFrame:
     return filter_audit.audit(read_table(spark, base, "documents"), read_table(spark, base, "labels"))
 
 
-@register("op12_ring_shards")
+def _crc_entry(byte: int) -> int:
+    for _ in range(8):
+        byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+    return byte
+
+
+#: A CRC by its table (a text of 256 hex numbers), the walk from every cell by distances on the ring, and the placing cell by cell.
+_CRC_HEX = "".join(f"{_crc_entry(b):08x}" for b in range(256))
+_RING_POS = "CAST('0x' || substr(md5({0}), 1, 13) AS BIGINT)"
+_OP12_SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, strlen(coalesce(text, '')) + {ring.OVERHEAD} AS size, xor(4294967295, list_reduce(list_prepend(4294967295,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+    lambda c, b: xor(c >> 8, CAST('0x' || substr('{_CRC_HEX}', 8 * (xor(c, b) & 255) + 1, 8) AS BIGINT)))) AS text_crc32 FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, size, text_crc32) - 1 AS copy FROM d),
+p AS (SELECT *, {_RING_POS.format(f"concat_ws(':', '{ring.SEED}', coalesce(CAST(doc_id AS VARCHAR), 'null'), size, text_crc32, copy)")} AS pos FROM n),
+k AS MATERIALIZED (SELECT *, pos // {(1 << 52) // ring.CELLS} AS cell FROM p),
+z AS (SELECT cell, CAST(sum(size) AS BIGINT) AS bytes FROM k GROUP BY cell),
+v AS (SELECT s, {_RING_POS.format(f"concat_ws(':', '{ring.SEED}', 'node', s, x)")} AS pos FROM
+      (SELECT unnest(range({ring.SHARDS})) AS s), (SELECT unnest(range({ring.VIRTUAL_NODES})) AS x)),
+a AS (SELECT cell, s, min((v.pos - cell * {(1 << 52) // ring.CELLS} + {1 << 52}) % {1 << 52}) AS ahead FROM z, v GROUP BY cell, s),
+w AS (SELECT cell, list(s ORDER BY ahead, s) AS walk FROM a GROUP BY cell),
+q AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY bytes DESC, cell) AS i, ceil(CAST(sum(bytes) OVER () AS DOUBLE) * {1.0 + ring.SLACK!r}::DOUBLE / {ring.SHARDS}) AS bound FROM z JOIN w USING (cell)),
+f AS (SELECT 0::BIGINT AS i, list_transform(range({ring.SHARDS}), lambda x: 0::BIGINT) AS loads, -1::BIGINT AS shard, -1::BIGINT AS cell
+  UNION ALL
+  SELECT i, list_transform(loads, lambda x, j: CASE WHEN j - 1 = chosen THEN x + bytes ELSE x END), chosen, cell FROM (
+    SELECT q.i, loads, bytes, q.cell, coalesce(list_filter(walk, lambda s: loads[s + 1] + bytes <= bound)[1], list_position(loads, list_min(loads)) - 1) AS chosen
+    FROM f JOIN q ON q.i = f.i + 1))
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, '{ring.LAW}' AS law, CAST(shard AS INTEGER) AS shard,
+    row_number() OVER (PARTITION BY shard ORDER BY cell, pos, doc_id NULLS FIRST, size, text_crc32, copy) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM k JOIN f USING (cell)"""
+
+
+@register("op12_ring_shards", _OP12_SQL)
 def op12_ring_shards(spark: SparkSession, base: str) -> DataFrame:
     return ring.assign(read_table(spark, base, "documents"))
 
