@@ -410,7 +410,7 @@ def gold_lineage(spark: SparkSession, base: str) -> DataFrame:
     write_table(fx.transactions_cleansed(spark, base), cfg.silver("transactions_cleansed"))
     write_table(fx.customers_conformed(spark, base), cfg.silver("customers_conformed"))
     write_table(fx.products_conformed(spark, base), cfg.silver("products_conformed"))
-    pl.silver_to_gold(spark, cfg, lineage=True)
+    pl.silver_to_gold(spark, cfg, lineage=True, fact_partition_cols=())  # day partitions: see silver_to_gold_aggregate
     rows = gv.expand_lineage(*pl.read_lineage(spark, cfg))
     known = F.col("source_file").contains("/silver/transactions_cleansed/")
     return rows.groupBy("year_month", "store_id", "product_id", "process_qualified_name", "source_qualified_name", "target_qualified_name").agg(
