@@ -9,7 +9,7 @@ sketch never underestimates, so no repeated window is lost.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -139,6 +139,58 @@ def merge_packed(parts: list[bytes]) -> bytes:
     return at.pack(*(np.concatenate(x) for x in zip(*[at.unpack(d, 3) for d in parts], strict=True)))
 
 
+Runs = tuple[np.ndarray, np.ndarray, np.ndarray]  # doc_id ascending, first start, number of starts
+
+
+def sorted_runs(parts: list[bytes]) -> Runs:
+    doc, start, count = (np.concatenate(x) for x in zip(*(at.unpack(d, 3) for d in parts), strict=True)) if parts else (np.zeros(0, np.int64),) * 3
+    order = np.argsort(doc, kind="stable")
+    return doc[order], start[order], count[order]
+
+
+def runs_of(runs: Runs, doc_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(first start, number of starts) of one document's runs; none without an id."""
+    doc, start, count = runs
+    lo, hi = np.searchsorted(doc, [doc_id, doc_id + 1]) if doc_id is not None else (0, 0)
+    return start[lo:hi], count[lo:hi]
+
+
+def uncovered(size: int, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether each of ``size`` items lies outside of all stretches."""
+    depth = np.zeros(size + 1, np.int64)
+    np.add.at(depth, start, 1)
+    np.add.at(depth, start + length, -1)
+    return np.cumsum(depth[:size]) == 0
+
+
+def cut_in_stream(texts: DataFrame, gone: DataFrame, cut: Callable[[Runs, pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """``cut(runs, rows)`` of all ``texts`` (bucket, doc_id, text), with the runs of their bucket in ``gone`` (bucket, runs).
+
+    One exchange by bucket, sorted so that a bucket's runs come before its texts. A task holds the runs of one bucket and the texts of
+    one slice of a batch, however many documents a bucket has."""
+    kind, text = texts.schema[2].dataType, texts.columns[2]
+    rows = texts.select("bucket", F.lit(1).alias("kind"), "doc_id", text, F.lit(None).cast("binary").alias("runs")).union(
+        gone.select("bucket", F.lit(0), F.lit(None).cast("long"), F.lit(None).cast(kind), "runs"))
+
+    def stream(batches):
+        current, parts, runs = None, [], None
+        for batch in batches:
+            for part in at.slices(batch, 3):
+                for lo, hi in at.groups(part.column(0).to_numpy()):
+                    own = part.slice(lo, hi - lo)
+                    if own.column(0)[0].as_py() != current:
+                        current, parts, runs = own.column(0)[0].as_py(), [], None
+                    n_runs = int(np.searchsorted(own.column(1).to_numpy(), 1))
+                    parts += own.column(4)[:n_runs].to_pylist()
+                    if n_runs < len(own.column(0)):
+                        if runs is None:  # all of them came before
+                            runs, parts = sorted_runs(parts), []
+                        left = own.slice(n_runs)
+                        yield cut(runs, pa.RecordBatch.from_arrays([left.column(2), left.column(3)], names=["doc_id", "text"]))
+
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(stream, schema)
+
+
 def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, buckets: int | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept_text) of every row.
@@ -155,8 +207,8 @@ def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, bu
     raises the bound. Candidates are first reduced within a chunk of a task (a window that a third of all
     rows hold leaves one place a chunk, the others are known to go), then grouped in buckets of the
     key's hash, which no frequent window can make uneven. Removed places travel as runs and meet the texts
-    in buckets of doc_id. ``buckets`` (default: the shuffle partitions) is the number of document buckets, one group of
-    texts each; there are twice as many key buckets, so packed rows between the two are no more than a shuffle has blocks.
+    in buckets of doc_id, as a stream: a task holds a bucket's runs and a slice of its texts. ``buckets`` (default: the shuffle
+    partitions) is the number of document buckets; there are twice as many key buckets, so packed rows between the two are no more than a shuffle has blocks.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -225,36 +277,25 @@ def dedup(docs: DataFrame, width: int = WINDOW, log2_cells: int = LOG2_CELLS, bu
     gone = placed.mapInArrow(candidates, "bucket long, kind int, data binary").groupBy("bucket").applyInArrow(
         group, "bucket long, runs binary")
 
-    def cut(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = [at.unpack(d, 3) for d in right.column("runs").to_pylist()]
-        doc, start, length = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
-        order = np.argsort(doc, kind="stable")
-        doc, start, length = doc[order], start[order], length[order]
+    def cut(runs, batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = batch.column(0).to_pylist()
+        offsets, words = at.split_words(batch.column(1))
         rows = []
-        for batch in left.to_batches():
-            for part in at.slices(batch, 1):
-                ids = part.column(0).to_pylist()
-                offsets, words = at.split_words(part.column(1))
-                for i, doc_id in enumerate(ids):
-                    own = words[offsets[i]:offsets[i + 1]]
-                    lo, hi = (np.searchsorted(doc, [doc_id, doc_id + 1]) if doc_id is not None else (0, 0))
-                    size, removed = len(own), 0
-                    if hi > lo:
-                        depth = np.zeros(size + width + 1, np.int64)
-                        np.add.at(depth, start[lo:hi], 1)
-                        np.add.at(depth, start[lo:hi] + length[lo:hi] + width - 1, -1)
-                        keep = np.cumsum(depth[:size]) == 0
-                        own = own.filter(pa.array(keep))
-                        removed = size - len(own)
-                    text = " ".join(own.to_pylist())
-                    rows.append((doc_id, size, removed, hashlib.sha256(text.encode()).hexdigest(), text))
-        cols = list(zip(*rows, strict=True)) if rows else [()] * 5
+        for i, doc_id in enumerate(ids):
+            own = words[offsets[i]:offsets[i + 1]]
+            start, length = runs_of(runs, doc_id)
+            size, removed = len(own), 0
+            if len(start):
+                keep = uncovered(size, start, length + width - 1)
+                own = own.filter(pa.array(keep))
+                removed = size - len(own)
+            text = " ".join(own.to_pylist())
+            rows.append((doc_id, size, removed, hashlib.sha256(text.encode()).hexdigest(), text))
         types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                          names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     # null ids have no runs; they are dealt by their text
     bucket = F.coalesce(F.pmod(F.col("doc_id"), F.lit(n)), F.pmod(F.xxhash64("text"), F.lit(n))).alias("bucket")
-    return slim.select("doc_id", "text", bucket).groupBy("bucket").cogroup(gone.groupBy("bucket")).applyInArrow(
-        cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    ).withColumnRenamed("doc_id", id_col)
+    return cut_in_stream(slim.select(bucket, "doc_id", "text"), gone, cut,
+                         "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string").withColumnRenamed("doc_id", id_col)

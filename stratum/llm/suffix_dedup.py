@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import arrow_text as at
-from stratum.llm.substring_dedup import LOG2_BLOCK, merge_packed, merge_sketches, packed_runs, partition_sketch
+from stratum.llm.substring_dedup import LOG2_BLOCK, cut_in_stream, merge_packed, merge_sketches, packed_runs, partition_sketch, runs_of, uncovered
 from stratum.session import checkpoint_root
 
 LENGTH = 400
@@ -519,6 +519,7 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, ste
     longer piece of the string instead, and pieces counted as often again by still longer ones, up to the whole string, so a
     common passage of any length does not bring all its different surroundings into one task: a key with different contents
     has fewer than ``HEAVY`` segments. Only bitmaps of a fixed size (3 * 32 MB, 4 * 8 MB) are broadcast; beyond their capacity more unique segments travel, the result is the same.
+    Texts meet their removed runs as a stream: a task holds a bucket's runs and a slice of its texts.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -558,31 +559,23 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, ste
         lambda table: resolve(table, n, length), "bucket long, runs binary")
     gone = known.where(F.col("kind") == 0).select("bucket", "runs").unionByName(sorted_)
 
-    def cut(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = [at.unpack(d, 3) for d in right.column("runs").to_pylist()]
-        doc, start, count = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
-        order = np.argsort(doc, kind="stable")
-        doc, start, count = doc[order], start[order], count[order]
+    def cut(runs, batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for doc_id, data in zip(left.column(0), left.column(1), strict=True):
+        for doc_id, data in zip(batch.column(0), batch.column(1), strict=True):
             doc_id, data = doc_id.as_py(), data.as_py() or b""
-            lo, hi = np.searchsorted(doc, [doc_id, doc_id + 1]) if doc_id is not None else (0, 0)
+            start, count = runs_of(runs, doc_id)
             removed = spans = 0
             kept = data
-            if hi > lo:
-                depth = np.zeros(len(data) + 1, np.int64)
-                np.add.at(depth, start[lo:hi], 1)
-                np.add.at(depth, start[lo:hi] + count[lo:hi] + length - 1, -1)
-                keep = np.cumsum(depth[:-1]) == 0
+            if len(start):
+                keep = uncovered(len(data), start, count + length - 1)
                 removed = len(data) - int(keep.sum())
                 spans = int((~keep[1:] & keep[:-1]).sum()) + int(not keep[0])
                 kept = np.frombuffer(data, np.uint8)[keep].tobytes()
             rows.append((doc_id, len(data), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
-        cols = list(zip(*rows, strict=True)) if rows else [()] * 6
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                          names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     bucket = F.coalesce(F.pmod(F.col("doc_id"), F.lit(n)), F.pmod(F.xxhash64("data"), F.lit(n))).alias("bucket")
-    return slim.select("doc_id", "data", bucket).groupBy("bucket").cogroup(gone.groupBy("bucket")).applyInArrow(
-        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("doc_id", id_col)
+    return cut_in_stream(slim.select(bucket, "doc_id", "data"), gone, cut,
+                         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("doc_id", id_col)
