@@ -3,7 +3,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from stratum.llm import arrow_text as at
 from stratum.llm import substring_dedup as sd
@@ -95,3 +97,20 @@ def test_edges(spark):
     assert {(2, 0, 0, none, ""), (3, 0, 0, none, ""), (4, 0, 0, none, "")} <= set(out) and len(out) == 8
     empty = spark.createDataFrame([], "doc_id long, text string, n_words string, bucket int")
     assert sd.dedup(empty, log2_cells=10).count() == 0
+
+
+def test_texts_of_one_bucket_pass_by_in_slices(spark):
+    """All runs of a bucket are known to each of its texts, and no call sees more than a slice of them."""
+    texts = spark.range(300).select(F.lit(3).cast("long").alias("bucket"), F.col("id").alias("doc_id"), F.repeat(F.lit("abcde "), 10_000).alias("text"))
+    texts = texts.unionByName(texts.limit(1).select(F.lit(4).cast("long").alias("bucket"), F.lit(None).cast("long").alias("doc_id"), "text"))
+    runs = [(3, bytearray(at.pack(np.array([d]), np.array([7]), np.array([d + 1])))) for d in range(0, 300, 2)] + [(5, bytearray(at.pack(*[np.array([1])] * 3)))]
+    gone = spark.createDataFrame(runs, "bucket long, runs binary")
+
+    def cut(known, batch):
+        found = [int(sd.runs_of(known, d)[1].sum()) for d in batch.column(0).to_pylist()]
+        size = sum(map(len, batch.column(1).to_pylist()))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64()), pa.array([size] * len(found), pa.int64())], names=["doc_id", "found", "size"])
+
+    out = sd.cut_in_stream(texts, gone, cut, "doc_id long, found long, size long").collect()
+    assert {r.doc_id: r.found for r in out} == {None: 0} | {d: d + 1 if d % 2 == 0 else 0 for d in range(300)} and len(out) == 301
+    assert max(r.size for r in out) <= 3 << 20
