@@ -22,15 +22,18 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from stratum.operators.conform import dedup_latest, enforce_schema
 from stratum.operators.joins import fits
-from stratum.operators.upsert import upsert_table
+from stratum.operators.upsert import has_layout, upsert_table
 from stratum.sources import fs
 
 EVENT_TIME = "_event_time"
@@ -116,10 +119,18 @@ def upsert_batches(silver_path: str, keys: Sequence[str], order_by: Sequence[str
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        df = enforce_schema(batch, schema) if schema is not None else batch
+        # later upserts into files write the batch once and read that; others read it several times, which would run the
+        # stream's stateful step as often
+        once = fmt == "parquet" and has_layout(batch.sparkSession, silver_path)
+        rows = batch if once else batch.persist()
+        df = enforce_schema(rows, schema) if schema is not None else rows
         # same duplicate policy as the batch job: latest row per non-null key
         # (an aggregation, map-side first), every null-key row kept
-        upsert_table(df, silver_path, keys, buckets=buckets, on_duplicate="latest", order_by=order_by, guard=guard, fmt=fmt)
+        try:
+            upsert_table(df, silver_path, keys, buckets=buckets, on_duplicate="latest", order_by=order_by, guard=guard, fmt=fmt)
+        finally:
+            if not once:
+                rows.unpersist()
 
     return apply
 
@@ -225,40 +236,77 @@ def read_landed(spark: SparkSession, path: str, schema: StructType, part: str) -
 
 # ---------------------------------------------------------------- newest version of each key in state
 
+STATE_GROUPS = 4096
+_GROUP, _KEEP_UNTIL, _KNOWN, _PLACE = "_group", "_keep_until", "_known", "_place"
+_STATE_CHUNK = 100_000  # waiting rows of a group beyond its state's that are reduced together
 
-def newest_versions(stream: DataFrame, keys: Sequence[str], version: str, keep: str = "7 days") -> DataFrame:
+def newest_versions(stream: DataFrame, keys: Sequence[str], version: str, keep: str = "7 days", groups: int = STATE_GROUPS) -> DataFrame:
     """Stream of the rows that are newer, by ``version`` and then by their other columns, than every row of their key so far: at most one
     row a key and micro-batch.
 
-    The state of a key is its newest row; a processing-time timer drops it when no newer row has come for ``keep``, which
-    bounds the state (after that the guard of the upsert still turns older rows away). Rows without a key or a version have
-    no order: split them off first. Groups are small by then: the keys' rows of one micro-batch, which
-    ``read_arrivals`` bounds.
+    Keys are dealt by their hash over ``groups`` groups. The state of a group is the newest row of each of its keys, as
+    compressed Arrow data, so Python is called once a group and micro-batch and handles its keys together. A
+    processing-time timer drops a key when no row of it has come for ``keep``, which bounds the state (after that the guard of the
+    upsert still turns older rows away). A micro-batch rewrites the groups that it touches: raise ``groups`` for
+    hundreds of millions of keys. A checkpoint must go on with the number it was started with. Rows without a key or a version have
+    no order: split them off first. Columns of nested types take no part in the order.
     """
-    columns = stream.columns
-    order = [version, *[c for c in columns if c not in keys and c != version]]
-    span = pd.Timedelta(keep)
-
-    def rank(row: tuple) -> tuple:
-        return tuple((row[columns.index(c)] is not None, row[columns.index(c)]) for c in order)
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+    columns, span = stream.columns, int(pd.Timedelta(keep).total_seconds() * 1000)
+    # naive timestamps as pandas has them; null and not-a-number are one to pandas
+    plain = pa.schema([pa.field(f.name, pa.timestamp("us") if pa.types.is_timestamp(f.type) else f.type) for f in to_arrow_schema(stream.schema)])
+    held = plain.append(pa.field(_KEEP_UNTIL, pa.int64()))
+    order = [version, *[c for c in columns if c not in keys and c != version and not pa.types.is_nested(plain.field(c).type)]]
+
+    def newest(table: pa.Table) -> pa.Table:
+        """The greatest row of each key; of equal ones the one that has been in the state. The latest end of its time is the key's."""
+        by = [(c, "ascending") for c in [*order, _KNOWN]]
+        table = table.take(pc.sort_indices(table, sort_keys=by, null_placement="at_start"))
+        table = table.append_column(_PLACE, pa.array(range(len(table)), pa.int64()))
+        top = table.group_by(list(keys), use_threads=False).aggregate([(_PLACE, "max"), (_KEEP_UNTIL, "max")])
+        rows = table.drop_columns([_KEEP_UNTIL, _PLACE]).take(top.column(f"{_PLACE}_max"))
+        return rows.append_column(held.field(_KEEP_UNTIL), top.column(f"{_KEEP_UNTIL}_max")).select([*held.names, _KNOWN])
+
+    def marked(table: pa.Table, known: bool) -> pa.Table:
+        return table.append_column(_KNOWN, pa.array([known] * len(table), pa.bool_()))
+
+    def update(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentProcessingTimeMs()
+        best = marked(_unpacked(state.get[0]) if state.exists else held.empty_table(), True)
+        if not state.hasTimedOut:
+            waiting, n = [], 0
+            for pdf in batches:
+                rows = pa.Table.from_pandas(pdf, schema=plain, preserve_index=False).replace_schema_metadata(None)
+                due = pa.array([now + span] * len(rows), pa.int64())
+                waiting.append(marked(rows.append_column(held.field(_KEEP_UNTIL), due), False))
+                n += len(rows)
+                if n > len(best) + _STATE_CHUNK:
+                    best, waiting, n = newest(pa.concat_tables([best, *waiting])), [], 0
+            if waiting:
+                best = newest(pa.concat_tables([best, *waiting]))
+        best = best.filter(pc.greater(best.column(_KEEP_UNTIL), now))
+        if not len(best):
             state.remove()
             return
-        old = tuple(state.get) if state.exists else None
-        best = old
-        for pdf in batches:
-            for row in pdf.astype(object).where(pdf.notna(), None).itertuples(index=False, name=None):
-                if best is None or rank(row) > rank(best):
-                    best = row
-        if best is not old:
-            state.update(best)
-            yield pd.DataFrame([best], columns=columns)
-        state.setTimeoutDuration(int(span.total_seconds() * 1000))
-
-    return stream.groupBy(*keys).applyInPandasWithState(
-        update, stream.schema, stream.schema, "update", GroupStateTimeout.ProcessingTimeTimeout)
+        state.update((_packed(best.select(held.names)),))
+        state.setTimeoutDuration(max(1, pc.min(best.column(_KEEP_UNTIL)).as_py() - now))
+        fresh = best.filter(pc.invert(best.column(_KNOWN))).select(columns)
+        if len(fresh):
+            yield fresh.to_pandas(date_as_object=True, integer_object_nulls=True)
+
+    group = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(groups))
+    return stream.withColumn(_GROUP, group).groupBy(_GROUP).applyInPandasWithState(
+        update, stream.schema, "rows binary", "update", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(bytes(data)).read_all()
 
 
 def run_stream_upsert_newest(stream: DataFrame, silver_path: str, checkpoint: str, keys: Sequence[str], version: str,
