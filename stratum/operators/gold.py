@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.expressions import full_name, money_sum, round2, year_month_of
 from stratum.operators.conform import dedup_exact, dedup_latest
-from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, HotKeys, at_most, skew_join
+from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, HotKeys, at_most, fits, heavy_keys, skew_join
 from stratum.session import checkpoint_root
 
 FACT_KEYS = ("transaction_id", "date_key", "customer_id", "product_id", "store_id", "quantity", "unit_price")
+#: Sales of a month that are aggregated and written together.
+SLOT_ROWS = 250_000
 CUSTOMER_COLUMNS = ("customer_id", "first_name", "last_name", "email", "segment", "region", "is_active")
 
 
@@ -55,6 +58,7 @@ def build_sales_fact(
     inserted_at: Column | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     carry: Sequence[str] = (),
+    cluster: Sequence[str] = (),
 ) -> DataFrame:
     """L3: sales ⟕ customers ⟕ products → fact with two measures.
 
@@ -64,6 +68,8 @@ def build_sales_fact(
     column but repeats a sale once per duplicate customer row (kept for
     parity); pass ``customers=None`` when the customer key is known unique.
     ``carry`` names extra sales columns passed through (e.g. the source file).
+    ``cluster`` rebalances the rows on these columns for a partitioned write, on the columns read only: the measures are
+    computed behind the exchange, and the costs too join there when they are broadcast.
     """
     fact = sales.select(*FACT_KEYS, *carry)
     # both joins' heavy keys in one job, before the fan-out, which only repeats rows
@@ -72,8 +78,13 @@ def build_sales_fact(
         fact = customer_fanout(fact, customers.select("customer_id"), max_broadcast_rows, hot)
     # broadcast when counted small; otherwise a shuffle join with hot products
     # salted, so a product holding a third of the sales is not one task
-    fact = skew_join(fact, products.select("product_id", "standard_cost"), "product_id", "left",
-                     max_broadcast_rows, hot=hot)
+    costs = products.select("product_id", "standard_cost")
+    early = bool(cluster) and fits(costs, max_broadcast_rows)
+    if early:
+        fact = fact.hint("rebalance", *cluster)
+    fact = skew_join(fact, costs, "product_id", "left", max_broadcast_rows, hot=hot)
+    if cluster and not early:
+        fact = fact.hint("rebalance", *cluster)
     return fact.select(
         *FACT_KEYS,
         round2(F.col("quantity") * F.col("unit_price")).alias("total_sales_amount"),
@@ -99,19 +110,35 @@ def build_customer_dimension(customers: DataFrame, inserted_at: Column | None =
 
 
 def build_monthly_sales_aggregate(fact: DataFrame, store_col: str = "store_id",
-                                  product_col: str = "product_id") -> DataFrame:
+                                  product_col: str = "product_id", month_rows: Mapping[str, int] | None = None) -> DataFrame:
     """A1: revenue, margin and transaction count per
     ``(year_month, store, product)``; ``year_month`` is the first six
-    characters of ``date_key``. Sums skip nulls; the count skips null ids."""
-    return fact.groupBy(
-        year_month_of("date_key").alias("year_month"),
-        F.col(store_col).alias("store_id"),
-        F.col(product_col).alias("product_id"),
-    ).agg(
+    characters of ``date_key``. Sums skip nulls; the count skips null ids.
+
+    ``month_rows`` (about how many sales each month has) makes one exchange do for the groups and for a write by month: sales
+    travel by month and slot, a hash of store and product into one slot for each ``SLOT_ROWS`` sales of the month, so
+    a month comes out in that many files and no task gets more of it. Groups that hold a hundredth of the sales or
+    more are aggregated in the tasks that read them instead."""
+    keys = [year_month_of("date_key").alias("year_month"), F.col(store_col).alias("store_id"), F.col(product_col).alias("product_id")]
+    measures = [
         money_sum(F.col("total_sales_amount"), fact.schema["total_sales_amount"].dataType).alias("monthly_revenue"),
         money_sum(F.col("margin_amount"), fact.schema["margin_amount"].dataType).alias("monthly_margin"),
         F.count("transaction_id").alias("transaction_count"),
-    )
+    ]
+    if month_rows is None:
+        return fact.groupBy(*keys).agg(*measures)
+    known = F.when(F.col("transaction_id").isNotNull(), True).alias("transaction_id")  # only counted
+    rows = fact.select(*keys, "total_sales_amount", "margin_amount", known)
+    names = ["year_month", "store_id", "product_id"]
+    group = F.xxhash64(*names)
+    heavy = heavy_keys(rows.select(group.alias("_group")), "_group")
+    slots = F.lit(1)
+    if wide := {m: math.ceil(n / SLOT_ROWS) for m, n in month_rows.items() if n > SLOT_ROWS}:
+        found = F.create_map(*[F.lit(x) for pair in wide.items() for x in pair])
+        slots = F.coalesce(F.try_element_at(found, F.col("year_month")), slots)
+    dealt = (rows.where(~group.isin(heavy)) if heavy else rows).withColumn("_slot", F.pmod(F.xxhash64("store_id", "product_id"), slots))
+    out = dealt.repartition("year_month", "_slot").groupBy(*names, "_slot").agg(*measures).drop("_slot")
+    return out.unionByName(rows.where(group.isin(heavy)).groupBy(*names).agg(*measures)) if heavy else out
 
 
 def coarsen_fact(fact: DataFrame, stores: DataFrame, brands: DataFrame,

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,7 +111,8 @@ def silver_to_gold_incremental(spark: SparkSession, config: LakeConfig, customer
     inputs = gold_inputs(spark, config, customer_contract, lineage, history_path)
     at = run_timestamp()
     now = {t: df.checkpoint() for t, df in _fingerprints(inputs, carry).items()}
-    known = sorted(r.date_key for r in now["days"].select("date_key").collect())
+    sold = {r.date_key: r.rows for r in now["days"].select("date_key", "rows").collect()}
+    known = sorted(sold)
     first = not done
     if first:
         days, gone, new_dim = known, [], True
@@ -126,18 +128,21 @@ def silver_to_gold_incremental(spark: SparkSession, config: LakeConfig, customer
     months = sorted({d[:6] for d in days})
     rebuilt = sorted(set(days) - set(gone))
     sales = inputs.sales if first else inputs.sales.where(day_of().isin(rebuilt))
-    fact = inputs.fact(sales, at, carry)
+    fact = inputs.fact(sales, at, carry, ["date_key"])
     paths = {"dim_customer": config.gold("dim_customer"), "fact_sales": fact_path, "agg_monthly_sales": agg_path}
     if rebuilt or first:
-        write_table(fact, fact_path, partition_cols=["date_key"], only_partitions=not first)
+        write_table(fact, fact_path, partition_cols=["date_key"], only_partitions=not first, rebalance=False)
     _drop_partitions(spark, fact_path, "date_key", gone)
     if months or first:
         # the touched months whole, from the written fact; the partition filter prunes the others
         touched = read_path(spark, fact_path, schema=fact.schema)
         if not first:
             touched = touched.where(F.coalesce(year_month_of(), F.lit("")).isin(months))
-        write_table(build_monthly_sales_aggregate(touched).withColumn("dw_inserted_at", at), agg_path, partition_cols=["year_month"],
-                    only_partitions=not first)
+        month_rows = Counter()
+        for d, n in sold.items():
+            month_rows[d[:6]] += n
+        agg = build_monthly_sales_aggregate(touched, month_rows=month_rows).withColumn("dw_inserted_at", at)
+        write_table(agg, agg_path, partition_cols=["year_month"], only_partitions=not first, rebalance=False)
         left = {d[:6] for d in known}
         _drop_partitions(spark, agg_path, "year_month", [m for m in months if m not in left])
         if lineage:

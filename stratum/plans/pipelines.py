@@ -118,10 +118,10 @@ class GoldInputs:
     products: DataFrame
     keys_unique: bool
 
-    def fact(self, sales: DataFrame, at: Column, carry: Sequence[str] = ()) -> DataFrame:
+    def fact(self, sales: DataFrame, at: Column, carry: Sequence[str] = (), cluster: Sequence[str] = ()) -> DataFrame:
         # with customer_id proven unique the customer join cannot repeat a sale
         # and contributes no column, so it is dropped (same rows, no join)
-        return build_sales_fact(sales, None if self.keys_unique else self.customers, self.products, at, carry=carry)
+        return build_sales_fact(sales, None if self.keys_unique else self.customers, self.products, at, carry=carry, cluster=cluster)
 
 
 def gold_inputs(spark: SparkSession, config: LakeConfig, customer_contract: Sequence[ct.Expectation] | None = None,
@@ -186,9 +186,9 @@ def silver_to_gold(
     inputs = gold_inputs(spark, config, customer_contract, lineage, history_path)
     at = run_timestamp()
     dim = build_customer_dimension(inputs.customers, at)
-    fact = inputs.fact(inputs.sales, at, [gv.FILE_ID] if lineage else [])
+    fact = inputs.fact(inputs.sales, at, [gv.FILE_ID] if lineage else [], fact_partition_cols)
     write_table(dim, config.gold("dim_customer"), fmt)
-    write_table(fact, config.gold("fact_sales"), fmt, partition_cols=list(fact_partition_cols))
+    write_table(fact, config.gold("fact_sales"), fmt, partition_cols=list(fact_partition_cols), rebalance=False)
     written = read_path(spark, config.gold("fact_sales"), fmt, schema=fact.schema)
     write_table(build_monthly_sales_aggregate(written), config.gold("agg_monthly_sales"), fmt)
     out = {t: config.gold(t) for t in ("dim_customer", "fact_sales", "agg_monthly_sales")}

@@ -20,6 +20,8 @@ from stratum.sources import fs
 
 log = logging.getLogger(__name__)
 
+COMPRESSION = "zstd"
+
 
 @dataclass(frozen=True)
 class LakeConfig:
@@ -131,6 +133,8 @@ def write_table(
     merge_schema: bool = True,
     mode: str = "overwrite",
     only_partitions: bool = False,
+    rebalance: bool = True,
+    compression: str | None = COMPRESSION,
 ) -> None:
     """Gold sink (S4, S5, S7): overwrite with schema merge, optional partitions.
 
@@ -138,7 +142,8 @@ def write_table(
     first; AQE splits a hot partition value over several tasks and packs
     small ones together, so each value gets a few well-sized files instead of
     one file per task (or one task holding a third of the data).
-    ``only_partitions`` overwrites the partitions that ``df`` has rows for and leaves the others.
+    ``only_partitions`` overwrites the partitions that ``df`` has rows for and leaves the others. ``rebalance=False`` is for
+    rows that lie together by partition already. Parquet files are written with ``compression`` (None: the session's).
     """
     spark = df.sparkSession
     if only_partitions and (not partition_cols or fmt == "delta"):
@@ -146,13 +151,15 @@ def write_table(
     existing = existing_schema(spark, path, fmt) if merge_schema and mode == "overwrite" and fmt != "delta" else None
     if existing is not None:
         df = align_to_existing(df, existing)
-    if partition_cols:
+    if partition_cols and rebalance:
         df = df.hint("rebalance", *partition_cols)
     writer = df.write.format(fmt).mode(mode)
     if mode == "overwrite" and partition_cols:
         # a full overwrite whatever the session says: a cluster-wide 'dynamic'
         # mode would keep old partitions missing from the new data
         writer = writer.option("partitionOverwriteMode", "dynamic" if only_partitions else "static")
+    if fmt == "parquet" and compression:
+        writer = writer.option("compression", compression)
     if fmt == "delta" and merge_schema:
         writer = writer.option("mergeSchema", "true")
     if partition_cols:
