@@ -1,6 +1,8 @@
 import random
 import re
+from pathlib import Path
 
+import numpy as np
 import pytest
 
 from stratum.llm import token_groups as tg
@@ -92,3 +94,41 @@ def test_different_texts_of_one_id(spark):
     out = got(spark, rows, log2_cells=18)
     assert len(out) == len(rows)
     assert sorted(str(r[2]) for r in out) == ["10"] + ["3"] * 9
+
+
+def test_sketch_holds_more_tokens_than_cells(spark):
+    """Tokens that occur once set no cell, so with as many of them as cells unlike texts still leave at once."""
+    rows = [(d, " ".join(f"d{d}w{i}" for i in range(104))) for d in range(200)]
+    rows += [(1000 + d, " ".join(f"s{i}" for i in range(104)) + f" end{d}") for d in range(2)]
+    slim = spark.createDataFrame(rows, "doc_id long, text string")
+    twice, heavy = tg.sketch_bits(slim, 14)  # 20,000 tokens, 16,384 cells
+    assert sum(bin(b).count("1") for b in twice) in range(90, 101) and not any(heavy)
+    assert got(spark, rows, log2_cells=14) == brute(rows)
+
+
+def test_packed_tokens_keep_counts_up_to_two():
+    rng = np.random.default_rng(5)
+    token = rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)
+    token = np.concatenate([token, token[:100], token[:50], token[:50]])
+    for log2_blocks in (0, 3, 9):
+        parts = dict(tg.packed_tokens(token, log2_blocks))
+        back = np.concatenate([tg.unpacked_tokens(parts[b]).astype(np.uint64) + (np.uint64(b) << np.uint64(tg.BLOCK_BITS)) for b in sorted(parts)])
+        cut = token >> np.uint64(64 - tg.BLOCK_BITS - log2_blocks)
+        want, count = np.unique(cut, return_counts=True)
+        assert (back == np.repeat(want, np.minimum(count, 2))).all()
+
+
+def checkpointed(spark):
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    return sum(p.stat().st_size for p in Path(folder).rglob("part-*"))
+
+
+def test_copies_and_near_copies_leave_no_token_sets_behind(spark):
+    """What is kept between steps grows neither with the copies' tokens nor with the moved sets' tokens."""
+    words = [[f"g{g}w{i}" for i in range(1500)] for g in range(4)]
+    rows = [(100 * g + k, " ".join(w + [f"x{k % 2}"])) for g, w in enumerate(words) for k in range(40)]
+    tg.join_components(spark.createDataFrame(rows[:1], "doc_id long, text string")).count()
+    before = checkpointed(spark)
+    assert got(spark, rows, log2_cells=20) == sorted(((d, 1497, d // 100 * 100) for d, _ in rows), key=str)
+    # 160 texts of 1,497 tokens; their sets hold 1.9 MB
+    assert checkpointed(spark) - before < 8 * 1497 * 160 / 4
