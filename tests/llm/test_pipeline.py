@@ -8,6 +8,7 @@ from stratum.llm import secrets
 from stratum.llm.queries import tokenizer_path
 from tests.llm.test_rules_and_mix import WORD, fill
 from tests.llm.test_token_groups import brute as brute_groups
+from tests.llm.test_token_groups import checkpointed
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -105,3 +106,17 @@ def test_run_drops_the_tables_between(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(cp, "scratch_path", lambda *_: f"{tmp_path}/stages")
     assert cp.run(spark, str(tmp_path)).count() > 0
     assert [d.name for d in sorted((tmp_path / "stages").iterdir())] == ["bpe"]
+
+
+def test_near_duplicate_stage_leaves_no_token_sets_behind(spark):
+    """What the second stage keeps between its steps does not grow with the tokens of copies and near copies."""
+    words = [[f"p{g}w{i}" for i in range(1500)] for g in range(4)]
+    kept = {}
+    for copies in (2, 40):
+        rows = [(100 * g + k, " ".join(w + [f"x{k % 2}"]), "en", "s0", 1) for g, w in enumerate(words) for k in range(copies)]
+        before = checkpointed(spark)
+        out = cp.drop_near_duplicates(spark, spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in zip(COLUMNS, ["long", *["string"] * 3, "long"], strict=True))), "")
+        assert sorted(tuple(r) for r in out.collect()) == rows[::copies]
+        kept[copies] = checkpointed(spark) - before
+    # the sets of the 152 more texts hold 1.8 MB
+    assert kept[40] - kept[2] < 8 * 1497 * 152 / 4
